@@ -1,17 +1,18 @@
 """Exact phrase search: which texts contain which phrases.
 
-Catalyst turns a ``contains`` join into a nested loop over all pairs. Here each phrase is found by
-one short piece of itself, its anchor: equal anchors meet in an equi join, and ``contains`` then
-settles the few candidates. The result is complete because a text that contains a phrase contains
-its anchor too:
-
-* phrases shorter than ``GRAM`` characters are their own anchor,
-* mid-length phrases use one of their n-grams,
-* long phrases use a minimizer, the smallest hash in a run of ``RUN`` n-grams (Schleimer et al.,
-  Winnowing, 2003). A text needs to offer only its own minimizers, about 2 / (RUN + 1) of its n-grams.
-
-Of the possible anchors of a phrase the one shared with the fewest other phrases is taken, so a
-common opening does not pile up candidates.
+Catalyst turns a ``contains`` join into a nested loop over all pairs, so it is never written here.
+A phrase is looked for in texts of its own scope (an app, or one batch of an app), and each scope is
+searched in one of two ways, with the same result:
+
+* With few phrases a scope's phrases travel as one array, by an equi join on the scope. Each text is
+  read once and only hits leave the row.
+* With many, each phrase is found by a short piece of itself, its anchor: equal anchors meet in an
+  equi join on hashes, and ``contains`` settles the few candidates. This misses nothing, because a
+  text that contains a phrase contains its anchor too. Phrases shorter than ``LONG`` use an n-gram of
+  2^k characters; longer ones a minimizer, the smallest hash in a run of ``RUN`` n-grams (Schleimer et
+  al., Winnowing, 2003), so that a text has to offer only about 2 / (RUN + 1) of its n-grams. Of the
+  possible anchors of a phrase the one shared with the fewest other phrases is taken, so a common
+  opening does not pile up candidates.
 """
 
 from __future__ import annotations
@@ -22,23 +23,32 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from themeloom.functions.text import ngrams
-from themeloom.session import BROADCAST_ROWS
+from themeloom.session import BROADCAST_ROWS, materialise
 
 GRAM = 8
 RUN = 8
 LONG = GRAM + RUN - 1
-# Largest phrase table, in characters, whose anchors may be broadcast.
+# A scope with no more phrases and characters than this is searched phrase by phrase.
+LIST_PHRASES = 200
+LIST_CHARS = 200_000
+# Largest phrase tables, in characters, that may be broadcast.
 BROADCAST_CHARS = 32_000_000
-_MINIMIZER, _ALL_GRAMS = 0, GRAM  # classes; 1..GRAM-1 are phrases of just that length
+_MINIMIZER = 0  # anchor class of long phrases; the others are n-gram lengths 1, 2, 4, 8
+_PAD = "\x00" * (GRAM - 1)
+_COUNT_BITS = 16
+_HASH_RANGE = 1 << (64 - _COUNT_BITS)
 
 
 def _class(phrase: str) -> Column:
     n = F.length(phrase)
-    return F.when(n >= LONG, _MINIMIZER).when(n >= GRAM, _ALL_GRAMS).otherwise(n)
+    return F.when(n >= LONG, _MINIMIZER).when(n >= 8, 8).when(n >= 4, 4).when(n >= 2, 2).otherwise(1)
 
 
-def _hashes(text: Column | str, n: int) -> Column:
-    return F.transform(ngrams(text, n), lambda g: F.xxhash64(g))
+def _hashes(grams: Column | str, n: int) -> Column:
+    """48-bit hashes; equal hashes of different n-grams only add candidates."""
+    if n == GRAM:
+        return F.transform(grams, lambda g: F.shiftrightunsigned(F.xxhash64(g), _COUNT_BITS))
+    return F.transform(grams, lambda g: F.shiftrightunsigned(F.xxhash64(F.substring(g, 1, n)), _COUNT_BITS))
 
 
 def _run_minima(hashes: str) -> Column:
@@ -46,63 +56,101 @@ def _run_minima(hashes: str) -> Column:
     return F.array_distinct(F.transform(starts, lambda i: F.array_min(F.slice(hashes, i, F.lit(RUN)))))
 
 
-def _phrase_anchors(phrases: DataFrame, scope: Sequence[str]) -> DataFrame:
-    hashed = phrases.withColumn("_class", _class("phrase")).withColumn("_grams", _hashes("phrase", GRAM))
-    possible = (
-        F.when(F.col("_class") == _MINIMIZER, _run_minima("_grams"))
-        .when(F.col("_class") == _ALL_GRAMS, F.array_distinct("_grams"))
-        .otherwise(F.array(F.xxhash64("phrase")))
-    )
-    each = hashed.select(*scope, "phrase", F.explode(possible).alias("_anchor"))
+def _spread(phrase: str, n: int) -> Column:
+    """Hashes of up to four n-grams of a phrase: first, last and two between."""
+    last = F.length(phrase) - n
+    starts = [F.lit(0), F.floor(last / 3), F.floor(last * 2 / 3), last]
+    return _hashes(F.array_distinct(F.array(*[F.substr(F.col(phrase), s.cast("int") + 1, F.lit(n)) for s in starts])), n)
+
+
+def _phrase_anchors(phrases: DataFrame, scope: Sequence[str], minimizers: bool) -> DataFrame:
+    kind = _class("phrase")
+    phrases = phrases.withColumn("_class", F.when(kind == _MINIMIZER, _MINIMIZER if minimizers else GRAM).otherwise(kind))
+    possible = F.when(F.col("_class") == GRAM, _spread("phrase", GRAM))
+    for n in (4, 2, 1):
+        possible = possible.when(F.col("_class") == n, _spread("phrase", n))
+    if minimizers:
+        phrases = phrases.withColumn("_hashes", _hashes(ngrams("phrase", GRAM), GRAM))
+        possible = possible.otherwise(_run_minima("_hashes"))
+    each = phrases.select(*scope, "phrase", F.explode_outer(possible).alias("_anchor"))
     shared = each.groupBy(*scope, "_anchor").agg(F.count(F.lit(1)).alias("_n"))
-    choice = F.min(F.struct("_n", "_anchor")).alias("_c")
-    return each.join(shared, [*scope, "_anchor"]).groupBy(*scope, "phrase").agg(choice).select(
-        *scope, "phrase", F.col("_c._anchor").alias("_anchor")
-    )
+    # count above hash in one long: the smallest is the least shared, by a hash aggregate
+    ranked = F.least("_n", F.lit(2 ** (_COUNT_BITS - 1) - 1)) * _HASH_RANGE + F.col("_anchor")
+    choice = F.min(ranked).bitwiseAND(F.lit(_HASH_RANGE - 1))
+    return each.join(shared, [*scope, "_anchor"]).groupBy(*scope, "phrase").agg(choice.alias("_anchor"))
 
 
 def _text_anchors(texts: DataFrame, text: str, classes: set[int]) -> DataFrame:
-    """Add the distinct hashes a text must offer for the phrase classes that occur."""
-    parts = []
-    if classes & {_MINIMIZER, _ALL_GRAMS}:
-        texts = texts.withColumn("_grams", _hashes(text, GRAM))
-        # all n-grams include the minimizers
-        parts.append(F.col("_grams") if _ALL_GRAMS in classes else _run_minima("_grams"))
-    parts += [_hashes(text, n) for n in sorted(classes - {_MINIMIZER, _ALL_GRAMS})]
-    anchors = parts[0] if len(parts) == 1 else F.concat(*parts)
-    return texts.withColumn("_anchors", F.array_distinct(F.filter(anchors, lambda h: h.isNotNull()))).drop("_grams")
+    """One row per hash a text has to offer for the phrase classes that occur.
+
+    The padding gives every position a full n-gram, whose beginnings are the shorter n-grams.
+    ``explode_outer`` because the filter that ``explode`` infers would compute the hashes twice.
+    """
+    texts = texts.withColumn("_grams", ngrams(F.concat(text, F.lit(_PAD)), GRAM))
+    parts = [_hashes("_grams", n) for n in sorted(classes - {_MINIMIZER})]
+    if _MINIMIZER in classes and GRAM not in classes:  # all 8-grams include the minimizers
+        texts = texts.withColumn("_hashes", _hashes("_grams", GRAM))
+        parts.append(_run_minima("_hashes"))
+    offered = parts[0] if len(parts) == 1 else F.concat(*parts)
+    kept = [c for c in texts.columns if c not in ("_grams", "_hashes")]
+    return texts.select(*kept, F.explode_outer(offered).alias("_anchor"))
+
+
+def _by_list(texts: DataFrame, phrases: DataFrame, scope: list[str], text: str, name: str, small: bool) -> DataFrame:
+    lists = phrases.groupBy(*scope).agg(F.collect_list("phrase").alias("_phrases"))
+    both = texts.join(F.broadcast(lists) if small else lists, scope)
+    hits = F.filter("_phrases", lambda p: F.contains(F.col(text), p))
+    return both.select(*scope, name, F.explode_outer(hits).alias("phrase")).filter("phrase IS NOT NULL")
+
+
+def _by_anchor(
+    texts: DataFrame, phrases: DataFrame, scope: list[str], text: str, name: str, classes: set[int], small: bool
+) -> DataFrame:
+    inside = F.contains(F.col(text), F.col("phrase"))
+    anchors = _phrase_anchors(phrases, scope, minimizers=not small)
+    if small:  # texts are searched where they are read; nothing is shuffled, so minimizers do not pay
+        classes = {c or GRAM for c in classes}
+        return _text_anchors(texts, text, classes).join(F.broadcast(anchors), [*scope, "_anchor"]).filter(inside).select(
+            *scope, name, "phrase"
+        )
+    # hashes are shuffled, not text; texts come back by id for the candidates only
+    keyed = texts.withColumn("_text", F.xxhash64(text))
+    rows = _text_anchors(keyed, text, classes).select(*scope, name, "_text", "_anchor")
+    candidates = rows.join(anchors, [*scope, "_anchor"]).select(*scope, name, "_text", "phrase").distinct()
+    return candidates.join(keyed, [*scope, name, "_text"]).filter(inside).select(*scope, name, "phrase")
 
 
 def find_phrases(
     texts: DataFrame, phrases: DataFrame, scope: Sequence[str], text: str = "review_norm", name: str = "name",
-    max_rows: int = BROADCAST_ROWS, max_chars: int = BROADCAST_CHARS,
+    list_phrases: int = LIST_PHRASES, max_rows: int = BROADCAST_ROWS, max_chars: int = BROADCAST_CHARS,
 ) -> DataFrame:
     """Distinct (scope, name, phrase) such that the text called ``name`` contains ``phrase``.
 
     ``texts`` has the scope columns, ``name`` and ``text``; ``phrases`` the scope columns and
-    ``phrase``; a phrase is looked for in texts of its own scope. With few phrases (counted here) their
-    anchors are broadcast and texts are searched where they are read, with no shuffle of text or
-    n-grams. Otherwise n-gram hashes are shuffled, never text, and texts join back by id to the
-    candidates only.
+    ``phrase``. Phrases are stored once, as sizes are counted on them before the search is planned.
     """
     scope = list(scope)
-    phrases = phrases.select(*scope, "phrase").filter(F.length("phrase") > 0).distinct()
-    sizes = phrases.groupBy(_class("phrase").alias("c")).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.length("phrase")).alias("chars")
-    ).collect()  # at most GRAM + 1 rows
-    if not sizes:
-        return texts.select(*scope, name).withColumn("phrase", F.lit("")).limit(0)
-    classes = {r["c"] for r in sizes}
-    few = sum(r["n"] for r in sizes) <= max_rows and sum(r["chars"] for r in sizes) <= max_chars
-    anchors = _phrase_anchors(phrases, scope)
-    offered = _text_anchors(texts.select(*scope, name, text), text, classes)
-    inside = F.contains(F.col(text), F.col("phrase"))
-    if few:
-        hit = offered.select(*scope, name, text, F.explode("_anchors").alias("_anchor"))
-        found = hit.join(F.broadcast(anchors), [*scope, "_anchor"]).filter(inside)
-    else:
-        key = F.xxhash64(text)
-        rows = offered.select(*scope, name, key.alias("_text"), F.explode("_anchors").alias("_anchor"))
-        candidates = rows.join(anchors, [*scope, "_anchor"]).select(*scope, name, "_text", "phrase").distinct()
-        found = candidates.join(texts.withColumn("_text", key), [*scope, name, "_text"]).filter(inside)
-    return found.select(*scope, name, "phrase").distinct()
+    texts = texts.select(*scope, name, text)
+    phrases = materialise(phrases.select(*scope, "phrase").filter(F.length("phrase") > 0).distinct())
+    per_scope = phrases.groupBy(*scope).agg(
+        F.count(F.lit(1)).alias("_n"), F.sum(F.length("phrase")).alias("_c"), F.collect_set(_class("phrase")).alias("_k")
+    )
+    few = (F.col("_n") <= list_phrases) & (F.col("_c") <= LIST_CHARS)
+    sizes = {
+        r["few"]: r for r in per_scope.groupBy(few.alias("few")).agg(
+            F.sum("_n").alias("n"), F.sum("_c").alias("chars"),
+            F.array_distinct(F.flatten(F.collect_set("_k"))).alias("classes"),
+        ).collect()  # two rows at most
+    }
+    found = texts.select(*scope, name).withColumn("phrase", F.lit("")).limit(0) if not sizes else None
+    for is_few, size in sizes.items():
+        part = phrases
+        if len(sizes) == 2:
+            part = phrases.join(per_scope.filter(few if is_few else ~few).select(*scope), scope, "left_semi")
+        small = size["n"] <= max_rows and size["chars"] <= max_chars
+        if is_few:
+            hits = _by_list(texts, part, scope, text, name, small)
+        else:
+            hits = _by_anchor(texts, part, scope, text, name, set(size["classes"]), small)
+        found = hits if found is None else found.unionByName(hits)
+    return found.distinct()

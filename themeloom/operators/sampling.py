@@ -192,7 +192,6 @@ class SamplingRun:
     """What a run yields. ``batches`` is stored once; everything else is derived from it."""
 
     batches: DataFrame
-    available: DataFrame
     log: DataFrame
     n_total: int
     batch_size: int
@@ -204,6 +203,9 @@ class SamplingRun:
         rows = self.batches.withColumn("run_id", F.lit(self.run_id))
         return rows.select(*schemas.SAMPLING_LOG.fieldNames())
 
+    def available(self) -> DataFrame:
+        return exclude_logged(filter_length(self.reviews, self.min_len), self.log)
+
     def unused(self) -> DataFrame:
         # one anti join against old and new ids together instead of two
         seen = self.log.select("app", "name").unionByName(self.batches.select("app", "name"))
@@ -231,7 +233,7 @@ def run_sampling(
     batches = materialise(assign_batches(sample, log, batch_size))
     if fail_on_empty and batches.isEmpty():
         raise ValueError("no reviews left: all were sampled before, or min_len is too strict")
-    return SamplingRun(batches, exclude_logged(pool, log), log, n_total, batch_size, reviews, min_len, run_id)
+    return SamplingRun(batches, log, n_total, batch_size, reviews, min_len, run_id)
 
 
 def run_summary(

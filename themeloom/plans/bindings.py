@@ -62,7 +62,7 @@ def coded_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 def codings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every sentence of a review is a quote; its code is its first two letters, its theme the language."""
     sentences = coded_reviews(spark, sf_dir).select(
-        "app", "batch_id", "theme", "name", F.posexplode(F.split("review_norm", r"\.")).alias("pos", "s")
+        "app", "batch_id", "theme", "name", F.posexplode_outer(F.split("review_norm", r"\.")).alias("pos", "s")
     )
     quote = F.trim("s")
     src = F.concat(F.lit("batch_"), F.format_string("%02d", "batch_id"), F.lit("_"), "theme", F.lit(".csv"))
@@ -144,7 +144,7 @@ def dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def word_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every word of five letters or more of the benchmark texts, as short terms."""
-    words = table(spark, sf_dir, "benchmark").select(F.explode(F.split(text.normalise("text"), " ")).alias("w"))
+    words = table(spark, sf_dir, "benchmark").select(F.explode_outer(F.split(text.normalise("text"), " ")).alias("w"))
     term = text.strip_outer_punctuation("w")
     return words.select(
         F.lit("all").alias("app"), F.lower(term).alias("code"), term.alias("term")

@@ -18,7 +18,7 @@ from themeloom.operators import quality as ql
 from themeloom.operators import sampling as sm
 from themeloom.operators import saturation as st
 from themeloom.plans import bindings as b
-from themeloom.session import materialise
+from themeloom.session import materialise, small_side
 from themeloom.sources import tables as io
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -98,9 +98,9 @@ def _(spark, d):
 @query("io7_write_unused")
 def _(spark, d):
     path, run = b.scratch(spark), _run(spark, d)
-    io.write_unused(run.available, path)
+    io.write_unused(run.available(), path)
     io.write_unused(run.unused(), path)  # refreshed as a whole
-    return spark.read.schema("value string, app string").text(path).select("app", F.col("value").alias("entry"))
+    return io.read_unused(spark, path)
 
 
 @query("io8_overwrite_guard")
@@ -218,7 +218,7 @@ def _(spark, d):
 
 @query("f1_strip_outer_punctuation")
 def _(spark, d):
-    words = b.coded_reviews(spark, d).select("app", F.explode(F.split("review_norm", " ")).alias("w"))
+    words = b.coded_reviews(spark, d).select("app", F.explode_outer(F.split("review_norm", " ")).alias("w"))
     return _count(words.select("app", text.strip_outer_punctuation("w").alias("word")), "app", "word")
 
 
@@ -274,7 +274,7 @@ def _(spark, d):
 def _(spark, d):
     terms = b.dictionary(spark, d).select("app", F.col("term").alias("quote"))
     batches = b.coded_reviews(spark, d).select("app", "batch_id").distinct()
-    sources = ql.quote_sources(batches.join(F.broadcast(terms), "app"), b.coded_reviews(spark, d))
+    sources = ql.quote_sources(batches.join(small_side(terms), "app"), b.coded_reviews(spark, d))
     return ql.uncoded_reviews(b.coded_reviews(spark, d), sources, b.out_of_scope(spark, d))
 
 

@@ -87,6 +87,13 @@ def write_unused(unused: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("app").text(path)
 
 
+def read_unused(spark: SparkSession, path: str) -> DataFrame:
+    """Entries of the unused pool, ``app, entry``. With nothing left there are no app folders."""
+    if "app" not in spark.read.text(path).columns:
+        return spark.createDataFrame([], "app string, entry string")
+    return spark.read.schema("value string, app string").text(path).select("app", F.col("value").alias("entry"))
+
+
 def read_batches(spark: SparkSession, path: str) -> DataFrame:
     """Entries of written batches, taken apart again. Lines that start no entry are left out."""
     lines = spark.read.schema("value string, app string, batch_id bigint").text(path).filter(F.col("value").startswith("[ID:"))
@@ -127,14 +134,16 @@ def write_codebook_csv(merged: DataFrame, path: str, overwrite: bool = False) ->
     rows = dictionary_columns(merged).repartitionByRange("app", fixed.CODE_COLUMN, fixed.QUOTE_COLUMN)
     rows = rows.sortWithinPartitions("app", fixed.CODE_COLUMN, fixed.QUOTE_COLUMN)
     mode = "overwrite" if overwrite else "errorifexists"
-    rows.write.mode(mode).partitionBy("app").csv(path, header=True, escape='"')
+    rows.write.mode(mode).partitionBy("app").csv(
+        path, header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    )
 
 
 def read_codebook_csv(spark: SparkSession, path: str) -> DataFrame:
-    df = require_columns(spark.read.csv(path, header=True, escape='"'), (fixed.CODE_COLUMN, fixed.QUOTE_COLUMN))
-    return df.select(
-        F.col("app").cast("string").alias("app"), F.col(fixed.CODE_COLUMN).alias("code"), F.col(fixed.QUOTE_COLUMN).alias("quote")
-    )
+    require_columns(spark.read.csv(path, header=True, escape='"'), (fixed.CODE_COLUMN, fixed.QUOTE_COLUMN))
+    schema = f"`{fixed.CODE_COLUMN}` string, `{fixed.QUOTE_COLUMN}` string, app string"
+    df = spark.read.schema(schema).csv(path, header=True, escape='"')
+    return df.select("app", F.col(fixed.CODE_COLUMN).alias("code"), F.col(fixed.QUOTE_COLUMN).alias("quote"))
 
 
 def export_dictionary(merged: DataFrame, path: str, overwrite: bool = False) -> None:
