@@ -18,6 +18,12 @@ WHITESPACE_RUN = (
     r"[\t-\r\x1c- \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
 )
 
+# Fixed value: the same characters as a plain list, for trimming.
+WHITESPACE_CHARS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009"
+    "\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+
 # Coding file names and the marks around a batch entry.
 CODING_FILE_PATTERN = r"^batch_(\d+)(?:_(.+))?\.csv$"
 ENTRY_PATTERN = r"^\[ID:(.*?)\] \[rating:(.*?)\] ?(.*)$"

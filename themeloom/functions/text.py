@@ -8,6 +8,11 @@ from pyspark.sql import functions as F
 from themeloom.functions import fixed
 
 
+# Runs that are not already a single blank: most blanks of a text need no replacement.
+_NOT_BLANK = fixed.WHITESPACE_RUN.replace(r"\x1c- ", r"\x1c-\x1f").removesuffix("+")
+_COLLAPSE = f"{_NOT_BLANK}{fixed.WHITESPACE_RUN.removesuffix('+')}*| {fixed.WHITESPACE_RUN}"
+
+
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -25,7 +30,7 @@ def long_enough(review, min_len: int) -> Column:
 def normalise(review) -> Column:
     """One line, whitespace runs collapsed to a blank, no blank at either end."""
     text = F.coalesce(_col(review), F.lit(""))
-    return F.trim(F.regexp_replace(text, fixed.WHITESPACE_RUN, " "))
+    return F.trim(F.regexp_replace(text, _COLLAPSE, " "))
 
 
 def entry(name, rating, review_norm) -> Column:
@@ -44,8 +49,7 @@ def strip_outer_punctuation(quote) -> Column:
 
 def strip_blank(text) -> Column:
     """Remove whitespace, line ends included, from both ends of a text."""
-    run = fixed.WHITESPACE_RUN
-    return F.regexp_replace(_col(text), rf"\A{run}|{run}\z", "")
+    return F.trim(_col(text), F.lit(fixed.WHITESPACE_CHARS))
 
 
 def is_placeholder(content) -> Column:

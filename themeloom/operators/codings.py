@@ -36,7 +36,7 @@ def file_lines(files: DataFrame, keep: tuple[str, ...] = ("app", "src_file")) ->
 def parse_lines(lines: DataFrame) -> DataFrame:
     """Two-column rows from lines. ``status`` is ok, blank, header, empty or a reject reason."""
     # naming the mode also keeps the optimizer from pruning the row schema below two columns
-    parsed = lines.withColumn("_row", F.from_csv(F.col("line"), _CSV_ROW, {"mode": "PERMISSIVE"}))
+    parsed = lines.withColumn("_row", F.from_csv(F.col("line"), _CSV_ROW, {"mode": "PERMISSIVE", "escape": '"'}))
     bare = text.strip_blank("line")
     code = text.strip_blank(F.coalesce(F.col("_row.code"), F.lit("")))
     quote = text.strip_outer_punctuation(text.strip_blank(F.coalesce(F.col("_row.quote"), F.lit(""))))

@@ -2,17 +2,21 @@
 
 Catalyst turns a ``contains`` join into a nested loop over all pairs, so it is never written here.
 A phrase is looked for in texts of its own scope (an app, or one batch of an app), and each scope is
-searched in one of two ways, with the same result:
+searched in one of three ways, with the same result:
 
 * With few phrases a scope's phrases travel as one array, by an equi join on the scope. Each text is
   read once and only hits leave the row.
-* With many, each phrase is found by a short piece of itself, its anchor: equal anchors meet in an
+* With more, each phrase is found by a short piece of itself, its anchor: equal anchors meet in an
   equi join on hashes, and ``contains`` settles the few candidates. This misses nothing, because a
-  text that contains a phrase contains its anchor too. Phrases shorter than ``LONG`` use an n-gram of
-  2^k characters; longer ones a minimizer, the smallest hash in a run of ``RUN`` n-grams (Schleimer et
-  al., Winnowing, 2003), so that a text has to offer only about 2 / (RUN + 1) of its n-grams. Of the
-  possible anchors of a phrase the one shared with the fewest other phrases is taken, so a common
-  opening does not pile up candidates.
+  text that contains a phrase contains its anchor too. An anchor is an n-gram of 1, 2, 4 or 8
+  characters, and of the possible ones that shared with the fewest other phrases is taken, so a common
+  opening does not pile up candidates. The anchors of a scope travel as one array of hashes, and only
+  the n-grams of a text that are in it leave the row.
+* Where a scope has too many phrases for an array, long phrases use a minimizer as anchor, the smallest
+  hash in a run of ``RUN`` n-grams (Schleimer et al., Winnowing, 2003); a text then has to offer only
+  about 2 / (RUN + 1) of its n-grams.
+
+Long and short phrases of a scope are counted apart, as the short ones are few in most data.
 """
 
 from __future__ import annotations
@@ -31,6 +35,10 @@ LONG = GRAM + RUN - 1
 # A scope with no more phrases and characters than this is searched phrase by phrase.
 LIST_PHRASES = 200
 LIST_CHARS = 200_000
+# A scope with no more phrases than this sends its anchors to the texts.
+SET_PHRASES = 20_000
+# Largest number of anchors, over all scopes, that may be broadcast as arrays of hashes.
+BROADCAST_HASHES = 2_000_000
 # Largest phrase tables, in characters, that may be broadcast.
 BROADCAST_CHARS = 32_000_000
 _MINIMIZER = 0  # anchor class of long phrases; the others are n-gram lengths 1, 2, 4, 8
@@ -80,11 +88,10 @@ def _phrase_anchors(phrases: DataFrame, scope: Sequence[str], minimizers: bool)
     return each.join(shared, [*scope, "_anchor"]).groupBy(*scope, "phrase").agg(choice.alias("_anchor"))
 
 
-def _text_anchors(texts: DataFrame, text: str, classes: set[int]) -> DataFrame:
-    """One row per hash a text has to offer for the phrase classes that occur.
+def _offered(texts: DataFrame, text: str, classes: set[int]) -> DataFrame:
+    """Add the hashes a text has to offer for the phrase classes that occur.
 
     The padding gives every position a full n-gram, whose beginnings are the shorter n-grams.
-    ``explode_outer`` because the filter that ``explode`` infers would compute the hashes twice.
     """
     texts = texts.withColumn("_grams", ngrams(F.concat(text, F.lit(_PAD)), GRAM))
     parts = [_hashes("_grams", n) for n in sorted(classes - {_MINIMIZER})]
@@ -93,7 +100,13 @@ def _text_anchors(texts: DataFrame, text: str, classes: set[int]) -> DataFrame:
         parts.append(_run_minima("_hashes"))
     offered = parts[0] if len(parts) == 1 else F.concat(*parts)
     kept = [c for c in texts.columns if c not in ("_grams", "_hashes")]
-    return texts.select(*kept, F.explode_outer(offered).alias("_anchor"))
+    return texts.select(*kept, offered.alias("_offered"))
+
+
+def _explode(offered: DataFrame) -> DataFrame:
+    """``explode_outer``, because the filter that ``explode`` infers would compute the hashes twice."""
+    kept = [c for c in offered.columns if c != "_offered"]
+    return offered.select(*kept, F.explode_outer("_offered").alias("_anchor"))
 
 
 def _by_list(texts: DataFrame, phrases: DataFrame, scope: list[str], text: str, name: str, small: bool) -> DataFrame:
@@ -103,26 +116,39 @@ def _by_list(texts: DataFrame, phrases: DataFrame, scope: list[str], text: str,
     return both.select(*scope, name, F.explode_outer(hits).alias("phrase")).filter("phrase IS NOT NULL")
 
 
-def _by_anchor(
-    texts: DataFrame, phrases: DataFrame, scope: list[str], text: str, name: str, classes: set[int], small: bool
+def _by_broadcast(
+    texts: DataFrame, phrases: DataFrame, scope: list[str], text: str, name: str, classes: set[int]
 ) -> DataFrame:
+    """Texts are searched where they are read; nothing is shuffled, so minimizers would not pay."""
+    anchors = F.broadcast(_phrase_anchors(phrases, scope, minimizers=False))
+    rows = _explode(_offered(texts, text, {c or GRAM for c in classes}))
     inside = F.contains(F.col(text), F.col("phrase"))
-    anchors = _phrase_anchors(phrases, scope, minimizers=not small)
-    if small:  # texts are searched where they are read; nothing is shuffled, so minimizers do not pay
-        classes = {c or GRAM for c in classes}
-        return _text_anchors(texts, text, classes).join(F.broadcast(anchors), [*scope, "_anchor"]).filter(inside).select(
-            *scope, name, "phrase"
-        )
-    # hashes are shuffled, not text; texts come back by id for the candidates only
+    return rows.join(anchors, [*scope, "_anchor"]).filter(inside).select(*scope, name, "phrase")
+
+
+def _by_shuffle(
+    texts: DataFrame, phrases: DataFrame, scope: list[str], text: str, name: str, classes: set[int], as_set: bool,
+    small: bool,
+) -> DataFrame:
+    """Hashes are shuffled, not text; texts come back by id for the candidates only."""
+    anchors = _phrase_anchors(phrases, scope, minimizers=not as_set)
     keyed = texts.withColumn("_text", F.xxhash64(text))
-    rows = _text_anchors(keyed, text, classes).select(*scope, name, "_text", "_anchor")
-    candidates = rows.join(anchors, [*scope, "_anchor"]).select(*scope, name, "_text", "phrase").distinct()
+    if as_set:
+        sets = anchors.groupBy(*scope).agg(F.collect_set("_anchor").alias("_set"))
+        near = keyed.join(F.broadcast(sets) if small else sets, scope)
+        offered = _offered(near, text, {c or GRAM for c in classes})
+        offered = offered.select(*scope, name, "_text", F.array_intersect("_offered", "_set").alias("_offered"))
+    else:
+        offered = _offered(keyed, text, classes).select(*scope, name, "_text", "_offered")
+    candidates = _explode(offered).join(anchors, [*scope, "_anchor"]).select(*scope, name, "_text", "phrase").distinct()
+    inside = F.contains(F.col(text), F.col("phrase"))
     return candidates.join(keyed, [*scope, name, "_text"]).filter(inside).select(*scope, name, "phrase")
 
 
 def find_phrases(
     texts: DataFrame, phrases: DataFrame, scope: Sequence[str], text: str = "review_norm", name: str = "name",
-    list_phrases: int = LIST_PHRASES, max_rows: int = BROADCAST_ROWS, max_chars: int = BROADCAST_CHARS,
+    list_phrases: int = LIST_PHRASES, set_phrases: int = SET_PHRASES, max_rows: int = BROADCAST_ROWS,
+    max_chars: int = BROADCAST_CHARS,
 ) -> DataFrame:
     """Distinct (scope, name, phrase) such that the text called ``name`` contains ``phrase``.
 
@@ -131,26 +157,33 @@ def find_phrases(
     """
     scope = list(scope)
     texts = texts.select(*scope, name, text)
-    phrases = materialise(phrases.select(*scope, "phrase").filter(F.length("phrase") > 0).distinct())
-    per_scope = phrases.groupBy(*scope).agg(
+    phrases = phrases.select(*scope, "phrase").filter(F.length("phrase") > 0).distinct()
+    phrases = materialise(phrases.withColumn("_long", F.length("phrase") >= LONG))
+    per_scope = phrases.groupBy(*scope, "_long").agg(
         F.count(F.lit(1)).alias("_n"), F.sum(F.length("phrase")).alias("_c"), F.collect_set(_class("phrase")).alias("_k")
     )
-    few = (F.col("_n") <= list_phrases) & (F.col("_c") <= LIST_CHARS)
-    sizes = {
-        r["few"]: r for r in per_scope.groupBy(few.alias("few")).agg(
-            F.sum("_n").alias("n"), F.sum("_c").alias("chars"),
-            F.array_distinct(F.flatten(F.collect_set("_k"))).alias("classes"),
-        ).collect()  # two rows at most
-    }
+    way = (
+        F.when((F.col("_n") <= list_phrases) & (F.col("_c") <= LIST_CHARS), "list")
+        .when(F.col("_n") <= set_phrases, "set").otherwise("open")
+    )
+    per_scope = per_scope.withColumn("_way", way)
+    sizes = per_scope.groupBy("_way").agg(
+        F.sum("_n").alias("n"), F.sum("_c").alias("chars"), F.flatten(F.collect_set("_k")).alias("classes")
+    ).collect()  # three rows at most
     found = texts.select(*scope, name).withColumn("phrase", F.lit("")).limit(0) if not sizes else None
-    for is_few, size in sizes.items():
+    for size in sizes:
         part = phrases
-        if len(sizes) == 2:
-            part = phrases.join(per_scope.filter(few if is_few else ~few).select(*scope), scope, "left_semi")
+        if len(sizes) > 1:
+            part = phrases.join(per_scope.filter(F.col("_way") == size["_way"]), [*scope, "_long"], "left_semi")
+        part, classes = part.select(*scope, "phrase"), set(size["classes"])
         small = size["n"] <= max_rows and size["chars"] <= max_chars
-        if is_few:
+        if size["_way"] == "list":
             hits = _by_list(texts, part, scope, text, name, small)
+        elif small:
+            hits = _by_broadcast(texts, part, scope, text, name, classes)
         else:
-            hits = _by_anchor(texts, part, scope, text, name, set(size["classes"]), small)
+            hits = _by_shuffle(
+                texts, part, scope, text, name, classes, size["_way"] == "set", size["n"] <= BROADCAST_HASHES
+            )
         found = hits if found is None else found.unionByName(hits)
     return found.distinct()
