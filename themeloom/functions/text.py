@@ -8,9 +8,7 @@ from pyspark.sql import functions as F
 from themeloom.functions import fixed
 
 
-# Runs that are not already a single blank: most blanks of a text need no replacement.
-_NOT_BLANK = fixed.WHITESPACE_RUN.replace(r"\x1c- ", r"\x1c-\x1f").removesuffix("+")
-_COLLAPSE = f"{_NOT_BLANK}{fixed.WHITESPACE_RUN.removesuffix('+')}*| {fixed.WHITESPACE_RUN}"
+_BLANKS = " " * len(fixed.WHITESPACE_CHARS)
 
 
 def _col(c) -> Column:
@@ -30,7 +28,7 @@ def long_enough(review, min_len: int) -> Column:
 def normalise(review) -> Column:
     """One line, whitespace runs collapsed to a blank, no blank at either end."""
     text = F.coalesce(_col(review), F.lit(""))
-    return F.trim(F.regexp_replace(text, _COLLAPSE, " "))
+    return F.trim(F.regexp_replace(F.translate(text, fixed.WHITESPACE_CHARS, _BLANKS), " {2,}", " "))
 
 
 def entry(name, rating, review_norm) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from themeloom.functions import fixed, text
-from themeloom.session import shared_folder
+from themeloom.session import shared_folder, spread
 
 BATCH = 50
 N_BATCHES = 5
@@ -21,6 +21,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "documents"), "doc_id")
+
+
 def scratch(spark: SparkSession) -> str:
     return f"{shared_folder(spark).rstrip('/')}/themeloom-{uuid.uuid4().hex}"
 
@@ -36,7 +40,7 @@ def _rating() -> Column:
 
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One app per language, rating by length."""
-    return table(spark, sf_dir, "documents").select(
+    return documents(spark, sf_dir).select(
         F.col("lang").alias("app"), F.col("doc_id").cast("string").alias("name"), _rating().alias("rating"),
         F.col("text").alias("review"),
     )
@@ -53,7 +57,7 @@ def sampling_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def coded_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as one app, 50 to a batch."""
-    return table(spark, sf_dir, "documents").select(
+    return documents(spark, sf_dir).select(
         F.lit("all").alias("app"), _batch_of().alias("batch_id"), F.col("doc_id").cast("string").alias("name"),
         F.col("lang").alias("theme"), _rating().alias("rating"), text.normalise("text").alias("review_norm"),
     )

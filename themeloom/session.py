@@ -63,3 +63,10 @@ def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` with a broadcast hint when its counted rows allow it, otherwise unchanged, so that
     the join shuffles. Meant for tables that are stored or materialised, where counting is cheap."""
     return F.broadcast(df) if fits_broadcast(df, max_rows) else df
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Spread a table read from fewer splits than there are cores, such as one small file. Tables of
+    many splits stay as they are, so no large table is shuffled for this."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
