@@ -116,7 +116,9 @@ def _draw(reviews: DataFrame, log: DataFrame | None, n_total: int, seed: int, st
     keyed = keyed.withColumn("_stratum", stratum)
     counted = keyed.select("app", "name", "_stratum", "_slot")
     if log is not None:
-        log = small_side(log.select("app", "name"))
+        log = log.select("app", "name")
+        small_log = fits_broadcast(log)
+        log = F.broadcast(log) if small_log else log
         counted = counted.join(log, ["app", "name"], "left_anti")
     strata = _slot_counts(counted).withColumnRenamed("_stratum", "rating")
     cuts = materialise(_cut(stratum_quotas(strata, n_total).withColumnRenamed("rating", "_stratum")))
@@ -131,8 +133,13 @@ def _draw(reviews: DataFrame, log: DataFrame | None, n_total: int, seed: int, st
         c = cuts.select("app", "_stratum", "_cut_slot", "_left", kept.alias("_s")).withColumn("_slot", F.col("_s._slot"))
         near = r.join(c.alias("c"), same & (F.col("r._slot") == F.col("c._slot")))
     near = near.select("r.*", "c._cut_slot", "c._left")
-    if log is not None:  # after the cut: only survivors need the check
+    if log is not None and small_log:
         near = near.join(log, ["app", "name"], "left_anti")
+    elif log is not None:
+        # An anti join would be pushed below the cut and shuffle every review; an outer join stays
+        # above it, so only survivors are shuffled.
+        seen = log.distinct().withColumn("_seen", F.lit(True))
+        near = near.join(seen, ["app", "name"], "left").filter(F.col("_seen").isNull()).drop("_seen")
 
     tie = [F.col("pick_key"), F.col("name"), F.col("rating"), F.xxhash64("review")] if "rating" in reviews.columns else [
         F.col("pick_key"), F.col("name"), F.xxhash64("review")]

@@ -15,6 +15,7 @@ N_BATCHES = 5
 SEED = 42
 MIN_LEN = 20
 PROMPT_BUDGET = 100_000
+APP = "src"  # all documents have sources src0, src1, ...; as one app they are its hot group
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,7 +59,7 @@ def sampling_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 def coded_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as one app, 50 to a batch."""
     return documents(spark, sf_dir).select(
-        F.lit("all").alias("app"), _batch_of().alias("batch_id"), F.col("doc_id").cast("string").alias("name"),
+        F.regexp_replace("source", "[0-9]+$", "").alias("app"), _batch_of().alias("batch_id"), F.col("doc_id").cast("string").alias("name"),
         F.col("lang").alias("theme"), _rating().alias("rating"), text.normalise("text").alias("review_norm"),
     )
 
@@ -119,7 +120,7 @@ def out_of_scope(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scope_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "labels").select(
-        F.lit("all").alias("app"), _batch_of().alias("batch_id"), F.col("doc_id").cast("string").alias("name"),
+        F.lit(APP).alias("app"), _batch_of().alias("batch_id"), F.col("doc_id").cast("string").alias("name"),
         (F.col("quality") == 0).alias("out_of_scope"),
     )
 
@@ -142,7 +143,7 @@ def gold_assignments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "benchmark").select(
-        F.lit("all").alias("app"), F.concat(F.lit("item_"), F.col("item_id")).alias("code"), F.col("text").alias("term")
+        F.lit(APP).alias("app"), F.concat(F.lit("item_"), F.col("item_id")).alias("code"), F.col("text").alias("term")
     )
 
 
@@ -151,7 +152,7 @@ def word_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = table(spark, sf_dir, "benchmark").select(F.explode_outer(F.split(text.normalise("text"), " ")).alias("w"))
     term = text.strip_outer_punctuation("w")
     return words.select(
-        F.lit("all").alias("app"), F.lower(term).alias("code"), term.alias("term")
+        F.lit(APP).alias("app"), F.lower(term).alias("code"), term.alias("term")
     ).filter(F.length("term") >= 5).distinct()
 
 

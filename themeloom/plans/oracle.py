@@ -50,7 +50,7 @@ batches AS (SELECT o.app, coalesce(lb + 1, 0) + (pos - 1) // {BATCH} AS batch_id
   FROM ordered o LEFT JOIN last l ON l.app = o.app WHERE pos <= {N})"""
 RUN = "WITH " + ",\n".join([REVIEWS, LOG, POOL, AVAILABLE, QUOTAS, PICKED, BATCHES])
 
-CODED = f"""coded AS (SELECT 'all' AS app, doc_id // {BATCH} AS batch_id, CAST(doc_id AS VARCHAR) AS name, lang AS theme,
+CODED = f"""coded AS (SELECT regexp_replace(source, '[0-9]+$', '') AS app, doc_id // {BATCH} AS batch_id, CAST(doc_id AS VARCHAR) AS name, lang AS theme,
   {RATING} AS rating, {norm('text')} AS review_norm FROM documents)"""
 CODINGS = """sentences AS (SELECT app, batch_id, theme, trim(s, ' ') AS quote FROM coded, unnest(string_split(review_norm, '.')) AS u(s)),
 codings AS (SELECT app, batch_id, theme, lower(substr(quote, 1, 2)) AS code, quote,
@@ -61,13 +61,13 @@ WITH_CODED = f"WITH {CODED}"
 # what a coding file holds: rows whose unquoted code has a comma have a wrong column count
 FILE_ROWS = f"""file_rows AS (SELECT *, CASE WHEN contains(code, ',') THEN 'column_count'
   WHEN {strip('quote')} = '' OR {strip("code")} IS NULL OR trim(code, ' ') = '' THEN 'empty' ELSE 'ok' END AS status FROM codings)"""
-DICT = "dict AS (SELECT 'all' AS app, 'item_' || item_id AS code, text AS term FROM benchmark)"
+DICT = "dict AS (SELECT 'src' AS app, 'item_' || item_id AS code, text AS term FROM benchmark)"
 MATCHES = "matches AS (SELECT DISTINCT c.app, c.name, d.code, d.term FROM coded c JOIN dict d ON contains(c.review_norm, d.term))"
 FILED = """filed AS (SELECT DISTINCT app, batch_id, quote FROM
   (SELECT app, batch_id, quote FROM codings UNION ALL SELECT app, batch_id + 1, quote FROM codings))"""
 SOURCES = """sources AS (SELECT DISTINCT c.app, c.batch_id, c.name, f.quote FROM coded c
   JOIN filed f ON f.app = c.app AND f.batch_id = c.batch_id AND contains(c.review_norm, f.quote))"""
-FLAGS = f"""flags AS (SELECT 'all' AS app, doc_id // {BATCH} AS batch_id, CAST(doc_id AS VARCHAR) AS name, quality = 0 AS out_of_scope FROM labels)"""
+FLAGS = f"""flags AS (SELECT 'src' AS app, doc_id // {BATCH} AS batch_id, CAST(doc_id AS VARCHAR) AS name, quality = 0 AS out_of_scope FROM labels)"""
 CODE_N = "code_n AS (SELECT app, code, count(*) AS n FROM codings GROUP BY app, code)"
 CODEBOOK = """samples AS (SELECT app, code, quote, row_number() OVER (PARTITION BY app, code ORDER BY length(quote), quote) AS r
   FROM (SELECT DISTINCT app, code, quote FROM codings)),
@@ -200,7 +200,7 @@ _add("j4_verbatim_pairs", WITH_CODINGS, FILED, SOURCES, select="SELECT app, batc
 _add("j4_verbatim_quotes", WITH_CODINGS, FILED, SOURCES, select="SELECT DISTINCT app, batch_id, quote FROM sources")
 _add("j4_altered_quotes", WITH_CODINGS, FILED, SOURCES, select="SELECT app, batch_id, quote FROM filed EXCEPT SELECT app, batch_id, quote FROM sources")
 _add("j5_dictionary_match", WITH_CODED, DICT, MATCHES, select="SELECT app, name, code, term FROM matches")
-WORDS = f"""dict AS (SELECT DISTINCT 'all' AS app, lower({strip('w')}) AS code, {strip('w')} AS term
+WORDS = f"""dict AS (SELECT DISTINCT 'src' AS app, lower({strip('w')}) AS code, {strip('w')} AS term
   FROM benchmark, unnest(string_split({norm('text')}, ' ')) AS u(w) WHERE length({strip('w')}) >= 5)"""
 _add("j5_word_dictionary", WITH_CODED, WORDS, MATCHES, select="SELECT app, name, code, term FROM matches")
 _add("j6_uncoded_reviews", WITH_CODED, DICT, FLAGS, MATCHES, select="""SELECT app, batch_id, name FROM coded c
@@ -289,7 +289,7 @@ _add("a12_overlapping_codes", WITH_CODINGS, """pairs AS (SELECT DISTINCT app, th
   SELECT x.app, x.code AS code_a, y.code AS code_b, count(*) AS n_shared FROM pairs x JOIN pairs y ON y.app = x.app AND y.quote = x.quote AND x.code < y.code GROUP BY 1, 2, 3) s
   JOIN sizes a ON a.app = s.app AND a.code = s.code_a JOIN sizes b ON b.app = s.app AND b.code = s.code_b""")
 _add("a13_codebook_size", WITH_CODINGS, """sizes AS (SELECT app, count(DISTINCT batch_id) AS n_batches, count(DISTINCT code) AS n_codes, count(DISTINCT theme) AS n_themes FROM codings GROUP BY app),
-expected(app, measure, low, high) AS (VALUES ('all', 'n_batches', CAST(1 AS DOUBLE), CAST(5 AS DOUBLE)), ('all', 'n_codes', 12, 18), ('all', 'n_themes', 4, 6)),
+expected(app, measure, low, high) AS (VALUES ('src', 'n_batches', CAST(1 AS DOUBLE), CAST(5 AS DOUBLE)), ('src', 'n_codes', 12, 18), ('src', 'n_themes', 4, 6)),
 long AS (SELECT app, 'n_batches' AS measure, CAST(n_batches AS DOUBLE) AS observed, n_batches > 5 AND n_codes > 40 AS bloated FROM sizes
   UNION ALL SELECT app, 'n_codes', n_codes, n_batches > 5 AND n_codes > 40 FROM sizes
   UNION ALL SELECT app, 'n_themes', n_themes, n_batches > 5 AND n_codes > 40 FROM sizes)""",

@@ -433,7 +433,7 @@ def _(spark, d):
 @query("a13_codebook_size")
 def _(spark, d):
     expected = spark.createDataFrame(
-        [("all", "n_batches", 1.0, 5.0), ("all", "n_codes", 12.0, 18.0), ("all", "n_themes", 4.0, 6.0)],
+        [(b.APP, "n_batches", 1.0, 5.0), (b.APP, "n_codes", 12.0, 18.0), (b.APP, "n_themes", 4.0, 6.0)],
         "app string, measure string, low double, high double")
     return ql.against_expectations(ql.codebook_size(b.codings(spark, d)), expected)
 
