@@ -6,7 +6,8 @@ from themeloom.operators import phrases as ph
 
 WAYS = {
     "list": dict(list_phrases=10**6),
-    "broadcast": dict(list_phrases=0),
+    "broadcast set": dict(list_phrases=0),
+    "broadcast open": dict(list_phrases=0, set_phrases=0),
     "set": dict(list_phrases=0, max_rows=0),
     "open": dict(list_phrases=0, set_phrases=0, max_rows=0),
     "mixed": dict(list_phrases=25, set_phrases=60, max_rows=0),

@@ -116,14 +116,29 @@ def _by_list(texts: DataFrame, phrases: DataFrame, scope: list[str], text: str,
     return both.select(*scope, name, F.explode_outer(hits).alias("phrase")).filter("phrase IS NOT NULL")
 
 
+def _near_anchors(
+    texts: DataFrame, anchors: DataFrame, scope: list[str], text: str, classes: set[int], broadcast_sets: bool
+) -> DataFrame:
+    """The distinct hashes of a text that are anchors of its scope; few of its n-grams leave the row."""
+    sets = anchors.groupBy(*scope).agg(F.collect_set("_anchor").alias("_set"))
+    near = texts.join(F.broadcast(sets) if broadcast_sets else sets, scope)
+    offered = _offered(near, text, {c or GRAM for c in classes})
+    return offered.select(*texts.columns, F.array_intersect("_offered", "_set").alias("_offered"))
+
+
 def _by_broadcast(
-    texts: DataFrame, phrases: DataFrame, scope: list[str], text: str, name: str, classes: set[int]
+    texts: DataFrame, phrases: DataFrame, scope: list[str], text: str, name: str, classes: set[int], as_set: bool
 ) -> DataFrame:
     """Texts are searched where they are read; nothing is shuffled, so minimizers would not pay."""
-    anchors = F.broadcast(_phrase_anchors(phrases, scope, minimizers=False))
-    rows = _explode(_offered(texts, text, {c or GRAM for c in classes}))
+    anchors = _phrase_anchors(phrases, scope, minimizers=False)
+    if as_set:
+        offered = _near_anchors(texts, anchors, scope, text, classes, True)
+    else:
+        offered = _offered(texts, text, {c or GRAM for c in classes})
+        offered = offered.withColumn("_offered", F.array_distinct("_offered"))
     inside = F.contains(F.col(text), F.col("phrase"))
-    return rows.join(anchors, [*scope, "_anchor"]).filter(inside).select(*scope, name, "phrase")
+    hits = _explode(offered).join(F.broadcast(anchors), [*scope, "_anchor"])
+    return hits.filter(inside).select(*scope, name, "phrase")
 
 
 def _by_shuffle(
@@ -134,10 +149,7 @@ def _by_shuffle(
     anchors = _phrase_anchors(phrases, scope, minimizers=not as_set)
     keyed = texts.withColumn("_text", F.xxhash64(text))
     if as_set:
-        sets = anchors.groupBy(*scope).agg(F.collect_set("_anchor").alias("_set"))
-        near = keyed.join(F.broadcast(sets) if small else sets, scope)
-        offered = _offered(near, text, {c or GRAM for c in classes})
-        offered = offered.select(*scope, name, "_text", F.array_intersect("_offered", "_set").alias("_offered"))
+        offered = _near_anchors(keyed, anchors, scope, text, classes, small).select(*scope, name, "_text", "_offered")
     else:
         offered = _offered(keyed, text, classes).select(*scope, name, "_text", "_offered")
     candidates = _explode(offered).join(anchors, [*scope, "_anchor"]).select(*scope, name, "_text", "phrase").distinct()
@@ -180,7 +192,7 @@ def find_phrases(
         if size["_way"] == "list":
             hits = _by_list(texts, part, scope, text, name, small)
         elif small:
-            hits = _by_broadcast(texts, part, scope, text, name, classes)
+            hits = _by_broadcast(texts, part, scope, text, name, classes, size["_way"] == "set")
         else:
             hits = _by_shuffle(
                 texts, part, scope, text, name, classes, size["_way"] == "set", size["n"] <= BROADCAST_HASHES

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from themeloom.functions import fixed, text
-from themeloom.session import shared_folder, spread
+from themeloom.session import materialise, shared_folder, spread
 
 BATCH = 50
 N_BATCHES = 5
@@ -159,7 +159,7 @@ def word_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
 def decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Decisions by frequency: rare codes are merged (and their group renamed later), three quotes
     delete, four split, five rename a code and bring it back."""
-    n = codings(spark, sf_dir).groupBy("app", "code").agg(F.count(F.lit(1)).alias("n"))
+    n = materialise(codings(spark, sf_dir).groupBy("app", "code").agg(F.count(F.lit(1)).alias("n")))
     star = F.concat(F.substring("code", 1, 1), F.lit("*"))
 
     def made(rows: DataFrame, batch: int, kind: str, source: Column, targets: list[Column]) -> DataFrame:
