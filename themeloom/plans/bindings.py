@@ -6,9 +6,10 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from themeloom.functions import fixed, text
-from themeloom.session import materialise, shared_folder, spread
+from themeloom.session import has_few_splits, materialise, shared_folder, spread
 
 BATCH = 50
 N_BATCHES = 5
@@ -18,12 +19,23 @@ PROMPT_BUDGET = 100_000
 APP = "src"  # all documents have sources src0, src1, ...; as one app they are its hot group
 
 
+_SCHEMAS: dict[str, StructType] = {}
+_FEW_SPLITS: dict[tuple[str, int], bool] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table; its schema is inferred once, as inference is a job of its own."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "documents"), "doc_id")
+    df, key = table(spark, sf_dir, "documents"), (sf_dir, spark.sparkContext.defaultParallelism)
+    if key not in _FEW_SPLITS:
+        _FEW_SPLITS[key] = has_few_splits(df)
+    return spread(df, "doc_id", _FEW_SPLITS[key])
 
 
 def scratch(spark: SparkSession) -> str:

@@ -65,8 +65,13 @@ def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if fits_broadcast(df, max_rows) else df
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
+def has_few_splits(df: DataFrame) -> bool:
+    return df.rdd.getNumPartitions() < df.sparkSession.sparkContext.defaultParallelism
+
+
+def spread(df: DataFrame, key: str, few_splits: bool | None = None) -> DataFrame:
     """Spread a table read from fewer splits than there are cores, such as one small file. Tables of
     many splits stay as they are, so no large table is shuffled for this."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+    if has_few_splits(df) if few_splits is None else few_splits:
+        return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key)
+    return df

@@ -170,10 +170,15 @@ def source_hashes(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def run_manifest(hashes: DataFrame, params: dict[str, object], version: str) -> DataFrame:
-    """One row: generation time, parameters, version and one hash over all sources in name order."""
+    """One row: generation time, parameters, version and one hash over all sources. Files are hashed
+    together in 256 groups first, so no row holds the list of all files."""
     flat = [F.lit(x) for k, v in sorted(params.items()) for x in (str(k), str(v))]
-    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("file", "sha256"))), lambda f: f["sha256"]), "")
-    return hashes.agg(F.sha2(joined, 256).alias("source_hash"), F.count(F.lit(1)).alias("n_sources")).select(
+
+    def over(*columns: str):
+        return F.sha2(F.concat_ws("", F.transform(F.array_sort(F.collect_list(F.struct(*columns))), lambda f: f[columns[-1]])), 256)
+
+    groups = hashes.groupBy(F.substring("sha256", 1, 2).alias("g")).agg(over("file", "sha256").alias("h"), F.count(F.lit(1)).alias("n"))
+    return groups.agg(over("g", "h").alias("source_hash"), F.sum("n").alias("n_sources")).select(
         F.current_timestamp().alias("generated_at"), F.create_map(*flat).alias("params"), "source_hash", "n_sources",
         F.lit(version).alias("script_version"),
     )
