@@ -28,7 +28,8 @@ WHITESPACE_CHARS = (
 CODING_FILE_PATTERN = r"^batch_(\d+)(?:_(.+))?\.csv$"
 ENTRY_PATTERN = r"^\[ID:(.*?)\] \[rating:(.*?)\] ?(.*)$"
 ENTRY_START = r"(?m)^\[ID:"
-THEME_LINE_PATTERN = r"^--- 主题：(.*?) ---$"
+THEME_MARK = "--- 主题："
+THEME_PATTERN = r"\A--- 主题：(.*?) ---"
 
 # Texts that mark a knowledge layer as still being the template.
 PLACEHOLDER_MARKERS = (
@@ -38,14 +39,6 @@ PLACEHOLDER_MARKERS = (
     "已处理批次**：无",
 )
 
-# Head of the unused-pool text and its body when nothing is left.
-UNUSED_HEADER = (
-    "# 未使用数据(仅供参考，非批次文件)\n"
-    "# 这里是当前剩余、尚未进入任何批次的评论。\n"
-    "# 每次运行 01_sampling_data.py 后本文件会被刷新。\n\n"
-)
-UNUSED_EMPTY = "(无剩余数据)\n"
-
 # Banners of an assembled prompt, and its closing instruction.
 PROMPT_RULE = "======================================="
 PROMPT_TITLES = (

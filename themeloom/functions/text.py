@@ -61,7 +61,8 @@ def is_placeholder(content) -> Column:
 
 def coding_file_name(path) -> Column:
     """The ``batch_...csv`` part of a path: a file, or a folder of parts named like one."""
-    return F.regexp_extract(F.url_decode(_col(path)), r"(?:^|[/=])(batch_[^/]*\.csv)(?:/[^/]*)?$", 1)
+    plain = F.url_decode(F.replace(_col(path), F.lit("+"), F.lit("%2B")))  # a path's plus is no blank
+    return F.regexp_extract(plain, r"(?:^|[/=])(batch_[^/]*\.csv)(?:/[^/]*)?$", 1)
 
 
 def file_batch_id(file_name) -> Column:

@@ -10,7 +10,7 @@ from themeloom.functions import fixed, text
 _LINE_END = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x{85}\x{2028}\x{2029}]"
 _CSV_ROW = "code string, quote string, _corrupt_record string"
 # A theme line starts a block; the look-ahead keeps the line in its block.
-_BLOCK_START = r"(?m)^(?=--- 主题：)"
+_BLOCK_START = f"(?m)^(?={fixed.THEME_MARK})"
 
 
 def file_lines(files: DataFrame, keep: tuple[str, ...] = ("app", "src_file")) -> DataFrame:
@@ -90,8 +90,8 @@ def answer_blocks(answers: DataFrame) -> DataFrame:
     """Theme blocks of raw answers ``app, response_id, batch_id, text``; text before the first theme
     line is left out."""
     blocks = answers.select("app", "response_id", "batch_id", F.posexplode(F.split("text", _BLOCK_START)).alias("block", "content"))
-    theme = F.regexp_extract("content", r"\A--- 主题：(.*?) ---", 1)
-    return blocks.withColumn("theme", text.strip_blank(theme)).filter(F.col("content").startswith("--- 主题："))
+    theme = F.regexp_extract("content", fixed.THEME_PATTERN, 1)
+    return blocks.withColumn("theme", text.strip_blank(theme)).filter(F.col("content").startswith(fixed.THEME_MARK))
 
 
 def parse_answers(answers: DataFrame) -> DataFrame:

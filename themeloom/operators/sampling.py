@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from themeloom import schemas
 from themeloom.functions import text
 from themeloom.operators.numbering import hash_slot, number_rows
-from themeloom.session import BROADCAST_ROWS, fits_broadcast, materialise, small_side
+from themeloom.session import fits_broadcast, materialise, small_side
 
 
 def require_positive(name: str, value: int) -> None:
@@ -291,10 +291,3 @@ def gold_set(batches: DataFrame, size: int = 15, seed: int = 42) -> DataFrame:
         first.withColumn("gold_rank", F.row_number().over(w)).filter(F.col("gold_rank") <= size)
         .select("app", "name", "rating", "review_norm", F.col("gold_rank").cast("long").alias("gold_rank"))
     )
-
-
-__all__ = [
-    "BROADCAST_ROWS", "SamplingRun", "assign_batches", "draw_sample", "exclude_logged", "filter_length", "gold_set",
-    "hash_key", "rating_distribution", "require_positive", "run_sampling", "run_summary", "simple_sample",
-    "stratified_pick", "stratum_quotas", "unused_reviews",
-]

@@ -352,6 +352,7 @@ _add("p3_prompt_log", RUN, TEXTS, LAYERS, PROMPTS, select="SELECT app, stage, ba
 _add("p4_missing_layers", LAYERS, select="""SELECT app, stage, CAST(layer AS INTEGER) AS layer FROM (SELECT DISTINCT lang AS app FROM documents),
   (VALUES ('inductive'), ('deductive')) s(stage), (VALUES (1), (2), (3), (4)) l(layer)
   EXCEPT SELECT app, stage, layer FROM layers""")
+_add("p4_missing_batches", WITH_CODED, FLAGS, select="SELECT app, batch_id + 1 AS batch_id FROM coded EXCEPT SELECT app, batch_id FROM flags")
 _add("p5_prompt_sizes", RUN, TEXTS, LAYERS, PROMPTS, "sizes AS (SELECT app, batch_id, sum(length(entry)) AS chars FROM batches GROUP BY app, batch_id)",
      select=f"""SELECT p.app, stage, p.batch_id, length(prompt) AS n_chars, n_entries, length(prompt) > {PROMPT_BUDGET} AS over_budget,
   CAST(floor(CAST({PROMPT_BUDGET} AS DOUBLE) * n_entries / chars) AS BIGINT) AS suggested_batch_size FROM prompts p JOIN sizes z ON z.app = p.app AND z.batch_id = p.batch_id""")

@@ -589,6 +589,12 @@ def _(spark, d):
     return pr.missing_layers(b.reviews(spark, d), b.layers(spark, d))
 
 
+@query("p4_missing_batches")
+def _(spark, d):
+    wanted = b.coded_reviews(spark, d).select("app", (F.col("batch_id") + 1).alias("batch_id")).distinct()
+    return pr.missing_batches(wanted, b.scope_flags(spark, d))
+
+
 @query("p5_prompt_sizes")
 def _(spark, d):
     prompts, batches = _prompts(spark, d)
