@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from llm import bpe
+from llm import bpe, language, repetition
 from llm.tables import table
 
 
@@ -13,8 +13,18 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.held_out_languages(table(spark, sf_dir, "documents"))
+
+
+def op7_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repetition.repetition_rules(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op4_bpe": op4_bpe,
+    "op6_language": op6_language,
+    "op7_repetition": op7_repetition,
 }
 
 ORACLE: dict[str, str] = {}
