@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from llm import bpe, language, repetition
+from llm import bpe, language, minhash, repetition
 from llm.tables import table
 
 
@@ -21,10 +21,15 @@ def op7_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.repetition_rules(table(spark, sf_dir, "documents"))
 
 
+def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, part=80, whole=100)
+
+
 QUERIES = {
     "op4_bpe": op4_bpe,
     "op6_language": op6_language,
     "op7_repetition": op7_repetition,
+    "op9_minhash": op9_minhash,
 }
 
 ORACLE: dict[str, str] = {}
