@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from llm import bpe, language, minhash, passages, repetition
+from llm import bpe, language, minhash, passages, repetition, vectors
 from llm.tables import table
 
 
@@ -13,6 +13,10 @@ def op1_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.digests(table(spark, sf_dir, "documents"))
 
 
+def op2_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_vectors(table(spark, sf_dir, "embeddings"), cosine=0.9)
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -31,6 +35,7 @@ def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_passages": op1_passages,
+    "op2_vectors": op2_vectors,
     "op4_bpe": op4_bpe,
     "op6_language": op6_language,
     "op7_repetition": op7_repetition,
