@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from llm import bpe, language, minhash, passages, repetition, vectors
+from llm import bpe, language, licenses, minhash, mixing, passages, repetition, vectors
 from llm.tables import table
 
 
@@ -21,6 +21,10 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.held_out_languages(table(spark, sf_dir, "documents"))
 
@@ -29,6 +33,10 @@ def op7_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.repetition_rules(table(spark, sf_dir, "documents"))
 
 
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed(table(spark, sf_dir, "documents"))
+
+
 def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, part=80, whole=100)
 
@@ -37,8 +45,10 @@ QUERIES = {
     "op1_passages": op1_passages,
     "op2_vectors": op2_vectors,
     "op4_bpe": op4_bpe,
+    "op5_licenses": op5_licenses,
     "op6_language": op6_language,
     "op7_repetition": op7_repetition,
+    "op8_mixing": op8_mixing,
     "op9_minhash": op9_minhash,
 }
 
