@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from llm import bpe, language, licenses, minhash, mixing, passages, repetition, vectors
+from llm import bpe, language, licenses, lines, minhash, mixing, passages, repetition, vectors
 from llm.tables import table
 
 
@@ -41,6 +41,10 @@ def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, part=80, whole=100)
 
 
+def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.digests(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_passages": op1_passages,
     "op2_vectors": op2_vectors,
@@ -50,6 +54,7 @@ QUERIES = {
     "op7_repetition": op7_repetition,
     "op8_mixing": op8_mixing,
     "op9_minhash": op9_minhash,
+    "op10_lines": op10_lines,
 }
 
 ORACLE: dict[str, str] = {}
