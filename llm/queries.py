@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from llm import bpe, language, licenses, lines, minhash, mixing, passages, repetition, vectors
+from llm import bpe, language, licenses, lines, minhash, mixing, passages, pseudo_likelihood, repetition, vectors
 from llm.tables import table
 
 
@@ -17,6 +17,10 @@ def op2_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_vectors(table(spark, sf_dir, "embeddings"), cosine=0.9)
 
 
+def op3_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudo_likelihood.score_corpus(table(spark, sf_dir, "documents"))
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -48,6 +52,7 @@ def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_passages": op1_passages,
     "op2_vectors": op2_vectors,
+    "op3_pseudo_likelihood": op3_pseudo_likelihood,
     "op4_bpe": op4_bpe,
     "op5_licenses": op5_licenses,
     "op6_language": op6_language,
