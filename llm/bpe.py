@@ -85,6 +85,7 @@ class Vocabulary:
         pairs = np.array([a * size + b for a, b in self.merges], np.int64)
         order = np.argsort(pairs)
         self.pairs, self.pair_rank = pairs[order], np.array([r for r, _ in self.merges.values()], np.int32)[order]
+        self.made = np.array([t for _, t in self.merges.values()], np.int32)
         self.size = size
         self._tree(ids, to_byte)
         self._sound()
@@ -152,30 +153,46 @@ class Vocabulary:
             open_ = open_[~clash & ((rx >= 0) | (ry >= 0))]
         return good
 
-    def merge(self, word: bytes) -> list[int]:
-        """Exact merging: the pair of lowest rank first, from left to right."""
-        parts = [*self.base[list(word[:-1])].tolist(), int(self.base[word[-1] + 256])]
-        while len(parts) > 1:
-            best = min((self.merges.get(p, (NEVER, -1)) for p in zip(parts, parts[1:], strict=False)), default=(NEVER, -1))
-            if best[0] == NEVER:
-                break
-            a, b, k, out = self.left[best[1]], self.right[best[1]], 0, []
-            while k < len(parts):
-                if k + 1 < len(parts) and parts[k] == a and parts[k + 1] == b:
-                    out.append(best[1])
-                    k += 2
-                else:
-                    out.append(parts[k])
-                    k += 1
-            parts = out
-        return parts
+    def merge(self, words: list[bytes]) -> list[list[int]]:
+        """Exact merging of all words side by side: in each word the pair of lowest rank, wherever it stands."""
+        lengths = np.array([len(w) for w in words])
+        token, owner = self.base[self.symbols(words, lengths)], np.repeat(np.arange(len(words)), lengths)
+        done: list[tuple[np.ndarray, np.ndarray]] = []
+        while len(token):
+            rank = np.full(len(token), NEVER, np.int32)
+            side = np.flatnonzero(owner[1:] == owner[:-1])
+            rank[side] = self.ranks_of(token[side], token[side + 1])
+            begins = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
+            size = np.diff(begins, append=len(token))
+            least = np.repeat(np.minimum.reduceat(rank, begins), size)
+            over = least == NEVER
+            done.append((token[over], owner[over]))
+            hit = (rank == least) & ~over
+            # of overlapping pairs, as in "aaa", every other one from the left
+            place = np.arange(len(token))
+            run = place - np.maximum.accumulate(np.where(hit, -1, place)) - 1
+            hit &= run % 2 == 0
+            token = np.where(hit, self.made[np.where(hit, rank, 0)], token)
+            stay = ~over
+            stay[1:] &= ~hit[:-1]
+            token, owner = token[stay], owner[stay]
+        token, owner = (np.concatenate(x) for x in zip(*done, strict=True))
+        order = np.argsort(owner, kind="stable")
+        cuts = np.searchsorted(owner[order], np.arange(len(words) + 1)).tolist()
+        ids = token[order].tolist()
+        return [ids[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+
+    @staticmethod
+    def symbols(words: list[bytes], lengths: np.ndarray) -> np.ndarray:
+        out = np.frombuffer(b"".join(words), np.uint8).astype(np.int64)
+        out[np.cumsum(lengths) - 1] += 256
+        return out
 
     def propose(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Greedy longest matches of all words at once: tokens, and the word of each, in order."""
         lengths = np.array([len(w) for w in words])
         stop = np.cumsum(lengths)
-        symbols = np.frombuffer(b"".join(words), np.uint8).astype(np.int64)
-        symbols[stop - 1] += 256
+        symbols = self.symbols(words, lengths)
         begin, word = stop - lengths, np.arange(len(words))
         tokens, owners, turns = [], [], []
         turn = 0
@@ -214,7 +231,12 @@ class Vocabulary:
         bad[owner[side[~fits[back]]]] = True
         cuts = np.searchsorted(owner, np.arange(len(words) + 1)).tolist()
         ids = token.tolist()
-        return [self.merge(w) if bad[k] else ids[cuts[k] : cuts[k + 1]] for k, w in enumerate(words)]
+        out = [ids[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        failed = np.flatnonzero(bad).tolist()
+        if failed:
+            for k, exact in zip(failed, self.merge([words[k] for k in failed]), strict=True):
+                out[k] = exact
+        return out
 
 
 @lru_cache(maxsize=2)

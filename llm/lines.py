@@ -7,8 +7,9 @@ A line of a text that equals an earlier line is removed, and so is a line of ``L
 1. Distinct lines come from a 128-bit hash; each keeps its first place and the hashes of its segments, never its text.
 2. A line of length l is cut into EDITS + 1 segments. Of two lines within EDITS edits, one has a segment that the other holds
    as a substring, near the same place. The longer line probes for the segments that a line 0, 1 or 2 characters shorter would
-   have, at the places that the edits before and after a segment allow. Segments and probes meet in an equi-join.
-3. The join keeps a pair only if the lengths fit and the counts of twelve letters differ by no more than 2 * EDITS in total
+   have, at the places that the edits before and after a segment allow. Segments and probes meet in semi-joins, which leave
+   the lines that share a segment with any other line; only these are looked at again, with their texts.
+3. Among them segments and probes are joined to pairs. The join keeps a pair only if the lengths fit and the counts of twelve letters differ by no more than 2 * EDITS in total
    (an edit moves two counts by one at most), so neither drops a pair within EDITS edits.
 4. Pairs are verified on their texts by a banded bit-parallel automaton: for each number of edits the reachable diagonals of
    the band are the bits of a mask, moved on by one character of the first line at a time.
@@ -22,6 +23,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from llm.tables import stored
+
 EDITS, LEAST = 2, 30
 PARTS = EDITS + 1
 #: Letters whose counts are compared.
@@ -35,7 +38,10 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    return docs.select(*ROW, F.posexplode(F.split("text", "\n")).alias("no", "raw")).select(*ROW, "no", F.trim("raw", F.lit(SPACE)).alias("line")).filter("line <> ''")
+    """Lines with a word, without outer white space; trimmed within the array, so that each line is trimmed once."""
+    trimmed = F.transform(F.split("text", "\n"), lambda x: F.trim(x, F.lit(SPACE)))
+    lines = docs.select(*ROW, F.posexplode(trimmed).alias("no", "line")).filter("line <> ''")
+    return lines.withColumn("h1", F.xxhash64("line")).withColumn("h2", F.xxhash64(F.lit(7), "line"))
 
 
 def _cuts(length: Column) -> list[tuple[Column, Column]]:
@@ -70,10 +76,9 @@ def _probes() -> Column:
 
 def _letters() -> Column:
     """Counts of the letters modulo 32, five bits each."""
-    lower = F.lower("line")
     bits = F.lit(0).cast("long")
     for k, letter in enumerate(LETTERS):
-        count = (F.col("n") - F.length(F.replace(lower, F.lit(letter), F.lit("")))).bitwiseAND(F.lit(31)).cast("long")
+        count = (F.octet_length("line") - F.octet_length(F.replace(F.col("line"), F.lit(letter), F.lit("")))).bitwiseAND(F.lit(31)).cast("long")
         bits = bits.bitwiseOR(F.shiftleft(count, 5 * k))
     return bits
 
@@ -132,36 +137,49 @@ def _within(x: Column, y: Column) -> Column:
     return F.call_function("shiftright", state[names[-1]], F.size(y) - F.size(x) + EDITS).bitwiseAND(F.lit(1)) == 1
 
 
+def _close(n: str, m: str) -> Column:
+    return (F.col(m) - F.col(n)).between(0, EDITS)
+
+
+def _edited(docs: DataFrame, distinct: DataFrame) -> DataFrame:
+    """``first`` places of distinct lines that are within EDITS edits of an earlier line."""
+    base = distinct.filter("n is not null")
+    held = base.select(F.explode("segments").alias("key"), F.col("h1").alias("ah"), F.col("n").alias("an"))
+    asked = base.select(F.explode("probes").alias("key"), F.col("h1").alias("bh"), F.col("n").alias("bn"))
+    # lines that share a segment with another line at all; few do, and nothing is paired yet
+    meets = (held.key == asked.key) & (F.col("ah") != F.col("bh")) & _close("an", "bn")
+    met = asked.join(held, meets, "left_semi").select(F.col("bh").alias("h1")).union(held.join(asked, meets, "left_semi").select("ah")).distinct()
+    places = base.select("h1", "first").join(met, "h1", "left_semi")
+    needed = places.groupBy(*[F.col(f"first.{c}").alias(c) for c in ROW]).agg(F.collect_list("first.no").alias("nos"))
+    texts = docs.select(*ROW, "text").join(needed, ROW).select(*ROW, F.explode("nos").alias("no"), F.split("text", "\n").alias("all"))
+    texts = texts.select(F.struct(*ROW, "no").alias("first"), F.trim(F.get("all", F.col("no")), F.lit(SPACE)).alias("line"))
+    texts = stored(texts.distinct().withColumn("n", F.length("line")).withColumn("letters", _letters()))
+
+    held = texts.select(F.explode(_segments()).alias("key"), F.col("first").alias("a"), F.col("n").alias("an"), F.col("letters").alias("al"))
+    asked = texts.select(F.explode(_probes()).alias("key"), F.col("first").alias("b"), F.col("n").alias("bn"), F.col("letters").alias("bl"))
+    # of two lines of one length either finds the other
+    once = (F.col("bn") > F.col("an")) | (F.col("a") < F.col("b"))
+    like = _apart(F.col("al"), F.col("bl")) <= 2 * EDITS
+    pairs = held.join(asked, (held.key == asked.key) & _close("an", "bn") & once & like).select("a", "b").distinct()
+    both = pairs.join(texts.select(F.col("first").alias("a"), F.col("line").alias("a_line")), "a").join(
+        texts.select(F.col("first").alias("b"), F.col("line").alias("b_line")), "b"
+    )
+    return both.filter(within(F.col("a_line"), F.col("b_line"))).select(F.greatest("a", "b").alias("first")).distinct()
+
+
 def repeated_lines(docs: DataFrame) -> DataFrame:
     """Places (``_id``, ``_tail``, ``no``) of the lines that go."""
-    lines = _lines(docs).withColumn("h1", F.xxhash64("line")).withColumn("h2", F.xxhash64(F.lit(7), "line"))
-    sized = lines.withColumn("n", F.length("line"))
+    lines = _lines(docs)
     long = F.col("n") >= LEAST
-    marked = sized.select(
-        "h1", "h2", F.struct(*ROW, "no").alias("place"), F.when(long, F.col("n")).alias("n"), F.when(long, _letters()).alias("letters"),
+    marked = lines.withColumn("n", F.length("line")).select(
+        "h1", "h2", F.struct(*ROW, "no").alias("place"), F.when(long, F.col("n")).alias("n"),
         F.when(long, _segments()).alias("segments"), F.when(long, _probes()).alias("probes"),
     )
     distinct = marked.groupBy("h1", "h2").agg(
-        F.min("place").alias("first"), F.count("*").alias("times"), F.first("n").alias("n"), F.first("letters").alias("letters"),
-        F.first("segments").alias("segments"), F.first("probes").alias("probes"),
-    )
-    base = distinct.filter("n is not null")
-    held = base.select(F.explode("segments").alias("key"), F.col("first").alias("a"), F.col("n").alias("an"), F.col("letters").alias("ap"))
-    asked = base.select(F.explode("probes").alias("key"), F.col("first").alias("b"), F.col("n").alias("bn"), F.col("letters").alias("bp"))
-    close = (F.col("bn") - F.col("an")).between(0, EDITS) & (_apart(F.col("ap"), F.col("bp")) <= 2 * EDITS)
-    # of two lines of one length either finds the other
-    ordered = (F.col("bn") > F.col("an")) | (F.col("a") < F.col("b"))
-    pairs = held.join(asked, (held.key == asked.key) & close & ordered).select("a", "b").distinct()
-
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("place")).distinct()
-    needed = needed.groupBy(*[F.col(f"place.{c}").alias(c) for c in ROW]).agg(F.collect_list("place.no").alias("nos"))
-    texts = docs.select(*ROW, "text").join(needed, ROW).select(*ROW, F.explode("nos").alias("no"), F.split("text", "\n").alias("all"))
-    texts = texts.select(F.struct(*ROW, "no").alias("place"), F.trim(F.get("all", F.col("no")), F.lit(SPACE)).alias("line"))
-    both = pairs.join(texts.select(F.col("place").alias("a"), F.col("line").alias("a_line")), "a").join(
-        texts.select(F.col("place").alias("b"), F.col("line").alias("b_line")), "b"
+        F.min("place").alias("first"), F.count("*").alias("times"), F.first("n").alias("n"), F.first("segments").alias("segments"), F.first("probes").alias("probes")
     )
-    near = both.filter(within(F.col("a_line"), F.col("b_line"))).select(F.greatest("a", "b").alias("first"), F.lit(True).alias("near")).distinct()
-
+    distinct = stored(distinct)
+    near = _edited(docs, distinct).withColumn("near", F.lit(True))
     verdict = distinct.select("h1", "h2", "first", "times").join(near, "first", "left").filter("times > 1 or near").select("h1", "h2", "first", "near")
     gone = lines.select("h1", "h2", F.struct(*ROW, "no").alias("place")).join(verdict, ["h1", "h2"]).filter("near or place <> first")
     return gone.select("place.*")
