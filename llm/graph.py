@@ -10,18 +10,26 @@ from llm.tables import stored
 MAX_ROUNDS = 60
 
 
+def _least(edges: DataFrame) -> DataFrame:
+    """Smallest neighbour ``m`` of each node; ``k`` names the node by another key, so that a join with it is dealt out anew and
+    the many edges of one node can be split among tasks."""
+    return edges.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").bitwiseXOR(F.lit(1)).alias("k"), F.least("a", "m").alias("m"))
+
+
+def _own(edges: DataFrame) -> DataFrame:
+    return edges.withColumn("k", F.col("a").bitwiseXOR(F.lit(1)))
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     """Each larger neighbour of a node goes to the smallest of the node and its neighbours."""
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-    return both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    return _own(both.filter("b > a")).join(_least(both), "k").select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """A node and its smaller neighbours go to the smallest of them."""
-    least = edges.groupBy("a").agg(F.min("b").alias("m"))
-    moved = edges.join(least, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    return moved.union(least.select("a", F.col("m").alias("b"))).distinct()
+    moved = _own(edges).join(_least(edges), "k").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    return moved.union(edges.groupBy("a").agg(F.min("b").alias("b"))).distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -147,8 +147,10 @@ def _edited(docs: DataFrame, distinct: DataFrame) -> DataFrame:
     held = base.select(F.explode("segments").alias("key"), F.col("h1").alias("ah"), F.col("n").alias("an"))
     asked = base.select(F.explode("probes").alias("key"), F.col("h1").alias("bh"), F.col("n").alias("bn"))
     # lines that share a segment with another line at all; few do, and nothing is paired yet
-    meets = (held.key == asked.key) & (F.col("ah") != F.col("bh")) & _close("an", "bn")
-    met = asked.join(held, meets, "left_semi").select(F.col("bh").alias("h1")).union(held.join(asked, meets, "left_semi").select("ah")).distinct()
+    meets = (F.col("key") == F.col("k")) & (F.col("ah") != F.col("bh")) & _close("an", "bn")
+    longer = stored(asked.join(held.withColumnRenamed("key", "k"), meets, "left_semi"))
+    shorter = held.join(longer.withColumnRenamed("key", "k"), meets, "left_semi")
+    met = longer.select(F.col("bh").alias("h1")).union(shorter.select("ah")).distinct()
     places = base.select("h1", "first").join(met, "h1", "left_semi")
     needed = places.groupBy(*[F.col(f"first.{c}").alias(c) for c in ROW]).agg(F.collect_list("first.no").alias("nos"))
     texts = docs.select(*ROW, "text").join(needed, ROW).select(*ROW, F.explode("nos").alias("no"), F.split("text", "\n").alias("all"))

@@ -180,8 +180,9 @@ def cut_passages(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, n_removed and kept_text (the other words, joined by a space) of every document."""
     docs = docs.select("doc_id", "text", F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)).alias("id"), F.hash("text").alias("tail"))
     found = docs.select("text", *ROW).mapInArrow(_regions, "anchor bigint, region bigint, id bigint, tail int, first int, n int")
-    again = found.groupBy("anchor").agg(F.count("*").alias("times")).filter("times > 1").select("anchor")
-    hits = stored(found.join(again, "anchor", "left_semi"))
+    # another key than the anchor itself, so that the join is dealt out anew and a frequent anchor can be split among tasks
+    again = found.groupBy("anchor").agg(F.count("*").alias("times")).filter("times > 1").select(F.col("anchor").bitwiseXOR(F.lit(1)).alias("k"))
+    hits = stored(found.withColumn("k", F.col("anchor").bitwiseXOR(F.lit(1))).join(again, "k", "left_semi").drop("k"))
 
     # one row of each distinct region, with a place where it can be read
     region = hits.groupBy("anchor", "region").agg(F.count("*").alias("times"), F.min(F.struct(*ROW, "first", "n")).alias("at"))
@@ -193,8 +194,8 @@ def cut_passages(docs: DataFrame) -> DataFrame:
     )
     texts = docs.join(listed, ROW).select("text", "listed")
     windows = stored(texts.mapInArrow(_windows, "window bigint, anchor bigint, region bigint, place int, times bigint"))
-    twice = windows.groupBy("window").agg(F.sum("times").alias("times")).filter("times > 1").select("window")
-    single = windows.filter("times = 1").join(twice, "window", "left_semi").groupBy("anchor", "region").agg(
+    twice = windows.groupBy("window").agg(F.sum("times").alias("times")).filter("times > 1").select(F.col("window").bitwiseXOR(F.lit(1)).alias("k"))
+    single = windows.filter("times = 1").withColumn("k", F.col("window").bitwiseXOR(F.lit(1))).join(twice, "k", "left_semi").groupBy("anchor", "region").agg(
         F.bit_or(F.expr("shiftleft(1L, place)")).alias("mask")
     )
     masks = region.filter("times > 1").select("anchor", "region", F.expr("shiftleft(1L, n) - 1").alias("mask")).union(single)
