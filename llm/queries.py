@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from llm import bpe, language, licenses, lines, minhash, mixing, passages, pseudo_likelihood, repetition, vectors
+from llm.oracle import ORACLE
 from llm.tables import table
 
 
@@ -62,4 +63,4 @@ QUERIES = {
     "op10_lines": op10_lines,
 }
 
-ORACLE: dict[str, str] = {}
+__all__ = ["ORACLE", "QUERIES"]
