@@ -44,34 +44,42 @@ def _lines(docs: DataFrame) -> DataFrame:
     return lines.withColumn("h1", F.xxhash64("line")).withColumn("h2", F.xxhash64(F.lit(7), "line"))
 
 
-def _cuts(length: Column) -> list[tuple[Column, Column]]:
-    """Start (from 0) and length of the segments of a line of ``length`` characters; the last ones are the longer ones."""
-    q, r = F.floor(length / PARTS).cast("int"), (length % PARTS).cast("int")
-    out, start = [], F.lit(0)
+def _cuts(rest: int, shorter: int) -> list[tuple[int, int]]:
+    """Segments of a line of PARTS * q + ``rest`` - ``shorter`` characters: segment k begins at k * q + the first number and
+    has q + the second one characters. The last segments are the longer ones."""
+    q, r = divmod(rest - shorter, PARTS)
+    out, start = [], 0
     for k in range(PARTS):
-        size = q + F.when(r >= PARTS - k, 1).otherwise(0)
+        size = q + (r >= PARTS - k)
         out.append((start, size))
-        start = start + size
+        start += size
     return out
 
 
-def _segment(k: int, start: Column, size: Column) -> Column:
-    return F.xxhash64(F.lit(k), F.col("line").substr(start + 1, size))
+def _hashes(places: list[set[tuple[int, int, int]]]) -> Column:
+    """For each remainder of the length by PARTS, hashes of the substrings at (segment, start, size) as in ``_cuts``."""
+    q = F.floor(F.col("n") / PARTS).cast("int")
+    out = None
+    for rest, found in enumerate(places):
+        keys = F.array(*[F.xxhash64(F.lit(k), F.col("line").substr(q * k + (start + 1), q + size)) for k, start, size in sorted(found)])
+        out = F.when(F.col("n") % PARTS == rest, keys) if out is None else out.when(F.col("n") % PARTS == rest, keys)
+    return out
 
 
 def _segments() -> Column:
-    return F.array(*[_segment(k, a, n) for k, (a, n) in enumerate(_cuts(F.col("n")))])
+    return _hashes([{(k, *cut) for k, cut in enumerate(_cuts(rest, 0))} for rest in range(PARTS)])
 
 
 def _probes() -> Column:
-    """Hashes of the substrings at which a line up to EDITS characters shorter can have one of its segments."""
-    keys = []
-    for shorter in range(EDITS + 1):
-        for k, (start, size) in enumerate(_cuts(F.col("n") - shorter)):
-            # edits left of the segment move it by k at most, those right of it by PARTS - 1 - k at most
-            low, high = max(-k, shorter - (PARTS - 1 - k)), min(k, shorter + (PARTS - 1 - k))
-            keys += [_segment(k, start + move, size) for move in range(low, high + 1)]
-    return F.array_distinct(F.array(*keys))
+    """The substrings at which a line up to EDITS characters shorter can have one of its segments."""
+    places: list[set[tuple[int, int, int]]] = [set() for _ in range(PARTS)]
+    for rest in range(PARTS):
+        for shorter in range(EDITS + 1):
+            for k, (start, size) in enumerate(_cuts(rest, shorter)):
+                # edits left of the segment move it by k at most, those right of it by PARTS - 1 - k at most
+                low, high = max(-k, shorter - (PARTS - 1 - k)), min(k, shorter + (PARTS - 1 - k))
+                places[rest] |= {(k, start + move, size) for move in range(low, high + 1)}
+    return _hashes(places)
 
 
 def _letters() -> Column:
