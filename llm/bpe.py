@@ -46,7 +46,7 @@ LATE_PIECES = regex.compile(
     rf"'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}--[{_late}]]+|[\p{{N}}--[{_late}]]|(?:[^{WHITE_SPACE}\p{{L}}\p{{N}}]|[{_late}])+", regex.V1
 )
 #: Words a task remembers before it starts anew; bounds memory only.
-REMEMBERED = 200_000
+REMEMBERED = 60_000
 WORD_END = "</w>"
 NEVER = np.iinfo(np.int32).max
 

@@ -24,7 +24,7 @@ from llm.words import steps
 #: Bounds of the labelled sample: documents a language, length of such a document, symbols of text a language.
 SAMPLE_DOCS = 200
 SAMPLE_LENGTH = 20_000
-SAMPLE_SYMBOLS = 40_000
+SAMPLE_SYMBOLS = 25_000
 LETTERS = 61  # distinct letters told apart; with space, other letters and padding 64
 SPACE, OTHER, PAD, WIDTH = 0, 62, 63, 64
 PIECE = 512
@@ -47,51 +47,48 @@ def letter_runs(points: np.ndarray) -> np.ndarray:
 
 
 def suffix_automaton(symbols: list[int]) -> np.ndarray:
-    """Transitions [state, symbol] of the smallest automaton that reads all substrings; -1: none. State 0 begins."""
-    rows: list[dict[int, int]] = [{}]
+    """Transitions [state, symbol] of the smallest automaton that reads all substrings; -1: none. State 0 begins.
+
+    The table is filled in place: an automaton of n symbols has fewer than 2 * n + 2 states.
+    """
+    table = np.full((2 * len(symbols) + 2, WIDTH), -1, np.int32)
     link, depth = [-1], [0]
     last = 0
     for s in symbols:
-        new = len(rows)
-        rows.append({})
+        column = table[:, s]
+        new = len(link)
         link.append(0)
         depth.append(depth[last] + 1)
         at = last
-        while at >= 0 and s not in rows[at]:
-            rows[at][s] = new
+        while at >= 0 and column[at] < 0:
+            column[at] = new
             at = link[at]
         if at >= 0:
-            onto = rows[at][s]
+            onto = int(column[at])
             if depth[onto] != depth[at] + 1:
-                twin = len(rows)
-                rows.append(dict(rows[onto]))
+                twin = len(link)
+                table[twin] = table[onto]
                 link.append(link[onto])
                 depth.append(depth[at] + 1)
                 link[onto] = twin
-                while at >= 0 and rows[at].get(s) == onto:
-                    rows[at][s] = twin
+                while at >= 0 and column[at] == onto:
+                    column[at] = twin
                     at = link[at]
                 onto = twin
             link[new] = onto
         last = new
-    table = np.full((len(rows), WIDTH), -1, np.int32)
-    for state, row in enumerate(rows):
-        for s, to in row.items():
-            table[state, s] = to
-    return table
+    return table[: len(link)]
 
 
 def parser(symbols: list[int]) -> np.ndarray:
     """One entry for each state and symbol: next state times WIDTH times 4, plus the phrases that end (0 to 2)."""
     table = suffix_automaton(symbols)
-    start = np.maximum(table[0], 0)
+    start = np.maximum(table[0], 0) * (WIDTH * 4)
     lost = (table[0] < 0).astype(np.int32)  # a symbol that the text lacks is a phrase of its own
-    step = np.where(table >= 0, table, start) * (WIDTH * 4)
-    ended = np.ones_like(table)
-    ended[0] = 0
-    step += np.where(table >= 0, 0, ended + lost)
-    step[:, PAD] = np.arange(len(table)) * (WIDTH * 4)
-    return step.reshape(-1)
+    out = np.where(table >= 0, table * np.int32(WIDTH * 4), start + 1 + lost)
+    out[0] -= table[0] < 0
+    out[:, PAD] = np.arange(len(table)) * (WIDTH * 4)
+    return out.reshape(-1)
 
 
 class Model:

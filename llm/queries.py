@@ -7,11 +7,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 from llm import bpe, language, licenses, lines, minhash, mixing, passages, pseudo_likelihood, repetition, vectors
 from llm.oracle import ORACLE
-from llm.tables import table
+from llm.tables import small_batches, table
+
+
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    return table(spark, sf_dir, "documents")
 
 
 def op1_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return passages.digests(table(spark, sf_dir, "documents"))
+    return passages.digests(documents(spark, sf_dir))
 
 
 def op2_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,35 +24,35 @@ def op2_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pseudo_likelihood.score_corpus(table(spark, sf_dir, "documents"))
+    return pseudo_likelihood.score_corpus(documents(spark, sf_dir))
 
 
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return bpe.digests(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
 def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licenses.scan(table(spark, sf_dir, "documents"))
+    return licenses.scan(documents(spark, sf_dir))
 
 
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return language.held_out_languages(table(spark, sf_dir, "documents"))
+    return language.held_out_languages(documents(spark, sf_dir))
 
 
 def op7_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repetition.repetition_rules(table(spark, sf_dir, "documents"))
+    return repetition.repetition_rules(documents(spark, sf_dir))
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mixed(table(spark, sf_dir, "documents"))
+    return mixing.mixed(documents(spark, sf_dir))
 
 
 def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, part=80, whole=100)
+    return minhash.near_duplicates(documents(spark, sf_dir), shingle=4, part=80, whole=100)
 
 
 def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines.digests(table(spark, sf_dir, "documents"))
+    return lines.digests(documents(spark, sf_dir))
 
 
 QUERIES = {

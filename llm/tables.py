@@ -12,6 +12,17 @@ from pyspark.sql import DataFrame, SparkSession
 from themeloom.session import shared_folder
 
 
+#: Rows of a batch that tasks hand to Python. Texts are long, and a batch lies in the memory of both sides.
+BATCH_ROWS = 2000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lower the session's batch size to ``BATCH_ROWS``; for jobs over whole texts."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
