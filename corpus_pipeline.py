@@ -12,13 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from llm import bpe, language, lines, minhash, mixing
-from llm.tables import stored, table
+from llm.tables import small_batches, stored, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Predict the language; texts without a letter have none and go. A missing label is filled in, others stay."""
+    small_batches(spark)
     sample = language.labelled_sample(docs, F.lit(True))
     found = language.identify(docs.select(*COLUMNS), sample)
     kept = found.filter(F.col("lang_pred") != language.UNKNOWN) if sample else found.filter(F.col("text").rlike(r"\p{L}"))
@@ -34,6 +35,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of documents linked by five-word shingles (similarity 0.8 or more) the one of the smallest doc_id stays."""
+    small_batches(spark)
     gone = minhash.near_duplicates(docs, shingle=5, part=80, whole=100).filter("not kept").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
 
@@ -45,6 +47,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids (little-endian unsigned 32-bit integers), and the digest of what they decode to."""
+    small_batches(spark)
     path = public_tokenizers.path("word_bpe_49k.json")
     done = bpe.decode(bpe.encode(docs.select("doc_id", "lang", "source", "text"), path).drop("text"), path)
     return done.select("doc_id", "lang", "source", "n_tokens", "ids", F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
