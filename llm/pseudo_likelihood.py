@@ -34,6 +34,8 @@ SIDE = 2
 CONTEXTS = CODES ** (2 * SIDE)
 HIDDEN = 48
 PARTS, ROUNDS, EPOCHS, BATCH, RATE = 12, 5, 2, 2048, 5e-3
+#: A copy takes this many steps a round at least, going over few contexts more often.
+STEPS = 60
 #: Distinct windows that a task holds before it folds equal ones.
 HELD = 4_000_000
 
@@ -147,7 +149,8 @@ def train(net: Net, context: np.ndarray, counts: np.ndarray, seed: int) -> Net:
     net = {k: v.copy() for k, v in net.items()}
     mean, square = ({k: np.zeros_like(v) for k, v in net.items()} for _ in range(2))
     random, turn = np.random.Generator(np.random.PCG64(seed)), 0
-    for _ in range(EPOCHS):
+    batches = -(-len(context) // BATCH)
+    for _ in range(max(EPOCHS, -(-STEPS // batches))):
         order = random.permutation(len(context))
         for at in range(0, len(order), BATCH):
             pick = order[at : at + BATCH]
