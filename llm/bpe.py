@@ -318,7 +318,15 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     return encoded.mapInArrow(_decode(path), f"{fields}, decoded string")
 
 
+def round_trip(docs: DataFrame, path: str, column: str = "text") -> DataFrame:
+    """``docs`` with ``ids``, ``n_tokens`` and ``decoded``, in one pass: a task needs one Python worker and not two."""
+    docs = docs.drop("ids", "n_tokens", "decoded")
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    encoder, decoder = _encode(path, column), _decode(path)
+    return docs.mapInArrow(lambda batches: decoder(encoder(batches)), f"{fields}, ids binary, n_tokens bigint, decoded string")
+
+
 def digests(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, n_tokens and SHA-256 of the ids and of the decoded text."""
-    done = decode(encode(docs.select("doc_id", "text"), path).drop("text"), path)
+    done = round_trip(docs.select("doc_id", "text"), path)
     return done.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
