@@ -49,7 +49,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids (little-endian unsigned 32-bit integers), and the digest of what they decode to."""
     small_batches(spark)
     path = public_tokenizers.path("word_bpe_49k.json")
-    done = bpe.decode(bpe.encode(docs.select("doc_id", "lang", "source", "text"), path).drop("text"), path)
+    done = bpe.round_trip(docs.select("doc_id", "lang", "source", "text"), path)
     return done.select("doc_id", "lang", "source", "n_tokens", "ids", F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
