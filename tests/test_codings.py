@@ -45,10 +45,36 @@ def test_file_of_just_a_header(spark):
     assert _parse(spark, [HEADER]) == ([], [])
 
 
+def test_line_breaks_inside_quotes(spark):
+    good, bad = _parse(spark, [HEADER, 'x,"ab', 'cd"', 'y,"p ""q', '', 'r"" s"', "z,w"])
+    assert good == [(2, "x", "ab\ncd"), (4, "y", 'p "q\n\nr" s'), (7, "z", "w")] and bad == []
+
+
+def test_quotes_that_never_close(spark):
+    assert _parse(spark, [HEADER, 'z,"open, no end']) == ([], [(2, "open_quote")])
+    good, bad = _parse(spark, [HEADER, 'z,"open', 'y,"ok"', "x,plain"])
+    assert (good, bad) == ([(3, "y", "ok"), (4, "x", "plain")], [(2, "open_quote")])
+
+
+def test_files_that_name_no_batch(spark):
+    good, bad = cd.parse_files(_files(spark, ("batch_preview_t.csv", f"{HEADER}\nc,q"), ("batch_03_t.csv", f"{HEADER}\nc,q\n")))
+    assert [(r["batch_id"], r["line_no"]) for r in good.collect()] == [(3, 2)]
+    assert [(r["src_file"], r["reason"], r["line_no"]) for r in bad.collect()] == [("batch_preview_t.csv", "file_name", None)]
+
+
 def test_answers(spark):
     body = f"前言\n--- 主题：甲 ---\n\n{HEADER}\na,q1\n\n--- 主题：乙 ---\n{HEADER}\nb,\"q,2\"\nb,q3,x\n"
     df = spark.createDataFrame([("a", "r1", 0, body)], "app string, response_id string, batch_id long, text string")
-    assert sorted((r["theme"], r["code"], r["quote"]) for r in cd.parse_answers(df).collect()) == [("乙", "b", "q,2"), ("甲", "a", "q1")]
+    good, bad = cd.parse_answers(df)
+    assert sorted((r["theme"], r["code"], r["quote"]) for r in good.collect()) == [("乙", "b", "q,2"), ("甲", "a", "q1")]
+    assert [(r["theme"], r["line"], r["reason"]) for r in bad.collect()] == [("乙", "b,q3,x", "column_count")]
+
+
+def test_answers_without_theme_or_header(spark):
+    rows = [("a", "r1", 0, "no theme here"), ("a", "r2", 0, "--- 主题：甲 ---\na,b"), ("a", "r3", 1, None)]
+    good, bad = cd.parse_answers(spark.createDataFrame(rows, "app string, response_id string, batch_id long, text string"))
+    assert good.isEmpty()
+    assert sorted((r["response_id"], r["reason"]) for r in bad.collect()) == [("r1", "no_theme"), ("r2", "no_header"), ("r3", "no_theme")]
 
 
 def _codings(spark, rows):

@@ -18,13 +18,14 @@ def new_codes(codings: DataFrame, coded_batches: DataFrame | None = None) -> Dat
     ``coded_batches`` adds batches that have a file but no valid row. Each distinct batch gives one
     row, however many theme files it has.
     """
+    codings = codings.filter("batch_id IS NOT NULL")  # what names no batch has no place in the order
     code = text.strip_blank("code")
     named = codings.select("app", "batch_id", code.alias("code")).filter(F.col("code") != "")
     first_seen = named.groupBy("app", "code").agg(F.min("batch_id").alias("batch_id"))
     per_first = first_seen.groupBy("app", "batch_id").agg(F.count(F.lit(1)).alias("n_new"))
     batches = codings.select("app", "batch_id")
     if coded_batches is not None:
-        batches = batches.unionByName(coded_batches.select("app", "batch_id"))
+        batches = batches.unionByName(coded_batches.select("app", "batch_id").filter("batch_id IS NOT NULL"))
     return batches.distinct().join(per_first, ["app", "batch_id"], "left").select(
         "app", "batch_id", F.coalesce("n_new", F.lit(0)).cast("long").alias("n_new")
     )

@@ -19,6 +19,10 @@ PROMPT_BUDGET = 100_000
 APP = "src"  # all documents have sources src0, src1, ...; as one app they are its hot group
 
 
+BROKEN_ROW = '断行,"上半句\n下半句"'
+OPEN_ROW = '未闭合,"没有结尾'
+UNDATED_FILE = "batch_preview_t.csv"
+
 _SCHEMAS: dict[str, StructType] = {}
 _FEW_SPLITS: dict[tuple[str, int], bool] = {}
 
@@ -68,10 +72,14 @@ def sampling_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _app() -> Column:
+    return F.regexp_replace("source", "[0-9]+$", "")
+
+
 def coded_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as one app, 50 to a batch."""
     return documents(spark, sf_dir).select(
-        F.regexp_replace("source", "[0-9]+$", "").alias("app"), _batch_of().alias("batch_id"), F.col("doc_id").cast("string").alias("name"),
+        _app().alias("app"), _batch_of().alias("batch_id"), F.col("doc_id").cast("string").alias("name"),
         F.col("lang").alias("theme"), _rating().alias("rating"), text.normalise("text").alias("review_norm"),
     )
 
@@ -89,6 +97,11 @@ def codings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def undated(rows: DataFrame) -> DataFrame:
+    """``rows`` and, for each app, one of a file that names no batch."""
+    return rows.unionByName(rows.select("app").distinct().select("app", F.lit(None).cast("long").alias("batch_id"), F.lit("t").alias("theme"), F.lit("preview").alias("code"), F.lit("q").alias("quote")), allowMissingColumns=True)
+
+
 def theme_codings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Codings with the theme as code, so that one quote can carry several codes."""
     return codings(spark, sf_dir).withColumn("code", F.col("theme"))
@@ -99,25 +112,33 @@ def _csv_field(c: str) -> Column:
 
 
 def coding_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Coding files: a line before the header, quoted quotes, codes as they are, a repeated header."""
+    """Coding files: a line before the header, a quote over two lines, quoted quotes, codes as they are, a quote that never
+    closes, a repeated header. A file without a batch in its name stands beside them."""
     line = F.concat(F.col("code"), F.lit(","), _csv_field("quote"))
     rows = F.array_sort(F.collect_list(F.struct("line_no", line.alias("line"))))
     body = F.array_join(F.transform(rows, lambda r: r["line"]), "\n")
-    head = F.lit(f"好的\n{fixed.CODING_HEADER}\n\n")
-    return codings(spark, sf_dir).groupBy("app", "src_file").agg(
-        F.concat(head, body, F.lit(f"\n{fixed.CODING_HEADER}\n")).alias("content")
+    head = F.lit(f"好的\n{fixed.CODING_HEADER}\n\n{BROKEN_ROW}\n")
+    files = codings(spark, sf_dir).groupBy("app", "src_file").agg(
+        F.concat(head, body, F.lit(f"\n{OPEN_ROW}\n{fixed.CODING_HEADER}\n")).alias("content")
     )
+    preview = F.lit(f"{fixed.CODING_HEADER}\nx,y\n")
+    return files.unionByName(table(spark, sf_dir, "documents").select(_app().alias("app")).distinct().select("app", F.lit(UNDATED_FILE).alias("src_file"), preview.alias("content")))
 
 
 def raw_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One answer per batch: a block per theme, both columns quoted."""
+    """One answer per batch: a block per theme, both columns quoted, a row of three columns at its end, and a block without
+    a header; an answer without any block for each app."""
     rows = F.array_sort(F.collect_list(F.struct("line_no", F.concat(_csv_field("code"), F.lit(","), _csv_field("quote")).alias("line"))))
     body = F.array_join(F.transform(rows, lambda r: r["line"]), "\n")
-    block = F.concat(F.lit("--- 主题："), F.col("theme"), F.lit(f" ---\n\n{fixed.CODING_HEADER}\n"), body, F.lit("\n\n"))
+    block = F.concat(F.lit("--- 主题："), F.col("theme"), F.lit(f" ---\n\n{fixed.CODING_HEADER}\n"), body, F.lit("\nx,y,z\n\n"))
     blocks = codings(spark, sf_dir).groupBy("app", "batch_id", "theme").agg(block.alias("block"))
-    return blocks.groupBy("app", "batch_id").agg(
-        F.concat(F.lit("好的，结果如下\n\n"), F.array_join(F.array_sort(F.collect_list("block")), "")).alias("text")
+    answers = blocks.groupBy("app", "batch_id").agg(
+        F.concat(F.lit("好的，结果如下\n\n"), F.array_join(F.array_sort(F.collect_list("block")), ""), F.lit("--- 主题：空 ---\n没有表头\n")).alias("text")
     ).withColumn("response_id", F.concat(F.lit("r"), F.col("batch_id")))
+    plain = table(spark, sf_dir, "documents").select(_app().alias("app")).distinct().select(
+        "app", F.lit(-1).cast("long").alias("batch_id"), F.lit("好的，没有结果").alias("text"), F.lit("r-1").alias("response_id")
+    )
+    return answers.unionByName(plain)
 
 
 def filed_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ with the Spark plans. ``io11_run_manifest`` has none: it hashes the stored files
 from __future__ import annotations
 
 from themeloom.functions import fixed
-from themeloom.plans.bindings import BATCH, MIN_LEN, N_BATCHES, PROMPT_BUDGET, SEED
+from themeloom.plans.bindings import BATCH, BROKEN_ROW, MIN_LEN, N_BATCHES, OPEN_ROW, PROMPT_BUDGET, SEED, UNDATED_FILE
 
 N = BATCH * N_BATCHES
 
@@ -157,9 +157,10 @@ _add("io5_scan_coding_files", WITH_CODINGS, """lines AS (SELECT app, src_file, d
   SELECT c.app, CAST(c.name AS BIGINT) AS doc, pos, lower(substr(trim(s, ' '), 1, 2)) AS code, trim(s, ' ') AS quote,
     'batch_' || CASE WHEN batch_id < 10 THEN '0' ELSE '' END || batch_id || '_' || theme || '.csv' AS src_file
   FROM coded c, unnest(string_split(review_norm, '.')) WITH ORDINALITY AS u(s, pos)) WHERE length(quote) >= 3)""",
-     select=f"""SELECT app, src_file, '好的' || chr(10) || {_q(fixed.CODING_HEADER)} || chr(10) || chr(10)
-  || string_agg(line, chr(10) ORDER BY doc, pos) || chr(10) || {_q(fixed.CODING_HEADER)} || chr(10) || chr(10) AS content
-  FROM lines GROUP BY app, src_file""")
+     select=f"""SELECT app, src_file, '好的' || chr(10) || {_q(fixed.CODING_HEADER)} || chr(10) || chr(10) || {_q(BROKEN_ROW)} || chr(10)
+  || string_agg(line, chr(10) ORDER BY doc, pos) || chr(10) || {_q(OPEN_ROW)} || chr(10) || {_q(fixed.CODING_HEADER)} || chr(10) || chr(10) AS content
+  FROM lines GROUP BY app, src_file
+  UNION ALL SELECT DISTINCT app, {_q(UNDATED_FILE)}, {_q(fixed.CODING_HEADER)} || chr(10) || 'x,y' || chr(10) || chr(10) FROM lines""")
 _add("io6_write_batches", RUN, select="SELECT app, batch_id, entry FROM batches")
 _add("io7_write_unused", RUN, select=f"""SELECT app, '[ID:' || name || '] [rating:' || rating || '] ' || {norm('review')} AS entry FROM available a
   WHERE NOT EXISTS (SELECT 1 FROM batches b WHERE b.app = a.app AND b.name = a.name)""")
@@ -173,17 +174,29 @@ _add("io12_count_entries", RUN, select="SELECT app, batch_id, count(*) AS n_entr
 _add("pf1_min_length", REVIEWS, POOL, select="SELECT app, name, length(review) AS n_chars FROM pool")
 _add("pf2_normalise", REVIEWS, select=f"SELECT app, name, {norm('review')} AS review_norm FROM reviews")
 _add("pf3_entry", REVIEWS, select=f"SELECT app, '[ID:' || name || '] [rating:' || rating || '] ' || {norm('review')} AS entry FROM reviews")
-_add("pf4_empty_rows", WITH_CODINGS, FILE_ROWS, select="""SELECT app, src_file, status, count(*) AS n FROM (SELECT app, src_file, status FROM file_rows
-  UNION ALL SELECT DISTINCT app, src_file, 'header' FROM file_rows
-  UNION ALL SELECT DISTINCT app, src_file, 'blank' FROM file_rows
-  UNION ALL SELECT app, src_file, 'blank' FROM (SELECT DISTINCT app, src_file FROM file_rows)) GROUP BY app, src_file, status""")
+_add("pf4_empty_rows", WITH_CODINGS, FILE_ROWS, f"files AS (SELECT DISTINCT app, src_file FROM file_rows), apps AS (SELECT DISTINCT app FROM file_rows)",
+     select=f"""SELECT app, src_file, status, count(*) AS n FROM (SELECT app, src_file, status FROM file_rows
+  UNION ALL SELECT app, src_file, unnest(['header', 'blank', 'blank', 'ok', 'open_quote']) FROM files
+  UNION ALL SELECT app, {_q(UNDATED_FILE)}, unnest(['ok', 'blank']) FROM apps) GROUP BY app, src_file, status""")
 _add("pf5_completed_batches", WITH_CODINGS, select="SELECT DISTINCT app, batch_id FROM codings")
-_add("pf6_header_seek", WITH_CODINGS, select="SELECT app, src_file, CAST(3 AS BIGINT) AS first_line, count(*) + 5 AS last_line FROM codings GROUP BY app, src_file")
-_add("pf7_parse_codings", WITH_CODINGS, FILE_ROWS, select=f"SELECT app, batch_id, theme, trim(code, ' ') AS code, {strip('quote')} AS quote FROM file_rows WHERE status = 'ok'")
-_add("pf8_rejects", WITH_CODINGS, FILE_ROWS, select="""SELECT app, src_file, code || ',"' || replace(quote, '"', '""') || '"' AS line, status AS reason
-  FROM file_rows WHERE status = 'column_count'""")
+_add("pf6_header_seek", WITH_CODINGS, select=f"""SELECT app, src_file, CAST(3 AS BIGINT) AS first_line, count(*) + 8 AS last_line FROM codings GROUP BY app, src_file
+  UNION ALL SELECT DISTINCT app, {_q(UNDATED_FILE)}, 2, 3 FROM codings""")
+_add("pf7_parse_codings", WITH_CODINGS, FILE_ROWS, select=f"""SELECT app, batch_id, theme, trim(code, ' ') AS code, {strip('quote')} AS quote FROM file_rows WHERE status = 'ok'
+  UNION ALL SELECT DISTINCT app, batch_id, theme, '断行', '上半句' || chr(10) || '下半句' FROM file_rows""")
+_add("pf8_rejects", f"""WITH {CODED},
+placed AS (SELECT c.app, 'batch_' || CASE WHEN batch_id < 10 THEN '0' ELSE '' END || batch_id || '_' || theme || '.csv' AS src_file,
+  CAST(c.name AS BIGINT) AS doc, pos, trim(s, ' ') AS quote, lower(substr(trim(s, ' '), 1, 2)) AS code
+  FROM coded c, unnest(string_split(review_norm, '.')) WITH ORDINALITY AS u(s, pos) WHERE length(trim(s, ' ')) >= 3),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY app, src_file ORDER BY doc, pos) AS n FROM placed)""",
+     select=f"""SELECT app, src_file, n + 5 AS line_no, code || ',"' || replace(quote, '"', '""') || '"' AS line, 'column_count' AS reason
+  FROM numbered WHERE contains(code, ',')
+  UNION ALL SELECT app, src_file, count(*) + 6, {_q(OPEN_ROW)}, 'open_quote' FROM numbered GROUP BY app, src_file
+  UNION ALL SELECT DISTINCT app, {_q(UNDATED_FILE)}, CAST(NULL AS BIGINT), CAST(NULL AS VARCHAR), 'file_name' FROM numbered""")
 _add("pf9_parse_answers", WITH_CODINGS, select=f"""SELECT app, 'r' || batch_id AS response_id, batch_id, theme, trim(code, ' ') AS code, {strip('quote')} AS quote
   FROM codings WHERE trim(code, ' ') <> '' AND {strip('quote')} <> ''""")
+_add("pf9_answer_rejects", WITH_CODINGS, select="""SELECT DISTINCT app, 'r' || batch_id AS response_id, theme, 'x,y,z' AS line, 'column_count' AS reason FROM codings
+  UNION ALL SELECT DISTINCT app, 'r' || batch_id, '空', CAST(NULL AS VARCHAR), 'no_header' FROM codings
+  UNION ALL SELECT DISTINCT app, 'r-1', CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR), 'no_theme' FROM codings""")
 _add("pf10_rule_flags", WITH_CODED, """quotes AS (SELECT app, theme AS code, review_norm AS quote FROM coded
   UNION ALL SELECT app, theme || '-' || batch_id, '[ID:' || name || '] [rating:' || rating || '] ' || review_norm FROM coded)""",
      select="""SELECT app, code, length(quote) AS n_chars, contains(quote, '[ID:') OR contains(quote, '[rating:') AS has_marks,

@@ -195,12 +195,19 @@ def _(spark, d):
 @query("pf8_rejects")
 def _(spark, d):
     _good, bad = cd.parse_files(b.coding_files(spark, d))
-    return bad.select("app", "src_file", "line", "reason")
+    return bad.select("app", "src_file", F.col("line_no").cast("long").alias("line_no"), "line", "reason")
 
 
 @query("pf9_parse_answers")
 def _(spark, d):
-    return cd.parse_answers(b.raw_answers(spark, d))
+    good, _bad = cd.parse_answers(b.raw_answers(spark, d))
+    return good
+
+
+@query("pf9_answer_rejects")
+def _(spark, d):
+    _good, bad = cd.parse_answers(b.raw_answers(spark, d))
+    return bad.select("app", "response_id", "theme", "line", "reason")
 
 
 @query("pf10_rule_flags")
@@ -451,7 +458,7 @@ def _entry_counts(spark: SparkSession, d: str) -> DataFrame:
 
 @query("w1_new_codes")
 def _(spark, d):
-    return st.new_codes(b.codings(spark, d))
+    return st.new_codes(b.undated(b.codings(spark, d)))
 
 
 @query("w2_cumulative_codes")
@@ -461,12 +468,12 @@ def _(spark, d):
 
 @query("w3_saturation_report")
 def _(spark, d):
-    return st.saturation_report(b.codings(spark, d), _entry_counts(spark, d))
+    return st.saturation_report(b.undated(b.codings(spark, d)), _entry_counts(spark, d))
 
 
 @query("w4_final_status")
 def _(spark, d):
-    return st.final_status(st.saturation_report(b.codings(spark, d), _entry_counts(spark, d)))
+    return st.final_status(st.saturation_report(b.undated(b.codings(spark, d)), _entry_counts(spark, d)))
 
 
 @query("w5_stop_rule")
