@@ -26,12 +26,12 @@ def _set(df):
 
 def test_verbatim_and_coverage(spark):
     reviews = spark.createDataFrame(
-        [("a", 0, "n1", "这个游戏的操作真的好难啊"), ("a", 0, "n2", "画面不错"), ("a", 1, "n3", "操作好难")],
+        [("a", 0, "n1", "晚上排队要等半个小时"), ("a", 0, "n2", "音乐好听"), ("a", 1, "n3", "排队太久")],
         "app string, batch_id long, name string, review_norm string")
-    quotes = spark.createDataFrame([("a", 0, "操作真的好难"), ("a", 0, "操作好难"), ("a", 1, "操作好难")], "app string, batch_id long, quote string")
+    quotes = spark.createDataFrame([("a", 0, "排队要等半个小时"), ("a", 0, "排队太久"), ("a", 1, "排队太久")], "app string, batch_id long, quote string")
     src = ql.quote_sources(quotes, reviews)
-    assert _set(src) == {("a", 0, "n1", "操作真的好难"), ("a", 1, "n3", "操作好难")}
-    assert _set(ql.altered_quotes(quotes, src)) == {("a", 0, "操作好难")}
+    assert _set(src) == {("a", 0, "n1", "排队要等半个小时"), ("a", 1, "n3", "排队太久")}
+    assert _set(ql.altered_quotes(quotes, src)) == {("a", 0, "排队太久")}
     assert ql.verbatim_quotes(quotes, src).count() == 2
     assert _set(ql.uncoded_reviews(reviews, src)) == {("a", 0, "n2")}
     scope = spark.createDataFrame([("a", "n2")], "app string, name string")
@@ -92,18 +92,18 @@ def _decisions(spark, *rows):
 
 def test_canonical_chain_delete_split_revival(spark):
     d = _decisions(
-        spark, (1, 1, "merge", ["操作卡顿", "响应慢"], ["反馈延迟"]), (2, 1, "rename", ["反馈延迟"], ["延迟"]), (3, 1, "rename", ["延迟"], ["慢"]),
-        (4, 1, "rename", ["慢"], ["很慢"]), (2, 2, "delete", ["综合体验"], []), (2, 3, "split", ["界面问题"], ["视觉设计", "交互设计"]),
-        (5, 1, "merge", ["笼统"], ["界面问题x"]), (6, 1, "split", ["界面问题x"], ["p", "q"]), (1, 5, "rename", ["旧"], ["新"]), (3, 5, "rename", ["新"], ["旧"]),
+        spark, (1, 1, "merge", ["等待过长", "排队久"], ["等候问题"]), (2, 1, "rename", ["等候问题"], ["等候"]), (3, 1, "rename", ["等候"], ["久"]),
+        (4, 1, "rename", ["久"], ["漫长"]), (2, 2, "delete", ["总体感受"], []), (2, 3, "split", ["音效问题"], ["背景音乐", "按键声音"]),
+        (5, 1, "merge", ["杂项"], ["音效问题x"]), (6, 1, "split", ["音效问题x"], ["p", "q"]), (1, 5, "rename", ["旧"], ["新"]), (3, 5, "rename", ["新"], ["旧"]),
         (7, 1, "merge", ["A", "B"], ["A"]))
     got = {r["code"]: (r["canonical"], r["status"]) for r in cb.canonical_map(d).collect()}
-    slow = ("很慢", "mapped")
+    slow = ("漫长", "mapped")
     assert got == {
-        "操作卡顿": slow, "响应慢": slow, "反馈延迟": slow, "延迟": slow, "慢": slow, "综合体验": (None, "deleted"), "界面问题": (None, "split"),
-        "界面问题x": (None, "split"), "笼统": (None, "split"), "新": ("旧", "mapped"), "B": ("A", "mapped")}
-    c = _c(spark, [(9, "t", "响应慢", "q"), (9, "t", "综合体验", "q"), (9, "t", "别的", "q")])
+        "等待过长": slow, "排队久": slow, "等候问题": slow, "等候": slow, "久": slow, "总体感受": (None, "deleted"), "音效问题": (None, "split"),
+        "音效问题x": (None, "split"), "杂项": (None, "split"), "新": ("旧", "mapped"), "B": ("A", "mapped")}
+    c = _c(spark, [(9, "t", "排队久", "q"), (9, "t", "总体感受", "q"), (9, "t", "别的", "q")])
     assert {(r["canonical"], r["status"]) for r in cb.canonicalise(c, cb.canonical_map(d)).collect()} == {
-        ("很慢", "mapped"), ("综合体验", "deleted"), ("别的", "kept")}
+        ("漫长", "mapped"), ("总体感受", "deleted"), ("别的", "kept")}
 
 
 def test_revived_codes(spark):

@@ -16,32 +16,48 @@ def _no_log(spark):
     return spark.createDataFrame([], schemas.SAMPLING_LOG)
 
 
-def _model(sizes, n):
-    """Quotas worked out one stratum after the other; a negative one counts as 0."""
-    n = min(n, sum(sizes))
-    total, q, given = sum(sizes), [], 0
-    for i, s in enumerate(sizes):
-        want = n - given if i == len(sizes) - 1 else round(n * s / total)
-        q.append(min(want, s))
-        given += q[-1]
-    short = n - given
-    for i, s in enumerate(sizes):
-        extra = min(short, s - q[i]) if short > 0 else 0
-        q[i] += extra
-        short -= extra
-    return [max(0, x) for x in q]
-
-
-@pytest.mark.parametrize("n", [1, 3, 4, 7, 20, 61, 500])
-def test_quotas_follow_the_model(spark, n):
-    rng = random.Random(n)
-    cases = [[6, 6, 6, 6, 6], [9, 30, 12, 9, 10], [1, 1, 1, 1, 1]]
-    cases += [[rng.randint(1, 60) for _ in range(rng.randint(1, 9))] for _ in range(60)]
+# worked out by hand: strata sizes, rows wanted, quotas
+QUOTAS = [
+    ([10, 10], 5, [2, 3]),  # 2.5 rounds to the even 2, the last stratum takes what is left
+    ([3, 7], 5, [2, 3]),
+    ([1, 9], 5, [0, 5]),
+    ([9, 1], 5, [4, 1]),
+    ([19, 1], 10, [10, 0]),
+    ([6, 6, 6, 6, 6], 3, [1, 1, 1, 1, 0]),  # the last quota would be -1
+    ([9, 30, 12, 9, 10], 4, [1, 2, 1, 1, 0]),
+    ([5, 5, 5, 5, 1], 10, [3, 2, 2, 2, 1]),  # the last stratum is one short, the first makes up for it
+    ([1, 5, 5, 5, 5, 1], 12, [1, 3, 3, 3, 3, 0]),  # 2.7 rounds up four times, so the last has none
+    ([4, 2], 9, [4, 2]),  # more wanted than there are
+    ([7], 3, [3]),
+]
+
+
+def _quotas(spark, cases, n):
     rows = [(f"app{i}", str(g), s) for i, c in enumerate(cases) for g, s in enumerate(c)]
-    got = sm.stratum_quotas(spark.createDataFrame(rows, "app string, rating string, n_rows long"), n).collect()
-    quotas = {(r["app"], int(r["rating"])): r["quota"] for r in got}
-    for i, c in enumerate(cases):
-        assert [quotas[(f"app{i}", g)] for g in range(len(c))] == _model(c, n), c
+    got = {(r["app"], int(r["rating"])): r["quota"] for r in sm.stratum_quotas(spark.createDataFrame(rows, "app string, rating string, n_rows long"), n).collect()}
+    return [[got[(f"app{i}", g)] for g in range(len(c))] for i, c in enumerate(cases)]
+
+
+@pytest.mark.parametrize("sizes,n,want", QUOTAS)
+def test_quotas_by_hand(spark, sizes, n, want):
+    assert _quotas(spark, [sizes], n) == [want]
+
+
+@pytest.mark.parametrize("n", [1, 4, 20, 61, 500])
+def test_quota_properties(spark, n):
+    rng = random.Random(n)
+    cases = [[rng.randint(1, 60) for _ in range(rng.randint(1, 9))] for _ in range(60)]
+    for sizes, quotas in zip(cases, _quotas(spark, cases, n), strict=True):
+        total, wanted = sum(sizes), min(n, sum(sizes))
+        assert all(0 <= q <= s for q, s in zip(quotas, sizes, strict=True))
+        assert sum(quotas) >= wanted
+        if quotas[-1] > 0:
+            assert sum(quotas) == wanted
+        # no stratum but the last falls short of its rounded share, and what is over goes to the front as long as there is room
+        over = [q - wanted * s / total for q, s in zip(quotas[:-1], sizes[:-1], strict=True)]
+        assert all(x >= -0.5 for x in over)
+        made_up = [k for k, x in enumerate(over) if x > 0.5]
+        assert all(quotas[k] == sizes[k] or abs(over[k]) <= 0.5 for k in range(max(made_up, default=0)))
 
 
 def test_null_and_numeric_strata_order(spark):

@@ -58,11 +58,11 @@ def test_batches_round_trip_and_guard(spark, folder):
 
 
 def test_coding_files_by_name(spark, folder):
-    for name, line in {"batch_00_户外玩法.csv": "a,q1", "batch_100_x y.csv": "b,q2", "batch_01.csv": "c,q3", "batch_02_C++ 100%.csv": "d,q4"}.items():
+    for name, line in {"batch_00_露营做饭.csv": "a,q1", "batch_100_x y.csv": "b,q2", "batch_01.csv": "c,q3", "batch_02_C++ 100%.csv": "d,q4"}.items():
         Path(folder, name).write_text(f"{fixed.CODING_HEADER}\n{line}\n", encoding="utf-8")
     Path(folder, "batch_00_preview.md").write_text("x", encoding="utf-8")
     good, bad = cd.parse_files(io.read_coding_files(spark, folder, app="a"))
-    assert {(r["batch_id"], r["theme"], r["code"]) for r in good.collect()} == {(0, "户外玩法", "a"), (100, "x y", "b"), (1, None, "c"), (2, "C++ 100%", "d")}
+    assert {(r["batch_id"], r["theme"], r["code"]) for r in good.collect()} == {(0, "露营做饭", "a"), (100, "x y", "b"), (1, None, "c"), (2, "C++ 100%", "d")}
     assert bad.isEmpty()
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from themeloom import schemas
-from themeloom.session import materialise, small_side
+from themeloom.session import materialise
 
 
 # --- decisions ----------------------------------------------------------------------------------
@@ -46,7 +46,7 @@ def revived_codes(codings: DataFrame, decisions: DataFrame) -> DataFrame:
     spans = spans.select("app", "code", F.col("batch_id").alias("retired_in"), "type", "_until")
     used = codings.groupBy("app", "batch_id", "code").agg(F.count(F.lit(1)).alias("n_quotes"))
     after = (F.col("batch_id") > F.col("retired_in")) & (F.col("_until").isNull() | (F.col("batch_id") <= F.col("_until")))
-    return used.join(small_side(spans), ["app", "code"]).filter(after).select(
+    return used.join(spans, ["app", "code"]).filter(after).select(
         "app", "batch_id", "code", "n_quotes", "retired_in", "type"
     )
 
@@ -70,10 +70,10 @@ def canonical_map(decisions: DataFrame) -> DataFrame:
         onward = hops.select("app", F.col("code").alias("target"), F.col("target").alias("_next"))
         if hops.join(onward, ["app", "target"], "left_semi").isEmpty():
             break
-        step = hops.join(small_side(onward), ["app", "target"], "left")
+        step = hops.join(onward, ["app", "target"], "left")
         hops = materialise(step.select("app", "code", F.coalesce("_next", "target").alias("target")))
     stop = ends.select("app", F.col("code").alias("target"), F.col("status").alias("_stop"))
-    chained = hops.join(small_side(stop), ["app", "target"], "left").select(
+    chained = hops.join(stop, ["app", "target"], "left").select(
         "app", "code", F.when(F.col("_stop").isNull(), F.col("target")).alias("canonical"),
         F.coalesce("_stop", F.lit("mapped")).alias("status"),
     )
@@ -83,7 +83,7 @@ def canonical_map(decisions: DataFrame) -> DataFrame:
 def canonicalise(codings: DataFrame, code_map: DataFrame) -> DataFrame:
     """Codings with their canonical code. Codes that were split or deleted keep their name and
     carry the status, for a person to recode."""
-    renamed = small_side(code_map.select("app", "code", "canonical", "status"))
+    renamed = code_map.select("app", "code", "canonical", "status")
     return codings.join(renamed, ["app", "code"], "left").withColumn(
         "canonical", F.coalesce("canonical", "code")
     ).withColumn("status", F.coalesce("status", F.lit("kept")))

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from themeloom.functions import fixed, text
-from themeloom.session import small_side
 
 # Layers are whole documents, so fewer of them are broadcast than of plain ids.
 _LAYER_ROWS = 2_000
@@ -43,7 +42,7 @@ def missing_layers(apps: DataFrame, layers: DataFrame, stages: tuple[str, ...] =
         "*", F.explode(F.array(*[F.lit(i) for i in _LAYERS])).alias("layer")
     )
     present = layers.filter(F.col("content").isNotNull()).select("app", "stage", "layer")
-    return grid.join(small_side(present), ["app", "stage", "layer"], "left_anti")
+    return grid.join(present, ["app", "stage", "layer"], "left_anti")
 
 
 def missing_batches(wanted: DataFrame, batches: DataFrame) -> DataFrame:
@@ -72,7 +71,7 @@ def build_prompts(layers: DataFrame, texts: DataFrame) -> DataFrame:
     one = [F.max(F.when(F.col("layer") == i, F.col("content"))).alias(f"layer_{i}") for i in _LAYERS]
     full = layers.groupBy("app", "stage").agg(*one).dropna(subset=[f"layer_{i}" for i in _LAYERS])
     prompt = prompt_text([F.col(f"layer_{i}") for i in _LAYERS], F.col("batch_text"), F.col("batch_id"))
-    return texts.join(small_side(full, _LAYER_ROWS), "app").select(
+    return texts.join(full, "app").select(
         "app", "stage", "batch_id", prompt.alias("prompt"), F.length(prompt).cast("long").alias("n_chars")
     )
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from themeloom.functions import bands, fixed, text
 from themeloom.operators.phrases import find_phrases
-from themeloom.session import small_side
+from themeloom.session import materialise
 
 _BATCH = ["app", "batch_id"]
 
@@ -33,11 +33,12 @@ def altered_quotes(quotes: DataFrame, sources: DataFrame) -> DataFrame:
 
 
 def uncoded_reviews(reviews: DataFrame, sources: DataFrame, out_of_scope: DataFrame | None = None) -> DataFrame:
-    """In-scope reviews without any coded quote."""
+    """In-scope reviews without any coded quote. ``sources`` name reviews by batch or, without ``batch_id``, by name alone."""
     rows = reviews.select(*_BATCH, "name")
     if out_of_scope is not None:
         rows = rows.join(out_of_scope.select("app", "name"), ["app", "name"], "left_anti")
-    return rows.join(sources.select(*_BATCH, "name").distinct(), [*_BATCH, "name"], "left_anti")
+    key = [c for c in (*_BATCH, "name") if c in sources.columns]
+    return rows.join(sources.select(*key).distinct(), key, "left_anti")
 
 
 def codebook_reuse(codings: DataFrame, codebook: DataFrame) -> DataFrame:
@@ -79,9 +80,8 @@ def coding_summary(codings: DataFrame, k: int = 2) -> DataFrame:
 
 def theme_rollup(codings: DataFrame) -> DataFrame:
     """Quotes per (theme, code), per theme and in all; NULLs mark the roll-up levels."""
-    return codings.rollup("app", "theme", "code").agg(
-        F.count(F.lit(1)).alias("n_quotes"), F.grouping_id().cast("int").alias("level")
-    )
+    per_code = codings.groupBy("app", "theme", "code").agg(F.count(F.lit(1)).alias("n"))
+    return per_code.rollup("app", "theme", "code").agg(F.sum("n").alias("n_quotes"), F.grouping_id().cast("int").alias("level"))
 
 
 def theme_shape(codings: DataFrame) -> DataFrame:
@@ -169,14 +169,15 @@ def drifting_quotes(codings: DataFrame) -> DataFrame:
     All sets are equal exactly when every code of the quote occurs in every batch of the quote, that
     is when the number of (batch, code) pairs is batches times codes; so counts are enough.
     """
-    triples = codings.select("app", "quote", "batch_id", "code").distinct()
-    per_code = triples.groupBy("app", "quote", "code").agg(F.count(F.lit(1)).alias("n"))
-    codes = per_code.groupBy("app", "quote").agg(F.count(F.lit(1)).alias("n_codes"), F.sum("n").alias("n_pairs"))
-    per_batch = triples.groupBy("app", "quote", "batch_id").agg(F.lit(1).alias("_one"))
-    batches = per_batch.groupBy("app", "quote").agg(F.count(F.lit(1)).alias("n_batches"))
-    return codes.filter("n_codes > 1").join(batches, ["app", "quote"]).filter(
-        F.col("n_pairs") != F.col("n_codes") * F.col("n_batches")
-    ).select("app", "quote", "n_batches", "n_codes", "n_pairs")
+    hashed = codings.withColumn("_quote", F.unhex(F.md5("quote")))  # counted by a 128-bit hash; texts come back for the few that drift
+    triples = hashed.select("app", "_quote", "batch_id", "code").distinct()
+    per_code = triples.groupBy("app", "_quote", "code").agg(F.count(F.lit(1)).alias("n"))
+    codes = per_code.groupBy("app", "_quote").agg(F.count(F.lit(1)).alias("n_codes"), F.sum("n").alias("n_pairs")).filter("n_codes > 1")
+    per_batch = triples.groupBy("app", "_quote", "batch_id").agg(F.lit(1).alias("_one"))
+    batches = per_batch.groupBy("app", "_quote").agg(F.count(F.lit(1)).alias("n_batches"))
+    drifting = codes.join(batches, ["app", "_quote"]).filter(F.col("n_pairs") != F.col("n_codes") * F.col("n_batches"))
+    named = hashed.select("app", "_quote", "quote").join(drifting, ["app", "_quote"])
+    return named.select("app", "quote", "n_batches", "n_codes", "n_pairs").distinct()
 
 
 def overlapping_codes(codings: DataFrame, min_jaccard: float = 0.0) -> DataFrame:
@@ -204,9 +205,12 @@ def overlapping_codes(codings: DataFrame, min_jaccard: float = 0.0) -> DataFrame
 # --- size of the codebook -----------------------------------------------------------------------
 
 def codebook_size(codings: DataFrame) -> DataFrame:
-    """Observed batches, codes and themes per app, each by its own two-step count."""
+    """Observed batches, codes and themes per app, each by its own two-step count over the distinct combinations, which are
+    worked out once."""
+    combinations = materialise(codings.select("app", "batch_id", "code", "theme").distinct())
+
     def n(column: str, out: str) -> DataFrame:
-        return codings.select("app", column).distinct().groupBy("app").agg(F.count(column).alias(out))
+        return combinations.select("app", column).distinct().groupBy("app").agg(F.count(column).alias(out))
 
     return n("batch_id", "n_batches").join(n("code", "n_codes"), "app").join(n("theme", "n_themes"), "app").withColumn(
         "bloated", (F.col("n_batches") > fixed.BLOAT_BATCHES) & (F.col("n_codes") > fixed.BLOAT_CODES)
@@ -217,7 +221,7 @@ def against_expectations(sizes: DataFrame, expectations: DataFrame) -> DataFrame
     """Compare with the researcher's ``app, measure, low, high``; sizes carry one column per measure."""
     measures = [c for c in sizes.columns if c not in ("app", "bloated")]
     long = sizes.unpivot(["app", "bloated"], measures, "measure", "observed")
-    return long.join(small_side(expectations), ["app", "measure"]).select(
+    return long.join(expectations, ["app", "measure"]).select(
         "app", "measure", F.col("observed").cast("double").alias("observed"), "low", "high",
         F.col("observed").between(F.col("low"), F.col("high")).alias("as_expected"), "bloated",
     )

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from themeloom import schemas
 from themeloom.functions import text
 from themeloom.operators.numbering import hash_slot, number_rows
-from themeloom.session import fits_broadcast, materialise, small_side
+from themeloom.session import fits_broadcast, materialise
 
 
 def require_positive(name: str, value: int) -> None:
@@ -35,12 +35,12 @@ def filter_length(reviews: DataFrame, min_len: int) -> DataFrame:
 
 def exclude_logged(reviews: DataFrame, log: DataFrame) -> DataFrame:
     """Reviews whose id was never sampled before."""
-    return reviews.join(small_side(log.select("app", "name")), ["app", "name"], "left_anti")
+    return reviews.join(log.select("app", "name"), ["app", "name"], "left_anti")
 
 
 def unused_reviews(available: DataFrame, sample: DataFrame) -> DataFrame:
     """Available reviews whose id is not in the sample."""
-    return available.join(small_side(sample.select("app", "name")), ["app", "name"], "left_anti")
+    return available.join(sample.select("app", "name"), ["app", "name"], "left_anti")
 
 
 # --- quotas -------------------------------------------------------------------------------------
@@ -117,8 +117,6 @@ def _draw(reviews: DataFrame, log: DataFrame | None, n_total: int, seed: int, st
     counted = keyed.select("app", "name", "_stratum", "_slot")
     if log is not None:
         log = log.select("app", "name")
-        small_log = fits_broadcast(log)
-        log = F.broadcast(log) if small_log else log
         counted = counted.join(log, ["app", "name"], "left_anti")
     strata = _slot_counts(counted).withColumnRenamed("_stratum", "rating")
     cuts = materialise(_cut(stratum_quotas(strata, n_total).withColumnRenamed("rating", "_stratum")))
@@ -133,9 +131,7 @@ def _draw(reviews: DataFrame, log: DataFrame | None, n_total: int, seed: int, st
         c = cuts.select("app", "_stratum", "_cut_slot", "_left", kept.alias("_s")).withColumn("_slot", F.col("_s._slot"))
         near = r.join(c.alias("c"), same & (F.col("r._slot") == F.col("c._slot")))
     near = near.select("r.*", "c._cut_slot", "c._left")
-    if log is not None and small_log:
-        near = near.join(log, ["app", "name"], "left_anti")
-    elif log is not None:
+    if log is not None:
         # An anti join would be pushed below the cut and shuffle every review; an outer join stays
         # above it, so only survivors are shuffled.
         seen = log.distinct().withColumn("_seen", F.lit(True))

@@ -18,7 +18,7 @@ from themeloom.operators import quality as ql
 from themeloom.operators import sampling as sm
 from themeloom.operators import saturation as st
 from themeloom.plans import bindings as b
-from themeloom.session import materialise, small_side
+from themeloom.session import materialise
 from themeloom.sources import tables as io
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -279,10 +279,8 @@ def _(spark, d):
 
 @query("j6_uncoded_reviews")
 def _(spark, d):
-    terms = b.dictionary(spark, d).select("app", F.col("term").alias("quote"))
-    batches = b.coded_reviews(spark, d).select("app", "batch_id").distinct()
-    sources = ql.quote_sources(batches.join(small_side(terms), "app"), b.coded_reviews(spark, d))
-    return ql.uncoded_reviews(b.coded_reviews(spark, d), sources, b.out_of_scope(spark, d))
+    matches = dd.match_dictionary(b.coded_reviews(spark, d), b.dictionary(spark, d))
+    return ql.uncoded_reviews(b.coded_reviews(spark, d), matches, b.out_of_scope(spark, d))
 
 
 @query("j7_codebook_reuse")

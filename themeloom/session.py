@@ -54,15 +54,10 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows; reads no more than one row beyond that."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` with a broadcast hint when its counted rows allow it, otherwise unchanged, so that
-    the join shuffles. Meant for tables that are stored or materialised, where counting is cheap."""
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
+def fits_broadcast(stored: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
+    """True when a stored table has at most ``max_rows`` rows. Only for tables that are materialised, where counting is cheap;
+    other joins carry no hint and leave the choice to adaptive execution, which knows the bytes."""
+    return stored.count() <= max_rows
 
 
 def has_few_splits(df: DataFrame) -> bool:

@@ -160,7 +160,8 @@ def read_dictionary(spark: SparkSession, path: str) -> DataFrame:
 
 def write_prompts(prompts: DataFrame, path: str) -> None:
     """Latest prompt per app, stage and batch; a new run replaces only the batches it covers."""
-    write_table(prompts, path, ["app", "stage", "batch_id"], overwrite=True)
+    # one task for each folder, so no task holds a writer for every batch
+    write_table(prompts.repartition("app", "stage", "batch_id"), path, ["app", "stage", "batch_id"], overwrite=True)
 
 
 def source_hashes(spark: SparkSession, path: str | list[str]) -> DataFrame:
