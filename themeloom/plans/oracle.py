@@ -1,7 +1,7 @@
 """SQL twins of the registered queries, in plain ANSI-style SQL for DuckDB.
 
 They state the result directly (quadratic ``contains`` joins, whole-table windows) and share no code
-with the Spark plans. ``io11_run_manifest`` has none: it hashes the stored files.
+with the Spark plans.
 """
 
 from __future__ import annotations
@@ -167,6 +167,15 @@ _add("io7_write_unused", RUN, select=f"""SELECT app, '[ID:' || name || '] [ratin
 _add("io8_overwrite_guard", LOG, select="SELECT app, CASE WHEN app = 'en' THEN 'r0' ELSE 'r1' END AS run_id, count(*) AS n, true AS refused FROM log GROUP BY app")
 _add("io9_codebook_csv", WITH_CODINGS, select="SELECT DISTINCT app, code, quote FROM codings")
 _add("io10_export_dictionary", WITH_CODINGS, select="SELECT DISTINCT app, theme AS code, quote AS term FROM codings")
+def _table_hash(name: str, columns: str) -> str:
+    cells = ", ".join(f"coalesce('=' || CAST({c} AS VARCHAR), '-')" for c in sorted(columns.split()))
+    return f"""SELECT '{name}' AS file, sha256('{name}:' || count(*) || ':' || coalesce(sum(CAST(('0x' || substr(h, 1, 15)) AS BIGINT)), 0) || ':'
+    || coalesce(sum(CAST(('0x' || substr(h, 16, 15)) AS BIGINT)), 0)) AS sha256 FROM (SELECT md5(concat_ws(chr(31), {cells})) AS h FROM {name})"""
+
+
+_add("io11_run_manifest", f"""hashes AS ({_table_hash("documents", "doc_id text lang source n_chars")} UNION ALL {_table_hash("labels", "doc_id quality toxic")}),
+groups AS (SELECT substr(sha256, 1, 2) AS g, sha256(string_agg(sha256, '' ORDER BY file, sha256)) AS h, count(*) AS n FROM hashes GROUP BY 1)""",
+     select=f"""SELECT sha256(string_agg(h, '' ORDER BY g)) AS source_hash, CAST(sum(n) AS BIGINT) AS n_sources, '1' AS script_version, '{SEED}' AS seed, '{BATCH}' AS batch_size FROM groups""")
 _add("io12_read_batches", RUN, select="SELECT app, batch_id, name, rating, review_norm FROM batches")
 _add("io12_count_entries", RUN, select="SELECT app, batch_id, count(*) AS n_entries FROM batches GROUP BY app, batch_id")
 

@@ -134,8 +134,13 @@ def _(spark, d):
 
 @query("io11_run_manifest")
 def _(spark, d):
-    hashes = io.source_hashes(spark, f"{d}/documents.parquet")
-    return io.run_manifest(hashes, {"batch_size": b.BATCH, "n_batches": b.N_BATCHES, "seed": b.SEED}, "1")
+    # both tables that the sampling run reads; written beside its log rows and read back
+    hashes = io.table_hash(b.table(spark, d, "documents"), "documents").unionByName(io.table_hash(b.table(spark, d, "labels"), "labels"))
+    manifest = io.run_manifest(hashes, {"batch_size": b.BATCH, "n_batches": b.N_BATCHES, "seed": b.SEED}, "1")
+    path = b.scratch(spark)
+    io.write_with_manifest(b.sampling_log(spark, d), path, manifest, ["app"])
+    stored = spark.read.parquet(f"{path}.meta")
+    return stored.select("source_hash", "n_sources", "script_version", F.col("params")["seed"].alias("seed"), F.col("params")["batch_size"].alias("batch_size"))
 
 
 @query("io12_read_batches")

@@ -170,6 +170,29 @@ def source_hashes(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return files.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file"), F.sha2("content", 256).alias("sha256"))
 
 
+def table_hash(df: DataFrame, name: str) -> DataFrame:
+    """``file, sha256`` of a table's content: one row, whatever the order and the files of the table.
+
+    Rows are hashed one by one and their hashes added up as two 60-bit numbers next to the row count, so nothing is
+    gathered and a file may have any size. Columns are taken in the order of their names, as text; NULL is told from ''.
+    """
+    cells = [F.coalesce(F.concat(F.lit("="), F.col(f"`{c}`").cast("string")), F.lit("-")) for c in sorted(df.columns)]
+    row = F.md5(F.concat_ws("\x1f", *cells))
+
+    def part(start: int):
+        return F.sum(F.conv(F.substring(row, start, 15), 16, 10).cast("decimal(20,0)"))
+
+    sums = df.agg(F.count(F.lit(1)).alias("n"), part(1).alias("a"), part(16).alias("b"))
+    text = F.concat_ws(":", F.lit(name), *[F.coalesce(F.col(c).cast("string"), F.lit("0")) for c in ("n", "a", "b")])
+    return sums.select(F.lit(name).alias("file"), F.sha2(text, 256).alias("sha256"))
+
+
+def write_with_manifest(df: DataFrame, path: str, manifest: DataFrame, partition_by: list[str] | None = None, overwrite: bool = False) -> None:
+    """``write_table`` and, beside it under ``<path>.meta``, the manifest of the run that made it."""
+    write_table(df, path, partition_by, overwrite)
+    manifest.write.mode("overwrite").parquet(f"{path.rstrip('/')}.meta")
+
+
 def run_manifest(hashes: DataFrame, params: dict[str, object], version: str) -> DataFrame:
     """One row: generation time, parameters, version and one hash over all sources. Files are hashed
     together in 256 groups first, so no row holds the list of all files."""
