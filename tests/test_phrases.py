@@ -44,6 +44,18 @@ def test_every_way_equals_brute_force(spark, way):
     assert len(got) == len(set(got)) and set(got) == want
 
 
+def test_search_in_batches_equals_brute_force(spark):
+    texts, phrases = _data()
+    want = {(s, n, p) for s, n, t in texts for s2, p in phrases if s == s2 and p and p in t}
+    found = ph.find_in_batches(
+        spark.createDataFrame(texts, "app string, name string, review_norm string"),
+        spark.createDataFrame(phrases, "app string, phrase string"), ["app"])
+    got = [tuple(r) for r in found.collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
 def test_no_phrases(spark):
     texts = spark.createDataFrame([("s", "n", "t")], "app string, name string, review_norm string")
     found = ph.find_phrases(texts, spark.createDataFrame([], "app string, phrase string"), ["app"])

@@ -157,6 +157,35 @@ def _by_shuffle(
     return candidates.join(keyed, [*scope, name, "_text"]).filter(inside).select(*scope, name, "phrase")
 
 
+def _middle_anchor(phrase: str) -> Column:
+    """Hash of the n-gram in the middle of a phrase, of 8, 4, 2 or 1 characters as its length allows."""
+    def gram(n: int) -> Column:
+        start = F.floor((F.length(phrase) - n) / 2).cast("int") + 1
+        return F.shiftrightunsigned(F.xxhash64(F.substr(F.col(phrase), start, F.lit(n))), _COUNT_BITS)
+
+    n = F.length(phrase)
+    return F.when(n >= 8, gram(8)).when(n >= 4, gram(4)).when(n >= 2, gram(2)).otherwise(gram(1))
+
+
+def find_in_batches(
+    texts: DataFrame, phrases: DataFrame, scope: Sequence[str], text: str = "review_norm", name: str = "name"
+) -> DataFrame:
+    """As ``find_phrases``, for scopes that are small on both sides, such as the batches of a run.
+
+    The phrases of a scope travel as one array, each beside its anchor, and meet the texts by one equi join on the scope;
+    hits are decided in the row: the n-grams of the text that are anchors, the phrases of these anchors, ``contains``.
+    Texts are shuffled once and nothing is stored. The scope must bound its phrases, as they are gathered.
+    """
+    scope = list(scope)
+    phrases = phrases.select(*scope, "phrase").filter(F.length("phrase") > 0)
+    lists = phrases.groupBy(*scope).agg(F.collect_set(F.struct(_middle_anchor("phrase").alias("anchor"), "phrase")).alias("_phrases"))
+    both = _offered(texts.select(*scope, name, text).join(lists, scope), text, {1, 2, 4, 8})
+    near = both.withColumn("_near", F.array_intersect("_offered", F.transform("_phrases", lambda p: p["anchor"])))
+    hits = F.filter("_phrases", lambda p: F.array_contains(F.col("_near"), p["anchor"]) & F.contains(F.col(text), p["phrase"]))
+    found = near.select(*scope, name, F.explode_outer(F.transform(hits, lambda p: p["phrase"])).alias("phrase"))
+    return found.filter("phrase IS NOT NULL").distinct()
+
+
 def find_phrases(
     texts: DataFrame, phrases: DataFrame, scope: Sequence[str], text: str = "review_norm", name: str = "name",
     list_phrases: int = LIST_PHRASES, set_phrases: int = SET_PHRASES, max_rows: int = BROADCAST_ROWS,

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from themeloom.functions import bands, fixed, text
-from themeloom.operators.phrases import find_phrases
+from themeloom.operators.phrases import find_in_batches
 from themeloom.session import materialise
 
 _BATCH = ["app", "batch_id"]
@@ -20,7 +20,7 @@ def quote_sources(quotes: DataFrame, reviews: DataFrame) -> DataFrame:
     ``reviews`` holds ``app, batch_id, name, review_norm``.
     """
     phrases = quotes.select(*_BATCH, F.col("quote").alias("phrase"))
-    return find_phrases(reviews, phrases, _BATCH).withColumnRenamed("phrase", "quote")
+    return find_in_batches(reviews, phrases, _BATCH).withColumnRenamed("phrase", "quote")
 
 
 def verbatim_quotes(quotes: DataFrame, sources: DataFrame) -> DataFrame:
