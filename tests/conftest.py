@@ -12,7 +12,7 @@ def spark(tmp_path_factory):
     from themeloom.session import build_session
 
     session = build_session("4", shuffle_partitions=4)
-    session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoints")))
+    session.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("checkpoints")))
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
