@@ -27,6 +27,7 @@ WHITESPACE_CHARS = (
 # Coding file names and the marks around a batch entry.
 CODING_FILE_PATTERN = r"^batch_(\d+)(?:_(.+))?\.csv$"
 ENTRY_PATTERN = r"^\[ID:(.*?)\] \[rating:(.*?)\] ?(.*)$"
+ENTRY_START_TEXT = "[ID:"
 ENTRY_START = r"(?m)^\[ID:"
 THEME_MARK = "--- 主题："
 THEME_PATTERN = r"\A--- 主题：(.*?) ---"
@@ -40,6 +41,14 @@ PLACEHOLDER_MARKERS = (
 )
 
 # Banners of an assembled prompt, and its closing instruction.
+# The unused pool begins with these lines, or says that nothing is left.
+UNUSED_HEADER = (
+    "# 未使用数据(仅供参考，非批次文件)",
+    "# 这里是当前剩余、尚未进入任何批次的评论。",
+    "# 每次运行 01_sampling_data.py 后本文件会被刷新。",
+)
+UNUSED_NONE = "(无剩余数据)"
+
 PROMPT_RULE = "======================================="
 PROMPT_TITLES = (
     "【第1层:编码规则与方法论】",

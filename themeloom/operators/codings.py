@@ -141,8 +141,10 @@ def union_codings(*tables: DataFrame) -> DataFrame:
     return out
 
 
-def merge_codings(codings: DataFrame) -> DataFrame:
-    """Distinct (code, quote) per app."""
+def merge_codings(codings: DataFrame, fail_on_empty: bool = False) -> DataFrame:
+    """Distinct (code, quote) per app. ``fail_on_empty`` makes nothing to merge an error."""
+    if fail_on_empty and codings.isEmpty():
+        raise ValueError("there are no codings to merge")
     return codings.select("app", "code", "quote").dropDuplicates(["app", "code", "quote"])
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from themeloom.functions import bands, fixed
@@ -57,6 +57,24 @@ def deductive_summary(coded: DataFrame, gap_label: DataFrame | None = None) -> D
     )
 
 
+def deductive_quotes(matches: DataFrame, uncovered: DataFrame, k: int = 2) -> DataFrame:
+    """Per batch and code: quotes and up to k representative ones; the same for each label of the gap.
+
+    ``matches`` holds ``app, batch_id, name, code, term`` (the term found is the quote), ``uncovered`` ``app, batch_id, name,
+    label, review_norm`` (the review is the quote). Each task keeps k quotes of a group before anything is shuffled.
+    """
+    group = ["app", "batch_id", "matched", "label"]
+    rows = matches.select("app", "batch_id", F.lit(True).alias("matched"), F.col("code").alias("label"), F.col("term").alias("quote")).unionByName(
+        uncovered.select("app", "batch_id", F.lit(False).alias("matched"), "label", F.col("review_norm").alias("quote"))
+    )
+    counts = rows.groupBy(*group).agg(F.count(F.lit(1)).alias("n_quotes"))
+    w = Window.partitionBy(*group).orderBy(F.length("quote"), "quote")
+    best = rows.distinct().withColumn("_rank", F.row_number().over(w)).filter(F.col("_rank") <= k).groupBy(*group).agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_rank", "quote"))), lambda q: q["quote"]), " | ").alias("quotes")
+    )
+    return counts.join(best, group)
+
+
 def recurring_gaps(gaps: DataFrame, batch_ordinals: DataFrame) -> DataFrame:
     """Batches in which a gap label completes (or goes on with) a run of three batches.
 

@@ -66,9 +66,11 @@ def with_rolling(totals: DataFrame) -> DataFrame:
 
 
 def saturation_report(
-    codings: DataFrame, entry_counts: DataFrame, coded_batches: DataFrame | None = None
+    codings: DataFrame, entry_counts: DataFrame, coded_batches: DataFrame | None = None, fail_on_empty: bool = False
 ) -> DataFrame:
-    """One row per app and coded batch, all numeric; sort by batch for display."""
+    """One row per app and coded batch, all numeric; sort by batch for display. ``fail_on_empty`` makes no coded batch an error."""
+    if fail_on_empty and codings.filter("batch_id IS NOT NULL").isEmpty() and (coded_batches is None or coded_batches.isEmpty()):
+        raise ValueError("there is no coded batch")
     per_batch = with_new_rate(with_entries(new_codes(codings, coded_batches), entry_counts))
     return with_rolling(with_totals(per_batch)).select(
         "app", "batch_id", "ordinal", "n_codes_total", "n_new", "n_entries", "new_rate", "rolling_mean", "status",

@@ -164,6 +164,9 @@ _add("io5_scan_coding_files", WITH_CODINGS, """lines AS (SELECT app, src_file, d
 _add("io6_write_batches", RUN, select="SELECT app, batch_id, entry FROM batches")
 _add("io7_write_unused", RUN, select=f"""SELECT app, '[ID:' || name || '] [rating:' || rating || '] ' || {norm('review')} AS entry FROM available a
   WHERE NOT EXISTS (SELECT 1 FROM batches b WHERE b.app = a.app AND b.name = a.name)""")
+_add("io7_unused_header", RUN, "apps AS (SELECT DISTINCT app FROM reviews)", f"pool_left AS (SELECT DISTINCT app FROM available a WHERE app <> 'en' AND NOT EXISTS (SELECT 1 FROM batches b WHERE b.app = a.app AND b.name = a.name))",
+     select=f"""SELECT app, unnest([{', '.join(_q(x) for x in fixed.UNUSED_HEADER)}]) AS line FROM apps
+  UNION ALL SELECT app, unnest(['', {_q(fixed.UNUSED_NONE)}]) FROM apps WHERE app NOT IN (SELECT app FROM pool_left)""")
 _add("io8_overwrite_guard", LOG, select="SELECT app, CASE WHEN app = 'en' THEN 'r0' ELSE 'r1' END AS run_id, count(*) AS n, true AS refused FROM log GROUP BY app")
 _add("io9_codebook_csv", WITH_CODINGS, select="SELECT DISTINCT app, code, quote FROM codings")
 _add("io10_export_dictionary", WITH_CODINGS, select="SELECT DISTINCT app, theme AS code, quote AS term FROM codings")
@@ -293,6 +296,11 @@ _add("a8_gap_rate", WITH_CODED, DICT, MATCHES, """hit AS (SELECT app, batch_id,
 _add("a9_deductive_summary", WITH_CODED, DICT, MATCHES, """labelled AS (SELECT c.app, c.name, m.code IS NOT NULL AS matched, coalesce(m.code, c.theme) AS label FROM coded c
   LEFT JOIN (SELECT DISTINCT app, name, code FROM matches) m ON m.name = c.name)""",
      select="""SELECT app, matched, label, count(*) AS n_reviews, CAST(min(CAST(name AS BIGINT)) AS VARCHAR) AS example FROM labelled GROUP BY app, matched, label""")
+_add("a9_deductive_quotes", WITH_CODED, DICT, MATCHES, """placed AS (SELECT c.app, c.batch_id, true AS matched, m.code AS label, m.term AS quote FROM matches m JOIN coded c ON c.name = m.name
+  UNION ALL SELECT c.app, c.batch_id, false, c.theme, c.review_norm FROM coded c WHERE c.name NOT IN (SELECT name FROM matches)),
+best AS (SELECT *, row_number() OVER (PARTITION BY app, batch_id, matched, label ORDER BY length(quote), quote) AS r FROM (SELECT DISTINCT * FROM placed)),
+n AS (SELECT app, batch_id, matched, label, count(*) AS n_quotes FROM placed GROUP BY ALL)""",
+     select="""SELECT n.*, (SELECT string_agg(quote, ' | ' ORDER BY r) FROM best b WHERE b.app = n.app AND b.batch_id = n.batch_id AND b.matched = n.matched AND b.label = n.label AND r <= 2) AS quotes FROM n""")
 _add("a10_gold_agreement", """gold AS (SELECT d.lang AS app, d.doc_id, unnest(CASE WHEN quality = 1 AND toxic = 1 THEN ['quality', 'toxic'] WHEN quality = 1 THEN ['quality']
     WHEN toxic = 1 THEN ['toxic'] ELSE CAST([] AS VARCHAR[]) END) AS code, 'a' AS run FROM labels l JOIN documents d ON d.doc_id = l.doc_id
   UNION ALL SELECT d.lang, d.doc_id, unnest(CASE WHEN n_chars >= 4800 AND toxic = 1 THEN ['quality', 'toxic'] WHEN n_chars >= 600 THEN ['quality']

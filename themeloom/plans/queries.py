@@ -9,7 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from themeloom.functions import text
+from themeloom.functions import fixed, text
 from themeloom.operators import codebook as cb
 from themeloom.operators import codings as cd
 from themeloom.operators import deductive as dd
@@ -99,10 +99,18 @@ def _(spark, d):
 def _(spark, d):
     path, run = b.scratch(spark), _run(spark, d)
     io.write_unused(run.available(), path)
-    io.write_unused(run.unused(), path)  # refreshed as a whole
+    io.write_unused(run.unused(), path, b.reviews(spark, d))  # refreshed as a whole, with a header for each app
     return io.read_unused(spark, path)
 
 
+@query("io7_unused_header")
+def _(spark, d):
+    path, run = b.scratch(spark), _run(spark, d)
+    io.write_unused(run.unused().filter("app <> 'en'"), path, b.reviews(spark, d))
+    lines = spark.read.schema("value string, app string").text(path)
+    return lines.filter(~F.col("value").startswith(fixed.ENTRY_START_TEXT)).select("app", F.col("value").alias("line"))
+
+
 @query("io8_overwrite_guard")
 def _(spark, d):
     path, log = b.scratch(spark), b.sampling_log(spark, d)
@@ -425,6 +433,15 @@ def _(spark, d):
     return dd.deductive_summary(coded, reviews.select("app", "name", F.col("theme").alias("label")))
 
 
+@query("a9_deductive_quotes")
+def _(spark, d):
+    reviews = b.coded_reviews(spark, d)
+    matches = dd.match_dictionary(reviews, b.dictionary(spark, d))
+    placed = matches.join(reviews.select("app", "name", "batch_id"), ["app", "name"])
+    gaps = dd.uncovered_reviews(reviews, matches).withColumn("label", F.col("theme"))
+    return dd.deductive_quotes(placed, gaps)
+
+
 @query("a10_gold_agreement")
 def _(spark, d):
     return ql.gold_agreement(b.gold_assignments(spark, d))

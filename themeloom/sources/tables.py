@@ -81,17 +81,27 @@ def write_batches(batches: DataFrame, path: str, overwrite: bool = False) -> Non
     writer.partitionBy("app", "batch_id").text(path)
 
 
-def write_unused(unused: DataFrame, path: str) -> None:
-    """The unused pool as text lines per app; always replaced as a whole."""
+def write_unused(unused: DataFrame, path: str, apps: DataFrame | None = None) -> None:
+    """The unused pool as text lines per app; always replaced as a whole.
+
+    ``apps`` (``app``) names all apps of the run: each gets the header in a file of its own that sorts first by name
+    of its content, and one with nothing left says so. The pool itself is never joined into one text.
+    """
     rows = unused_lines(unused).select("app", F.col("entry").alias("value"))
+    if apps is not None:
+        left = unused.select("app").distinct().withColumn("_left", F.lit(True))
+        head = apps.select("app").distinct().join(left, "app", "left")
+        lines = F.when(F.col("_left"), "\n".join(fixed.UNUSED_HEADER)).otherwise("\n".join((*fixed.UNUSED_HEADER, "", fixed.UNUSED_NONE)))
+        rows = head.select("app", lines.alias("value")).unionByName(rows)
     rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("app").text(path)
 
 
 def read_unused(spark: SparkSession, path: str) -> DataFrame:
-    """Entries of the unused pool, ``app, entry``. With nothing left there are no app folders."""
+    """Entries of the unused pool, ``app, entry``, without header lines. With nothing written there are no app folders."""
     if "app" not in spark.read.text(path).columns:
         return spark.createDataFrame([], "app string, entry string")
-    return spark.read.schema("value string, app string").text(path).select("app", F.col("value").alias("entry"))
+    lines = spark.read.schema("value string, app string").text(path).filter(F.col("value").startswith(fixed.ENTRY_START_TEXT))
+    return lines.select("app", F.col("value").alias("entry"))
 
 
 def read_batches(spark: SparkSession, path: str) -> DataFrame:
