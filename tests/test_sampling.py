@@ -157,3 +157,13 @@ def test_gold_set(spark):
     gold = sm.gold_set(run.batches, 12)
     first = {r["name"] for r in run.batches.filter("batch_id = 0").collect()}
     assert gold.count() == 12 and {r["name"] for r in gold.collect()} <= first
+
+
+def test_one_plan_for_any_size(spark):
+    r = _reviews(spark, 50)
+
+    def steps(n):
+        plan = sm.stratified_pick(r, n)._jdf.queryExecution().executedPlan().toString()
+        return [x for x in ("WindowGroupLimit", "Window ", "SortMergeJoin", "BroadcastHashJoin", "Exchange") if x in plan]
+
+    assert steps(250) == steps(2_000) == steps(2_000_000)

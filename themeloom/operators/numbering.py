@@ -24,7 +24,11 @@ def batch_slot(batch_id="batch_id") -> Column:
     return F.floor(F.col(batch_id) / BATCHES_PER_SLOT)
 
 
-def hash_slot(key: str, digits: int = 3) -> Column:
+#: Hex digits of a hash slot.
+SLOT_DIGITS = 3
+
+
+def hash_slot(key: str, digits: int = SLOT_DIGITS) -> Column:
     """Leading hex digits of a hash: ordered like the hash and evenly filled."""
     return F.substring(key, 1, digits)
 

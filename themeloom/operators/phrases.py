@@ -145,13 +145,13 @@ def _by_shuffle(
     texts: DataFrame, phrases: DataFrame, scope: list[str], text: str, name: str, classes: set[int], as_set: bool,
     small: bool,
 ) -> DataFrame:
-    """Hashes are shuffled, not text; texts come back by id for the candidates only."""
+    """Hashes find the candidates; texts then meet them by id, which shuffles each text once more."""
     anchors = _phrase_anchors(phrases, scope, minimizers=not as_set)
     keyed = texts.withColumn("_text", F.xxhash64(text))
     if as_set:
         offered = _near_anchors(keyed, anchors, scope, text, classes, small).select(*scope, name, "_text", "_offered")
     else:
-        offered = _offered(keyed, text, classes).select(*scope, name, "_text", "_offered")
+        offered = _offered(keyed, text, classes).select(*scope, name, "_text", F.array_distinct("_offered").alias("_offered"))
     candidates = _explode(offered).join(anchors, [*scope, "_anchor"]).select(*scope, name, "_text", "phrase").distinct()
     inside = F.contains(F.col(text), F.col("phrase"))
     return candidates.join(keyed, [*scope, name, "_text"]).filter(inside).select(*scope, name, "phrase")

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from themeloom import schemas
 from themeloom.functions import text
-from themeloom.operators.numbering import hash_slot, number_rows
+from themeloom.operators.numbering import SLOT_DIGITS, hash_slot, number_rows
 from themeloom.session import fits_broadcast, materialise
 
 
@@ -111,15 +111,32 @@ def _cut(quotas: DataFrame) -> DataFrame:
     )
 
 
+def _finer(counted: DataFrame, cuts: DataFrame) -> DataFrame:
+    """``cuts`` with ``_cut_inner``: the next digits at which the quota is reached within the cut slot.
+
+    Of a slot of a large stratum only the part up to these digits is needed, so the rows that are ranked, with their
+    texts, stay near the quota, whatever the size of the stratum.
+    """
+    within = cuts.select(F.col("app").alias("_a"), F.col("_stratum").alias("_s"), "_cut_slot")
+    same = (F.col("app") == F.col("_a")) & F.col("_stratum").eqNullSafe(F.col("_s")) & (F.col("_slot") == F.col("_cut_slot"))
+    inner = _slot_counts(counted.join(within, same).select("app", "_stratum", F.col("_inner").alias("_slot")))
+    quota = cuts.select(F.col("app").alias("_a"), F.col("_stratum").alias("_s"), F.col("_left").alias("quota"))
+    found = _cut(inner.join(quota, (F.col("app") == F.col("_a")) & F.col("_stratum").eqNullSafe(F.col("_s"))).select(*inner.columns, "quota"))
+    found = found.select(F.col("app").alias("_a"), F.col("_stratum").alias("_s"), F.col("_cut_slot").alias("_cut_inner"))
+    return cuts.join(found, (F.col("app") == F.col("_a")) & F.col("_stratum").eqNullSafe(F.col("_s"))).drop("_a", "_s")
+
+
 def _draw(reviews: DataFrame, log: DataFrame | None, n_total: int, seed: int, stratum: Column) -> DataFrame:
     keyed = reviews.withColumn("pick_key", hash_key("", seed)).withColumn("_slot", hash_slot("pick_key"))
+    keyed = keyed.withColumn("_inner", F.substring("pick_key", SLOT_DIGITS + 1, SLOT_DIGITS))
     keyed = keyed.withColumn("_stratum", stratum)
-    counted = keyed.select("app", "name", "_stratum", "_slot")
+    counted = keyed.select("app", "name", "_stratum", "_slot", "_inner")
     if log is not None:
         log = log.select("app", "name")
         counted = counted.join(log, ["app", "name"], "left_anti")
     strata = _slot_counts(counted).withColumnRenamed("_stratum", "rating")
     cuts = materialise(_cut(stratum_quotas(strata, n_total).withColumnRenamed("rating", "_stratum")))
+    cuts = materialise(_finer(counted, cuts))
 
     r, c = keyed.alias("r"), cuts.alias("c")
     same = (F.col("r.app") == F.col("c.app")) & F.col("r._stratum").eqNullSafe(F.col("c._stratum"))
@@ -128,9 +145,10 @@ def _draw(reviews: DataFrame, log: DataFrame | None, n_total: int, seed: int, st
         near = r.join(c, same & (F.col("r._slot") <= F.col("c._cut_slot")))
     else:
         kept = F.explode(F.filter("_slots", lambda s: s["_slot"] <= F.col("_cut_slot")))
-        c = cuts.select("app", "_stratum", "_cut_slot", "_left", kept.alias("_s")).withColumn("_slot", F.col("_s._slot"))
+        c = cuts.select("app", "_stratum", "_cut_slot", "_cut_inner", "_left", kept.alias("_s")).withColumn("_slot", F.col("_s._slot"))
         near = r.join(c.alias("c"), same & (F.col("r._slot") == F.col("c._slot")))
-    near = near.select("r.*", "c._cut_slot", "c._left")
+    near = near.select("r.*", "c._cut_slot", "c._cut_inner", "c._left")
+    near = near.filter((F.col("_slot") < F.col("_cut_slot")) | (F.col("_inner") <= F.col("_cut_inner")))
     if log is not None:
         # An anti join would be pushed below the cut and shuffle every review; an outer join stays
         # above it, so only survivors are shuffled.
@@ -142,7 +160,7 @@ def _draw(reviews: DataFrame, log: DataFrame | None, n_total: int, seed: int, st
     in_slot = Window.partitionBy("app", "_stratum", "_slot").orderBy(*tie)
     ranked = near.withColumn("_rank", F.row_number().over(in_slot))
     needed = (F.col("_slot") < F.col("_cut_slot")) | (F.col("_rank") <= F.col("_left"))
-    return ranked.filter(needed & (F.col("_rank") <= n_total)).select(*reviews.columns, "pick_key")
+    return ranked.filter(needed).select(*reviews.columns, "pick_key")
 
 
 def simple_sample(reviews: DataFrame, n_total: int, seed: int = 42, log: DataFrame | None = None) -> DataFrame:
