@@ -23,13 +23,15 @@ from itertools import compress
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from llm.tables import stored
 from llm.words import STEP_BYTES, mix, signed, steps, text_parts, window_hashes, window_owner, words_of
 
 WINDOW, ANCHOR = 35, 8
+#: A longer passage is compiled in pieces of this many words, which overlap so that each window lies in one.
+PIECE = 1024
 #: Words are code points from here on, 2 ** 20 of them.
 FIRST_CODE, CODE_BITS = 0x10000, 20
 #: What names a row: its doc_id (a null as -1) and a hash of its text.
@@ -140,7 +142,7 @@ def located(words, hashes: np.ndarray, spans: list[tuple[int, int]]) -> np.ndarr
 
 
 def passage_spans(spans: pa.ListArray, first: np.ndarray) -> list[tuple[int, int]]:
-    """Maximal runs of recurring windows as words (first, last + 1), from region masks of each text."""
+    """Maximal runs of recurring windows as words (first, last + 1), from region masks of each text, in pieces of ``PIECE``."""
     rows = spans.flatten()
     if not len(rows):
         return []
@@ -152,7 +154,8 @@ def passage_spans(spans: pa.ListArray, first: np.ndarray) -> list[tuple[int, int
     text = np.searchsorted(first, at, "right")
     breaks = np.flatnonzero((np.diff(at) != 1) | (np.diff(text) != 0)) + 1
     begins, ends = at[np.concatenate([[0], breaks])], at[np.concatenate([breaks - 1, [len(at) - 1]])] + WINDOW
-    return list(zip(begins.tolist(), ends.tolist(), strict=True))
+    runs = zip(begins.tolist(), ends.tolist(), strict=True)
+    return [(at, min(at + PIECE, b)) for a, b in runs for at in range(a, b - WINDOW + 1, PIECE - WINDOW + 1)]
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,26 +179,31 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def other_key(name: str) -> Column:
+    """``k``: another key for the same values, so that a join with their counts is dealt out anew and not where they were
+    counted; only then can a frequent value be split among tasks."""
+    return F.col(name).bitwiseXOR(F.lit(1)).alias("k")
+
+
 def cut_passages(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, n_removed and kept_text (the other words, joined by a space) of every document."""
     docs = docs.select("doc_id", "text", F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)).alias("id"), F.hash("text").alias("tail"))
     found = docs.select("text", *ROW).mapInArrow(_regions, "anchor bigint, region bigint, id bigint, tail int, first int, n int")
-    # another key than the anchor itself, so that the join is dealt out anew and a frequent anchor can be split among tasks
-    again = found.groupBy("anchor").agg(F.count("*").alias("times")).filter("times > 1").select(F.col("anchor").bitwiseXOR(F.lit(1)).alias("k"))
-    hits = stored(found.withColumn("k", F.col("anchor").bitwiseXOR(F.lit(1))).join(again, "k", "left_semi").drop("k"))
+    again = found.groupBy("anchor").agg(F.count("*").alias("times")).filter("times > 1").select(other_key("anchor"))
+    hits = stored(found.withColumn("k", other_key("anchor")).join(again, "k", "left_semi").drop("k"))
 
     # one row of each distinct region, with a place where it can be read
     region = hits.groupBy("anchor", "region").agg(F.count("*").alias("times"), F.min(F.struct(*ROW, "first", "n")).alias("at"))
     region = stored(region.select("anchor", "region", "times", "at.*"))
     # anchors with a region that was seen once: windows of all their regions count
-    unsure = region.filter("times = 1").select("anchor").distinct()
-    listed = region.join(unsure, "anchor", "left_semi").groupBy(*ROW).agg(
+    unsure = region.filter("times = 1").select("anchor").distinct().select(other_key("anchor"))
+    listed = region.withColumn("k", other_key("anchor")).join(unsure, "k", "left_semi").groupBy(*ROW).agg(
         F.collect_list(F.struct("anchor", "region", "first", "n", "times")).alias("listed")
     )
     texts = docs.join(listed, ROW).select("text", "listed")
     windows = stored(texts.mapInArrow(_windows, "window bigint, anchor bigint, region bigint, place int, times bigint"))
-    twice = windows.groupBy("window").agg(F.sum("times").alias("times")).filter("times > 1").select(F.col("window").bitwiseXOR(F.lit(1)).alias("k"))
-    single = windows.filter("times = 1").withColumn("k", F.col("window").bitwiseXOR(F.lit(1))).join(twice, "k", "left_semi").groupBy("anchor", "region").agg(
+    twice = windows.groupBy("window").agg(F.sum("times").alias("times")).filter("times > 1").select(other_key("window"))
+    single = windows.filter("times = 1").withColumn("k", other_key("window")).join(twice, "k", "left_semi").groupBy("anchor", "region").agg(
         F.bit_or(F.expr("shiftleft(1L, place)")).alias("mask")
     )
     masks = region.filter("times > 1").select("anchor", "region", F.expr("shiftleft(1L, n) - 1").alias("mask")).union(single)

@@ -27,8 +27,8 @@ from pyspark.sql import functions as F
 from llm.graph import components
 from llm.tables import stored
 
-#: Members a cell should have on average; pivots at most; members of a chunk.
-CELL, PIVOTS, CHUNK = 8192, 1024, 2048
+#: Members a cell should have on average; pivots at most; members of a chunk; guests that meet a chunk at once.
+CELL, PIVOTS, CHUNK, MEET = 8192, 1024, 8192, 256
 SLACK = 1e-9
 
 
@@ -142,8 +142,8 @@ def _join(cosine: float):
                 if chunk is None:
                     chunk = Chunk(np.concatenate([w[0] for w in waiting]), np.concatenate([w[1] for w in waiting]), cosine)
                 copies = part.column("copies").to_numpy()
-                for at in range(0, len(rep), 1024):
-                    chunk.meet(rep[at : at + 1024], copies[at : at + 1024], x[at : at + 1024])
+                for at in range(0, len(rep), MEET):
+                    chunk.meet(rep[at : at + MEET], copies[at : at + MEET], x[at : at + MEET])
         if chunk is not None:
             yield result()
 

@@ -44,6 +44,13 @@ def test_passages_overlap_of_equal_windows(make):
     same(table(passages.digests(make(rows)), "doc_id", "n_words", "n_removed", "kept_sha256"), brute.passages(rows))
 
 
+def test_long_passages_are_compiled_in_pieces(make, monkeypatch):
+    monkeypatch.setattr(passages, "PIECE", 40)
+    text = " ".join(f"w{i}" for i in range(300))
+    rows = [(1, text), (2, "before " + text + " after"), (3, " ".join(text.split()[100:180])), (4, "x " * 300)]
+    same(table(passages.digests(make(rows)), "doc_id", "n_words", "n_removed", "kept_sha256"), brute.passages(rows))
+
+
 # 2 embeddings
 
 
