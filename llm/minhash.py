@@ -10,7 +10,7 @@
 4. The confirmed links give the components.
 
 Null or empty texts have empty sets and link with nothing. A text with fewer words than a shingle is one shingle.
-Rows that repeat a doc_id are judged like other rows. Only ``doc_id`` and ``text`` are read.
+Rows that share a doc_id are one node: what links with one of them links with all. Only ``doc_id`` and ``text`` are read.
 """
 
 from __future__ import annotations
@@ -174,7 +174,6 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, part: int = 80, whole: in
         F.greatest(F.ceil(F.count("*") / CHUNK_DOCS), F.ceil(F.sum("n_shingles") / CHUNK_SHINGLES), F.lit(1)).cast("int").alias("chunks")
     )
     placed = clusters.join(chunks, "component").select("id", "component", "chunks", F.pmod(F.xxhash64("id"), "chunks").cast("int").alias("chunk"))
-    # one row of each representative: a doc_id that repeats with another text has another class
     texts = docs.join(placed, docs.doc_id == placed.id).select("doc_id", "component", "chunks", "chunk", "text")
     sets = texts.mapInArrow(_sets(shingle), "doc_id bigint, component bigint, chunks int, chunk int, shingles binary")
     blocks = sets.withColumn("k", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select(

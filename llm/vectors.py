@@ -12,7 +12,7 @@ enough for the components. How far cells prune depends on the data: vectors spre
 cells as neighbours, and the join then compares all pairs, in blocks.
 
 A vector that is null, zero or has a null or non-finite component links with nothing; so do vectors of different lengths.
-An empty table gives no rows. Rows that repeat a vec_id are judged like other rows.
+An empty table gives no rows. Rows that share a vec_id are one node: they do not link with each other, and their links add up.
 """
 
 from __future__ import annotations
@@ -181,7 +181,7 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.9) -> DataFrame:
         .select("width", "cell", "chunk", "kind", "rep", "copies", "embedding").mapInArrow(_join(cosine), "a bigint, b bigint, links bigint")
     )
     joined = components(found.filter("b is not null").select("a", "b"))
-    links = found.filter("b is null").select(F.col("a").alias("rep"), "links")
+    links = found.filter("b is null").groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("links"))
     per_class = classes.join(links, "rep").join(joined, F.col("rep") == F.col("id"), "left").select(
         "embedding", (F.col("links") + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component_id")
     )

@@ -81,6 +81,8 @@ def test_vectors_that_link_with_nothing(spark):
     got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in vectors.near_vectors(vectors_of(spark, rows)).collect()}
     assert got == {**{i: (0, i, True) for i in (1, 2, 3, 4, 5, 8, 9)}, 6: (1, 6, True), 7: (1, 6, False)}
     assert vectors.near_vectors(vectors_of(spark, [])).count() == 0
+    again = vectors.near_vectors(vectors_of(spark, [(1, [1.0, 0.0]), (1, [0.0, 1.0]), (1, [1.0, 0.0]), (2, [3.0, 0.1])])).collect()
+    assert len(again) == 4 and {(r.vec_id, r.component_id) for r in again} == {(1, 1), (2, 1)}
 
 
 # 3 language model
