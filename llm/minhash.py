@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from llm.graph import components
 from llm.tables import groups, stored
-from llm.words import LOWER_KEYS, mix, signed, steps, window_hashes, window_owner, words_of
+from llm.words import LOWER_KEYS, mix, signed, steps, window_hashes, words_of
 
 BANDS, ROWS = 32, 4
 #: Estimates this far below the threshold are not looked at; 5.7 standard deviations of 128 minima.
