@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from themeloom.functions import fixed, text
 
-# Layers are whole documents, so fewer of them are broadcast than of plain ids.
-_LAYER_ROWS = 2_000
 _LAYERS = (1, 2, 3, 4)
 
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 # Largest table that may be broadcast, in rows, after its rows have been counted.
 BROADCAST_ROWS = 200_000
