@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from llm.words import steps
 
 #: Unicode's White_Space, as the vocabulary's pattern understands \s.
-WHITE_SPACE = r"\t-\r \x85\xa0  -     　"
+WHITE_SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 PIECES = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{WHITE_SPACE}\p{{L}}\p{{N}}]+")
 # Letters and digits of Unicode versions after the one the vocabulary's tokenizer was built with (it takes
 # them as other characters), and capital letters younger than Python's tables.
