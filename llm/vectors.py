@@ -108,10 +108,12 @@ class Chunk:
         for g in np.flatnonzero(close.any(0)):
             mine = np.flatnonzero(close[:, g])
             self.forest.append((int(self.rep[mine[0]]), int(rep[g])))
-            for label in np.unique(self.label[mine])[1:]:
-                # two members with one guest in common are tied by it
-                self.forest.append((int(self.rep[np.flatnonzero(self.label == label)[0]]), int(rep[g])))
-                self.label[self.label == label] = self.label[mine[0]]
+            base = self.label[mine[0]]
+            for label in np.unique(self.label[mine]):
+                if label != base:
+                    # two members with one guest in common are tied by it
+                    self.forest.append((int(self.rep[np.flatnonzero(self.label == label)[0]]), int(rep[g])))
+                    self.label[self.label == label] = base
 
 
 def _join(cosine: float):

@@ -76,6 +76,28 @@ def test_vectors_equal_brute_force(spark, monkeypatch):
     assert [(got[i].n_links, got[i].component_id, got[i].kept) for i in range(150)] == [(int(close[i].sum()), found[i], found[i] == i) for i in range(150)]
 
 
+def test_vectors_of_a_chain_are_one_component_in_any_order(spark):
+    # neighbours on the circle are linked, others not
+    x = [[float(np.cos(a)), float(np.sin(a))] for a in np.deg2rad(20 * np.arange(6))]
+    random = np.random.default_rng(4)
+    for ids in [[2, 3, 6, 5, 4, 1], *(random.permutation(6) + 1 for _ in range(3))]:
+        got = vectors.near_vectors(vectors_of(spark, [(int(i), v) for i, v in zip(ids, x, strict=True)])).collect()
+        assert sorted((r.vec_id, r.component_id) for r in got) == [(i, 1) for i in range(1, 7)]
+        assert sum(r.n_links for r in got) == 10
+
+
+def test_forest_of_a_chunk_ties_all_that_is_linked():
+    x = np.array([[np.cos(a), np.sin(a)] for a in np.deg2rad(20 * np.arange(9))])
+    random = np.random.default_rng(6)
+    for _ in range(200):
+        ids = random.permutation(9)  # of the places on the circle
+        chunk = vectors.Chunk(np.arange(9), x[ids], 0.9)
+        for at in range(0, 9, 2):
+            guests = np.arange(9)[at : at + 2]
+            chunk.meet(guests, np.ones(len(guests), np.int64), x[ids[guests]])
+        assert set(brute.groups(range(9), chunk.forest).values()) == {0}
+
+
 def test_vectors_that_link_with_nothing(spark):
     rows = [(1, None), (2, [0.0, 0.0]), (3, [1.0, None]), (4, [float("nan"), 1.0]), (5, [float("inf"), 1.0]), (6, [1.0, 0.0]), (7, [2.0, 0.0]), (8, [1.0]), (9, [])]
     got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in vectors.near_vectors(vectors_of(spark, rows)).collect()}
