@@ -208,6 +208,73 @@ def test_license_rules_need_their_sentences_in_order(make, nothing):
     assert licenses.scan(nothing).count() == 0
 
 
+MIT = """MIT License
+
+Copyright (c) 2020 Someone
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+"""
+APACHE = """# Copyright 2020 Someone
+#
+# Licensed under the Apache License, Version 2.0 (the "License");
+# you may not use this file except in compliance with the License.
+# You may obtain a copy of the License at
+#
+#     http://www.apache.org/licenses/LICENSE-2.0
+#
+# Unless required by applicable law or agreed to in writing, software
+# distributed under the License is distributed on an "AS IS" BASIS,
+# WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+"""
+GPL = """    This program is free software: you can redistribute it and/or modify
+    it under the terms of the GNU General Public License as published by
+    the Free Software Foundation, either version 3 of the License, or
+    (at your option) any later version.
+
+    This program is distributed in the hope that it will be useful,
+    but WITHOUT ANY WARRANTY; without even the implied warranty of
+    MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+    GNU General Public License for more details.
+
+    You should have received a copy of the GNU General Public License
+    along with this program.  If not, see <https://www.gnu.org/licenses/>.
+"""
+BSD = """Copyright (c) 2020, Someone
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+"""
+MPL = """/* This Source Code Form is subject to the terms of the Mozilla Public
+ * License, v. 2.0. If a copy of the MPL was not distributed with this
+ * file, You can obtain one at https://mozilla.org/MPL/2.0/. */
+"""
+
+
+def test_public_texts_as_they_are_wrapped(make):
+    texts = [MIT, APACHE, GPL, BSD, MPL, " ".join(GPL.split("\n")), MIT.replace("\n", "\r\n"), "Licensed under\n\nCC BY 4.0."]
+    got = {r.doc_id: r.licenses for r in licenses.scan(make(list(enumerate(texts)))).collect()}
+    assert got == {
+        0: "mit-text", 1: "apache-2.0-header,apache-2.0-notice", 2: "gpl-3.0-header", 3: "bsd-text,rights-reserved", 4: "mpl-2.0-header",
+        5: "gpl-3.0-header", 6: "mit-text", 7: "",
+    }
+
+
+def test_known_sentences_are_read_as_themselves():
+    ids, pattern = licenses._known()
+    for name, text in [(n, t) for n, more in licenses.WORDINGS.items() for t in more] + list(licenses.SENTENCES.items()):
+        parts = licenses.re.findall(pattern, licenses.marked(text))
+        assert [ids.get(licenses.plain(x)) for x in parts] == [licenses.NUMBER[name]], (name, parts)
+
+
 # 6 language
 
 
