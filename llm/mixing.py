@@ -1,26 +1,34 @@
-"""Mixing sources to target weights by Pfair scheduling, with DataFrame functions only.
-
-The documents of each source, in the order of a hash of doc_id, are cut into blocks of ``block`` documents. The mix runs in
-cycles of ``cycle`` blocks; source ``s`` has ``quota`` blocks in a cycle, in proportion to its weight (largest remainders,
-one at least). In a cycle of W blocks the i-th of a source's q blocks is released at slot floor((i - 1) * W / q) and due
-by slot ceil(i * W / q); each slot takes the released block that is due first (ties: the source that sorts first). So at
-each slot no source is a whole block away from its target. A source that runs out has its last blocks in one shorter cycle,
-after which the others share the slots in proportion to their quotas; no document is dropped or repeated.
-
-Cycles of the same quotas have the same order, and there are at most two kinds of cycles for each source and one more, so
-the order is worked out once for each kind, on a table of sources, and joined to the blocks. Sources may number up to the
-cycle's length; more raise an error in the query. Weights default to the square root of a source's documents. A null source
-is a source of its own and sorts first. Rows that repeat a doc_id are told apart by text; an empty table gives no rows.
+"""Mixing sources to target weights by Pfair scheduling.
+
+The documents of each source, in the order of a hash of doc_id, are cut into blocks of ``block`` documents. Each source has a
+target: the slots are shared in proportion to the weights, exactly and over the whole run; once a source's blocks are used up,
+the others share the slots in proportion to theirs. With ``T(v)`` = sum over sources of min(weight * v, blocks), block i of a
+source of weight w is released at slot floor(T(i / w)) and due by slot ceil(T((i + 1) / w)); each slot takes the released
+block that is due first (ties: the source that sorts first). So at each slot no source is a whole block away from its target,
+also after others ran out; no document is dropped or repeated.
+
+The order depends on the sources' counts and weights only. The driver works it out with two heaps in exact integers, in
+time blocks * log(sources), from a row for each source, of which there may be any number; the documents are numbered and
+joined to it with DataFrame functions. Weights default to the square root of a source's documents. A null source is a source
+of its own and sorts first. Rows that repeat a doc_id are told apart by text; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import heapq
+from collections.abc import Mapping, Sequence
+from fractions import Fraction
+from math import isfinite, lcm
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Documents of a block. The cycle serves the SQL twin only.
 BLOCK, CYCLE = 16, 400
+#: Blocks whose slots are broadcast; more are joined by a shuffle.
+SENT = 1_000_000
 #: Documents are numbered within hash slots; a slot holds about this many rows.
 SLOT_ROWS = 2000
 HEX = 6
@@ -33,8 +41,8 @@ def _numbered(docs: DataFrame, counts: DataFrame) -> DataFrame:
     a slot come from running sums over the slots.
     """
     digits = F.least(F.lit(HEX), F.ceil(F.log(16.0, F.greatest(F.col("docs") / SLOT_ROWS, F.lit(1.0))))).cast("int")
-    # one row for each source, of which there are no more than blocks in a cycle
-    cut = docs.join(F.broadcast(counts.select("_source", digits.alias("digits"))), "_source")
+    # one row for each source
+    cut = docs.join(F.broadcast(counts.select("_source", "_index", digits.alias("digits"))), "_source")
     cut = cut.withColumn("_slot", F.substring("_key", F.lit(1), F.col("digits"))).drop("digits")
     # slots of a source number about its documents / SLOT_ROWS; their sizes are summed up in two steps
     sizes = cut.groupBy("_source", "_slot").agg(F.count("*").alias("n")).withColumn("_lead", F.substring("_slot", 1, 2))
@@ -49,73 +57,62 @@ def _numbered(docs: DataFrame, counts: DataFrame) -> DataFrame:
     return ranked.join(sizes, ["_source", "_slot"]).withColumn("rank", F.col("before") + F.col("_row") - 1).drop("before", "_row", "_slot")
 
 
-def _quotas(counts: DataFrame, cycle: int) -> DataFrame:
-    """Blocks of each source in a full cycle: largest remainders of the weights, one at least."""
-    every = Window.partitionBy(F.lit(0))
-    shares = counts.withColumn("exact", F.col("weight") / F.sum("weight").over(every) * cycle)
-    crowd = F.when(F.count("*").over(every) > cycle, F.raise_error(F.lit("more sources than blocks in a cycle")).cast("double"))
-    shares = shares.withColumn("exact", F.coalesce(crowd, "exact"))
-    shares = shares.withColumn("whole", F.greatest(F.floor("exact"), F.lit(1)).cast("long"))
-    left = F.lit(cycle) - F.sum("whole").over(every)
-    order = Window.partitionBy(F.lit(0)).orderBy(F.desc(F.col("exact") - F.floor("exact")), "_source")
-    return shares.withColumn("left", left).withColumn("turn", F.row_number().over(order)).withColumn(
-        "quota", F.col("whole") + F.when(F.col("turn") <= F.col("left"), 1).otherwise(0)
-    )
-
-
-def _earliest_due(quotas: Column) -> Column:
-    """Order of one cycle: for each slot the index in ``quotas`` of the source whose released block is due first."""
-    total = F.aggregate(quotas, F.lit(0).cast("long"), lambda t, q: t + q)
-    start = F.struct(F.transform(quotas, lambda q: F.lit(0).cast("long")).alias("done"), F.array().cast("array<int>").alias("order"))
-
-    def step(state: Column, slot: Column) -> Column:
-        done = state["done"]
-        due = F.transform(
-            quotas,
-            lambda q, k: F.when(
-                (F.get(done, k) < q) & (F.floor(F.get(done, k) * total / q) <= slot),
-                F.struct(F.ceil((F.get(done, k) + 1) * total / q).alias("due"), k.alias("k")),
-            ),
-        )
-        pick = F.array_min(due)["k"]
-        return F.struct(
-            F.transform(done, lambda n, k: n + F.when(k == pick, 1).otherwise(0).cast("long")).alias("done"),
-            F.concat(state["order"], F.array(pick)).alias("order"),
-        )
-
-    return F.when(total > 0, F.aggregate(F.sequence(F.lit(0).cast("long"), total - 1), start, step)["order"])
-
-
-def _schedule(quotas: DataFrame) -> DataFrame:
-    """A row for each kind of cycle, source and turn: first and last cycle of the kind, slots before it, slot in a cycle."""
-    one = quotas.agg(F.array_sort(F.collect_list(F.struct("_source", F.col("quota").cast("long").alias("quota"), F.col("blocks").cast("long").alias("blocks")))).alias("all"))
-    full = F.transform("all", lambda s: F.floor(s["blocks"] / s["quota"]))
-    bounds = F.array_sort(F.array_distinct(F.concat(F.array(F.lit(0).cast("long")), full, F.transform(full, lambda c: c + 1))))
-    kinds = one.withColumn("bounds", bounds).select("all", "bounds", F.posexplode("bounds").alias("kind", "cycle"))
-    kinds = kinds.withColumn("next", F.coalesce(F.get("bounds", F.col("kind") + 1), F.col("cycle") + 1))
-    quota = F.transform(
-        "all",
-        lambda s: F.when(F.col("cycle") < F.floor(s["blocks"] / s["quota"]), s["quota"])
-        .when(F.col("cycle") == F.floor(s["blocks"] / s["quota"]), s["blocks"] % s["quota"]).otherwise(0),
-    )
-    kinds = kinds.withColumn("quotas", quota).withColumn("size", F.aggregate("quotas", F.lit(0).cast("long"), lambda t, q: t + q)).filter("size > 0")
-    before = Window.partitionBy(F.lit(0)).orderBy("cycle").rowsBetween(Window.unboundedPreceding, -1)
-    kinds = kinds.withColumn("slots_before", F.coalesce(F.sum((F.col("next") - F.col("cycle")) * F.col("size")).over(before), F.lit(0)))
-    slots = kinds.withColumn("order", _earliest_due(F.col("quotas"))).select(
-        "all", "cycle", "next", "size", "slots_before", F.posexplode("order").alias("slot_in_cycle", "k")
-    )
-    turn = F.row_number().over(Window.partitionBy("cycle", "k").orderBy("slot_in_cycle")) - 1
-    return slots.withColumn("turn", turn).select(
-        F.get("all", F.col("k"))["_source"].alias("s"),
-        "turn", "cycle", "next", "size", "slots_before", "slot_in_cycle",
-    )
+def order_of(weights: Sequence[float], blocks: Sequence[int]) -> np.ndarray:
+    """For each slot the index of the source whose block it takes."""
+    if not all(isfinite(w) and w > 0 for w in weights):
+        raise ValueError("weights have to be positive")
+    exact = [Fraction(w) for w in weights]
+    scale = lcm(*[w.denominator for w in exact])
+    w = [int(x * scale) for x in exact]
+    # sources in the order in which their targets run out, the blocks of those before and the weights of those left
+    ends = sorted(range(len(w)), key=lambda s: Fraction(blocks[s], w[s]))
+    gone, left = [0], [sum(w)]
+    for s in ends:
+        gone.append(gone[-1] + blocks[s])
+        left.append(left[-1] - w[s])
+    past = [0] * len(w)  # sources whose targets had run out at the end of the last window looked at, for each source
+
+    def window(s: int, i: int) -> tuple[int, int]:
+        """Release and due slot of block ``i``."""
+        release = (gone[past[s]] * w[s] + left[past[s]] * i) // w[s]
+        while past[s] < len(ends) and blocks[ends[past[s]]] * w[s] <= (i + 1) * w[ends[past[s]]]:
+            past[s] += 1
+        return release, -(-(gone[past[s]] * w[s] + left[past[s]] * (i + 1)) // w[s])
+
+    order, done = np.empty(sum(blocks), np.int32), [0] * len(w)
+    waiting = [(release, s, due) for s in range(len(w)) if blocks[s] for release, due in [window(s, 0)]]
+    heapq.heapify(waiting)
+    ready: list[tuple[int, int]] = []
+    for slot in range(len(order)):
+        while waiting and waiting[0][0] <= slot:
+            _, s, due = heapq.heappop(waiting)
+            heapq.heappush(ready, (due, s))
+        s = heapq.heappop(ready)[1]
+        order[slot] = s
+        done[s] += 1
+        if done[s] < blocks[s]:
+            release, due = window(s, done[s])
+            heapq.heappush(waiting, (release, s, due))
+    return order
+
+
+def _schedule(docs: DataFrame, order: np.ndarray) -> DataFrame:
+    """_index of the source, block_no and slot of every block."""
+    slot = np.argsort(order, kind="stable")
+    index = order[slot]
+    begin = np.flatnonzero(np.r_[True, index[1:] != index[:-1]]) if len(index) else np.zeros(0, int)
+    block_no = np.arange(len(index)) - np.repeat(begin, np.diff(np.r_[begin, len(index)]))
+    rows = pa.table({"_index": pa.array(index, pa.int32()), "block_no": pa.array(block_no, pa.int64()), "slot": pa.array(slot, pa.int64())})
+    schedule = docs.sparkSession.createDataFrame(rows)
+    return F.broadcast(schedule) if len(order) <= SENT else schedule
 
 
 def mix(docs: DataFrame, weights: Mapping[str, float] | None = None, block: int = BLOCK, cycle: int = CYCLE) -> DataFrame:
     """``docs`` with ``block_no`` (within the source, from 0), ``slot`` (of the block in the mix, from 0) and
     ``place`` (of the document in its block, from 0); sorting by slot and place gives the mix.
 
-    ``weights`` maps sources to positive weights; sources without one get none of theirs and are an error.
+    ``weights`` maps sources to positive weights; a source without one is an error. ``cycle`` has no effect: targets hold over
+    the whole run.
     """
     docs = docs.drop("block_no", "slot", "place")
     tie = F.xxhash64("text") if "text" in docs.columns else F.lit(0)
@@ -130,20 +127,14 @@ def mix(docs: DataFrame, weights: Mapping[str, float] | None = None, block: int
     else:
         given = F.create_map(*[x for k, w in sorted(weights.items()) for x in (F.lit(k), F.lit(float(w)))])
         weight = F.coalesce(given[F.substring("_source", F.lit(2), F.length("_source"))], F.raise_error(F.lit("a source has no weight")).cast("double"))
-    counts = counts.withColumn("weight", weight).withColumn("blocks", F.ceil(F.col("docs") / block))
-    quotas = _quotas(counts, cycle)
-    schedule = _schedule(quotas)
+    counts = counts.withColumn("weight", weight).withColumn("blocks", F.ceil(F.col("docs") / block).cast("long"))
+    sources = sorted(counts.collect(), key=lambda r: r["_source"])  # a row for each source
+    order = order_of([r["weight"] for r in sources], [r["blocks"] for r in sources])
+    rows = [(r["_source"], r["docs"], k) for k, r in enumerate(sources)]
+    counts = docs.sparkSession.createDataFrame(rows, "_source string, docs bigint, _index int")
     numbered = _numbered(work, counts).withColumn("block_no", F.floor(F.col("rank") / block).cast("long"))
-    own = quotas.select("_source", F.col("quota").cast("long").alias("quota"))
-    numbered = numbered.join(F.broadcast(own), "_source").withColumn("place", (F.col("rank") % block).cast("int"))
-    numbered = numbered.withColumn("_cycle", F.floor(F.col("block_no") / F.col("quota"))).withColumn("_turn", F.col("block_no") % F.col("quota"))
-    # a row for each slot of each kind of cycle: cycle * (2 * sources + 1) at most
-    placed = numbered.join(
-        F.broadcast(schedule),
-        (numbered._source == schedule.s) & (numbered._turn == schedule.turn) & (numbered._cycle >= schedule.cycle) & (numbered._cycle < schedule.next),
-    )
-    slot = F.col("slots_before") + (F.col("_cycle") - F.col("cycle")) * F.col("size") + F.col("slot_in_cycle")
-    return placed.select("_doc.*", "block_no", slot.cast("long").alias("slot"), "place")
+    numbered = numbered.withColumn("place", (F.col("rank") % block).cast("int"))
+    return numbered.join(_schedule(docs, order), ["_index", "block_no"]).select("_doc.*", "block_no", "slot", "place")
 
 
 def mixed(docs: DataFrame) -> DataFrame:

@@ -374,6 +374,29 @@ def test_mix_keeps_rows_and_stays_within_a_block(make, spark, nothing):
     assert mixing.mix(nothing).count() == 0
 
 
+@pytest.mark.parametrize(
+    "weights, blocks",
+    [([1, 1, 1], [9000] * 3), ([1, 1000], [40, 30000]), ([0.1, 0.2, 0.7, 3**0.5, 5], [900, 90, 2000, 1500, 300]), ([1.0 + k % 7 / 3 for k in range(900)], [5 + k % 11 for k in range(900)])],
+)
+def test_order_stays_within_a_block_of_the_true_target_over_the_whole_run(weights, blocks):
+    order = mixing.order_of(weights, blocks)
+    assert np.bincount(order).tolist() == blocks
+    w, n = np.array(weights, float), np.array(blocks, float)
+    ends = np.sort(n / w)
+    slots_at = np.minimum(w * ends[:, None], n).sum(1)  # slots when a target runs out
+    v = np.interp(np.arange(1, len(order) + 1), np.r_[0, slots_at], np.r_[0, ends])
+    for s in range(len(w)):
+        assert np.abs(np.cumsum(order == s) - np.minimum(w[s] * v, n[s])).max() < 1 + 1e-6
+
+
+def test_mix_of_more_sources_than_400(make):
+    docs = make([(i, "t") for i in range(1000)]).withColumn("source", F.expr("concat('s', doc_id % 450)"))
+    got = mixing.mix(docs, block=2).collect()
+    assert sorted(r.doc_id for r in got) == list(range(1000))
+    assert sorted({(r.slot, r.source) for r in got}) == sorted((r.slot, r.source) for r in {r.slot: r for r in got}.values())
+    assert len({(r.slot, r.place) for r in got}) == 1000 and {r.slot for r in got} == set(range(len({r.slot for r in got})))
+
+
 # 9 near-duplicates
 
 
