@@ -1,6 +1,7 @@
 """From raw documents to token ids: five stages, each written as Parquet and read again by the next.
 
-Every stage takes ``(spark, docs, sf_dir)`` and returns the columns of ``documents``; the last returns token ids. Each works on
+Every stage takes ``(spark, docs, sf_dir)`` and returns the columns of ``documents``; the last returns token ids and the
+position in the mix, as scans do not keep the order of the files. Each works on
 all rows that its predecessor kept and learns what it needs from them. An empty table passes through all stages; a null text
 is rejected by the first.
 """
@@ -8,7 +9,7 @@ is rejected by the first.
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from llm import bpe, language, lines, minhash, mixing
@@ -45,12 +46,25 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mix(docs.select(*COLUMNS)).orderBy("slot", "place", "doc_id").select(*COLUMNS)
 
 
+def placed(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``position``: the number of the row in its files, which follow one another by number, from 0. Of a table
+    that does not come from files it only rises with the rows."""
+    if not docs.inputFiles():
+        return docs.withColumn("position", F.monotonically_increasing_id())
+    name = F.col("_metadata.file_name")
+    sizes = docs.groupBy(name.alias("_file")).agg(F.count("*").alias("_rows"))
+    before = Window.orderBy(F.regexp_extract("_file", r"^part-(\d+)", 1).cast("bigint"), "_file").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_file", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))  # a row for each file
+    own = docs.select("*", name.alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    return own.join(F.broadcast(starts), "_file").withColumn("position", F.col("_start") + F.col("_row")).drop("_file", "_start", "_row")
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids (little-endian unsigned 32-bit integers), and the digest of what they decode to."""
+    """Token ids (little-endian unsigned 32-bit integers), the digest of what they decode to, and ``position`` in the mix."""
     small_batches(spark)
     path = public_tokenizers.path("word_bpe_49k.json")
-    done = bpe.round_trip(docs.select("doc_id", "lang", "source", "text"), path)
-    return done.select("doc_id", "lang", "source", "n_tokens", "ids", F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+    done = bpe.round_trip(placed(docs).select("doc_id", "lang", "source", "position", "text"), path)
+    return done.select("doc_id", "lang", "source", "position", "n_tokens", "ids", F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
 STAGES = [

@@ -6,8 +6,12 @@ import brute
 import corpus_pipeline
 import numpy as np
 import public_tokenizers
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from llm import mixing
+from llm.tables import stored
+
 
 def test_stages_one_by_one(spark, docs, rows):
     stages = dict(corpus_pipeline.STAGES)
@@ -34,6 +38,23 @@ def test_stages_one_by_one(spark, docs, rows):
         assert np.frombuffer(r.ids, "<u4").tolist() == library.encode(want[r.doc_id], add_special_tokens=False).ids
 
 
+def test_position_is_that_of_the_mix_after_the_reread(spark, make):
+    docs = make([(i, f"document {i}") for i in range(1200)]).withColumn("source", F.expr("if(doc_id % 6 = 0, 'a', 'b')"))
+    stages = dict(corpus_pipeline.STAGES)
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, "false")  # several files
+    read = stored(stages["mix_sources"](spark, docs, ""))
+    spark.conf.unset(key)
+    assert len(read.inputFiles()) > 1
+    got = stages["encode"](spark, read, "").orderBy("position").collect()
+    assert [r.position for r in got] == list(range(1200))
+    want = mixing.mix(docs).orderBy("slot", "place", "doc_id").collect()
+    assert [r.doc_id for r in got] == [r.doc_id for r in want]
+    share = 200**0.5 / (200**0.5 + 1000**0.5)
+    for n in range(1, 400):
+        assert abs(sum(r.source == "a" for r in got[:n]) - share * n) < 2 * mixing.BLOCK
+
+
 def test_empty_table_passes(spark, nothing):
     df = nothing
     for _, stage in corpus_pipeline.STAGES:
