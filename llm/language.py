@@ -21,11 +21,12 @@ from pyspark.sql import functions as F
 
 from llm.words import steps
 
-#: Bounds of the labelled sample: documents a language, length of such a document, symbols of text a language.
+#: Bounds of the labelled sample: documents a language, length of a document that is taken whole, symbols of text a language.
 SAMPLE_DOCS = 200
 SAMPLE_LENGTH = 20_000
+SAMPLE_SPAN = 2_000  # characters that a longer text gives
 SAMPLE_SYMBOLS = 25_000
-LETTERS = 61  # distinct letters told apart; with space, other letters and padding 64
+LETTERS = 61  # letters of a language that fit a dense table; with space, other letters and padding 64
 SPACE, OTHER, PAD, WIDTH = 0, 62, 63, 64
 PIECE = 512
 UNKNOWN = "und"
@@ -91,19 +92,102 @@ def parser(symbols: list[int]) -> np.ndarray:
     return out.reshape(-1)
 
 
+def transitions(symbols: list[int]) -> list[dict[int, int]]:
+    """What ``suffix_automaton`` has, as a dictionary for each state; for any alphabet."""
+    table: list[dict[int, int]] = [{}]
+    link, depth = [-1], [0]
+    last = 0
+    for s in symbols:
+        new = len(table)
+        table.append({})
+        link.append(0)
+        depth.append(depth[last] + 1)
+        at = last
+        while at >= 0 and s not in table[at]:
+            table[at][s] = new
+            at = link[at]
+        if at >= 0:
+            onto = table[at][s]
+            if depth[onto] != depth[at] + 1:
+                twin = len(table)
+                table.append(dict(table[onto]))
+                link.append(link[onto])
+                depth.append(depth[at] + 1)
+                link[onto] = twin
+                while at >= 0 and table[at].get(s) == onto:
+                    table[at][s] = twin
+                    at = link[at]
+                onto = twin
+            link[new] = onto
+        last = new
+    return table
+
+
+class Dense:
+    """Parses texts whose columns are symbols of a language with up to ``LETTERS`` letters."""
+
+    other, pad = OTHER, PAD
+
+    def __init__(self, symbols: list[int]):
+        self.step = parser(symbols)
+
+    def ended(self, columns: np.ndarray) -> np.ndarray:
+        state, ended = (np.zeros(columns.shape[1], np.int32) for _ in range(2))
+        for symbol in columns:
+            state = self.step[state + symbol]
+            ended += state & 3
+            state >>= 2
+        return ended + (state > 0)
+
+
+class Sparse:
+    """The same for more letters: transitions are looked up in a sorted table."""
+
+    def __init__(self, symbols: list[int]):
+        table = transitions(symbols)
+        self.other = max(symbols) + 1
+        self.pad, self.width = self.other + 1, self.other + 2
+        pairs = sorted((state * self.width + s, to) for state, row in enumerate(table) for s, to in row.items())
+        self.keys, self.to = np.array([k for k, _ in pairs]), np.array([t for _, t in pairs])
+        self.start = np.zeros(self.width, np.int64)
+        self.start[list(table[0])] = list(table[0].values())
+
+    def ended(self, columns: np.ndarray) -> np.ndarray:
+        state, ended = (np.zeros(columns.shape[1], np.int64) for _ in range(2))
+        for symbol in columns:
+            key = state * self.width + symbol
+            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            start, on, text = self.start[symbol], self.keys[at] == key, symbol != self.pad
+            ended += text & ~on & (state > 0)
+            ended += text & ~on & (start == 0)  # a symbol that the text lacks is a phrase of its own
+            state = np.where(text, np.where(on, self.to[at], start), state)
+        return ended + (state > 0)
+
+
 class Model:
-    """Parsers of all languages over one alphabet: the most frequent letters of the sample."""
+    """Parsers of all languages, each over an alphabet of its own: every letter of its sample."""
 
     def __init__(self, sample: tuple[tuple[str, str], ...]):
         self.languages = [x for x, _ in sample]
         runs = [letter_runs(code_points(t))[:SAMPLE_SYMBOLS] for _, t in sample]
-        found, counts = np.unique(np.concatenate([*runs, np.zeros(0, np.uint32)]), return_counts=True)
-        letters = found[np.argsort(-counts, kind="stable")]
-        self.code = np.full(0x110000, OTHER, np.uint8)
-        letters = letters[letters > 0][:LETTERS]
+        found = np.unique(np.concatenate([*runs, np.zeros(0, np.uint32)]))
+        letters = found[found > 0]
+        # documents are in symbols of all languages: space, letters, other letters, padding
+        self.other, self.pad = len(letters) + 1, len(letters) + 2
+        self.code = np.full(0x110000, self.other, np.min_scalar_type(self.pad))
         self.code[letters] = 1 + np.arange(len(letters))
         self.code[0] = SPACE
-        self.steps = [parser(self.code[r].tolist()) for r in runs]
+        self.parsers = []
+        for r in runs:
+            symbols = self.code[r]
+            own = np.unique(symbols[symbols > 0])
+            to_own = np.full(self.pad + 1, len(own) + 1, np.uint16)
+            to_own[own] = 1 + np.arange(len(own))
+            to_own[SPACE] = SPACE
+            one = (Dense if len(own) <= LETTERS else Sparse)(to_own[symbols].tolist())
+            to_own[to_own == len(own) + 1] = one.other
+            to_own[self.pad] = one.pad
+            self.parsers.append((to_own, one))
 
     def phrases(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Phrases [language, text], symbols of each text, and whether it has a letter."""
@@ -112,23 +196,17 @@ class Model:
         lettered = np.array([bool(r.any()) for r in runs], bool)
         pieces = -(-size // PIECE)
         owner = np.repeat(np.arange(len(runs)), pieces)
-        total = np.zeros((len(self.steps), len(runs)), np.int64)
+        total = np.zeros((len(self.parsers), len(runs)), np.int64)
         if not len(owner):
             return total, size, lettered
-        flat = np.full((len(owner), PIECE), PAD, np.uint8)
+        flat = np.full((len(owner), PIECE), self.pad, self.code.dtype)
         row = np.cumsum(pieces) - pieces
         view = flat.reshape(-1)
         for r, n, at in zip(runs, size, row, strict=True):
             view[at * PIECE : at * PIECE + n] = self.code[r]
         columns = np.ascontiguousarray(flat.T)
-        for k, step in enumerate(self.steps):
-            state, ended = np.zeros(len(owner), np.int32), np.zeros(len(owner), np.int32)
-            for symbol in columns:
-                state = step[state + symbol]
-                ended += state & 3
-                state >>= 2
-            ended += state > 0
-            total[k] = np.bincount(owner, weights=ended, minlength=len(runs))
+        for k, (to_own, one) in enumerate(self.parsers):
+            total[k] = np.bincount(owner, weights=one.ended(to_own[columns]), minlength=len(runs))
         return total, size, lettered
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
@@ -154,13 +232,14 @@ def labelled_sample(docs: DataFrame, usable: Column) -> tuple[tuple[str, str], .
 
     Counts come first, so that a hash limit picks the sample while the table is scanned and nothing large is moved.
     """
-    fit = docs.filter(usable & F.col("lang").isNotNull() & (F.length("text") <= SAMPLE_LENGTH)).filter(F.length(F.trim("text")) > 0)
+    fit = docs.filter(usable & F.col("lang").isNotNull()).filter(F.length(F.trim("text")) > 0)
     counts = {r["lang"]: r["n"] for r in fit.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not counts:
         return ()
     place = F.conv(F.substring(F.md5(F.col("doc_id").cast("string")), 1, 8), 16, 10).cast("double") / float(1 << 32)
     share = F.create_map(*[x for k, n in sorted(counts.items()) for x in (F.lit(k), F.lit(SAMPLE_DOCS / n))])
-    rows = fit.withColumn("_place", place).filter(F.col("_place") < share[F.col("lang")]).select("lang", "_place", "doc_id", "text").collect()
+    span = F.when(F.length("text") > SAMPLE_LENGTH, F.substring(F.trim("text"), 1, SAMPLE_SPAN)).otherwise(F.col("text"))
+    rows = fit.withColumn("_place", place).filter(F.col("_place") < share[F.col("lang")]).select("lang", "_place", "doc_id", span.alias("text")).collect()
     rows.sort(key=lambda r: (r["lang"], r["_place"], r["doc_id"]))
     return tuple((k, "\n".join(r["text"] for r in rows if r["lang"] == k)) for k in sorted({r["lang"] for r in rows}))
 

@@ -326,6 +326,37 @@ def test_language_of_held_out_documents(make, nothing):
     assert [r.lang_pred for r in unlabelled] == ["und"]
 
 
+def phrases_by_hand(text, source):
+    phrases, at = 0, 0
+    while at < len(text):
+        far = at + 1
+        while far <= len(text) and text[at:far] in source:
+            far += 1
+        at, phrases = max(far - 1, at + 1), phrases + 1
+    return phrases
+
+
+def test_every_letter_of_every_script_counts():
+    random = np.random.default_rng(7)
+    starts = {"ar": 0x621, "el": 0x3B1, "ka": 0x10D0, "ru": 0x430, "zh": 0x4E00}
+    letters = {k: [chr(c) for c in range(v, v + (400 if k == "zh" else 26)) if chr(c).isalpha() and chr(c).lower() == chr(c)] for k, v in starts.items()}
+    sources = {k: "".join(random.choice([*x, " "], 1500)) for k, x in letters.items()}
+    sources = {k: " ".join(v.split()) for k, v in sources.items()}
+    model = language.Model(tuple(sources.items()))
+    assert {type(p).__name__ for _, p in model.parsers} == {"Dense", "Sparse"}
+    texts = ["".join(random.choice(x, 30)) for x in letters.values()] + [v[100:160].strip() for v in sources.values()] + ["xyz"]
+    total, _, _ = model.phrases(texts)
+    for k, source in enumerate(sources.values()):
+        assert total[k].tolist() == [phrases_by_hand(t, source) for t in texts]
+
+
+def test_languages_of_long_texts_only_are_learned(make):
+    texts = {"en": "the quick brown fox jumps over the lazy dog ", "de": "der schnelle braune fuchs springt über den faulen hund "}
+    docs = make([(i, (texts["en"] if i % 3 == 0 else texts["de"]) * 500) for i in range(12) if i % 3 < 2])
+    got = {r.doc_id: r.lang_pred for r in language.identify(docs, language.labelled_sample(docs, F.lit(True))).collect()}
+    assert got == {i: "en" if i % 3 == 0 else "de" for i in range(12) if i % 3 < 2}
+
+
 # 7 repetition
 
 
