@@ -115,4 +115,77 @@ SELECT doc_id, count_if(solid)::BIGINT AS n_lines, count_if(gone)::BIGINT AS n_r
 FROM mark GROUP BY doc_id
 """
 
-ORACLE = {"op1_passages": OP1, "op2_vectors": OP2, "op5_licenses": OP5, "op8_mixing": OP8, "op9_minhash": OP9, "op10_lines": OP10}
+#: CRC-32 (reflected, polynomial EDB88320) of a decimal number: a byte at a time, each shifted out in eight steps.
+_crc = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({0}::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+  lambda crc, byte: list_reduce([xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, none: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295)"""
+CRC = _crc.format("doc_id")
+
+
+def _field(value: str) -> str:
+    return f"coalesce(strlen({value}::VARCHAR) || ':' || {value}::VARCHAR, '-')"
+
+
+def _leaf(more: str) -> str:
+    return "sha256(" + " || ".join(map(_field, ["doc_id", "source", "lang", f"(n_chars + {more})", "text"])) + ")"
+
+
+_LEVELS = """{to}(t, lv, i, h, n) AS (
+  SELECT t, 0, i, h, count(*) OVER (PARTITION BY t) FROM {of}
+  UNION ALL
+  SELECT t, lv + 1, i // 2, sha256(string_agg(h, '' ORDER BY i)), (any_value(n) + 1) // 2 FROM {to} WHERE n > 1 GROUP BY t, lv, i // 2)"""
+OP11 = f"""
+WITH RECURSIVE hashed AS (
+  SELECT doc_id, coalesce('=' || lang, '') AS t, {_leaf("0")} AS leaf, {_leaf(f"CASE WHEN {CRC} % 7 = 0 THEN 1 ELSE 0 END")} AS changed FROM documents),
+leaf AS (SELECT *, row_number() OVER (PARTITION BY t ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, leaf AS h FROM hashed),
+{_LEVELS.format(to="node", of="leaf")},
+top AS (SELECT '^' AS t, row_number() OVER (ORDER BY t) - 1 AS i, h, t AS lang FROM node WHERE n = 1),
+{_LEVELS.format(to="over", of="top")},
+nodes AS (SELECT * FROM node UNION ALL SELECT * FROM over),
+climb(doc_id, leaf, lang, t, lv, i, h, siblings, root) AS (
+  SELECT doc_id, leaf, t, t, 0, i, coalesce(changed, leaf), '', NULL::VARCHAR FROM leaf
+  UNION ALL
+  SELECT doc_id, leaf, c.lang, CASE WHEN n.n > 1 THEN c.t WHEN c.t <> '^' THEN '^' END, CASE WHEN n.n > 1 THEN c.lv + 1 ELSE 0 END,
+    CASE WHEN n.n > 1 THEN c.i // 2 ELSE top.i END,
+    CASE WHEN n.n = 1 THEN c.h WHEN c.i % 2 = 1 THEN sha256(s.h || c.h) ELSE sha256(c.h || coalesce(s.h, '')) END, c.siblings || coalesce(s.h, ''), n.h
+  FROM climb c JOIN nodes n ON n.t = c.t AND n.lv = c.lv AND n.i = c.i
+  LEFT JOIN nodes s ON s.t = c.t AND s.lv = c.lv AND s.i = xor(c.i, 1) LEFT JOIN top ON top.lang = c.t)
+SELECT doc_id, leaf, top.h AS subroot, root, sha256(siblings) AS proof_sha256, c.h AS folded_root, c.h = root AS verified
+FROM climb c JOIN top USING (lang) WHERE c.t IS NULL
+"""
+
+_symbols = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+_digit = "substr('" + _symbols + "', (('0x' || substr(sha1(coalesce(html, '')), 5 * k + 1, 5))::BIGINT >> {0} & 31)::INT + 1, 1)"
+OP12 = f"""
+WITH page AS (SELECT page_id, coalesce(html, '') AS body, array_to_string(list_transform(range(8), lambda k: {" || ".join(_digit.format(15 - 5 * x) for x in range(4))}), '') AS digest
+  FROM pages),
+told AS (SELECT *, min(page_id) OVER (PARTITION BY body) AS first FROM page)
+SELECT page_id, strlen(body)::BIGINT AS payload_bytes, digest AS payload_digest,
+  CASE WHEN page_id IS DISTINCT FROM first THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to
+FROM told
+"""
+
+#: A run has two neighbouring places c and c + 8, c a multiple of 8, whose eight words recur q on; all matches of such a q are looked at.
+OP13 = f"""
+WITH d AS (SELECT doc_id, {WORDS} AS w, {CRC} AS h FROM documents),
+plan AS (SELECT *, len(w) AS n, CASE WHEN h % 10 = 0 AND len(w) > 0 THEN (h // 10) % len(w) END AS a FROM d),
+sized AS (SELECT *, 1 + (n - a) // (3 + (h // 10) % 8) AS p FROM plan),
+doc AS (SELECT doc_id, n, CASE WHEN a IS NULL THEN w ELSE list_transform(range(n), lambda i: w[CASE WHEN i < a THEN i ELSE a + (i - a) % p END + 1]) END AS w FROM sized),
+gram AS (SELECT doc_id, n, i, md5(array_to_string(w[i + 1 : i + 8], ' ')) AS g FROM (SELECT *, unnest(range(n - 7)) AS i FROM doc WHERE n >= 24)),
+period AS (SELECT DISTINCT a.doc_id, b.i - a.i AS q FROM gram a JOIN gram b USING (doc_id, g) WHERE a.i % 8 = 0 AND b.i > a.i AND 3 * (b.i - a.i) <= a.n),
+place AS (SELECT doc_id, w, q, unnest(range(n - q)) AS i FROM doc JOIN period USING (doc_id)),
+match AS (SELECT doc_id, q, i, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM place WHERE w[i + 1] = w[i + q + 1]),
+stretch AS (SELECT doc_id, q, min(i) AS s, count(*) + q AS l FROM match GROUP BY doc_id, q, island HAVING count(*) + q >= greatest(24, 3 * q)),
+run AS (SELECT doc_id, s, l, min(q) AS q FROM stretch GROUP BY doc_id, s, l),
+sums AS (SELECT doc_id, count(*) AS n_runs, arg_max((s, l, q), (l / q, -s, -q)) AS best, string_agg(s || ',' || l || ',' || q || chr(10), '' ORDER BY s, q) AS runs FROM run GROUP BY doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s + q, s + l)) AS i FROM run),
+word AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) - 1 AS i FROM doc),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text FROM word ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT doc.doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, best[1]::BIGINT AS start, best[2]::BIGINT AS length, best[3]::BIGINT AS period,
+  (1000 * best[2] // best[3])::BIGINT AS exponent_milli, sha256(coalesce(runs, '')) AS runs_sha256, sha256(coalesce(text, '')) AS collapsed_sha256
+FROM doc LEFT JOIN sums USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+ORACLE = {
+    "op1_passages": OP1, "op2_vectors": OP2, "op5_licenses": OP5, "op8_mixing": OP8, "op9_minhash": OP9, "op10_lines": OP10,
+    "op11_merkle": OP11, "op12_warc": OP12, "op13_periodic": OP13,
+}

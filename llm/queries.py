@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from llm import bpe, language, licenses, lines, minhash, mixing, passages, pseudo_likelihood, repetition, vectors
+from llm import bpe, language, licenses, lines, merkle, minhash, mixing, passages, periodic, pseudo_likelihood, repetition, vectors, warc
 from llm.oracle import ORACLE
 from llm.tables import small_batches, table
 
@@ -55,6 +55,19 @@ def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.digests(documents(spark, sf_dir))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.digests(table(spark, sf_dir, "documents"))
+
+
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    return warc.digests(table(spark, sf_dir, "pages"))
+
+
+def op13_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.digests(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_passages": op1_passages,
     "op2_vectors": op2_vectors,
@@ -66,6 +79,9 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_minhash": op9_minhash,
     "op10_lines": op10_lines,
+    "op11_merkle": op11_merkle,
+    "op12_warc": op12_warc,
+    "op13_periodic": op13_periodic,
 }
 
 __all__ = ["ORACLE", "QUERIES"]
