@@ -10,8 +10,8 @@ root in the same way.
   as one row with its levels and the key of its parent stretch, in which its top is a node of the lowest level.
 * **Climb.** A recursive query starts with all leaves, each perhaps tampered with, and joins the stretch that it is in by key: siblings
   are appended and hashes folded through the levels of the stretch, and the row goes on with the parent's key. A stretch near
-  the root would meet all rows under one key, so each ``SPAN ** HOME`` leaves (a home) have copies of their own of the stretches above
-  them, and at most that many rows meet in a key. The depth of the recursion is the logarithm of the rows to the base ``SPAN``.
+  the root would meet all rows under one key, so the leaves of each lowest stretch (a home) have copies of their own of the stretches
+  above them, cut down to the nodes beside their path, and a key never has more than ``SPAN`` rows. The depth of the recursion is the logarithm of the rows to the base ``SPAN``.
 
 Nulls: a null column counts as ``-``, apart from any value; documents without language are a tree of their own, null ids come
 first. Equal ids are ordered by their leaves, and equal leaves may change places without a change of any hash. A row that has no
@@ -26,10 +26,10 @@ from pyspark.sql import functions as F
 
 from llm.tables import stored
 
-LEVELS = 6
+LEVELS = 9
 SPAN = 1 << LEVELS
-#: Tiers of stretches under a home.
-HOME = 2
+#: Rows of a file of narrow rows and of stretches, where their number is known.
+ROWS, STRETCHES = 100_000, 1_000
 TOP = "^"  # name of the tree over the subroots; those of languages are "" (null) and "=<language>"
 COLUMNS = ["doc_id", "source", "lang", "n_chars", "text"]
 
@@ -56,7 +56,14 @@ def in_order(rows: DataFrame, group: str, *order: str) -> DataFrame:
     parts = at.groupBy(group, "_file").agg(F.count("*").alias("_n"), F.min("_row").alias("_first"))
     before = Window.partitionBy(group).orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)  # a row for each file
     starts = parts.select(group, "_file", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_start"))
-    return at.join(starts, [group, "_file"]).withColumn("pos", F.col("_row") + F.col("_start")).drop("_file", "_row", "_start")
+    return at.join(few(starts), [group, "_file"]).withColumn("pos", F.col("_row") + F.col("_start")).drop("_file", "_row", "_start")
+
+
+def few(rows: DataFrame, per_file: int = ROWS) -> DataFrame:
+    """Store a small table in files of about ``per_file`` rows, so that those who read it need few tasks."""
+    kept = stored(rows)
+    files = kept.count() // per_file + 1
+    return kept.coalesce(files)
 
 
 #: Levels above the lowest one: all consecutive pairs of a level are hashed, ``_height`` times.
@@ -65,93 +72,98 @@ _BUILD = """aggregate(if(_height > 0, sequence(1, _height), cast(array() AS arra
     j -> sha2(concat(get(element_at(acc, -1), 2 * j), coalesce(get(element_at(acc, -1), 2 * j + 1), '')), 256)))))"""
 
 
-def _tier(nodes: DataFrame, counts: DataFrame, tier: int) -> DataFrame:
-    """Stretches over ``nodes`` (tree, pos, hash), the tops of the tier below."""
-    spans = nodes.groupBy("tree", F.shiftright("pos", LEVELS).alias("no")).agg(
-        F.sort_array(F.collect_list(F.struct("pos", "hash"))).alias("_nodes")  # SPAN at most
-    )
-    height = F.least(F.col("depth") - LEVELS * tier, F.lit(LEVELS)).cast("int")
-    built = spans.join(counts, "tree").withColumn("_height", height).withColumn("levels", F.expr(_BUILD))
-    return built.select("tree", F.lit(tier).alias("tier"), "no", "levels", (F.col("depth") > LEVELS * (tier + 1)).alias("more"))
+def trees_of(leaves: DataFrame) -> DataFrame:
+    """``tree, n, depth, rank``: leaves, levels above them, and place of the tree among all."""
+    size = F.col("n") - 1
+    counts = leaves.groupBy("tree").agg(F.count("*").alias("n"))
+    counts = few(counts.withColumn("depth", F.when(size > 0, F.length(F.bin(size))).otherwise(0)))
+    if counts.rdd.getNumPartitions() > 1:  # so many trees that they are not sorted by one task
+        return in_order(counts.withColumn("_all", F.lit(0)), "_all", "tree").drop("_all").withColumnRenamed("pos", "rank")
+    return counts.withColumn("rank", F.row_number().over(Window.orderBy("tree")).cast("bigint") - 1)
+
+
+def build(nodes: DataFrame, trees: DataFrame, depth: int, rows: int) -> DataFrame:
+    """Stretches over the leaves ``tree, pos, hash`` of ``trees``, the deepest of which has ``depth`` levels over its leaves."""
+    out = None
+    for tier in range(max(-(-depth // LEVELS), 1)):
+        spans = nodes.groupBy("tree", F.shiftright("pos", LEVELS).alias("no")).agg(
+            F.sort_array(F.collect_list(F.struct("pos", "hash"))).alias("_nodes")  # SPAN at most
+        )
+        height = F.least(F.col("depth") - LEVELS * tier, F.lit(LEVELS)).cast("int")
+        built = spans.join(trees, "tree").withColumn("_height", height).withColumn("levels", F.expr(_BUILD))
+        more, place = F.col("depth") > LEVELS * (tier + 1), F.when(F.col("depth") > LEVELS * (tier + 1), F.col("no")).otherwise(F.col("rank"))
+        rows = rows // SPAN + 1
+        made = stored(built.select(
+            "tree", F.lit(tier).alias("tier"), "no", "levels",
+            F.when(more, F.col("tree")).when(F.col("tree") != TOP, F.lit(TOP)).alias("up_tree"), F.when(more, tier + 1).otherwise(0).alias("up_tier"),
+            F.shiftright(place, LEVELS).alias("up_no"), place.bitwiseAND(SPAN - 1).cast("int").alias("up_place"),
+        ).coalesce(rows // STRETCHES + 1))
+        out = made if out is None else out.unionByName(made)
+        nodes = made.filter("up_tree = tree").select("tree", F.col("no").alias("pos"), _top().alias("hash"))
+    return out
 
 
 def _top(levels: str = "levels") -> Column:
     return F.element_at(F.element_at(levels, -1), 1)
 
 
-def build(leaves: DataFrame) -> DataFrame:
-    """Stretches of the trees whose leaves are ``tree, pos, hash``: ``tree, tier, no, levels, more`` (a tier follows)."""
-    size = F.col("n") - 1
-    counts = leaves.groupBy("tree").agg(F.count("*").alias("n")).withColumn("depth", F.when(size > 0, F.length(F.bin(size))).otherwise(0))
-    counts = stored(counts.select("tree", "depth"))
-    depth = counts.agg(F.max("depth")).first()[0] or 0  # one number
-    out, nodes, tier = None, leaves, 0
-    while out is None or depth > LEVELS * tier:
-        made = stored(_tier(nodes, counts, tier))
-        out = made if out is None else out.unionByName(made)
-        nodes = made.filter("more").select("tree", F.col("no").alias("pos"), _top().alias("hash"))
-        tier += 1
-    return out
-
-
 def manifest(leaves: DataFrame) -> DataFrame:
     """All stretches of the manifest over ``leaves`` (``tree, pos, hash`` of the languages' trees), one row each.
 
     ``tree, tier, no``: the key. ``levels``: hashes, the lowest level first. ``up_tree, up_tier, up_no, up_place``: the parent and the
-    place in its lowest level, null at the root.
+    place in its lowest level; up_tree is null at the root.
     """
-    trees = build(leaves)
-    subroots = trees.filter("not more").select("tree", _top().alias("hash"))
-    ranks = in_order(subroots.withColumn("_all", F.lit(0)), "_all", "tree")
-    over = build(ranks.select(F.lit(TOP).alias("tree"), F.col("pos"), "hash"))
-    rank = ranks.select("tree", F.lit(False).alias("more"), F.col("pos").alias("_rank"))
-    linked = trees.join(rank, ["tree", "more"], "left")
-    linked = linked.unionByName(over.withColumn("_rank", F.lit(None).cast("bigint")))
-    up_in_tree = F.col("more")
-    return stored(linked.select(
-        "tree", "tier", "no", "levels",
-        F.when(up_in_tree, F.col("tree")).when(F.col("_rank").isNotNull(), F.lit(TOP)).alias("up_tree"),
-        F.when(up_in_tree, F.col("tier") + 1).when(F.col("_rank").isNotNull(), F.lit(0)).alias("up_tier"),
-        F.when(up_in_tree, F.shiftright("no", LEVELS)).otherwise(F.shiftright("_rank", LEVELS)).alias("up_no"),
-        F.when(up_in_tree, F.col("no")).otherwise(F.col("_rank")).bitwiseAND(SPAN - 1).cast("int").alias("up_place"),
-    ))
-
-
-def _copies(nodes: DataFrame, leaves: DataFrame) -> DataFrame:
-    """Stretches with the homes that they lie above: ``home, part``, and the columns of ``nodes``."""
-    homes = leaves.groupBy(F.col("tree").alias("home"), F.shiftright("pos", LEVELS * HOME).alias("part")).agg(F.count("*").alias("_n"))
-    low = nodes.filter(f"tree <> '{TOP}' AND tier < {HOME}").select(
-        F.col("tree").alias("home"), F.expr(f"shiftright(no, {LEVELS} * ({HOME} - 1 - tier))").alias("part"), "*"
+    trees = trees_of(leaves)
+    size = trees.agg(F.count("*"), F.sum("n"), F.max("depth")).first()  # three numbers
+    n_trees, rows, depth = size[0], size[1] or 0, size[2] or 0
+    below = build(leaves, trees, depth, rows)
+    subroots = below.filter(f"up_tree = '{TOP}' AND tree <> '{TOP}'")
+    subroots = subroots.select(F.lit(TOP).alias("tree"), F.expr(f"up_no * {SPAN} + up_place").alias("pos"), _top().alias("hash"))
+    top_depth = (n_trees - 1).bit_length() if n_trees > 1 else 0
+    top = leaves.sparkSession.range(1).select(F.lit(TOP).alias("tree"), F.lit(top_depth).alias("depth"), F.lit(None).cast("bigint").alias("rank"))
+    return below.unionByName(build(subroots, top, top_depth, n_trees))
+
+
+def _copies(nodes: DataFrame, last: DataFrame) -> DataFrame:
+    """Stretches by the homes below them: ``home, part, step, levels, pairs, up_place``; ``step`` counts them from the home upwards.
+
+    The lowest stretches are the homes; copies of the others keep the pair of each level that the home's path runs through (``pairs``).
+    """
+    homes = nodes.filter(f"tree <> '{TOP}' AND tier = 0").select(
+        F.col("tree").alias("home"), F.col("no").alias("part"), F.lit(0).alias("step"), "levels", F.lit(False).alias("pairs"), "up_place"
     )
-    high = nodes.filter(f"tree = '{TOP}' OR tier >= {HOME}")
-    last = nodes.filter(f"up_tree = '{TOP}' AND tree <> '{TOP}'")  # the last stretch of each tree
-    heights = last.select(F.col("tree").alias("home"), F.col("tier").alias("_last"), F.expr(f"up_no * {SPAN} + up_place").alias("_rank"))
+    heights = last.select(F.col("tree").alias("home"), F.col("tier").alias("_last"), "_rank")
     tiers = nodes.filter(f"tree = '{TOP}'").agg(F.max("tier")).first()[0] or 0  # one number
-    own = F.expr(f"""transform(if(_last >= {HOME}, sequence({HOME}, _last), cast(array() AS array<int>)),
-        t -> named_struct('tree', home, 'tier', t, 'no', shiftright(part, {LEVELS} * (t - {HOME - 1}))))""")
-    over = F.array(*[
-        F.struct(F.lit(TOP).alias("tree"), F.lit(t).alias("tier"), F.shiftright("_rank", LEVELS * (t + 1)).alias("no")) for t in range(tiers + 1)
-    ])
-    path = homes.join(heights, "home").select("home", "part", F.inline(F.concat(own, over)))
-    return low.unionByName(path.join(high, ["tree", "tier", "no"]))
+    own = F.expr(f"""transform(if(_last > 0, sequence(1, _last), cast(array() AS array<int>)), t -> named_struct('step', t, 'tree', home, 'tier', t,
+        'no', shiftright(part, {LEVELS} * t), 'place', shiftright(part, {LEVELS} * (t - 1)) & {SPAN - 1}))""")
+    over = F.expr("array(" + ", ".join(
+        f"named_struct('step', _last + {t + 1}, 'tree', '{TOP}', 'tier', {t}, 'no', shiftright(_rank, {LEVELS * (t + 1)}), "
+        f"'place', shiftright(_rank, {LEVELS * t}) & {SPAN - 1})" for t in range(tiers + 1)
+    ) + ")")
+    path = homes.select("home", "part").join(heights, "home").select("home", "part", F.inline(F.concat(own, over)))
+    pairs = F.expr("transform(levels, (level, i) -> slice(level, cast(shiftright(place, i) & -2 AS int) + 1, 2))")
+    high = nodes.filter(f"tree = '{TOP}' OR tier > 0")
+    copies = path.join(high, ["tree", "tier", "no"]).select("home", "part", "step", pairs.alias("levels"), F.lit(True).alias("pairs"), "up_place")
+    return homes.unionByName(few(copies))
 
 
 def climb_sql(levels: int) -> str:
-    """The recursive query over stretches of ``levels`` levels."""
+    """The recursive query over stretches of ``levels`` levels. A key has at most a home's rows, so both sides are dealt by it."""
     return f"""
 WITH RECURSIVE climb AS (
-  SELECT doc_id, leaf, tree AS home, shiftright(pos, {levels * HOME}) AS part, tree, 0 AS tier, shiftright(pos, {levels}) AS no,
-    cast(pos & {(1 << levels) - 1} AS int) AS place, start AS hash, cast(X'' AS binary) AS siblings, cast(NULL AS string) AS subroot, cast(NULL AS string) AS top
+  SELECT doc_id, unhex(leaf) AS leaf, tree AS home, shiftright(pos, {levels}) AS part, 0 AS step, cast(pos & {(1 << levels) - 1} AS int) AS place,
+    unhex(start) AS hash, cast(X'' AS binary) AS siblings
   FROM {{leaves}}
   UNION ALL
-  SELECT doc_id, leaf, home, part, up_tree, up_tier, up_no, up_place, up.hash, up.siblings, if(tree = '{TOP}', subroot, top_of), top_of
+  SELECT doc_id, leaf, home, part, step + 1, up_place, unhex(up.hash), up.siblings
   FROM (
-    SELECT c.*, n.up_tree, n.up_tier, n.up_no, n.up_place, get(element_at(n.levels, -1), 0) AS top_of,
-      aggregate(slice(n.levels, 1, size(n.levels) - 1), named_struct('place', c.place, 'hash', c.hash, 'siblings', c.siblings),
+    SELECT c.*, n.up_place,
+      aggregate(slice(n.levels, 1, size(n.levels) - 1), named_struct('place', c.place, 'hash', lower(hex(c.hash)), 'siblings', c.siblings),
         (a, level) -> named_struct('place', shiftright(a.place, 1),
-          'hash', sha2(if(a.place & 1 = 1, concat(get(level, a.place - 1), a.hash), concat(a.hash, coalesce(get(level, a.place + 1), ''))), 256),
-          'siblings', concat(a.siblings, coalesce(unhex(get(level, if(a.place & 1 = 1, a.place - 1, a.place + 1))), X'')))) AS up
-    FROM climb c JOIN {{nodes}} n ON c.home = n.home AND c.part = n.part AND c.tree = n.tree AND c.tier = n.tier AND c.no = n.no))
+          'hash', sha2(if(a.place & 1 = 1, concat(get(level, if(n.pairs, 0, a.place - 1)), a.hash), concat(a.hash, coalesce(get(level, if(n.pairs, 1, a.place + 1)), ''))), 256),
+          'siblings', concat(a.siblings, coalesce(unhex(get(level, if(n.pairs, 1 - (a.place & 1), a.place ^ 1))), X'')))) AS up
+    FROM (SELECT /*+ REPARTITION(home, part, step) */ * FROM climb WHERE place IS NOT NULL) c
+    JOIN (SELECT /*+ REPARTITION(home, part, step) */ * FROM {{nodes}}) n ON c.home = n.home AND c.part = n.part AND c.step = n.step))
 SELECT * FROM climb LIMIT ALL
 """
 
@@ -162,9 +174,16 @@ def proofs(leaves: DataFrame, nodes: DataFrame) -> DataFrame:
     ``leaves``: ``doc_id, tree, pos, leaf`` (the hash in the manifest) and ``start`` (the hash to check). Returns ``doc_id, leaf, subroot,
     root, siblings`` (binary digests one after the other, from below) and ``folded_root``, what ``start`` and the siblings come to.
     """
-    climb = leaves.sparkSession.sql(climb_sql(LEVELS), leaves=leaves, nodes=stored(_copies(nodes, leaves)))
-    done = climb.filter("tree IS NULL")
-    return done.select("doc_id", "leaf", "subroot", F.col("top").alias("root"), "siblings", F.col("hash").alias("folded_root"))
+    last = nodes.filter(f"up_tree = '{TOP}' AND tree <> '{TOP}'")  # the last stretch of each tree
+    last = few(last.select("tree", "tier", F.expr(f"up_no * {SPAN} + up_place").alias("_rank"), _top().alias("subroot")))
+    root = nodes.filter("up_tree IS NULL").select(_top()).first()  # one hash
+    climb = leaves.sparkSession.sql(climb_sql(LEVELS), leaves=leaves, nodes=_copies(nodes, last))
+    done = climb.filter("place IS NULL").join(last.select(F.col("tree").alias("home"), "subroot"), "home")
+    text = {c: F.lower(F.hex(c)) for c in ("leaf", "hash")}
+    return done.select(
+        "doc_id", text["leaf"].alias("leaf"), "subroot", F.lit(root[0] if root else None).cast("string").alias("root"), "siblings",
+        text["hash"].alias("folded_root"),
+    )
 
 
 def tree_name(lang: str = "lang") -> Column:
@@ -178,7 +197,7 @@ def leaves_of(docs: DataFrame, more_chars: Column) -> DataFrame:
         F.when(more_chars != 0, leaf_hash(more_chars)).alias("changed"),
     )
     at = in_order(rows, "tree", "doc_id", "leaf")
-    return stored(at.select("doc_id", "tree", "pos", "leaf", F.coalesce("changed", "leaf").alias("start")))
+    return at.select("doc_id", "tree", "pos", "leaf", F.coalesce("changed", "leaf").alias("start"))
 
 
 def digests(docs: DataFrame) -> DataFrame:
