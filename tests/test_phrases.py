@@ -76,3 +76,74 @@ def test_repeated_names_are_told_apart(spark):
     phrases = spark.createDataFrame([("s", "beta gamma delta"), ("s", "other")], "app string, phrase string")
     for kw in WAYS.values():
         assert {r["phrase"] for r in ph.find_phrases(texts, phrases, ["app"], **kw).collect()} == {"beta gamma delta", "other"}
+
+
+def test_values_are_carried_with_their_phrase(spark):
+    texts = spark.createDataFrame([("s", "n", "alpha beta gamma"), ("t", "n", "alpha")], "app string, name string, review_norm string")
+    phrases = spark.createDataFrame([("s", "beta", "x"), ("s", "beta", "y"), ("s", "alpha beta gamma", "z"), ("t", "alpha", "x"), ("s", "none", "x")], "app string, phrase string, code string")
+    for kw in WAYS.values():
+        got = sorted(tuple(r) for r in ph.find_phrases(texts, phrases, ["app"], carry="code", **kw).collect())
+        assert got == [("s", "n", "alpha beta gamma", "z"), ("s", "n", "beta", "x"), ("s", "n", "beta", "y"), ("t", "n", "alpha", "x")]
+
+
+@pytest.fixture
+def hot(spark, monkeypatch):
+    """One app with one term in every text, and nothing in it but that term to be found by."""
+    monkeypatch.setattr(ph, "SHARES", 400)
+    keys = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "16", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    texts = spark.range(4000).selectExpr("if(id % 10 = 0, 'b', 'a') AS app", "cast(id AS string) AS name", "concat(md5(cast(id AS string)), ' the commonplace ', md5(cast(-id AS string))) AS review_norm")
+    phrases = spark.createDataFrame([("a", "the commonplace"), ("a", "commonplace"), ("b", "absent from all")], "app string, phrase string")
+    yield texts, phrases
+    for k in keys:
+        spark.conf.unset(k)
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+@pytest.mark.parametrize("as_set", [True, False])
+def test_a_term_in_every_text_is_dealt_to_many_tasks(spark, hot, as_set):
+    from pyspark.sql import functions as F
+
+    texts, phrases = hot
+    keyed = texts.withColumn("_text", F.xxhash64("review_norm"))
+    carried = phrases.withColumn("_carry", F.array(F.lit("c")))
+    met = ph._candidates(keyed, carried, ["app"], "review_norm", "name", {0, 8}, as_set, False)
+    rows = [r["count"] for r in met.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert sum(rows) >= 7200 and max(rows) <= sum(rows) / 4
+    kw = dict(list_phrases=0, max_rows=0) if as_set else dict(list_phrases=0, set_phrases=0, max_rows=0)
+    assert ph.find_phrases(texts, phrases, ["app"], **kw).count() == 7200
+
+
+def test_a_scope_with_most_texts_is_dealt_to_many_tasks(spark, hot):
+    from pyspark.sql import functions as F
+
+    texts, phrases = hot
+    lists = phrases.groupBy("app").agg(F.collect_list("phrase").alias("_phrases"))
+    rows = [r["count"] for r in ph._by_scope(texts, lists, ["app"], "name", False).groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(rows) == 4000 and max(rows) <= 1000
+
+
+def test_frequent_ngrams_are_not_anchors(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(ph, "SHARES", 50)
+    phrases = spark.createDataFrame([("a", "commonest zebra")], "app string, phrase string").withColumn("_carry", F.array(F.lit("c")))
+    texts = spark.range(500).selectExpr("'a' AS app", "cast(id AS string) AS name", "concat('commonest ', if(id = 7, 'zebra', md5(cast(id AS string)))) AS review_norm", "id AS _text")
+    met = ph._candidates(texts, phrases, ["app"], "review_norm", "name", {0, 8}, True, False)
+    assert [r.name for r in met.collect()] == ["7"]
+
+
+def test_phrases_are_not_stored(spark):
+    texts, phrases = _data()
+    t = spark.createDataFrame(texts, "app string, name string, review_norm string")
+    p = spark.createDataFrame(phrases, "app string, phrase string")
+    plan = ph.find_phrases(t, p, ["app"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "LogicalRDD" in plan and "Checkpoint" not in plan
+
+
+def test_search_in_batches_on_nulls_and_empty_sides(spark):
+    texts = spark.createDataFrame([("s", "n", None), ("s", "m", "a b"), (None, "o", "a"), ("z", "q", "a")], "app string, name string, review_norm string")
+    phrases = spark.createDataFrame([("s", "a"), ("s", "a"), ("s", None), ("s", ""), (None, "a"), ("y", "a")], "app string, phrase string")
+    assert sorted(map(tuple, ph.find_in_batches(texts, phrases, ["app"]).collect()), key=str) == [("s", "m", "a"), (None, "o", "a")]
+    assert ph.find_in_batches(texts, phrases.limit(0), ["app"]).isEmpty()

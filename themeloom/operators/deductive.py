@@ -15,9 +15,9 @@ def match_dictionary(reviews: DataFrame, dictionary: DataFrame) -> DataFrame:
 
     ``reviews`` holds ``app, name, review_norm``, ``dictionary`` ``app, code, term``.
     """
-    found = find_phrases(reviews, dictionary.select("app", F.col("term").alias("phrase")), ["app"])
-    terms = dictionary.select("app", "code", F.col("term").alias("phrase")).distinct()
-    return found.join(terms, ["app", "phrase"]).select("app", "name", "code", F.col("phrase").alias("term"))
+    terms = dictionary.select("app", "code", F.col("term").alias("phrase"))
+    found = find_phrases(reviews, terms, ["app"], carry="code")
+    return found.select("app", "name", "code", F.col("phrase").alias("term"))
 
 
 def code_reviews(reviews: DataFrame, matches: DataFrame) -> DataFrame:

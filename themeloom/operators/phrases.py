@@ -17,12 +17,19 @@ searched in one of three ways, with the same result:
   about 2 / (RUN + 1) of its n-grams.
 
 Long and short phrases of a scope are counted apart, as the short ones are few in most data.
+
+Where rows are shuffled by anchor, a summary of the n-grams that the texts offer is made first, in one pass: frequent-item sketches
+of tasks, merged in two steps. Anchors are chosen among the n-grams that it does not know as frequent, and where a phrase has
+only frequent ones, the rows of that anchor are dealt to as many keys as its share asks for. The same is done for a scope that holds
+many texts. A phrase may carry what belongs to it (a code), so hits are not joined with the phrases again.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+import ahocorasick
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,6 +49,12 @@ BROADCAST_HASHES = 2_000_000
 # Largest phrase tables, in characters, that may be broadcast.
 BROADCAST_CHARS = 32_000_000
 _MINIMIZER = 0  # anchor class of long phrases; the others are n-gram lengths 1, 2, 4, 8
+# A key with more than one row in so many is dealt to several; so at most this many keys are told to all tasks.
+SHARES = 10_000
+# Entries of a frequent-item sketch: its error is about 3.5 rows in so many, well below one in SHARES.
+TRACKED = 131_072
+_SKETCHES = 64
+_CARRY = "_carry"
 _PAD = "\x00" * (GRAM - 1)
 _COUNT_BITS = 16
 _HASH_RANGE = 1 << (64 - _COUNT_BITS)
@@ -71,7 +84,8 @@ def _spread(phrase: str, n: int) -> Column:
     return _hashes(F.array_distinct(F.array(*[F.substr(F.col(phrase), s.cast("int") + 1, F.lit(n)) for s in starts])), n)
 
 
-def _phrase_anchors(phrases: DataFrame, scope: Sequence[str], minimizers: bool) -> DataFrame:
+def _phrase_anchors(phrases: DataFrame, scope: Sequence[str], minimizers: bool, frequent: DataFrame | None = None) -> DataFrame:
+    """``phrases`` with the ``_anchor`` of each: the least frequent of the texts' n-grams, of those the least shared by phrases."""
     kind = _class("phrase")
     phrases = phrases.withColumn("_class", F.when(kind == _MINIMIZER, _MINIMIZER if minimizers else GRAM).otherwise(kind))
     possible = F.when(F.col("_class") == GRAM, _spread("phrase", GRAM))
@@ -80,12 +94,57 @@ def _phrase_anchors(phrases: DataFrame, scope: Sequence[str], minimizers: bool)
     if minimizers:
         phrases = phrases.withColumn("_hashes", _hashes(ngrams("phrase", GRAM), GRAM))
         possible = possible.otherwise(_run_minima("_hashes"))
-    each = phrases.select(*scope, "phrase", F.explode_outer(possible).alias("_anchor"))
+    each = phrases.select(*scope, "phrase", _CARRY, F.explode_outer(possible).alias("_anchor"))
     shared = each.groupBy(*scope, "_anchor").agg(F.count(F.lit(1)).alias("_n"))
+    if frequent is not None:
+        shared = shared.join(F.broadcast(frequent), "_anchor", "left").withColumn("_n", _rank(F.col("_n"), F.col("_rows")))
     # count above hash in one long: the smallest is the least shared, by a hash aggregate
     ranked = F.least("_n", F.lit(2 ** (_COUNT_BITS - 1) - 1)) * _HASH_RANGE + F.col("_anchor")
     choice = F.min(ranked).bitwiseAND(F.lit(_HASH_RANGE - 1))
-    return each.join(shared, [*scope, "_anchor"]).groupBy(*scope, "phrase").agg(choice.alias("_anchor"))
+    chosen = each.join(shared, [*scope, "_anchor"]).groupBy(*scope, "phrase")
+    return chosen.agg(choice.alias("_anchor"), F.any_value(_CARRY).alias(_CARRY))
+
+
+def _rank(shared: Column, rows: Column) -> Column:
+    """The magnitude of the frequency first, in 6 bits, then the phrases that share the anchor, in 9."""
+    return F.coalesce(F.ceil(F.log2(rows)), F.lit(0)) * 512 + F.least(shared, F.lit(511))
+
+
+def _frequent(offered: DataFrame) -> DataFrame:
+    """``_anchor, _rows, _fan`` of the n-grams with more than one in ``SHARES`` of all rows that the texts offer; ``_rows`` is about the
+    number of texts. At most ``SHARES`` rows, so the table may be sent to all tasks."""
+    seed = offered.sparkSession.range(1).select(F.lit(0).cast("int").alias("_b"), F.lit(-1).cast("bigint").alias("_anchor"))  # a sketch of nothing cannot be merged
+    rows = _explode(offered.select("_offered")).filter("_anchor IS NOT NULL").select((F.spark_partition_id() % _SKETCHES).alias("_b"), "_anchor")
+    sketches = rows.unionByName(seed).groupBy("_b").agg(F.expr(f"approx_top_k_accumulate(_anchor, {TRACKED})").alias("_s"), F.count(F.lit(1)).alias("_n"))
+    # grouped, as a task without any sketch cannot merge
+    merged = sketches.groupBy(F.lit(0).alias("_g")).agg(F.expr(f"approx_top_k_estimate(approx_top_k_combine(_s, {TRACKED}), {SHARES})").alias("_top"), F.sum("_n").alias("_all"))
+    each = merged.select("_all", F.explode("_top").alias("_t")).select("_all", F.col("_t.item").alias("_anchor"), F.col("_t.count").alias("_rows"))
+    return materialise(_fans(each.filter("_anchor >= 0")))
+
+
+def _fans(shares: DataFrame) -> DataFrame:
+    """Of keys with ``_rows`` out of ``_all``, those with more than one row in ``SHARES``, and the number of keys to deal them to."""
+    fan = F.ceil(F.col("_rows") * SHARES / F.greatest("_all", F.lit(SHARES))).cast("bigint")
+    return shares.withColumn("_fan", fan).filter("_fan > 1").drop("_all")
+
+
+def _dealt(many: DataFrame, few: DataFrame, keys: list[str], fans: DataFrame, name: str) -> DataFrame:
+    """Join of ``many`` rows, told apart by ``name``, with ``few`` on ``keys``; keys of ``fans`` (a bounded table) are dealt to several."""
+    fans = F.broadcast(fans.select(*[c for c in fans.columns if c in keys], "_fan"))
+    on = [c for c in fans.columns if c in keys]
+    left = many.join(fans, on, "left").withColumn("_salt", F.coalesce(F.pmod(F.xxhash64(name), "_fan"), F.lit(0))).drop("_fan")
+    salts = F.sequence(F.lit(0).cast("bigint"), F.coalesce("_fan", F.lit(1)) - 1)
+    right = few.join(fans, on, "left").withColumn("_salt", F.explode(salts)).drop("_fan")
+    return left.join(right, [*keys, "_salt"]).drop("_salt")
+
+
+def _by_scope(texts: DataFrame, lists: DataFrame, scope: list[str], name: str, small: bool) -> DataFrame:
+    """Texts with the one row of ``lists`` of their scope. A scope with many texts is dealt to several keys."""
+    if small:
+        return texts.join(F.broadcast(lists), scope)
+    counts = texts.groupBy(*scope).agg(F.count(F.lit(1)).alias("_rows"))
+    total = counts.agg(F.sum("_rows")).first()[0] or 0  # one number
+    return _dealt(texts, lists, scope, materialise(_fans(counts.withColumn("_all", F.lit(total).cast("bigint")))), name)
 
 
 def _offered(texts: DataFrame, text: str, classes: set[int]) -> DataFrame:
@@ -110,18 +169,19 @@ def _explode(offered: DataFrame) -> DataFrame:
 
 
 def _by_list(texts: DataFrame, phrases: DataFrame, scope: list[str], text: str, name: str, small: bool) -> DataFrame:
-    lists = phrases.groupBy(*scope).agg(F.collect_list("phrase").alias("_phrases"))
-    both = texts.join(F.broadcast(lists) if small else lists, scope)
-    hits = F.filter("_phrases", lambda p: F.contains(F.col(text), p))
-    return both.select(*scope, name, F.explode_outer(hits).alias("phrase")).filter("phrase IS NOT NULL")
+    lists = phrases.groupBy(*scope).agg(F.collect_list(F.struct("phrase", _CARRY)).alias("_phrases"))
+    both = _by_scope(texts, lists, scope, name, small)
+    hits = F.filter("_phrases", lambda p: F.contains(F.col(text), p["phrase"]))
+    found = both.select(*scope, name, F.explode_outer(hits).alias("_hit")).filter("_hit IS NOT NULL")
+    return found.select(*scope, name, "_hit.phrase", f"_hit.{_CARRY}")
 
 
 def _near_anchors(
-    texts: DataFrame, anchors: DataFrame, scope: list[str], text: str, classes: set[int], broadcast_sets: bool
+    texts: DataFrame, anchors: DataFrame, scope: list[str], text: str, name: str, classes: set[int], broadcast_sets: bool
 ) -> DataFrame:
     """The distinct hashes of a text that are anchors of its scope; few of its n-grams leave the row."""
     sets = anchors.groupBy(*scope).agg(F.collect_set("_anchor").alias("_set"))
-    near = texts.join(F.broadcast(sets) if broadcast_sets else sets, scope)
+    near = _by_scope(texts, sets, scope, name, broadcast_sets)
     offered = _offered(near, text, {c or GRAM for c in classes})
     return offered.select(*texts.columns, F.array_intersect("_offered", "_set").alias("_offered"))
 
@@ -132,13 +192,13 @@ def _by_broadcast(
     """Texts are searched where they are read; nothing is shuffled, so minimizers would not pay."""
     anchors = _phrase_anchors(phrases, scope, minimizers=False)
     if as_set:
-        offered = _near_anchors(texts, anchors, scope, text, classes, True)
+        offered = _near_anchors(texts, anchors, scope, text, name, classes, True)
     else:
         offered = _offered(texts, text, {c or GRAM for c in classes})
         offered = offered.withColumn("_offered", F.array_distinct("_offered"))
     inside = F.contains(F.col(text), F.col("phrase"))
     hits = _explode(offered).join(F.broadcast(anchors), [*scope, "_anchor"])
-    return hits.filter(inside).select(*scope, name, "phrase")
+    return hits.filter(inside).select(*scope, name, "phrase", _CARRY)
 
 
 def _by_shuffle(
@@ -146,25 +206,58 @@ def _by_shuffle(
     small: bool,
 ) -> DataFrame:
     """Hashes find the candidates; texts then meet them by id, which shuffles each text once more."""
-    anchors = _phrase_anchors(phrases, scope, minimizers=not as_set)
     keyed = texts.withColumn("_text", F.xxhash64(text))
+    candidates = _candidates(keyed, phrases, scope, text, name, classes, as_set, small)
+    inside = F.contains(F.col(text), F.col("phrase"))
+    return candidates.distinct().join(keyed, [*scope, name, "_text"]).filter(inside).select(*scope, name, "phrase", _CARRY)
+
+
+def _candidates(
+    keyed: DataFrame, phrases: DataFrame, scope: list[str], text: str, name: str, classes: set[int], as_set: bool, small: bool
+) -> DataFrame:
+    """Texts (``name, _text``) and phrases that share an anchor. Frequent n-grams are avoided as anchors, and split where they are not."""
     if as_set:
-        offered = _near_anchors(keyed, anchors, scope, text, classes, small).select(*scope, name, "_text", "_offered")
+        # among the n-grams that may become anchors; the rest of a text never leaves its row
+        possible = _possible(phrases, scope)
+        frequent = _frequent(_near_anchors(keyed, possible, scope, text, name, classes, small))
+        anchors = _phrase_anchors(phrases, scope, False, frequent)
+        offered = _near_anchors(keyed, anchors, scope, text, name, classes, small)
     else:
-        offered = _offered(keyed, text, classes).select(*scope, name, "_text", F.array_distinct("_offered").alias("_offered"))
-    candidates = _explode(offered).join(anchors, [*scope, "_anchor"]).select(*scope, name, "_text", "phrase").distinct()
-    inside = F.contains(F.col(text), F.col("phrase"))
-    return candidates.join(keyed, [*scope, name, "_text"]).filter(inside).select(*scope, name, "phrase")
+        offered = _offered(keyed, text, classes)
+        frequent = _frequent(offered.withColumn("_offered", F.array_distinct("_offered")))
+        anchors = _phrase_anchors(phrases, scope, True, frequent)
+    offered = offered.select(*scope, name, "_text", F.array_distinct("_offered").alias("_offered"))
+    met = _dealt(_explode(offered).filter("_anchor IS NOT NULL"), anchors, [*scope, "_anchor"], frequent, name)
+    return met.select(*scope, name, "_text", "phrase", _CARRY)
 
 
-def _middle_anchor(phrase: str) -> Column:
-    """Hash of the n-gram in the middle of a phrase, of 8, 4, 2 or 1 characters as its length allows."""
-    def gram(n: int) -> Column:
-        start = F.floor((F.length(phrase) - n) / 2).cast("int") + 1
-        return F.shiftrightunsigned(F.xxhash64(F.substr(F.col(phrase), start, F.lit(n))), _COUNT_BITS)
+def _possible(phrases: DataFrame, scope: list[str]) -> DataFrame:
+    """All n-grams that may become anchors."""
+    possible = F.when(F.length("phrase") >= GRAM, _spread("phrase", GRAM))
+    for n in (4, 2, 1):
+        possible = possible.when(F.length("phrase") >= n, _spread("phrase", n))
+    return phrases.select(*scope, F.explode(possible).alias("_anchor"))
 
-    n = F.length(phrase)
-    return F.when(n >= 8, gram(8)).when(n >= 4, gram(4)).when(n >= 2, gram(2)).otherwise(gram(1))
+
+def _found_in_group(scope: list[str], text: str, name: str):
+    """Hits of one scope: its phrases become an automaton (Aho and Corasick, 1975), which reads each text once."""
+
+    def run(texts: pa.Table, phrases: pa.Table) -> pa.Table:
+        hits: list[tuple] = []
+        if texts.num_rows and phrases.num_rows:
+            automaton = ahocorasick.Automaton()
+            for p in phrases.column("phrase").to_pylist():
+                automaton.add_word(p, p)
+            automaton.make_automaton()
+            key = [texts.column(c)[0].as_py() for c in scope]
+            for n, t in zip(texts.column(name).to_pylist(), texts.column(text).to_pylist(), strict=True):
+                if t:
+                    hits += [(*key, n, p) for p in dict.fromkeys(p for _, p in automaton.iter(t))]
+        kinds = [*[texts.schema.field(c) for c in (*scope, name)], pa.field("phrase", pa.string())]
+        columns = zip(*hits, strict=True) if hits else [[] for _ in kinds]
+        return pa.table([pa.array(list(c), f.type) for c, f in zip(columns, kinds, strict=True)], schema=pa.schema(kinds))
+
+    return run
 
 
 def find_in_batches(
@@ -172,34 +265,33 @@ def find_in_batches(
 ) -> DataFrame:
     """As ``find_phrases``, for scopes that are small on both sides, such as the batches of a run.
 
-    The phrases of a scope travel as one array, each beside its anchor, and meet the texts by one equi join on the scope;
-    hits are decided in the row: the n-grams of the text that are anchors, the phrases of these anchors, ``contains``.
-    Texts are shuffled once and nothing is stored. The scope must bound its phrases, as they are gathered.
+    Texts and phrases of a scope meet in one task by one exchange each; the phrases are indexed once for all texts of the scope, so
+    the work is their length, that of the texts and the hits. The scope must bound both sides, as they are gathered.
     """
     scope = list(scope)
-    phrases = phrases.select(*scope, "phrase").filter(F.length("phrase") > 0)
-    lists = phrases.groupBy(*scope).agg(F.collect_set(F.struct(_middle_anchor("phrase").alias("anchor"), "phrase")).alias("_phrases"))
-    both = _offered(texts.select(*scope, name, text).join(lists, scope), text, {1, 2, 4, 8})
-    near = both.withColumn("_near", F.array_intersect("_offered", F.transform("_phrases", lambda p: p["anchor"])))
-    hits = F.filter("_phrases", lambda p: F.array_contains(F.col("_near"), p["anchor"]) & F.contains(F.col(text), p["phrase"]))
-    found = near.select(*scope, name, F.explode_outer(F.transform(hits, lambda p: p["phrase"])).alias("phrase"))
-    return found.filter("phrase IS NOT NULL").distinct()
+    phrases = phrases.select(*scope, "phrase").filter(F.length("phrase") > 0).distinct()
+    texts = texts.select(*scope, name, text)
+    kinds = [*[f"`{c}` {k}" for c, k in texts.dtypes if c != text], "phrase string"]
+    both = texts.groupBy(*scope).cogroup(phrases.groupBy(*scope))
+    return both.applyInArrow(_found_in_group(scope, text, name), ", ".join(kinds)).distinct()
 
 
 def find_phrases(
     texts: DataFrame, phrases: DataFrame, scope: Sequence[str], text: str = "review_norm", name: str = "name",
-    list_phrases: int = LIST_PHRASES, set_phrases: int = SET_PHRASES, max_rows: int = BROADCAST_ROWS,
+    carry: str | None = None, list_phrases: int = LIST_PHRASES, set_phrases: int = SET_PHRASES, max_rows: int = BROADCAST_ROWS,
     max_chars: int = BROADCAST_CHARS,
 ) -> DataFrame:
-    """Distinct (scope, name, phrase) such that the text called ``name`` contains ``phrase``.
+    """Distinct (scope, name, phrase) such that the text called ``name`` contains ``phrase``; with ``carry``, a column of ``phrases``,
+    a row for each of its values that stand with the phrase.
 
     ``texts`` has the scope columns, ``name`` and ``text``; ``phrases`` the scope columns and
-    ``phrase``. Phrases are stored once, as sizes are counted on them before the search is planned.
+    ``phrase``. Sizes of the phrase lists are counted before the search is planned; phrases are not stored.
     """
     scope = list(scope)
     texts = texts.select(*scope, name, text)
-    phrases = phrases.select(*scope, "phrase").filter(F.length("phrase") > 0).distinct()
-    phrases = materialise(phrases.withColumn("_long", F.length("phrase") >= LONG))
+    carried = F.collect_set(carry) if carry else F.collect_set(F.lit(None).cast("string"))
+    phrases = phrases.filter(F.length("phrase") > 0).groupBy(*scope, "phrase").agg(carried.alias(_CARRY))
+    phrases = phrases.withColumn("_long", F.length("phrase") >= LONG)
     per_scope = phrases.groupBy(*scope, "_long").agg(
         F.count(F.lit(1)).alias("_n"), F.sum(F.length("phrase")).alias("_c"), F.collect_set(_class("phrase")).alias("_k")
     )
@@ -211,12 +303,13 @@ def find_phrases(
     sizes = per_scope.groupBy("_way").agg(
         F.sum("_n").alias("n"), F.sum("_c").alias("chars"), F.flatten(F.collect_set("_k")).alias("classes")
     ).collect()  # three rows at most
-    found = texts.select(*scope, name).withColumn("phrase", F.lit("")).limit(0) if not sizes else None
+    none = phrases.select(*scope, "phrase", _CARRY).limit(0)
+    found = texts.select(*scope, name).limit(0).join(none, scope) if not sizes else None
     for size in sizes:
         part = phrases
         if len(sizes) > 1:
             part = phrases.join(per_scope.filter(F.col("_way") == size["_way"]), [*scope, "_long"], "left_semi")
-        part, classes = part.select(*scope, "phrase"), set(size["classes"])
+        part, classes = part.select(*scope, "phrase", _CARRY), set(size["classes"])
         small = size["n"] <= max_rows and size["chars"] <= max_chars
         if size["_way"] == "list":
             hits = _by_list(texts, part, scope, text, name, small)
@@ -227,4 +320,6 @@ def find_phrases(
                 texts, part, scope, text, name, classes, size["_way"] == "set", size["n"] <= BROADCAST_HASHES
             )
         found = hits if found is None else found.unionByName(hits)
-    return found.distinct()
+    if not carry:
+        return found.select(*scope, name, "phrase").distinct()
+    return found.select(*scope, name, "phrase", F.explode(_CARRY).alias(carry)).distinct()
