@@ -12,6 +12,7 @@ from themeloom import schemas
 from themeloom.functions import fixed, text
 from themeloom.operators.codings import dictionary_columns
 from themeloom.operators.prompts import unused_lines
+from themeloom.sources.quoted_csv import read_quoted_csv
 
 
 def require_columns(df: DataFrame, required: Iterable[str] = schemas.REVIEW_COLUMNS) -> DataFrame:
@@ -26,11 +27,9 @@ def require_columns(df: DataFrame, required: Iterable[str] = schemas.REVIEW_COLU
 
 def read_reviews_csv(spark: SparkSession, path: str | list[str], app: str | None = None) -> DataFrame:
     """Reviews CSV with header: BOM, doubled quotes and line breaks inside quotes are allowed. All
-    columns stay strings, so ids keep their form; only an empty cell is NULL. A file with such line
-    breaks cannot be split, so keep large data in Parquet."""
-    df = spark.read.csv(
-        path, header=True, multiLine=True, escape='"', inferSchema=False, encoding="UTF-8", nullValue="", emptyValue=""
-    )
+    columns stay strings, so ids keep their form; only an empty cell is NULL. Large files are read in many tasks, whatever
+    the line breaks (``quoted_csv``)."""
+    df = read_quoted_csv(spark, path)
     require_columns(df)
     return df if app is None else df.withColumn("app", F.lit(app))
 
