@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from themeloom import schemas
+from themeloom.operators.numbering import batch_slot
 from themeloom.session import materialise
 
 
@@ -136,3 +137,50 @@ def codebook_as_of(codings: DataFrame, decisions: DataFrame, batch_id: int) -> D
     events = uses.unionByName(made).filter(F.col("batch_id") <= batch_id)
     last = _latest(events, ["app", "code"], ["active", F.col("batch_id").alias("since_batch")])
     return last.filter("active").select("app", "code", "since_batch")
+
+
+def _states(codings: DataFrame, decisions: DataFrame) -> DataFrame:
+    """``app, code, batch_id, active``: the state of a code from each batch on in which a use or a decision set it."""
+    first = codings.groupBy("app", "code").agg(F.min("batch_id").alias("batch_id"))
+    uses = first.withColumn("seq", F.lit(-1)).withColumn("active", F.lit(True))
+    made = code_events(decisions).select("app", "code", "batch_id", "seq", "active")
+    return _latest(uses.unionByName(made).filter("batch_id IS NOT NULL"), ["app", "code", "batch_id"], ["active"])
+
+
+def codebook_versions(codings: DataFrame, decisions: DataFrame) -> DataFrame:
+    """The codebook of every batch at once: ``app, code, since_batch, until_batch`` for each time that a code is active.
+
+    Batch b has the codes with ``since_batch <= b`` and ``until_batch`` NULL or later; ``since_batch`` is that of ``codebook_as_of``. The event
+    that ends a time is looked for within a range of batches and then among the first events of later ranges.
+    """
+    states = _states(codings, decisions).withColumn("_slot", batch_slot())
+    here = Window.partitionBy("app", "code", "_slot").orderBy("batch_id")
+    later = Window.partitionBy("app", "code").orderBy("_slot")
+    firsts = states.groupBy("app", "code", "_slot").agg(F.min("batch_id").alias("_first"))
+    firsts = firsts.select("app", "code", "_slot", F.lead("_first").over(later).alias("_next"))
+    within = states.withColumn("_until", F.lead("batch_id").over(here))
+    both = within.join(firsts, ["app", "code", "_slot"]).filter("active")
+    return both.select("app", "code", F.col("batch_id").alias("since_batch"), F.coalesce("_until", "_next").alias("until_batch"))
+
+
+def codings_as_of(codings: DataFrame, decisions: DataFrame) -> DataFrame:
+    """Every (app, batch, code) that was used, with its rows and the state that the last event up to that batch left the code in:
+    ``app, batch_id, code, n_quotes, active, since_batch``.
+
+    Uses and events are put into one table, ordered by batch, and the last event runs along it, range by range of batches; a
+    range begins with the last event of the ranges before.
+    """
+    uses = codings.filter("batch_id IS NOT NULL").groupBy("app", "code", "batch_id").agg(F.count(F.lit(1)).alias("n_quotes"))
+    event = F.struct("batch_id", "active")
+    none = F.lit(None).cast("struct<batch_id:bigint,active:boolean>")
+    events = _states(codings, decisions).select("app", "code", "batch_id", F.lit(None).cast("bigint").alias("n_quotes"), event.alias("_event"))
+    rows = uses.withColumn("_event", none).unionByName(events).withColumn("_slot", batch_slot())
+    # of a batch the event comes before the use
+    run = Window.partitionBy("app", "code", "_slot").orderBy("batch_id", F.col("n_quotes").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.partitionBy("app", "code").orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
+    lasts = rows.groupBy("app", "code", "_slot").agg(F.max("_event").alias("_last"))
+    carried = lasts.select("app", "code", "_slot", F.last("_last", ignorenulls=True).over(before).alias("_from"))
+    known = rows.withColumn("_now", F.last("_event", ignorenulls=True).over(run)).filter("n_quotes IS NOT NULL")
+    state = F.coalesce("_now", "_from")
+    joined = known.join(carried, ["app", "code", "_slot"])
+    return joined.select("app", "batch_id", "code", "n_quotes", state["active"].alias("active"), state["batch_id"].alias("since_batch"))

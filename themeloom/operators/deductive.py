@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from themeloom.functions import bands, fixed
-from themeloom.operators.numbering import rolling
+from themeloom.operators.numbering import islands, rolling
 from themeloom.operators.phrases import find_phrases
 
 
@@ -86,3 +86,17 @@ def recurring_gaps(gaps: DataFrame, batch_ordinals: DataFrame) -> DataFrame:
     runs = rolling(at.select("app", "label", "ordinal"), ["app", "label"], "ordinal", fixed.GAP_RUN, [F.count(F.lit(1)).alias("n")])
     full = runs.filter(F.col("n") == fixed.GAP_RUN)
     return full.join(batch_ordinals.select("app", "batch_id", "ordinal"), ["app", "ordinal"]).select("app", "label", "batch_id")
+
+
+def gap_islands(gaps: DataFrame, batch_ordinals: DataFrame, least: int = fixed.GAP_RUN) -> DataFrame:
+    """Stretches of ``least`` or more consecutive batches with the same gap label: ``app, label, first_batch, last_batch, n_batches``.
+
+    ``gaps`` holds ``app, batch_id, label``; ``batch_ordinals`` counts the batches of an app from 1.
+    """
+    ordinals = batch_ordinals.select("app", "batch_id", "ordinal")
+    at = gaps.select("app", "batch_id", "label").distinct().join(ordinals, ["app", "batch_id"])
+    long = islands(at, ["app", "label"], "ordinal").filter(F.col("length") >= least)
+    first = ordinals.select("app", F.col("ordinal").alias("start"), F.col("batch_id").alias("first_batch"))
+    last = ordinals.select("app", F.col("ordinal").alias("stop"), F.col("batch_id").alias("last_batch"))
+    named = long.join(first, ["app", "start"]).join(last, ["app", "stop"])
+    return named.select("app", "label", "first_batch", "last_batch", F.col("length").alias("n_batches"))

@@ -89,3 +89,24 @@ def rolling(df: DataFrame, group: Sequence[str], ordinal: str, width: int, aggs:
     """
     ahead = F.explode(F.sequence(F.col(ordinal), F.col(ordinal) + F.lit(width - 1)))
     return df.withColumn(ordinal, ahead).groupBy(*group, ordinal).agg(*aggs)
+
+
+def islands(df: DataFrame, group: Sequence[str], ordinal: str, per_slot: int = BATCHES_PER_SLOT) -> DataFrame:
+    """Runs of consecutive ordinals per group: ``group, start, stop, length``.
+
+    Runs are found slot by slot. Those that touch neither end of their slot are whole; the others, two at most in a slot, are joined in a
+    second step over the slots, so no window sees all ordinals of a group.
+    """
+    slot = F.floor((F.col(ordinal) - 1) / per_slot)
+    rows = df.select(*group, F.col(ordinal).cast("long").alias("_at"), slot.alias("_slot")).distinct()
+    w = Window.partitionBy(*group, "_slot").orderBy("_at")
+    pieces = rows.withColumn("_run", F.col("_at") - F.row_number().over(w)).groupBy(*group, "_slot", "_run").agg(
+        F.min("_at").alias("start"), F.max("_at").alias("stop")
+    )
+    at_edge = ((F.col("start") - 1) % per_slot == 0) | (F.col("stop") % per_slot == 0)
+    by = Window.partitionBy(*group).orderBy("start")
+    opens = F.when(F.lag("stop").over(by) == F.col("start") - 1, 0).otherwise(1)
+    edges = pieces.filter(at_edge).withColumn("_opens", opens).withColumn("_island", F.sum("_opens").over(by))
+    joined = edges.groupBy(*group, "_island").agg(F.min("start").alias("start"), F.max("stop").alias("stop"))
+    both = pieces.filter(~at_edge).select(*group, "start", "stop").unionByName(joined.select(*group, "start", "stop"))
+    return both.withColumn("length", F.col("stop") - F.col("start") + 1)

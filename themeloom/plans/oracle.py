@@ -170,12 +170,24 @@ _add("io7_unused_header", RUN, "apps AS (SELECT DISTINCT app FROM reviews)", f"p
 _add("io8_overwrite_guard", LOG, select="SELECT app, CASE WHEN app = 'en' THEN 'r0' ELSE 'r1' END AS run_id, count(*) AS n, true AS refused FROM log GROUP BY app")
 _add("io9_codebook_csv", WITH_CODINGS, select="SELECT DISTINCT app, code, quote FROM codings")
 _add("io10_export_dictionary", WITH_CODINGS, select="SELECT DISTINCT app, theme AS code, quote AS term FROM codings")
+def _hashed(name: str, columns: str, by: str = "") -> str:
+    cells = " || ".join(f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')" for c in sorted(columns.split()))
+    names = "".join(f"{len(c)}:{c}" for c in sorted(columns.split()))
+    return f"""SELECT {by and by + " AS part,"} count(*) AS n_rows, sha256('documents:{names}:' || count(*) || ':' || coalesce(sum(CAST(('0x' || substr(h, 1, 15)) AS BIGINT)), 0) || ':'
+    || coalesce(sum(CAST(('0x' || substr(h, 16, 15)) AS BIGINT)), 0)) AS sha256 FROM (SELECT *, md5({cells}) AS h FROM {name}) {by and "GROUP BY " + by}"""
+
+
 def _table_hash(name: str, columns: str) -> str:
-    cells = ", ".join(f"coalesce('=' || CAST({c} AS VARCHAR), '-')" for c in sorted(columns.split()))
-    return f"""SELECT '{name}' AS file, sha256('{name}:' || count(*) || ':' || coalesce(sum(CAST(('0x' || substr(h, 1, 15)) AS BIGINT)), 0) || ':'
-    || coalesce(sum(CAST(('0x' || substr(h, 16, 15)) AS BIGINT)), 0)) AS sha256 FROM (SELECT md5(concat_ws(chr(31), {cells})) AS h FROM {name})"""
+    return f"SELECT '{name}' AS file, sha256 FROM ({_hashed(name, columns).replace('documents:', name + ':', 1)})"
 
 
+_DOC = "doc_id text lang source n_chars"
+_add("io11_partition_hashes", select=f"SELECT 'documents' AS file, part, n_rows, sha256 FROM ({_hashed('documents', _DOC, 'lang')})")
+_add("io11_changed_partitions", f"""later AS (SELECT * REPLACE (CASE WHEN lang = 'es' THEN 'xx' ELSE lang END AS lang,
+  CASE WHEN lang = 'fr' AND doc_id % 20 = 0 THEN text || '.' ELSE text END AS text) FROM documents),
+old_parts AS ({_hashed('documents', _DOC, 'lang')}), new_parts AS ({_hashed('later', _DOC, 'lang')})""", select="""SELECT 'documents' AS file, coalesce(a.part, b.part) AS part,
+  CASE WHEN a.sha256 IS NULL THEN 'added' WHEN b.sha256 IS NULL THEN 'removed' ELSE 'changed' END AS change
+  FROM old_parts a FULL JOIN new_parts b ON a.part = b.part WHERE a.sha256 IS DISTINCT FROM b.sha256""")
 _add("io11_run_manifest", f"""hashes AS ({_table_hash("documents", "doc_id text lang source n_chars")} UNION ALL {_table_hash("labels", "doc_id quality toxic")}),
 groups AS (SELECT substr(sha256, 1, 2) AS g, sha256(string_agg(sha256, '' ORDER BY file, sha256)) AS h, count(*) AS n FROM hashes GROUP BY 1)""",
      select=f"""SELECT sha256(string_agg(h, '' ORDER BY g)) AS source_hash, CAST(sum(n) AS BIGINT) AS n_sources, '1' AS script_version, '{SEED}' AS seed, '{BATCH}' AS batch_size FROM groups""")
@@ -318,6 +330,11 @@ _add("a12_overlapping_codes", WITH_CODINGS, """pairs AS (SELECT DISTINCT app, th
      select="""SELECT s.app, s.code_a, s.code_b, a.n AS n_a, b.n AS n_b, s.n_shared, CAST(s.n_shared AS DOUBLE) / (a.n + b.n - s.n_shared) AS jaccard FROM (
   SELECT x.app, x.code AS code_a, y.code AS code_b, count(*) AS n_shared FROM pairs x JOIN pairs y ON y.app = x.app AND y.quote = x.quote AND x.code < y.code GROUP BY 1, 2, 3) s
   JOIN sizes a ON a.app = s.app AND a.code = s.code_a JOIN sizes b ON b.app = s.app AND b.code = s.code_b""")
+_add("a12_merge_candidates", WITH_CODED, """words AS (SELECT app, (batch_id // 4) || '-' || rating || '-' || theme AS code, unnest(string_split(review_norm, ' ')) AS quote FROM coded),
+pairs AS (SELECT DISTINCT app, code, quote FROM words WHERE length(quote) >= 3), sizes AS (SELECT app, code, count(*) AS n FROM pairs GROUP BY app, code),
+shared AS (SELECT x.app, x.code AS code_a, y.code AS code_b, count(*) AS n_shared FROM pairs x JOIN pairs y ON y.app = x.app AND y.quote = x.quote AND x.code < y.code GROUP BY 1, 2, 3)""",
+     select="""SELECT s.app, s.code_a, s.code_b, a.n AS n_a, b.n AS n_b, s.n_shared, CAST(s.n_shared AS DOUBLE) / (a.n + b.n - s.n_shared) AS jaccard FROM shared s
+  JOIN sizes a ON a.app = s.app AND a.code = s.code_a JOIN sizes b ON b.app = s.app AND b.code = s.code_b WHERE s.n_shared * 5 >= a.n + b.n - s.n_shared""")
 _add("a13_codebook_size", WITH_CODINGS, """sizes AS (SELECT app, count(DISTINCT batch_id) AS n_batches, count(DISTINCT code) AS n_codes, count(DISTINCT theme) AS n_themes FROM codings GROUP BY app),
 expected(app, measure, low, high) AS (VALUES ('src', 'n_batches', CAST(1 AS DOUBLE), CAST(5 AS DOUBLE)), ('src', 'n_codes', 12, 18), ('src', 'n_themes', 4, 6)),
 long AS (SELECT app, 'n_batches' AS measure, CAST(n_batches AS DOUBLE) AS observed, n_batches > 5 AND n_codes > 40 AS bloated FROM sizes
@@ -345,6 +362,12 @@ gaps AS (SELECT DISTINCT c.app, c.batch_id, o.ordinal, c.theme || '-' || c.ratin
   WHERE c.name NOT IN (SELECT name FROM matches)),
 islands AS (SELECT *, ordinal - row_number() OVER (PARTITION BY app, label ORDER BY ordinal) AS island FROM gaps)""",
      select="""SELECT app, label, batch_id FROM (SELECT *, row_number() OVER (PARTITION BY app, label, island ORDER BY ordinal) AS run FROM islands) WHERE run >= 3""")
+_add("w6_gap_islands", WITH_CODINGS, DICT, MATCHES, """ordinals AS (SELECT app, batch_id, row_number() OVER (PARTITION BY app ORDER BY batch_id) AS ordinal
+  FROM (SELECT DISTINCT app, batch_id FROM codings)),
+gaps AS (SELECT DISTINCT c.app, c.batch_id, o.ordinal, c.theme || '-' || c.rating AS label FROM coded c JOIN ordinals o ON o.app = c.app AND o.batch_id = c.batch_id
+  WHERE c.name NOT IN (SELECT name FROM matches)),
+islands AS (SELECT *, ordinal - row_number() OVER (PARTITION BY app, label ORDER BY ordinal) AS island FROM gaps)""",
+     select="""SELECT app, label, min(batch_id) AS first_batch, max(batch_id) AS last_batch, count(*) AS n_batches FROM islands GROUP BY app, label, island HAVING count(*) >= 3""")
 _add("w7_code_trend", WITH_CODINGS, """ordinals AS (SELECT app, batch_id, row_number() OVER (PARTITION BY app ORDER BY batch_id) AS ordinal FROM (SELECT DISTINCT app, batch_id FROM codings)),
 n AS (SELECT c.app, c.batch_id, o.ordinal, c.code, count(*) AS n_quotes FROM codings c JOIN ordinals o ON o.app = c.app AND o.batch_id = c.batch_id GROUP BY 1, 2, 3, 4)""",
      select="""SELECT a.app, a.batch_id, a.code, a.n_quotes, CASE WHEN a.ordinal > 1 THEN a.n_quotes - coalesce(b.n_quotes, 0) END AS change
@@ -375,6 +398,14 @@ _add("g3_codebook_as_of", WITH_CODINGS, DECISIONS, """history AS (SELECT app, co
   UNION ALL SELECT app, code, min(batch_id), -1, true FROM codings GROUP BY app, code)""", select="""SELECT app, code, batch_id AS since_batch FROM (
   SELECT *, row_number() OVER (PARTITION BY app, code ORDER BY batch_id DESC, seq DESC, active DESC) AS rn FROM history WHERE batch_id <= 11) WHERE rn = 1 AND active""")
 
+_STATES = """history AS (SELECT app, code, batch_id, 1 AS seq, active FROM events UNION ALL SELECT app, code, min(batch_id), -1, true FROM codings GROUP BY app, code),
+states AS (SELECT app, code, batch_id, active FROM (SELECT *, row_number() OVER (PARTITION BY app, code, batch_id ORDER BY seq DESC, active DESC) AS rn FROM history) WHERE rn = 1)"""
+_add("g3_codebook_versions", WITH_CODINGS, DECISIONS, _STATES, select="""SELECT app, code, batch_id AS since_batch, until_batch FROM (
+  SELECT *, lead(batch_id) OVER (PARTITION BY app, code ORDER BY batch_id) AS until_batch FROM states) WHERE active""")
+_add("g3_codings_as_of", WITH_CODINGS, DECISIONS, _STATES, "used AS (SELECT app, batch_id, code, count(*) AS n_quotes FROM codings GROUP BY app, batch_id, code)",
+     select="""SELECT u.app, u.batch_id, u.code, u.n_quotes, s.active, s.batch_id AS since_batch
+  FROM used u ASOF JOIN states s ON s.app = u.app AND s.code = u.code AND u.batch_id >= s.batch_id""")
+
 # --- prompts ------------------------------------------------------------------------------------
 _add("p1_batch_texts", RUN, TEXTS, select="SELECT app, batch_id, batch_text, n_entries FROM texts")
 _add("p2_prompts", RUN, TEXTS, LAYERS, PROMPTS, select="SELECT app, stage, batch_id, prompt, length(prompt) AS n_chars FROM prompts")

@@ -147,10 +147,24 @@ def _(spark, d):
     manifest = io.run_manifest(hashes, {"batch_size": b.BATCH, "n_batches": b.N_BATCHES, "seed": b.SEED}, "1")
     path = b.scratch(spark)
     io.write_with_manifest(b.sampling_log(spark, d), path, manifest, ["app"])
-    stored = spark.read.parquet(f"{path}.meta")
+    stored = io.read_manifest(spark, path)
     return stored.select("source_hash", "n_sources", "script_version", F.col("params")["seed"].alias("seed"), F.col("params")["batch_size"].alias("batch_size"))
 
 
+@query("io11_partition_hashes")
+def _(spark, d):
+    return io.partition_hashes(b.table(spark, d, "documents"), "documents", "lang")
+
+
+@query("io11_changed_partitions")
+def _(spark, d):
+    # a later state of the table: one language edited in one document, one left out, one new
+    docs = b.table(spark, d, "documents")
+    later = docs.filter("lang <> 'es'").withColumn("text", F.expr("if(lang = 'fr' AND doc_id % 20 = 0, concat(text, '.'), text)"))
+    later = later.unionByName(docs.filter("lang = 'es'").withColumn("lang", F.lit("xx")))
+    return io.changed_partitions(io.partition_hashes(docs, "documents", "lang"), io.partition_hashes(later, "documents", "lang"))
+
+
 @query("io12_read_batches")
 def _(spark, d):
     path = b.scratch(spark)
@@ -457,6 +471,11 @@ def _(spark, d):
     return ql.overlapping_codes(b.theme_codings(spark, d))
 
 
+@query("a12_merge_candidates")
+def _(spark, d):
+    return ql.similar_codes(b.word_codings(spark, d), 1, 5)
+
+
 @query("a13_codebook_size")
 def _(spark, d):
     expected = spark.createDataFrame(
@@ -513,6 +532,13 @@ def _(spark, d):
     return dd.recurring_gaps(gaps.withColumn("label", F.concat_ws("-", "theme", "rating")), _ordinals(spark, d))
 
 
+@query("w6_gap_islands")
+def _(spark, d):
+    reviews = b.coded_reviews(spark, d)
+    gaps = dd.uncovered_reviews(reviews, dd.match_dictionary(reviews, b.dictionary(spark, d)))
+    return dd.gap_islands(gaps.withColumn("label", F.concat_ws("-", "theme", "rating")), _ordinals(spark, d))
+
+
 @query("w7_code_trend")
 def _(spark, d):
     return ql.code_trend(b.codings(spark, d), _ordinals(spark, d))
@@ -585,6 +611,16 @@ def _(spark, d):
     return cb.codebook_as_of(b.codings(spark, d), b.decisions(spark, d), 11)
 
 
+@query("g3_codebook_versions")
+def _(spark, d):
+    return cb.codebook_versions(b.codings(spark, d), b.decisions(spark, d))
+
+
+@query("g3_codings_as_of")
+def _(spark, d):
+    return cb.codings_as_of(b.codings(spark, d), b.decisions(spark, d))
+
+
 # --- prompts ------------------------------------------------------------------------------------
 
 def _prompts(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:

@@ -52,13 +52,14 @@ def read_log(spark: SparkSession, path: str) -> DataFrame:
     return df.select(*schemas.SAMPLING_LOG.fieldNames())
 
 
-def append_log(rows: DataFrame, path: str) -> None:
+def append_log(rows: DataFrame, path: str, manifest: DataFrame | None = None) -> None:
     """Add a run to the log. Rows land under their app and run, and a retried run replaces only its own
     folder, so history never shrinks and never doubles."""
     (
         rows.select(*schemas.SAMPLING_LOG.fieldNames()).write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic").partitionBy("app", "run_id").parquet(path)
     )
+    record_run(path, manifest)
 
 
 # --- batches ------------------------------------------------------------------------------------
@@ -72,15 +73,16 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
     writer.parquet(path)
 
 
-def write_batches(batches: DataFrame, path: str, overwrite: bool = False) -> None:
+def write_batches(batches: DataFrame, path: str, overwrite: bool = False, manifest: DataFrame | None = None) -> None:
     """Entries as text lines under ``app=/batch_id=``, in sequence order within a batch."""
     rows = batches.repartition("app", "batch_id").sortWithinPartitions("app", "batch_id", "global_seq")
     writer = rows.select("app", "batch_id", F.col("entry").alias("value")).write
     writer = writer.mode("overwrite" if overwrite else "errorifexists").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy("app", "batch_id").text(path)
+    record_run(path, manifest)
 
 
-def write_unused(unused: DataFrame, path: str, apps: DataFrame | None = None) -> None:
+def write_unused(unused: DataFrame, path: str, apps: DataFrame | None = None, manifest: DataFrame | None = None) -> None:
     """The unused pool as text lines per app; always replaced as a whole.
 
     ``apps`` (``app``) names all apps of the run: each gets the header in a file of its own that sorts first by name
@@ -93,6 +95,7 @@ def write_unused(unused: DataFrame, path: str, apps: DataFrame | None = None) ->
         lines = F.when(F.col("_left"), "\n".join(fixed.UNUSED_HEADER)).otherwise("\n".join((*fixed.UNUSED_HEADER, "", fixed.UNUSED_NONE)))
         rows = head.select("app", lines.alias("value")).unionByName(rows)
     rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("app").text(path)
+    record_run(path, manifest)
 
 
 def read_unused(spark: SparkSession, path: str) -> DataFrame:
@@ -138,7 +141,7 @@ def read_coding_files(spark: SparkSession, path: str | list[str], app: str | Non
 
 # --- codebook and dictionary --------------------------------------------------------------------
 
-def write_codebook_csv(merged: DataFrame, path: str, overwrite: bool = False) -> None:
+def write_codebook_csv(merged: DataFrame, path: str, overwrite: bool = False, manifest: DataFrame | None = None) -> None:
     """Merged codebook as CSV per app, sorted by code and quote."""
     rows = dictionary_columns(merged).repartitionByRange("app", fixed.CODE_COLUMN, fixed.QUOTE_COLUMN)
     rows = rows.sortWithinPartitions("app", fixed.CODE_COLUMN, fixed.QUOTE_COLUMN)
@@ -146,6 +149,7 @@ def write_codebook_csv(merged: DataFrame, path: str, overwrite: bool = False) ->
     rows.write.mode(mode).partitionBy("app").csv(
         path, header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
     )
+    record_run(path, manifest)
 
 
 def read_codebook_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -155,10 +159,10 @@ def read_codebook_csv(spark: SparkSession, path: str) -> DataFrame:
     return df.select("app", F.col(fixed.CODE_COLUMN).alias("code"), F.col(fixed.QUOTE_COLUMN).alias("quote"))
 
 
-def export_dictionary(merged: DataFrame, path: str, overwrite: bool = False) -> None:
+def export_dictionary(merged: DataFrame, path: str, overwrite: bool = False, manifest: DataFrame | None = None) -> None:
     """Dictionary for use on new data: the same two columns, codes and quotes both required."""
     require_columns(merged, ("app", "code", "quote"))
-    write_codebook_csv(merged.filter("code <> '' AND quote <> ''"), path, overwrite)
+    write_codebook_csv(merged.filter("code <> '' AND quote <> ''"), path, overwrite, manifest)
 
 
 def read_dictionary(spark: SparkSession, path: str) -> DataFrame:
@@ -167,10 +171,11 @@ def read_dictionary(spark: SparkSession, path: str) -> DataFrame:
 
 # --- prompts and run records --------------------------------------------------------------------
 
-def write_prompts(prompts: DataFrame, path: str) -> None:
+def write_prompts(prompts: DataFrame, path: str, manifest: DataFrame | None = None) -> None:
     """Latest prompt per app, stage and batch; a new run replaces only the batches it covers."""
     # one task for each folder, so no task holds a writer for every batch
     write_table(prompts.repartition("app", "stage", "batch_id"), path, ["app", "stage", "batch_id"], overwrite=True)
+    record_run(path, manifest)
 
 
 def source_hashes(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -179,27 +184,78 @@ def source_hashes(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return files.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file"), F.sha2("content", 256).alias("sha256"))
 
 
+def _row_hash(columns: Iterable[str]):
+    """MD5 of a row. Each cell is preceded by its length, so no content of a cell can pass for another row; NULL is ``-``."""
+    cells = [F.col(f"`{c.replace('`', '``')}`").cast("string") for c in sorted(columns)]
+    return F.md5(F.concat(*[F.coalesce(F.concat(F.octet_length(c).cast("string"), F.lit(":"), c), F.lit("-")) for c in cells]))
+
+
+def _content(rows: DataFrame, by: list[str], columns: Iterable[str], name: str) -> DataFrame:
+    """``by, n_rows, sha256`` over the row hashes ``_h`` of ``rows``, added up as two 60-bit numbers, so nothing is gathered."""
+    def part(start: int):
+        return F.sum(F.conv(F.substring("_h", start, 15), 16, 10).cast("decimal(20,0)"))
+
+    sums = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n_rows"), part(1).alias("_a"), part(16).alias("_b"))
+    names = "".join(f"{len(c.encode())}:{c}" for c in sorted(columns))
+    text = F.concat_ws(":", F.lit(name), F.lit(names), *[F.coalesce(F.col(c).cast("string"), F.lit("0")) for c in ("n_rows", "_a", "_b")])
+    return sums.select(*by, "n_rows", F.sha2(text, 256).alias("sha256"))
+
+
 def table_hash(df: DataFrame, name: str) -> DataFrame:
-    """``file, sha256`` of a table's content: one row, whatever the order and the files of the table.
+    """``file, sha256`` of a table's content and column names: one row, whatever the order and the files of the table.
 
-    Rows are hashed one by one and their hashes added up as two 60-bit numbers next to the row count, so nothing is
-    gathered and a file may have any size. Columns are taken in the order of their names, as text; NULL is told from ''.
+    A file may have any size. Columns are taken in the order of their names, as text; NULL is told from ''.
     """
-    cells = [F.coalesce(F.concat(F.lit("="), F.col(f"`{c}`").cast("string")), F.lit("-")) for c in sorted(df.columns)]
-    row = F.md5(F.concat_ws("\x1f", *cells))
+    hashed = df.select(_row_hash(df.columns).alias("_h"))
+    return _content(hashed, [], df.columns, name).select(F.lit(name).alias("file"), "sha256")
+
+
+def partition_hashes(df: DataFrame, name: str, by: str) -> DataFrame:
+    """``file, part, n_rows, sha256``: the hash of each partition of a table by the text of column ``by``, the leaves of its manifest."""
+    hashed = df.select(F.col(by).cast("string").alias("part"), _row_hash(df.columns).alias("_h"))
+    return _content(hashed, ["part"], df.columns, name).select(F.lit(name).alias("file"), "part", "n_rows", "sha256")
 
-    def part(start: int):
-        return F.sum(F.conv(F.substring(row, start, 15), 16, 10).cast("decimal(20,0)"))
 
-    sums = df.agg(F.count(F.lit(1)).alias("n"), part(1).alias("a"), part(16).alias("b"))
-    text = F.concat_ws(":", F.lit(name), *[F.coalesce(F.col(c).cast("string"), F.lit("0")) for c in ("n", "a", "b")])
-    return sums.select(F.lit(name).alias("file"), F.sha2(text, 256).alias("sha256"))
+def root_hash(parts: DataFrame) -> DataFrame:
+    """``file, n_parts, n_rows, sha256``: partition hashes folded to one, in 256 groups first, so no row holds all of them."""
+    own = F.sha2(F.concat_ws(":", F.coalesce(F.concat(F.octet_length("part").cast("string"), F.lit("="), "part"), F.lit("-")), "sha256"), 256)
+
+    def over(column: str):
+        return F.sha2(F.concat_ws("", F.array_sort(F.collect_list(column))), 256)
+
+    rows = parts.select("file", "n_rows", own.alias("h"))
+    groups = rows.groupBy("file", F.substring("h", 1, 2).alias("g")).agg(over("h").alias("h"), F.count(F.lit(1)).alias("n_parts"), F.sum("n_rows").alias("n_rows"))
+    gathered = F.transform(F.array_sort(F.collect_list(F.struct("g", "h"))), lambda x: x["h"])
+    return groups.groupBy("file").agg(
+        F.sum("n_parts").alias("n_parts"), F.sum("n_rows").alias("n_rows"), F.sha2(F.concat_ws("", gathered), 256).alias("sha256")
+    )
+
+
+def changed_partitions(old: DataFrame, new: DataFrame) -> DataFrame:
+    """``file, part, change`` between two manifests of ``partition_hashes``: added, removed or changed."""
+    a, b = old.alias("a"), new.alias("b")
+    same = (F.col("a.file") == F.col("b.file")) & F.col("a.part").eqNullSafe(F.col("b.part"))
+    both = a.join(b, same, "full_outer")
+    change = F.when(F.col("a.sha256").isNull(), "added").when(F.col("b.sha256").isNull(), "removed").when(F.col("a.sha256") != F.col("b.sha256"), "changed")
+    part = F.when(F.col("b.sha256").isNull(), F.col("a.part")).otherwise(F.col("b.part"))
+    return both.select(F.coalesce("a.file", "b.file").alias("file"), part.alias("part"), change.alias("change")).filter("change IS NOT NULL")
 
 
 def write_with_manifest(df: DataFrame, path: str, manifest: DataFrame, partition_by: list[str] | None = None, overwrite: bool = False) -> None:
     """``write_table`` and, beside it under ``<path>.meta``, the manifest of the run that made it."""
     write_table(df, path, partition_by, overwrite)
-    manifest.write.mode("overwrite").parquet(f"{path.rstrip('/')}.meta")
+    record_run(path, manifest)
+
+
+def record_run(path: str, manifest: DataFrame | None) -> None:
+    """Write the manifest of the run that made ``path`` to ``<path>.meta``. All sinks take one; None leaves it out."""
+    if manifest is not None:
+        manifest.write.mode("overwrite").parquet(f"{path.rstrip('/')}.meta")
+
+
+def read_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """Manifest of the run that made ``path``."""
+    return spark.read.parquet(f"{path.rstrip('/')}.meta")
 
 
 def run_manifest(hashes: DataFrame, params: dict[str, object], version: str) -> DataFrame:
