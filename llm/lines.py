@@ -1,8 +1,8 @@
 """Line dedup by a segment-partition edit join, with DataFrame functions only.
 
 A line of a text that equals an earlier line is removed, and so is a line of ``LEAST`` characters or more that is at most
-``EDITS`` = 2 insertions, deletions or substitutions away from a different line that occurs earlier; lines are in the order of
-(doc_id, line number). Lines are compared without outer white space; lines without a word stay.
+``EDITS`` = 2 insertions, deletions or substitutions away from a different line, of any length, that occurs earlier; lines are in the
+order of (doc_id, line number). Lines are compared without outer white space; lines without a word stay.
 
 1. Distinct lines come from a 128-bit hash; each keeps its first place and the hashes of its segments, never its text.
 2. A line of length l is cut into EDITS + 1 segments. Of two lines within EDITS edits, one has a segment that the other holds
@@ -14,8 +14,9 @@ A line of a text that equals an earlier line is removed, and so is a line of ``L
 4. Pairs are verified on their texts by a banded bit-parallel automaton: for each number of edits the reachable diagonals of
    the band are the bits of a mask, moved on by one character of the first line at a time.
 
-A null text stays null and has no lines; rows that repeat a doc_id are told apart by a hash of their text, and fully equal
-rows count as one document. An empty table gives no rows.
+A null text stays null and has no lines; rows that repeat a doc_id are told apart by a 128-bit hash of their text, and rows equal
+in both count as one document. An empty table gives no rows. Very long lines are compared whole. Other columns are kept as they
+are, whatever their names, but for n_lines and n_removed, which are replaced.
 """
 
 from __future__ import annotations
@@ -30,11 +31,14 @@ PARTS = EDITS + 1
 #: Letters whose counts are compared.
 LETTERS = "etaoinshrdlc"
 SPACE = " \t\n\x0b\x0c\r"
-ROW = ["_id", "_tail"]
+ROW = ["_id", "_tail", "_more"]
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(-1).cast("long"))).withColumn("_tail", F.hash("text"))
+    """The name of each row, its text, and all other columns as one, so that no name can clash."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
+    names = [F.coalesce(F.col("doc_id").cast("long"), F.lit(-1).cast("long")), F.xxhash64("text"), F.xxhash64(F.lit(7), "text")]
+    return docs.select(*[n.alias(c) for n, c in zip(names, ROW, strict=True)], "text", F.struct(*others).alias("_others"))
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -153,7 +157,7 @@ def _edited(docs: DataFrame, distinct: DataFrame) -> DataFrame:
     """``first`` places of distinct lines that are within EDITS edits of an earlier line."""
     base = distinct.filter("n is not null")
     held = base.select(F.explode("segments").alias("key"), F.col("h1").alias("ah"), F.col("n").alias("an"))
-    asked = base.select(F.explode("probes").alias("key"), F.col("h1").alias("bh"), F.col("n").alias("bn"))
+    asked = base.filter(F.col("n") >= LEAST).select(F.explode("probes").alias("key"), F.col("h1").alias("bh"), F.col("n").alias("bn"))
     # lines that share a segment with another line at all; few do, and nothing is paired yet
     meets = (F.col("key") == F.col("k")) & (F.col("ah") != F.col("bh")) & _close("an", "bn")
     longer = stored(asked.join(held.withColumnRenamed("key", "k"), meets, "left_semi"))
@@ -166,9 +170,11 @@ def _edited(docs: DataFrame, distinct: DataFrame) -> DataFrame:
     texts = stored(texts.distinct().withColumn("n", F.length("line")).withColumn("letters", _letters()))
 
     held = texts.select(F.explode(_segments()).alias("key"), F.col("first").alias("a"), F.col("n").alias("an"), F.col("letters").alias("al"))
-    asked = texts.select(F.explode(_probes()).alias("key"), F.col("first").alias("b"), F.col("n").alias("bn"), F.col("letters").alias("bl"))
+    asked = texts.filter(F.col("n") >= LEAST).select(F.explode(_probes()).alias("key"), F.col("first").alias("b"), F.col("n").alias("bn"), F.col("letters").alias("bl"))
     # of two lines of one length either finds the other
     once = (F.col("bn") > F.col("an")) | (F.col("a") < F.col("b"))
+    # the later one goes if it is long enough; the longer one is
+    once = once & ((F.col("a") < F.col("b")) | (F.col("an") >= LEAST))
     like = _apart(F.col("al"), F.col("bl")) <= 2 * EDITS
     pairs = held.join(asked, (held.key == asked.key) & _close("an", "bn") & once & like).select("a", "b").distinct()
     both = pairs.join(texts.select(F.col("first").alias("a"), F.col("line").alias("a_line")), "a").join(
@@ -180,10 +186,10 @@ def _edited(docs: DataFrame, distinct: DataFrame) -> DataFrame:
 def repeated_lines(docs: DataFrame) -> DataFrame:
     """Places (``_id``, ``_tail``, ``no``) of the lines that go."""
     lines = _lines(docs)
-    long = F.col("n") >= LEAST
+    long = F.col("n") >= LEAST - EDITS  # a line a little under LEAST does not go, but others are compared with it
     marked = lines.withColumn("n", F.length("line")).select(
         "h1", "h2", F.struct(*ROW, "no").alias("place"), F.when(long, F.col("n")).alias("n"),
-        F.when(long, _segments()).alias("segments"), F.when(long, _probes()).alias("probes"),
+        F.when(long, _segments()).alias("segments"), F.when(F.col("n") >= LEAST, _probes()).alias("probes"),
     )
     distinct = marked.groupBy("h1", "h2").agg(
         F.min("place").alias("first"), F.count("*").alias("times"), F.first("n").alias("n"), F.first("segments").alias("segments"), F.first("probes").alias("probes")
@@ -210,7 +216,7 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     text = F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(F.flatten(stay), "\n"))
     n_lines = F.when(F.col("_all").isNull(), 0).otherwise(F.size(F.filter("_all", lambda line: F.trim(line, F.lit(SPACE)) != ""))).cast("long")
     return joined.select(
-        *[text.alias("text") if c == "text" else F.col(f"`{c}`") for c in kept], n_lines.alias("n_lines"),
+        *[text.alias("text") if c == "text" else F.col("_others").getField(c).alias(c) for c in kept], n_lines.alias("n_lines"),
         F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone")).cast("long").alias("n_removed"),
     )
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from llm.licenses import IDS, RULES, SENTENCES
 from llm.lines import EDITS, LEAST
-from llm.mixing import BLOCK, CYCLE
+from llm.mixing import BLOCK
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -47,31 +47,28 @@ SELECT d.doc_id, coalesce(len(found), 0)::BIGINT AS n_sentences, coalesce(array_
 FROM documents d LEFT JOIN line USING (doc_id) LEFT JOIN sums USING (doc_id)
 """
 
+_past = "e.blocks * b.weight <= ({0}) * e.weight"  # the targets of e run out before that block
+_target = f"sum(CASE WHEN {_past} THEN e.blocks ELSE 0 END) + sum(CASE WHEN {_past} THEN 0 ELSE e.weight END) * ({{0}}) / b.weight"
+#: Windows of all blocks from the exact shares over the whole run, then earliest deadline first, slot by slot.
 OP8 = f"""
 WITH RECURSIVE doc AS (SELECT doc_id, source, coalesce('=' || source, '') AS s, md5(coalesce(doc_id::VARCHAR, '')) AS k FROM documents),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY s ORDER BY k) - 1 AS rank FROM doc),
-counts AS (SELECT s, count(*) AS docs, sqrt(count(*)::DOUBLE) AS weight, ceil(count(*) / {BLOCK})::BIGINT AS blocks FROM doc GROUP BY s),
-share AS (SELECT *, weight / sum(weight) OVER () * {CYCLE} AS exact FROM counts),
-whole AS (SELECT *, greatest(floor(exact), 1)::BIGINT AS whole FROM share),
-turn AS (SELECT *, {CYCLE} - sum(whole) OVER () AS spare, row_number() OVER (ORDER BY exact - floor(exact) DESC, s) AS turn FROM whole),
-quota AS (SELECT s, blocks, whole + CASE WHEN turn <= spare THEN 1 ELSE 0 END AS q, row_number() OVER (ORDER BY s) AS i FROM turn),
-bound AS (SELECT DISTINCT unnest([0, blocks // q, blocks // q + 1]) AS c FROM quota),
-span AS (SELECT c, coalesce(lead(c) OVER (ORDER BY c), c + 1) AS next FROM bound),
-kind AS (SELECT c, any_value(next) AS next, list(CASE WHEN c < blocks // q THEN q WHEN c = blocks // q THEN blocks % q ELSE 0 END ORDER BY i) AS qs
-  FROM span, quota GROUP BY c),
-sized AS (SELECT c, next, list_transform(qs, lambda x: x::BIGINT) AS qs, list_sum(qs)::BIGINT AS size FROM kind WHERE list_sum(qs) > 0),
-placed AS (SELECT *, coalesce(sum((next - c) * size) OVER (ORDER BY c ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before FROM sized),
-edf(c, qs, size, t, done, pick) AS (
-  SELECT c, qs, size, -1::BIGINT, list_transform(qs, lambda x: 0::BIGINT), 0::BIGINT FROM placed
+counts AS (SELECT s, sqrt(count(*)::DOUBLE) AS weight, ceil(count(*) / {BLOCK})::BIGINT AS blocks FROM doc GROUP BY s),
+src AS (SELECT *, row_number() OVER (ORDER BY s) AS i FROM counts),
+block AS (SELECT i, weight, unnest(range(blocks)) AS n FROM src),
+span AS (SELECT b.i, b.n, floor({_target.format("b.n")} + 1e-9)::BIGINT AS release, ceil({_target.format("b.n + 1")} - 1e-9)::BIGINT AS due
+  FROM block b, src e GROUP BY b.i, b.n, b.weight),
+spans AS (SELECT list(releases ORDER BY i) AS release, list(dues ORDER BY i) AS due, sum(len(dues))::BIGINT AS total
+  FROM (SELECT i, list(release ORDER BY n) AS releases, list(due ORDER BY n) AS dues FROM span GROUP BY i)),
+edf(t, done, pick) AS (
+  SELECT -1::BIGINT, list_transform(due, lambda x: 0::BIGINT), 0::BIGINT FROM spans
   UNION ALL
-  SELECT c, qs, size, t + 1, list_transform(done, lambda x, i: x + CASE WHEN i = p THEN 1 ELSE 0 END), p FROM (
-    SELECT *, (list_min(list_transform(qs, lambda q, i: CASE WHEN done[i] < q AND floor(done[i] * size / q) <= t + 1
-      THEN ceil((done[i] + 1) * size / q)::BIGINT * 100000 + i END)) % 100000)::BIGINT AS p FROM edf WHERE t + 1 < size)),
-slot AS (SELECT c, t, pick AS i, row_number() OVER (PARTITION BY c, pick ORDER BY t) - 1 AS turn FROM edf WHERE t >= 0)
-SELECT doc_id, source, rank // {BLOCK} AS block_no, (before + (rank // {BLOCK} // q - p.c) * size + t)::BIGINT AS slot, (rank % {BLOCK})::INTEGER AS place
-FROM ranked JOIN quota USING (s)
-JOIN placed p ON rank // {BLOCK} // q >= p.c AND rank // {BLOCK} // q < p.next
-JOIN slot ON slot.c = p.c AND slot.i = quota.i AND slot.turn = (rank // {BLOCK}) % q
+  SELECT t + 1, list_transform(done, lambda x, i: x + CASE WHEN i = p THEN 1 ELSE 0 END), p FROM (
+    SELECT t, done, (list_min(list_transform(done, lambda x, i: CASE WHEN x < len(due[i]) AND release[i][x + 1] <= t + 1
+      THEN due[i][x + 1] * 100000 + i END)) % 100000)::BIGINT AS p FROM edf, spans WHERE t + 1 < total)),
+slot AS (SELECT t, pick AS i, row_number() OVER (PARTITION BY pick ORDER BY t) - 1 AS n FROM edf WHERE t >= 0)
+SELECT doc_id, source, rank // {BLOCK} AS block_no, t AS slot, (rank % {BLOCK})::INTEGER AS place
+FROM ranked JOIN src USING (s) JOIN slot ON slot.i = src.i AND slot.n = rank // {BLOCK}
 """
 
 OP9 = f"""
@@ -104,9 +101,9 @@ WITH cut AS (SELECT doc_id, text, string_split(text, chr(10)) AS parts FROM docu
 raw AS (SELECT doc_id, unnest(parts) AS raw, generate_subscripts(parts, 1) - 1 AS no FROM cut),
 line AS (SELECT doc_id, no, raw, trim(raw, chr(32) || chr(9) || chr(11) || chr(12) || chr(13)) AS line FROM raw),
 first AS (SELECT line, min((doc_id, no)) AS at, length(line) AS n FROM line WHERE line <> '' GROUP BY line),
-sized AS (SELECT *, {_bytes('line')} AS bytes, {_counts} FROM first WHERE n >= {LEAST}),
+sized AS (SELECT *, {_bytes('line')} AS bytes, {_counts} FROM first WHERE n >= {LEAST - EDITS}),
 near AS (SELECT DISTINCT greatest(a.at, b.at) AS at FROM sized a, (SELECT unnest(range({EDITS + 1})) AS more) m, sized b
-  WHERE b.n = a.n + more AND a.line <> b.line AND {_apart} <= {2 * EDITS}
+  WHERE b.n = a.n + more AND a.line <> b.line AND CASE WHEN b.at > a.at THEN b.n ELSE a.n END >= {LEAST} AND {_apart} <= {2 * EDITS}
   AND CASE WHEN {_apart} <= {2 * EDITS} THEN levenshtein(a.bytes, b.bytes) <= {EDITS} END),
 mark AS (SELECT l.doc_id, l.no, l.raw, l.line <> '' AS solid, l.line <> '' AND (f.at <> (l.doc_id, l.no) OR near.at IS NOT NULL) AS gone
   FROM line l LEFT JOIN first f ON l.line = f.line LEFT JOIN near ON f.at = near.at)

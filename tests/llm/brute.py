@@ -72,7 +72,8 @@ def lines(rows, most=2, least=30):
             if x.strip(SPACE):
                 first.setdefault(x.strip(SPACE), (d, i))
     long = [x for x in first if len(x) >= least]
-    close = {b for b in long for a in long if first[a] < first[b] and abs(len(a) - len(b)) <= most and edits(a, b) <= most}
+    earlier = [x for x in first if len(x) >= least - most]
+    close = {b for b in long for a in earlier if first[a] < first[b] and abs(len(a) - len(b)) <= most and edits(a, b) <= most}
     out = []
     for d, t in rows:
         split = (t or "").split("\n") if t is not None else []

@@ -482,3 +482,20 @@ def test_edits_at_any_place(make, nothing):
 def test_lines_of_rows_without_id_and_repeated_rows(make):
     got = table(lines.dedup_lines(make([(None, "same line\nown"), (3, "same line\nx"), (3, "same line\nx")])), "doc_id", "n_removed", "text")
     assert got == sorted([(None, 0, "same line\nown"), (3, 1, "x"), (3, 1, "x")], key=repr)
+
+
+def test_lines_keep_columns_of_any_name(docs, rows):
+    names = ["gone", "_id", "_tail", "_more", "_all", "_others", "no", "first", "place", "line", "h1", "near", "key", "a.b"]
+    wide = docs.withColumns({c: F.lit(c) for c in names})
+    done = lines.dedup_lines(wide)
+    assert done.columns == [*docs.columns, *names, "n_lines", "n_removed"]
+    same(table(done, "doc_id", "n_lines", "n_removed", "text"), brute.lines(rows))
+    assert all(r[c] == c for r in done.collect() for c in names)
+
+
+def test_lines_a_little_under_the_least_length_count_as_earlier_ones(make):
+    base = "abcdefghij klmnopqrst uvwxyzABC"  # 31
+    rows = [(1, base[:29]), (2, base[:30]), (3, base[:28]), (4, base), (5, base[:28] + "#"), (6, base[:27] + "!!!!"), (7, base[1:]), (8, base[:25])]
+    for shift in range(len(rows)):
+        turned = [(i, t) for i, (_, t) in enumerate(rows[shift:] + rows[:shift])]
+        same(table(lines.dedup_lines(make(turned)), "doc_id", "n_lines", "n_removed", "text"), brute.lines(turned))
