@@ -1,5 +1,7 @@
 """Every registered query against its SQL twin on the smallest tables."""
 
+import subprocess
+import sys
 from pathlib import Path
 
 import pytest
@@ -32,3 +34,12 @@ def test_every_sql_has_a_query():
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
+
+
+def test_optional_operators_do_not_take_the_others_with_them():
+    """Without a package that only the training-data operators need, all other queries are there."""
+    from themeloom.plans.queries import QUERIES
+
+    code = "import sys; sys.modules['public_tokenizers'] = None; sys.modules['ahocorasick'] = None; import __spark_entry__ as e; print(*e.queries())"
+    done = subprocess.run([sys.executable, "-c", code], cwd=Path(entry.__file__).parent, capture_output=True, text=True, check=True)
+    assert set(done.stdout.split()) == set(QUERIES)

@@ -28,7 +28,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import ahocorasick
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -243,6 +242,8 @@ def _found_in_group(scope: list[str], text: str, name: str):
     """Hits of one scope: its phrases become an automaton (Aho and Corasick, 1975), which reads each text once."""
 
     def run(texts: pa.Table, phrases: pa.Table) -> pa.Table:
+        import ahocorasick  # needed by tasks of this search only
+
         hits: list[tuple] = []
         if texts.num_rows and phrases.num_rows:
             automaton = ahocorasick.Automaton()
