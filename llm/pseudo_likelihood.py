@@ -1,233 +1,369 @@
 """LM scoring by masked pseudo-likelihood.
 
-The tokens are characters in lower case: the ``SYMBOLS`` most frequent ones of the corpus, one token for all others and one for
-the edge of a text. A small network sees the two tokens on either side of a masked one and predicts it; a document's score is
-the sum of the log-probabilities of all of its tokens, each given both sides.
-
-1. Characters are counted over all documents to find the tokens.
-2. All windows of five tokens are counted over all documents: in a task by sorting, then by Spark. Their number is bounded by
-   the tokens (32 ** 5), whatever the size of the corpus, and the counts are all that training needs.
-3. The counts are dealt out by context. In each round every part trains a copy of the network on its contexts in numpy, and
-   the copies are averaged by the tokens that they have seen.
-4. The trained network is evaluated once for each of the 32 ** 4 contexts, and each token of each text is looked up.
-
-A null or empty text has no tokens, score 0 and no mean. With no text at all every document scores 0.
+Tokens are words in lower case, single characters of scripts written without spaces, and single signs. A small network sees the
+two tokens on either side of a masked one and predicts it; a document's score is the sum of the log-probabilities of all of its
+tokens, each given both sides. There is no token for rare words: the vocabulary is every word of the corpus.
+
+The network knows ``CODES`` buckets of word hashes, so its size is fixed. It predicts the bucket of the masked token, and the
+word takes its share of the bucket, ``P(word | sides) = P(bucket | sides) * n(word) / n(bucket)``, which sums up to one over
+the vocabulary. The bucket is predicted in two halves of its number, ``P(high | sides) * P(low | high, sides)``.
+
+1. Texts are cut into tokens once and stored as 64-bit hashes.
+2. Words are counted over all documents, in a task first and then by Spark. The table of words grows with the corpus and stays
+   distributed; the driver sees the sums of the buckets and the words that make up more than one token in ``FREQUENT``, of
+   which there are fewer than ``FREQUENT``.
+3. In each round every task goes over all windows of its texts and trains a copy of the network in numpy; the copies are
+   averaged by the tokens that they have seen, in pieces of the weights.
+4. The network is evaluated for each token of each text. The counts of frequent words are at hand in the tasks, those of the
+   others are joined, from one row for each document and word.
+
+A null or empty text has no tokens, score 0 and no mean. With no text at all every document scores 0. Rows that repeat another
+count and score like documents of their own. A very long text is evaluated in pieces of windows. Columns other than doc_id and
+text are not looked at. A word that the corpus of ``fit`` lacks counts as seen once.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
-from functools import lru_cache
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from llm.tables import stored
 from llm.words import steps
 
-BITS = 5
-CODES = 1 << BITS
-EDGE, OTHER, SYMBOLS = 0, 1, CODES - 2
+#: Runs of letters and digits, and any other character but white space by itself. The ranges are scripts without spaces.
+TOKEN = re.compile(r"[^\W\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u2e80-\ua4cf\uf900-\ufaff\U00020000-\U0003ffff]+|\S")
+HALF_BITS = 5
+HALF = 1 << HALF_BITS
+CODES = HALF * HALF
+#: What stands beyond the edge of a text.
+EDGE = CODES
 SIDE = 2
-CONTEXTS = CODES ** (2 * SIDE)
-HIDDEN = 48
-PARTS, ROUNDS, EPOCHS, BATCH, RATE = 12, 5, 2, 2048, 5e-3
-#: A copy takes this many steps a round at least, going over few contexts more often.
+HIDDEN = 32
+ROUNDS, BATCH, RATE = 2, 4096, 5e-3
+#: A copy takes this many steps a round at least, going over few windows more often.
 STEPS = 60
-#: Distinct windows that a task holds before it folds equal ones.
-HELD = 4_000_000
+#: Windows that a task shuffles at a time.
+POOL = 1 << 17
+FREQUENT = 10_000
+#: Words that a task remembers the hashes of, and distinct words that it holds before it hands their counts on.
+REMEMBERED, HELD = 1 << 18, 1 << 20
+#: Weights of one row on the way to their average.
+PIECE = 4096
 
-SHAPES = {"into": (2 * SIDE, CODES, HIDDEN), "bias": (HIDDEN,), "out": (HIDDEN, CODES), "base": (CODES,)}
+SHAPES = {
+    "into": (2 * SIDE, CODES + 1, HIDDEN), "bias": (HIDDEN,), "high": (HIDDEN, HALF), "high_base": (HALF,),
+    "low": (HALF, HIDDEN, HALF), "low_base": (HALF, HALF),
+}
+SIZE = sum(int(np.prod(s)) for s in SHAPES.values())
 
 
-def points_of(text: str | None) -> np.ndarray:
-    return np.frombuffer((text or "").lower().encode("utf-32-le", "surrogatepass"), np.uint32)
+def tokens_of(text: str | None) -> list[str]:
+    return TOKEN.findall((text or "").lower())
 
 
-def _characters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(0x110000, np.int64)
-    for batch in batches:
-        for part in steps(batch, "text"):
-            points = np.concatenate([*map(points_of, part.column("text").to_pylist()), np.zeros(0, np.uint32)])
-            seen = np.bincount(points)
-            total[: len(seen)] += seen
-    found = np.flatnonzero(total)
-    yield pa.record_batch([pa.array(found), pa.array(total[found])], ["point", "n"])
+def hash_of(token: str) -> int:
+    return xxhash.xxh3_64_intdigest(token.encode("utf-8", "surrogatepass"))
 
 
-def coder(points: tuple[int, ...]) -> np.ndarray:
-    code = np.full(0x110000, OTHER, np.uint8)
-    code[list(points)] = 2 + np.arange(len(points))
-    return code
+def codes_of(words: np.ndarray) -> np.ndarray:
+    """Buckets of unsigned hashes: their leading bits."""
+    return (words >> np.uint64(64 - 2 * HALF_BITS)).astype(np.int32)
 
 
-def windows_of(texts: list[str | None], code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Context and token (``context * CODES + token``) of every token, and the tokens of each text."""
-    lists = [code[points_of(t)] for t in texts]
-    size = np.array([len(x) for x in lists], np.int64)
-    edge = np.zeros(SIDE, np.uint8)
-    flat = np.concatenate([edge, *(y for x in lists for y in (x, edge))]).astype(np.int32)
-    at = np.arange(size.sum()) + SIDE * (1 + np.repeat(np.arange(len(lists)), size))
-    key = np.zeros(len(at), np.int32)
-    for move in (*range(-SIDE, 0), *range(1, SIDE + 1), 0):
-        key = (key << BITS) | flat[at + move]
-    return key, size
+def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    known: dict[str, int] = {}
+    for batch in batches:
+        for part in steps(batch, "text"):
+            out = []
+            for text in part.column("text").to_pylist():
+                tokens = tokens_of(text)
+                if len(known) > REMEMBERED:
+                    known = {}
+                for t in set(tokens).difference(known):
+                    known[t] = hash_of(t)
+                out.append(np.fromiter(map(known.__getitem__, tokens), np.uint64, len(tokens)).tobytes())
+            yield pa.record_batch([part.column("doc_id"), part.column("row"), pa.array(out, pa.binary())], ["doc_id", "row", "words"])
 
 
-def _fold(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    key, n = np.concatenate(keys), np.concatenate(counts)
-    order = np.argsort(key)
-    key, n = key[order], n[order]
-    begins = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))[: len(key)]
-    return key[begins], np.add.reduceat(n, begins) if len(begins) else n
+def tokenised(docs: DataFrame) -> DataFrame:
+    """doc_id, row (a number of its own for each row) and words (token hashes, unsigned 64-bit little-endian)."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    named = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("row"))
+    return stored(named.mapInArrow(_tokens, f"doc_id {kind}, row bigint, words binary"))
 
 
-def _windows(points: tuple[int, ...]):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code = coder(points)
-        keys, counts, held = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)], 0
-        for batch in batches:
-            for part in steps(batch, "text"):
-                key, n = np.unique(windows_of(part.column("text").to_pylist(), code)[0], return_counts=True)
-                keys.append(key)
-                counts.append(n)
-                held += len(key)
-                if held > HELD:
-                    key, n = _fold(keys, counts)
-                    keys, counts, held = [key], [n], 0  # what is left are distinct windows, of which there are few
-        key, n = _fold(keys, counts)
-        for at in range(0, len(key), 1 << 18):
-            yield pa.record_batch([pa.array(key[at : at + (1 << 18)]), pa.array(n[at : at + (1 << 18)])], ["window", "n"])
-
-    return run
+def word_lists(column: pa.Array) -> list[np.ndarray]:
+    return [np.frombuffer(x, "<u8") for x in column.to_pylist()]
 
 
-Net = dict[str, np.ndarray]
+def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def folded(words: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        word, back = np.unique(np.concatenate([*words, np.zeros(0, np.uint64)]), return_inverse=True)
+        return word, np.bincount(back, np.concatenate([*counts, np.zeros(0)]), len(word)).astype(np.int64)
 
+    def rows(word: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for at in range(0, len(word), 1 << 16):
+            yield pa.record_batch([pa.array(word[at : at + (1 << 16)].view(np.int64)), pa.array(n[at : at + (1 << 16)])], ["word", "n"])
 
-def fresh() -> Net:
-    random = np.random.Generator(np.random.PCG64(11))
-    return {k: (random.standard_normal(s) * (0.1 if len(s) > 1 else 0)).astype(np.float32) for k, s in SHAPES.items()}
+    words, counts, held = [], [], 0
+    for batch in batches:
+        for x in word_lists(batch.column("words")):
+            words.append(x)
+            counts.append(np.ones(len(x)))
+            held += len(x)
+            if held > HELD:
+                word, n = folded(words, counts)
+                words, counts, held = [word], [n], 0
+                if len(word) > HELD:
+                    yield from rows(word, n)
+                    words, counts = [], []
+    yield from rows(*folded(words, counts))
+
+
+def word_counts(tokens: DataFrame) -> DataFrame:
+    """word (signed hash) and n of every word."""
+    return stored(tokens.select("words").mapInArrow(_counts, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n")))
+
+
+def windows_of(lists: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Codes on either side of every token [token, 2 * SIDE], left to right, and its own; texts do not see each other."""
+    size = np.array([len(x) for x in lists], np.int64)
+    edge = np.full(SIDE, EDGE, np.int32)
+    flat_codes = np.concatenate([edge, *(y for x in lists for y in (codes_of(x), edge))])
+    at = np.arange(size.sum()) + SIDE * (1 + np.repeat(np.arange(len(lists)), size))
+    moves = [*range(-SIDE, 0), *range(1, SIDE + 1)]
+    return np.stack([flat_codes[at + m] for m in moves], 1), flat_codes[at]
 
 
-def flat(net: Net) -> np.ndarray:
-    return np.concatenate([net[k].reshape(-1) for k in SHAPES])
+Net = dict[str, np.ndarray]
 
 
 def shaped(values: np.ndarray) -> Net:
+    """Views of a vector of weights."""
     cuts = np.cumsum([int(np.prod(s)) for s in SHAPES.values()])[:-1]
-    return {k: v.reshape(s).astype(np.float32) for (k, s), v in zip(SHAPES.items(), np.split(values, cuts), strict=True)}
-
-
-def neighbours(context: np.ndarray) -> list[np.ndarray]:
-    return [(context >> (BITS * (2 * SIDE - 1 - p))) & (CODES - 1) for p in range(2 * SIDE)]
-
-
-def forward(net: Net, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hidden layer and log-probabilities [context, token]."""
-    hidden = np.tanh(net["bias"] + sum(net["into"][p][c] for p, c in enumerate(neighbours(context))))
-    logits = hidden @ net["out"] + net["base"]
-    logits -= logits.max(1, keepdims=True)
-    return hidden, logits - np.log(np.exp(logits).sum(1, keepdims=True))
-
-
-def gradient(net: Net, context: np.ndarray, counts: np.ndarray) -> Net:
-    """Of the mean negative log-probability of the counted tokens."""
-    hidden, logs = forward(net, context)
-    seen = counts.sum(1, keepdims=True)
-    error = ((np.exp(logs) * seen - counts) / max(float(seen.sum()), 1.0)).astype(np.float32)
-    back = (error @ net["out"].T) * (1 - hidden**2)
-    codes = np.arange(CODES)[:, None]
-    into = np.stack([(codes == c).astype(np.float32) @ back for c in neighbours(context)])
-    return {"into": into, "bias": back.sum(0), "out": hidden.T @ error, "base": error.sum(0)}
+    return {k: v.reshape(s) for (k, s), v in zip(SHAPES.items(), np.split(values, cuts), strict=True)}
 
 
-def train(net: Net, context: np.ndarray, counts: np.ndarray, seed: int) -> Net:
-    """Adam over the contexts of one part, in batches of a seeded order."""
-    net = {k: v.copy() for k, v in net.items()}
-    mean, square = ({k: np.zeros_like(v) for k, v in net.items()} for _ in range(2))
-    random, turn = np.random.Generator(np.random.PCG64(seed)), 0
-    batches = -(-len(context) // BATCH)
-    for _ in range(max(EPOCHS, -(-STEPS // batches))):
-        order = random.permutation(len(context))
+def fresh(totals: np.ndarray) -> np.ndarray:
+    """Weights that begin at the frequencies of the buckets, of which ``totals`` are the tokens."""
+    random = np.random.Generator(np.random.PCG64(11))
+    values = (random.standard_normal(SIZE) * 0.1).astype(np.float32)
+    net, seen = shaped(values), totals.reshape(HALF, HALF) + 0.5
+    net["bias"][:] = 0
+    net["high_base"][:] = np.log(seen.sum(1) / seen.sum())
+    net["low_base"][:] = np.log(seen / seen.sum(1, keepdims=True))
+    return values
+
+
+def logs_of(logits: np.ndarray) -> np.ndarray:
+    logits = logits - logits.max(1, keepdims=True)
+    return logits - np.log(np.exp(logits).sum(1, keepdims=True))
+
+
+def by_high(high: np.ndarray) -> list[tuple[int, np.ndarray]]:
+    """Rows of each upper half that occurs."""
+    order = np.argsort(high, kind="stable")
+    cuts = np.searchsorted(high[order], np.arange(HALF + 1)).tolist()
+    return [(k, order[a:b]) for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if b > a]
+
+
+def forward(net: Net, context: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hidden layer, log-probabilities of upper halves and of lower ones below the target's upper half, and of the target."""
+    hidden = np.tanh(net["bias"] + sum(net["into"][p][context[:, p]] for p in range(2 * SIDE)))
+    high, low = target >> HALF_BITS, target & (HALF - 1)
+    highs = logs_of(hidden @ net["high"] + net["high_base"])
+    lows = np.empty((len(target), HALF), hidden.dtype)
+    for k, rows in by_high(high):
+        lows[rows] = hidden[rows] @ net["low"][k] + net["low_base"][k]
+    lows = logs_of(lows)
+    each = np.arange(len(target))
+    return hidden, highs, lows, highs[each, high] + lows[each, low]
+
+
+def gradient(net: Net, context: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """Of the mean negative log-probability of the targets, as a vector."""
+    hidden, highs, lows, _ = forward(net, context, target)
+    values = np.zeros(SIZE, hidden.dtype)
+    out = shaped(values)
+    high, low, each = target >> HALF_BITS, target & (HALF - 1), np.arange(len(target))
+    wrong_high, wrong_low = np.exp(highs), np.exp(lows)
+    wrong_high[each, high] -= 1
+    wrong_low[each, low] -= 1
+    wrong_high /= len(target)
+    wrong_low /= len(target)
+    out["high"][:], out["high_base"][:] = hidden.T @ wrong_high, wrong_high.sum(0)
+    back = wrong_high @ net["high"].T
+    for k, rows in by_high(high):
+        out["low"][k], out["low_base"][k] = hidden[rows].T @ wrong_low[rows], wrong_low[rows].sum(0)
+        back[rows] += wrong_low[rows] @ net["low"][k].T
+    back *= 1 - hidden**2
+    out["bias"][:] = back.sum(0)
+    for p in range(2 * SIDE):
+        order = np.argsort(context[:, p], kind="stable")
+        code = context[order, p]
+        begins = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]]))
+        out["into"][p][code[begins]] = np.add.reduceat(back[order], begins)
+    return values
+
+
+class Copy:
+    """A copy of the network under training (Adam), fed with windows."""
+
+    def __init__(self, weights: np.ndarray, seed: int):
+        self.values = weights.copy()
+        self.net = shaped(self.values)
+        self.mean, self.square = np.zeros_like(weights), np.zeros_like(weights)
+        self.random, self.turn, self.seen = np.random.Generator(np.random.PCG64(seed)), 0, 0
+
+    def over(self, context: np.ndarray, target: np.ndarray) -> None:
+        order = self.random.permutation(len(target))
         for at in range(0, len(order), BATCH):
             pick = order[at : at + BATCH]
-            turn += 1
-            for k, g in gradient(net, context[pick], counts[pick]).items():
-                mean[k] += 0.1 * (g - mean[k])
-                square[k] += 0.01 * (g * g - square[k])
-                net[k] -= RATE * (mean[k] / (1 - 0.9**turn)) / (np.sqrt(square[k] / (1 - 0.99**turn)) + 1e-8)
-    return net
+            slope = gradient(self.net, context[pick], target[pick])
+            self.turn += 1
+            self.mean += 0.1 * (slope - self.mean)
+            self.square += 0.01 * (slope * slope - self.square)
+            self.values -= RATE * (self.mean / (1 - 0.9**self.turn)) / (np.sqrt(self.square / (1 - 0.99**self.turn)) + 1e-8)
 
 
 def _train(weights: np.ndarray, seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [(b.column("window").to_numpy(), b.column("n").to_numpy()) for b in batches]
-        if not sum(len(w) for w, _ in parts):
-            return
-        window, n = (np.concatenate(x) for x in zip(*parts, strict=True))
-        context, row = np.unique(window // CODES, return_inverse=True)
-        counts = np.zeros((len(context), CODES), np.float32)
-        counts[row, window % CODES] = n
-        values = flat(train(shaped(weights), context, counts, seed)).astype(np.float64)
-        yield pa.record_batch(
-            [pa.array(np.arange(len(values), dtype=np.int32)), pa.array(values), pa.array(np.full(len(values), float(n.sum())))], ["k", "value", "weight"]
-        )
+        copy, held, n = Copy(weights, seed), [], 0
+        for batch in batches:
+            for x in word_lists(batch.column("words")):
+                held.append(x)
+                n += len(x)
+                if n >= POOL:
+                    copy.over(*windows_of(held))
+                    copy.seen += n
+                    held, n = [], 0
+        if n:
+            few = windows_of(held)
+            copy.over(*few)
+            copy.seen += n
+            while copy.turn < STEPS:
+                copy.over(*few)
+        if copy.seen:
+            pieces = range(0, SIZE, PIECE)
+            sums = [(copy.values[at : at + PIECE].astype(np.float64) * copy.seen).tobytes() for at in pieces]
+            yield pa.record_batch([pa.array(list(pieces), pa.int32()), pa.array(sums, pa.binary()), pa.array([copy.seen] * len(sums), pa.int64())], ["at", "sums", "seen"])
 
     return run
 
 
-@lru_cache(maxsize=1)
-def log_table(weights: bytes) -> np.ndarray:
-    """Log-probability of each window, at its number."""
-    net = shaped(np.frombuffer(weights, np.float32))
-    out = np.empty((CONTEXTS, CODES), np.float32)
-    for at in range(0, CONTEXTS, 1 << 14):
-        out[at : at + (1 << 14)] = forward(net, np.arange(at, min(at + (1 << 14), CONTEXTS)))[1]
-    return out.reshape(-1)
+def _average(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums of the pieces of one partition, of which it has no more than the weights have."""
+    sums: dict[int, np.ndarray] = {}
+    seen: dict[int, int] = {}
+    for batch in batches:
+        for at, values, n in zip(*(batch.column(k).to_pylist() for k in ("at", "sums", "seen")), strict=True):
+            sums[at] = sums.get(at, 0) + np.frombuffer(values, np.float64)
+            seen[at] = seen.get(at, 0) + n
+    out = [(sums[at] / seen[at]).astype(np.float32).tobytes() for at in sums]
+    yield pa.record_batch([pa.array(list(sums), pa.int32()), pa.array(out, pa.binary())], ["at", "values"])
+
+
+@dataclass
+class Model:
+    """Words of the corpus (word, n), tokens of each bucket, hashes and counts of frequent words, weights."""
+
+    words: DataFrame
+    totals: np.ndarray
+    frequent: np.ndarray
+    counts: np.ndarray
+    weights: np.ndarray
+
+
+def fit_tokens(tokens: DataFrame) -> Model:
+    words = word_counts(tokens)
+    totals = np.zeros(CODES, np.int64)
+    code = F.shiftrightunsigned("word", 64 - 2 * HALF_BITS).cast("int")
+    for r in words.groupBy(code.alias("code")).agg(F.sum("n").alias("n")).collect():  # CODES rows at most
+        totals[r["code"]] = r["n"]
+    often = words.filter(F.col("n") * FREQUENT > int(totals.sum())).collect()  # fewer than FREQUENT rows
+    frequent = np.array([r["word"] for r in often], np.int64).view(np.uint64)
+    order = np.argsort(frequent)
+    counts = np.array([r["n"] for r in often], np.int64)[order]
+    weights = fresh(totals)
+    for turn in range(ROUNDS):
+        trained = tokens.select("words").mapInArrow(_train(weights, turn), "at int, sums binary, seen bigint")
+        pieces = trained.repartition("at").mapInArrow(_average, "at int, values binary").collect()  # the weights once
+        weights = weights.copy()
+        for r in pieces:
+            weights[r["at"] : r["at"] + PIECE] = np.frombuffer(r["values"], np.float32)
+    return Model(words, totals, frequent[order], counts, weights)
 
 
-def _score(points: tuple[int, ...], weights: bytes):
+def fit(docs: DataFrame) -> Model:
+    """Word counts and network of all texts of ``docs``."""
+    return fit_tokens(tokenised(docs))
+
+
+def _score(model: tuple[np.ndarray, ...]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code, logs = coder(points), log_table(weights)
+        weights, totals, frequent, counts = model
+        net, log_totals = shaped(weights), np.log(np.maximum(totals, 1))
+        log_counts = np.log(np.append(counts, 1))
         for batch in batches:
-            for part in steps(batch, "text"):
-                key, size = windows_of(part.column("text").to_pylist(), code)
-                sums = np.concatenate([[0.0], np.cumsum(logs[key], dtype=np.float64)])
-                stop = np.cumsum(size)
-                total = sums[stop] - sums[stop - size]
-                mean = pa.array(total / np.maximum(size, 1), mask=size == 0)
-                yield pa.record_batch([part.column("doc_id"), pa.array(size), pa.array(total), mean], ["doc_id", "n_tokens", "log_prob", "mean_log_prob"])
+            lists = word_lists(batch.column("words"))
+            sizes = np.array([len(x) for x in lists], np.int64)
+            cuts = np.searchsorted(np.cumsum(sizes), np.arange(0, int(sizes.sum()) + POOL, POOL), "left").tolist()
+            for a, b in zip([0, *cuts[1:]], [*cuts[1:], len(lists)], strict=True):
+                if b > a:
+                    yield part(batch.slice(a, b - a), lists[a:b], sizes[a:b], net, frequent, log_totals, log_counts)
+
+    def part(rows, lists, size, net, frequent, log_totals, log_counts) -> pa.RecordBatch:
+        context, target = windows_of(lists)
+        logs = np.empty(len(target))
+        for at in range(0, len(target), 1 << 15):
+            logs[at : at + (1 << 15)] = forward(net, context[at : at + (1 << 15)], target[at : at + (1 << 15)])[3]
+        words, owner = np.concatenate([*lists, np.zeros(0, np.uint64)]), np.repeat(np.arange(len(lists)), size)
+        place = np.searchsorted(frequent, words)
+        common = np.zeros(len(words), bool)
+        inside = place < len(frequent)
+        common[inside] = frequent[place[inside]] == words[inside]
+        logs += np.where(common, log_counts[np.where(common, place, -1)], 0.0) - log_totals[target]
+        total = np.bincount(owner, logs, len(lists)).astype(np.float64)
+        # the other words of each text, once with their number
+        word, text = words[~common], owner[~common]
+        order = np.lexsort((word, text))
+        word, text = word[order], text[order]
+        begins = np.flatnonzero(np.concatenate([[True], (word[1:] != word[:-1]) | (text[1:] != text[:-1])]))[: len(word)]
+        times = np.diff(begins, append=len(word))
+        offsets = pa.array(np.searchsorted(text[begins], np.arange(len(lists) + 1)).astype(np.int32))
+        rare = pa.ListArray.from_arrays(offsets, pa.array(word[begins].view(np.int64)))
+        return pa.record_batch(
+            [rows.column("doc_id"), rows.column("row"), pa.array(size), pa.array(total), rare, pa.ListArray.from_arrays(offsets, pa.array(times.astype(np.int64)))],
+            ["doc_id", "row", "n_tokens", "known", "rare", "times"],
+        )
 
     return run
 
 
-def fit(docs: DataFrame) -> tuple[tuple[int, ...], np.ndarray]:
-    """Tokens (code points, most frequent first) and weights, from all texts of ``docs``."""
-    texts = docs.select("text")
-    characters = texts.mapInArrow(_characters, "point bigint, n bigint").groupBy("point").agg(F.sum("n").alias("n"))
-    points = tuple(r["point"] for r in characters.orderBy(F.desc("n"), "point").limit(SYMBOLS).collect())
-    windows = texts.mapInArrow(_windows(points), "window int, n bigint").groupBy("window").agg(F.sum("n").alias("n"))
-    windows = stored(windows)
-    part = F.pmod(F.xxhash64(F.floor(F.col("window") / CODES)), F.lit(PARTS))
-    dealt = windows.repartition(PARTS, part).sortWithinPartitions("window")
-    weights = flat(fresh()).astype(np.float64)
-    for turn in range(ROUNDS):
-        trained = dealt.mapInArrow(_train(weights, turn), "k int, value double, weight double")
-        rows = trained.groupBy("k").agg((F.sum(F.col("value") * F.col("weight")) / F.sum("weight")).alias("value")).collect()  # a row for each weight
-        for r in rows:
-            weights[r["k"]] = r["value"]
-    return points, weights.astype(np.float32)
+def score_tokens(tokens: DataFrame, model: Model) -> DataFrame:
+    kind = tokens.schema["doc_id"].dataType.simpleString()
+    plain = (model.weights, model.totals, model.frequent, model.counts)
+    partly = stored(tokens.mapInArrow(_score(plain), f"doc_id {kind}, row bigint, n_tokens bigint, known double, rare array<bigint>, times array<bigint>"))
+    rare = partly.select("row", F.explode(F.arrays_zip("rare", "times")).alias("x")).select("row", F.col("x.rare").alias("word"), F.col("x.times").alias("times"))
+    # none of these words makes up more than one token in FREQUENT; one that fit() has not seen counts as 1
+    rest = rare.join(model.words, "word").groupBy("row").agg(F.sum(F.col("times") * F.log("n")).alias("rest"))
+    total = F.col("known") + F.coalesce("rest", F.lit(0.0))
+    whole = partly.drop("rare", "times").join(rest, "row", "left").select("doc_id", "n_tokens", total.alias("log_prob"))
+    return whole.withColumn("mean_log_prob", F.when(F.col("n_tokens") > 0, F.col("log_prob") / F.col("n_tokens")))
 
 
-def score(docs: DataFrame, points: tuple[int, ...], weights: np.ndarray) -> DataFrame:
-    return docs.select("doc_id", "text").mapInArrow(
-        _score(points, weights.tobytes()), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_tokens bigint, log_prob double, mean_log_prob double"
-    )
+def score(docs: DataFrame, model: Model) -> DataFrame:
+    return score_tokens(tokenised(docs), model)
 
 
 def score_corpus(docs: DataFrame) -> DataFrame:
     """doc_id, n_tokens, log_prob and mean_log_prob of every document, by a network fitted on the same documents."""
-    return score(docs, *fit(docs))
+    tokens = tokenised(docs)
+    return score_tokens(tokens, fit_tokens(tokens))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 
 import brute
 import numpy as np
@@ -112,43 +113,100 @@ def test_vectors_that_link_with_nothing(spark):
 
 def test_gradient_is_the_slope():
     random = np.random.default_rng(1)
-    net = {k: v.astype(np.float64) for k, v in pseudo_likelihood.fresh().items()}
-    context, counts = random.integers(0, pseudo_likelihood.CONTEXTS, 20), random.integers(0, 4, (20, pseudo_likelihood.CODES)).astype(float)
-
-    def loss(n):
-        return -(counts * pseudo_likelihood.forward(n, context)[1]).sum() / counts.sum()
-
-    slope = pseudo_likelihood.gradient(net, context, counts)
-    for k in net:
-        at = np.unravel_index(np.abs(slope[k]).argmax(), slope[k].shape)
-        up, down = ({n: v.copy() for n, v in net.items()} for _ in range(2))
-        up[k][at] += 1e-5
-        down[k][at] -= 1e-5
-        assert slope[k][at] == pytest.approx((loss(up) - loss(down)) / 2e-5, rel=1e-3)
-
-
-def test_scores_are_sums_of_predictions_from_both_sides(docs, rows):
-    points, weights = pseudo_likelihood.fit(docs)
-    net, code = pseudo_likelihood.shaped(weights), pseudo_likelihood.coder(points)
-    got = {r.doc_id: r for r in pseudo_likelihood.score(docs, points, weights).collect()}
-    for d, t in rows[:9]:
-        tokens = [0, 0, *code[pseudo_likelihood.points_of(t)].tolist(), 0, 0]
+    totals = random.integers(0, 50, pseudo_likelihood.CODES)
+    values = pseudo_likelihood.fresh(totals).astype(np.float64)
+    context, target = random.integers(0, pseudo_likelihood.CODES + 1, (20, 4)), random.integers(0, pseudo_likelihood.CODES, 20)
+    context[:4] = 7
+
+    def loss(v):
+        return -pseudo_likelihood.forward(pseudo_likelihood.shaped(v), context, target)[3].mean()
+
+    slope = pseudo_likelihood.gradient(pseudo_likelihood.shaped(values), context, target)
+    at = 0
+    for shape in pseudo_likelihood.SHAPES.values():
+        size = int(np.prod(shape))
+        k = at + int(np.abs(slope[at : at + size]).argmax())
+        up, down = values.copy(), values.copy()
+        up[k] += 1e-5
+        down[k] -= 1e-5
+        assert slope[k] == pytest.approx((loss(up) - loss(down)) / 2e-5, rel=1e-3)
+        at += size
+    assert at == pseudo_likelihood.SIZE
+
+
+def test_bucket_probabilities_sum_up_to_one():
+    net = pseudo_likelihood.shaped(pseudo_likelihood.fresh(np.arange(pseudo_likelihood.CODES)))
+    context = np.tile(np.array([[1, pseudo_likelihood.EDGE, 900, 3]]), (pseudo_likelihood.CODES, 1))
+    logs = pseudo_likelihood.forward(net, context, np.arange(pseudo_likelihood.CODES))[3]
+    assert np.exp(logs.astype(float)).sum() == pytest.approx(1, abs=1e-4)
+
+
+def test_word_counts_equal_brute_force(docs, rows, monkeypatch):
+    monkeypatch.setattr(pseudo_likelihood, "HELD", 300)
+    want = Counter(pseudo_likelihood.hash_of(w) for _, t in rows for w in pseudo_likelihood.tokens_of(t))
+    got = pseudo_likelihood.word_counts(pseudo_likelihood.tokenised(docs)).collect()
+    assert {r.word % 2**64: r.n for r in got} == want and len(got) == len(want)
+    assert pseudo_likelihood.tokens_of("Ab-c 東京 d\u0301 12") == ["ab", "-", "c", "東", "京", "d", "\u0301", "12"]
+
+
+def test_scores_are_sums_of_predictions_from_both_sides(make, rows, monkeypatch):
+    monkeypatch.setattr(pseudo_likelihood, "FREQUENT", 200)  # some words are frequent and the others joined
+    monkeypatch.setattr(pseudo_likelihood, "POOL", 500)
+    rows = [*rows, (None, "no id"), (None, "no id"), (3, rows[6][1])]
+    docs = make(rows).withColumns({c: F.lit("mine") for c in ("row", "words", "n_tokens", "log_prob", "rare", "known", "n", "word")})
+    model = pseudo_likelihood.fit(docs)
+    assert 0 < len(model.frequent) < 200
+    net = pseudo_likelihood.shaped(model.weights)
+    counts = Counter(w for _, t in rows for w in pseudo_likelihood.tokens_of(t))
+    code = {w: pseudo_likelihood.hash_of(w) >> 54 for w in counts}
+    totals = Counter()
+    for w, n in counts.items():
+        totals[code[w]] += n
+    want = []
+    for d, t in rows:
+        tokens = pseudo_likelihood.tokens_of(t)
+        codes = [pseudo_likelihood.EDGE] * 2 + [code[w] for w in tokens] + [pseudo_likelihood.EDGE] * 2
         total = 0.0
-        for i in range(2, len(tokens) - 2):
-            context = 0
-            for c in (*tokens[i - 2 : i], *tokens[i + 1 : i + 3]):
-                context = context * 32 + c
-            total += float(pseudo_likelihood.forward(net, np.array([context]))[1][0, tokens[i]])
-        assert got[d].n_tokens == len(tokens) - 4
-        assert got[d].log_prob == pytest.approx(total, rel=1e-4, abs=1e-6)
-        assert (got[d].mean_log_prob is None) == (len(tokens) == 4)
+        if tokens:
+            context = np.array([[codes[i], codes[i + 1], codes[i + 3], codes[i + 4]] for i in range(len(tokens))])
+            total += float(pseudo_likelihood.forward(net, context, np.array(codes[2:-2]))[3].sum(dtype=float))
+            total += sum(np.log(counts[w] / totals[code[w]]) for w in tokens)
+        want.append((-1 if d is None else d, len(tokens), total))
+    got = pseudo_likelihood.score(docs, model).collect()
+    found = sorted((-1 if r.doc_id is None else r.doc_id, r.n_tokens, r.log_prob) for r in got)
+    assert [x[:2] for x in found] == [x[:2] for x in sorted(want)]
+    assert [x[2] for x in found] == pytest.approx([x[2] for x in sorted(want)], rel=1e-4, abs=1e-4)
+    assert all((r.mean_log_prob is None) == (r.n_tokens == 0) for r in got)
+
+
+def test_averages_weigh_copies_by_their_tokens():
+    sums = [(np.full(3, 2.0) * 10).tobytes(), (np.full(3, 5.0) * 30).tobytes(), (np.ones(2) * 4).tobytes()]
+    batch = pa.record_batch([pa.array([0, 0, 4096], pa.int32()), pa.array(sums, pa.binary()), pa.array([10, 30, 4])], ["at", "sums", "seen"])
+    (out,) = pseudo_likelihood._average(iter([batch]))
+    assert {a: np.frombuffer(v, np.float32).tolist() for a, v in zip(*(c.to_pylist() for c in out.columns), strict=True)} == {0: [4.25] * 3, 4096: [1.0] * 2}
 
 
 def test_training_beats_single_frequencies(make, nothing):
     texts = [(i, "the cat sat on the mat and the dog ran over the hill " * 20) for i in range(4)]
     scored = pseudo_likelihood.score_corpus(make(texts)).collect()
-    assert min(r.mean_log_prob for r in scored) > -1.5
+    assert min(r.mean_log_prob for r in scored) > -0.5
     assert pseudo_likelihood.score_corpus(nothing).count() == 0
+    assert [r.log_prob for r in pseudo_likelihood.score_corpus(make([(1, None), (2, "")])).collect()] == [0, 0]
+
+
+def test_junk_and_shuffled_letters_score_below_prose(make):
+    random = np.random.default_rng(5)
+    stock = ["".join(random.choice(list("абвгдежзиклмнопрстуя"), random.integers(2, 8))) for _ in range(40)]
+    prose = " ".join(random.choice(stock, 300))
+    letters = np.array(list(prose))
+    random.shuffle(letters)
+    latin = ["".join(random.choice(list("abcdefghilmnorstu"), random.integers(2, 8))) for _ in range(80)]
+    rows = [(i, " ".join(random.choice(latin, 200))) for i in range(40)]
+    rows += [(100, prose), (101, "".join(letters)), (102, "z" * 400), (103, " ".join(str(x) for x in random.integers(10**8, size=200)))]
+    got = {r.doc_id: r.mean_log_prob for r in pseudo_likelihood.score_corpus(make(rows)).collect()}
+    middle = np.median([got[i] for i in range(40)])
+    assert got[101] < got[100] - 0.5
+    assert max(got[i] for i in (101, 102, 103)) < middle
 
 
 # 4 BPE
