@@ -74,7 +74,7 @@ def hash_of(token: str) -> int:
 
 def codes_of(words: np.ndarray) -> np.ndarray:
     """Buckets of unsigned hashes: their leading bits."""
-    return (words >> np.uint64(64 - 2 * HALF_BITS)).astype(np.int32)
+    return (words >> np.uint64(64 - 2 * HALF_BITS)).astype(np.int16)
 
 
 def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,13 +133,13 @@ def word_counts(tokens: DataFrame) -> DataFrame:
 
 
 def windows_of(lists: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Codes on either side of every token [token, 2 * SIDE], left to right, and its own; texts do not see each other."""
+    """Codes on either side of every token [2 * SIDE, token], left to right, and its own; texts do not see each other."""
     size = np.array([len(x) for x in lists], np.int64)
-    edge = np.full(SIDE, EDGE, np.int32)
+    edge = np.full(SIDE, EDGE, np.int16)
     flat_codes = np.concatenate([edge, *(y for x in lists for y in (codes_of(x), edge))])
     at = np.arange(size.sum()) + SIDE * (1 + np.repeat(np.arange(len(lists)), size))
     moves = [*range(-SIDE, 0), *range(1, SIDE + 1)]
-    return np.stack([flat_codes[at + m] for m in moves], 1), flat_codes[at]
+    return np.stack([flat_codes[at + m] for m in moves]), flat_codes[at]
 
 
 Net = dict[str, np.ndarray]
@@ -162,54 +162,68 @@ def fresh(totals: np.ndarray) -> np.ndarray:
     return values
 
 
-def logs_of(logits: np.ndarray) -> np.ndarray:
-    logits = logits - logits.max(1, keepdims=True)
-    return logits - np.log(np.exp(logits).sum(1, keepdims=True))
-
-
-def by_high(high: np.ndarray) -> list[tuple[int, np.ndarray]]:
-    """Rows of each upper half that occurs."""
-    order = np.argsort(high, kind="stable")
-    cuts = np.searchsorted(high[order], np.arange(HALF + 1)).tolist()
-    return [(k, order[a:b]) for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if b > a]
-
-
-def forward(net: Net, context: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Hidden layer, log-probabilities of upper halves and of lower ones below the target's upper half, and of the target."""
-    hidden = np.tanh(net["bias"] + sum(net["into"][p][context[:, p]] for p in range(2 * SIDE)))
+def shares_of(logits: np.ndarray, taken: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Probabilities, and the log-probability of the column taken in each row; ``logits`` are overwritten."""
+    logits -= logits.max(1, keepdims=True)
+    chosen = logits[np.arange(len(taken)), taken]
+    np.exp(logits, out=logits)
+    total = logits.sum(1)
+    logits /= total[:, None]
+    return logits, chosen - np.log(total)
+
+
+def forward(net: Net, context: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]], np.ndarray, np.ndarray, np.ndarray]:
+    """For targets in ascending order: hidden layer, rows of each upper half that occurs (half, first, last + 1), probabilities
+    of upper halves and of lower ones below the target's upper half, log-probability of the target."""
+    hidden = np.take(net["into"][0], context[0], axis=0)
+    for p in range(1, 2 * SIDE):
+        hidden += np.take(net["into"][p], context[p], axis=0)
+    hidden += net["bias"]
+    np.tanh(hidden, out=hidden)
     high, low = target >> HALF_BITS, target & (HALF - 1)
-    highs = logs_of(hidden @ net["high"] + net["high_base"])
+    cuts = np.searchsorted(high, np.arange(HALF + 1)).tolist()
+    runs = [(k, a, b) for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if b > a]
+    highs = hidden @ net["high"]
+    highs += net["high_base"]
     lows = np.empty((len(target), HALF), hidden.dtype)
-    for k, rows in by_high(high):
-        lows[rows] = hidden[rows] @ net["low"][k] + net["low_base"][k]
-    lows = logs_of(lows)
-    each = np.arange(len(target))
-    return hidden, highs, lows, highs[each, high] + lows[each, low]
+    for k, a, b in runs:
+        np.matmul(hidden[a:b], net["low"][k], out=lows[a:b])
+        lows[a:b] += net["low_base"][k]
+    highs, log_high = shares_of(highs, high)
+    lows, log_low = shares_of(lows, low)
+    return hidden, runs, highs, lows, log_high + log_low
+
+
+def log_probabilities(net: Net, context: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """Of the targets, in any order."""
+    out = np.empty(len(target))
+    for at in range(0, len(target), BATCH):
+        order = np.argsort(target[at : at + BATCH], kind="stable") + at
+        out[order] = forward(net, context[:, order], target[order])[-1]
+    return out
 
 
 def gradient(net: Net, context: np.ndarray, target: np.ndarray) -> np.ndarray:
-    """Of the mean negative log-probability of the targets, as a vector."""
-    hidden, highs, lows, _ = forward(net, context, target)
+    """Of the mean negative log-probability of the targets, which ascend, as a vector."""
+    hidden, runs, wrong_high, wrong_low, _ = forward(net, context, target)
     values = np.zeros(SIZE, hidden.dtype)
     out = shaped(values)
-    high, low, each = target >> HALF_BITS, target & (HALF - 1), np.arange(len(target))
-    wrong_high, wrong_low = np.exp(highs), np.exp(lows)
-    wrong_high[each, high] -= 1
-    wrong_low[each, low] -= 1
-    wrong_high /= len(target)
-    wrong_low /= len(target)
+    each = np.arange(len(target))
+    wrong_high[each, target >> HALF_BITS] -= 1
+    wrong_low[each, target & (HALF - 1)] -= 1
     out["high"][:], out["high_base"][:] = hidden.T @ wrong_high, wrong_high.sum(0)
     back = wrong_high @ net["high"].T
-    for k, rows in by_high(high):
-        out["low"][k], out["low_base"][k] = hidden[rows].T @ wrong_low[rows], wrong_low[rows].sum(0)
-        back[rows] += wrong_low[rows] @ net["low"][k].T
-    back *= 1 - hidden**2
+    for k, a, b in runs:
+        out["low"][k], out["low_base"][k] = hidden[a:b].T @ wrong_low[a:b], wrong_low[a:b].sum(0)
+        back[a:b] += wrong_low[a:b] @ net["low"][k].T
+    back *= 1 - hidden * hidden
     out["bias"][:] = back.sum(0)
     for p in range(2 * SIDE):
-        order = np.argsort(context[:, p], kind="stable")
-        code = context[order, p]
+        order = np.argsort(context[p], kind="stable")
+        code = context[p][order]
         begins = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]]))
-        out["into"][p][code[begins]] = np.add.reduceat(back[order], begins)
+        out["into"][p][code[begins]] = np.add.reduceat(np.take(back, order, axis=0), begins)
+    values /= len(target)
     return values
 
 
@@ -226,11 +240,20 @@ class Copy:
         order = self.random.permutation(len(target))
         for at in range(0, len(order), BATCH):
             pick = order[at : at + BATCH]
-            slope = gradient(self.net, context[pick], target[pick])
+            pick = pick[np.argsort(target[pick], kind="stable")]
+            slope = gradient(self.net, context[:, pick], target[pick])
             self.turn += 1
-            self.mean += 0.1 * (slope - self.mean)
-            self.square += 0.01 * (slope * slope - self.square)
-            self.values -= RATE * (self.mean / (1 - 0.9**self.turn)) / (np.sqrt(self.square / (1 - 0.99**self.turn)) + 1e-8)
+            self.mean *= 0.9
+            self.mean += np.float32(0.1) * slope
+            slope *= slope
+            slope *= np.float32(0.01)
+            self.square *= 0.99
+            self.square += slope
+            size = np.sqrt(self.square / np.float32(1 - 0.99**self.turn))
+            size += np.float32(1e-8)
+            np.divide(self.mean, size, out=size)
+            size *= np.float32(RATE / (1 - 0.9**self.turn))
+            self.values -= size
 
 
 def _train(weights: np.ndarray, seed: int):
@@ -321,9 +344,7 @@ def _score(model: tuple[np.ndarray, ...]):
 
     def part(rows, lists, size, net, frequent, log_totals, log_counts) -> pa.RecordBatch:
         context, target = windows_of(lists)
-        logs = np.empty(len(target))
-        for at in range(0, len(target), 1 << 15):
-            logs[at : at + (1 << 15)] = forward(net, context[at : at + (1 << 15)], target[at : at + (1 << 15)])[3]
+        logs = log_probabilities(net, context, target)
         words, owner = np.concatenate([*lists, np.zeros(0, np.uint64)]), np.repeat(np.arange(len(lists)), size)
         place = np.searchsorted(frequent, words)
         common = np.zeros(len(words), bool)

@@ -115,11 +115,11 @@ def test_gradient_is_the_slope():
     random = np.random.default_rng(1)
     totals = random.integers(0, 50, pseudo_likelihood.CODES)
     values = pseudo_likelihood.fresh(totals).astype(np.float64)
-    context, target = random.integers(0, pseudo_likelihood.CODES + 1, (20, 4)), random.integers(0, pseudo_likelihood.CODES, 20)
-    context[:4] = 7
+    context, target = random.integers(0, pseudo_likelihood.CODES + 1, (4, 20)), np.sort(random.integers(0, pseudo_likelihood.CODES, 20))
+    context[:, :4] = 7
 
     def loss(v):
-        return -pseudo_likelihood.forward(pseudo_likelihood.shaped(v), context, target)[3].mean()
+        return -pseudo_likelihood.log_probabilities(pseudo_likelihood.shaped(v), context, target).mean()
 
     slope = pseudo_likelihood.gradient(pseudo_likelihood.shaped(values), context, target)
     at = 0
@@ -136,8 +136,8 @@ def test_gradient_is_the_slope():
 
 def test_bucket_probabilities_sum_up_to_one():
     net = pseudo_likelihood.shaped(pseudo_likelihood.fresh(np.arange(pseudo_likelihood.CODES)))
-    context = np.tile(np.array([[1, pseudo_likelihood.EDGE, 900, 3]]), (pseudo_likelihood.CODES, 1))
-    logs = pseudo_likelihood.forward(net, context, np.arange(pseudo_likelihood.CODES))[3]
+    context = np.tile(np.array([[1], [pseudo_likelihood.EDGE], [900], [3]]), (1, pseudo_likelihood.CODES))
+    logs = pseudo_likelihood.log_probabilities(net, context, np.arange(pseudo_likelihood.CODES)[::-1])
     assert np.exp(logs.astype(float)).sum() == pytest.approx(1, abs=1e-4)
 
 
@@ -168,8 +168,8 @@ def test_scores_are_sums_of_predictions_from_both_sides(make, rows, monkeypatch)
         codes = [pseudo_likelihood.EDGE] * 2 + [code[w] for w in tokens] + [pseudo_likelihood.EDGE] * 2
         total = 0.0
         if tokens:
-            context = np.array([[codes[i], codes[i + 1], codes[i + 3], codes[i + 4]] for i in range(len(tokens))])
-            total += float(pseudo_likelihood.forward(net, context, np.array(codes[2:-2]))[3].sum(dtype=float))
+            context = np.array([[codes[i], codes[i + 1], codes[i + 3], codes[i + 4]] for i in range(len(tokens))]).T
+            total += float(pseudo_likelihood.log_probabilities(net, context, np.array(codes[2:-2])).sum())
             total += sum(np.log(counts[w] / totals[code[w]]) for w in tokens)
         want.append((-1 if d is None else d, len(tokens), total))
     got = pseudo_likelihood.score(docs, model).collect()
