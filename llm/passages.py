@@ -6,13 +6,16 @@
 2. *Confirmation.* Regions that occur twice as a whole recur with all their windows. For a region seen once whose anchor
    recurs, the windows themselves are counted, over one copy of each region of that anchor. Every region gets a bit mask of
    its recurring windows.
-3. *Automata.* Documents are dealt out by doc_id. A shard takes the texts of one step of a task and the confirmed passages of
-   these texts, compiles the distinct passages into an Aho-Corasick automaton (a word is one code point, a 20-bit hash) and
-   streams every text of the shard through it. Each match is checked on 64-bit window hashes and its words are removed.
-   Confirmation counts over the whole corpus; a shard needs just the passages that some text of it has.
+3. *Passages.* One copy of each confirmed region is read: the codes of its words (20-bit hashes), at most ``WINDOW - ANCHOR + 1``
+   windows long, and 64-bit hashes to verify by. A passage carries no place; a document is handed the passages of the regions it has.
+4. *Automata.* A shard takes the texts of one step of a task, compiles the distinct passages handed to them into an Aho-Corasick
+   automaton (a word is one code point) and streams every text of the shard through it. The automaton alone says where passages
+   lie; each match is verified by its window hashes and its words are removed. Its size is bounded by the texts of the step.
 
 Null and empty texts have no words. Documents of fewer than ``WINDOW`` words keep all. Rows that repeat a doc_id, or have
-none, count as documents of their own; a row that repeats another as a whole therefore loses all its windows.
+none, count as documents of their own; a row that repeats another as a whole therefore loses all its windows. Equal words are
+equal bytes, ties of the smallest hash go to the leftmost. A very long text is a step of its own. An empty table gives no rows,
+and columns other than doc_id and text are not looked at.
 """
 
 from __future__ import annotations
@@ -30,11 +33,9 @@ from llm.tables import stored
 from llm.words import STEP_BYTES, mix, signed, steps, text_parts, window_hashes, window_owner, words_of
 
 WINDOW, ANCHOR = 35, 8
-#: A longer passage is compiled in pieces of this many words, which overlap so that each window lies in one.
-PIECE = 1024
 #: Words are code points from here on, 2 ** 20 of them.
 FIRST_CODE, CODE_BITS = 0x10000, 20
-#: What names a row: its doc_id (a null as -1) and a hash of its text.
+#: What names a row: its doc_id and a 64-bit hash of its text; a null doc_id is replaced by a second hash.
 ROW = ["id", "tail"]
 
 
@@ -81,88 +82,105 @@ def _regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Window hashes of the regions listed beside each text."""
+def codes_of(hashes: np.ndarray) -> np.ndarray:
+    """One code point a word, from the upper bits of its hash."""
+    return ((hashes >> np.uint64(64 - CODE_BITS)).astype(np.uint32) + np.uint32(FIRST_CODE)).astype("<u4")
+
+
+def window_sums(hashes: np.ndarray) -> np.ndarray:
+    """Sums of the window hashes before each word: their differences verify runs of windows."""
+    return np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(window_hashes(hashes, WINDOW)))])
+
+
+def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The regions listed beside each text: codes of their words (3 bytes each), sum of their windows, and the windows where unsure."""
     for batch in batches:
         for part in steps(batch, "text"):
             words = words_of(part.column("text"))
-            windows = window_hashes(words.hashes(), WINDOW)
+            hashes = words.hashes()
+            sums, windows, codes = window_sums(hashes), window_hashes(hashes, WINDOW), codes_of(hashes)
             listed = part.column("listed")
             rows = listed.flatten()
             owner = np.repeat(np.arange(part.num_rows), np.diff(listed.offsets.to_numpy()))
             first, n = (rows.field(k).to_numpy().astype(np.int64) for k in ("first", "n"))
-            each = np.repeat(np.arange(len(n)), n)
-            place = np.arange(len(each)) - np.repeat(np.cumsum(n) - n, n)
-            value = windows[words.first[owner[each]] + first[each] + place]
-            take = pa.array(each)
+            at = words.first[owner] + first
+            raw = codes[_runs(at, n + WINDOW - 1)].view(np.uint8).reshape(-1, 4)[:, :3].tobytes()
+            ends = np.concatenate([[0], np.cumsum(3 * (n + WINDOW - 1))]).astype(np.int32)
+            told = np.where(rows.field("unsure").to_numpy(zero_copy_only=False), n, 0)
+            values = pa.array(signed(windows[_runs(at, told)]))
             yield pa.record_batch(
                 [
-                    pa.array(signed(value)), rows.field("anchor").take(take), rows.field("region").take(take),
-                    pa.array(place.astype(np.int32)), rows.field("times").take(take),
-                ], ["window", "anchor", "region", "place", "times"],
+                    *(rows.field(k) for k in ("anchor", "region", "times")),
+                    pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(ends), pa.py_buffer(raw)]),
+                    pa.array(signed(sums[at + n] - sums[at])),
+                    pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(told)]).astype(np.int32), values),
+                ], ["anchor", "region", "times", "codes", "total", "windows"],
             )
 
 
-def located(words, hashes: np.ndarray, spans: list[tuple[int, int]]) -> np.ndarray:
-    """Words within any occurrence, in any text, of the passages at ``spans`` (first and last + 1 word, all texts counted on).
-
-    Compiles the passages into an automaton and streams each text through it.
-    """
+def _runs(at: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """The places ``at[k], at[k] + 1, ...`` of each k, ``length[k]`` of them."""
+    before = np.cumsum(length) - length
+    return np.arange(length.sum()) + np.repeat(at - before, length)
+
+
+def passages_of(offered: pa.ListArray) -> dict[str, set[int]]:
+    """Distinct passages handed to the texts of a step, as strings of code points, with the window sums that verify them."""
+    rows = offered.flatten()
+    raw = rows.field("codes").to_pylist()
+    if not raw:
+        return {}
+    narrow = np.frombuffer(b"".join(raw), np.uint8).reshape(-1, 3)
+    stream = np.pad(narrow, ((0, 0), (0, 1))).tobytes().decode("utf-32-le")
+    out: dict[str, set[int]] = {}
+    at = 0
+    for codes, mask, total, windows in zip(raw, *(rows.field(k).to_pylist() for k in ("mask", "total", "windows")), strict=True):
+        size = len(codes) // 3
+        n = size - WINDOW + 1
+        if mask == (1 << n) - 1:
+            out.setdefault(stream[at : at + size], set()).add(total)
+        else:  # some windows only, so their hashes are at hand
+            bits = np.concatenate([[False], (mask >> np.arange(n)) & 1 == 1, [False]])
+            edges = np.flatnonzero(bits[1:] != bits[:-1]).tolist()
+            parts = mix(np.array(windows, np.int64).view(np.uint64))
+            for a, b in zip(edges[::2], edges[1::2], strict=True):
+                out.setdefault(stream[at + a : at + b + WINDOW - 1], set()).add(int(parts[a:b].sum().view(np.int64)))
+        at += size
+    return out
+
+
+def located(words, hashes: np.ndarray, passages: dict[str, set[int]]) -> np.ndarray:
+    """Words within any occurrence, in any text, of ``passages``: compiles them into an automaton and streams each text through it."""
     removed = np.zeros(len(hashes) + 1, np.int64)
-    if not spans:
+    if not passages:
         return removed[:-1] > 0
-    codes = ((hashes >> np.uint64(64 - CODE_BITS)).astype(np.uint32) + np.uint32(FIRST_CODE)).astype("<u4")
-    stream = codes.tobytes().decode("utf-32-le")
-    windows = window_hashes(hashes, WINDOW)
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(windows))])
     automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY)
-    for a, b in spans:
-        passage, whole = stream[a:b], int(sums[b - WINDOW + 1] - sums[a])
-        known = automaton.get(passage, None)
-        if known is None:
-            automaton.add_word(passage, {whole: (a, b)})
-        else:
-            known.setdefault(whole, (a, b))
+    for passage, totals in passages.items():
+        automaton.add_word(passage, (len(passage), totals))
     automaton.make_automaton()
-    starts, stops, source = [], [], []
+    stream = codes_of(hashes).tobytes().decode("utf-32-le")
+    stops, lengths, wanted = [], [], []
     for a, b in zip(words.first[:-1].tolist(), words.first[1:].tolist(), strict=True):
         if b - a < WINDOW:
             continue
-        for end, passages in automaton.iter(stream[a:b]):
-            for x, y in passages.values():  # more than one only if codes of unequal words collide
-                starts.append(a + end + 1 - (y - x))
+        for end, (length, totals) in automaton.iter(stream[a:b]):
+            for total in totals:  # more than one only if codes of unequal words collide
                 stops.append(a + end + 1)
-                source.append(x)
-    start, stop, from_ = np.array(starts), np.array(stops), np.array(source)
-    span = stop - start - WINDOW + 1
-    true = sums[start + span] - sums[start] == sums[from_ + span] - sums[from_]
+                lengths.append(length)
+                wanted.append(total)
+    stop, length, want = np.array(stops, np.int64), np.array(lengths, np.int64), np.array(wanted, np.int64)
+    start, sums = stop - length, window_sums(hashes)
+    true = signed(sums[stop - WINDOW + 1] - sums[start]) == want
     np.add.at(removed, start[true], 1)
     np.add.at(removed, stop[true], -1)
     return np.cumsum(removed[:-1]) > 0
 
 
-def passage_spans(spans: pa.ListArray, first: np.ndarray) -> list[tuple[int, int]]:
-    """Maximal runs of recurring windows as words (first, last + 1), from region masks of each text, in pieces of ``PIECE``."""
-    rows = spans.flatten()
-    if not len(rows):
-        return []
-    owner = np.repeat(np.arange(len(spans)), np.diff(spans.offsets.to_numpy()))
-    start, mask = rows.field("first").to_numpy().astype(np.int64), rows.field("mask").to_numpy()
-    bits = (mask[:, None] >> np.arange(WINDOW)) & 1
-    row, place = np.nonzero(bits)
-    at = np.unique(first[owner[row]] + start[row] + place)
-    text = np.searchsorted(first, at, "right")
-    breaks = np.flatnonzero((np.diff(at) != 1) | (np.diff(text) != 0)) + 1
-    begins, ends = at[np.concatenate([[0], breaks])], at[np.concatenate([breaks - 1, [len(at) - 1]])] + WINDOW
-    runs = zip(begins.tolist(), ends.tolist(), strict=True)
-    return [(at, min(at + PIECE, b)) for a, b in runs for at in range(a, b - WINDOW + 1, PIECE - WINDOW + 1)]
-
-
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in steps(batch, "text", 2 * STEP_BYTES):
             words = words_of(part.column("text"))
-            removed = located(words, words.hashes(), passage_spans(part.column("spans"), words.first))
+            removed = located(words, words.hashes(), passages_of(part.column("offered")))
             sums = np.concatenate([[0], np.cumsum(removed)])
             gone = sums[words.first[1:]] - sums[words.first[:-1]]
             raw, offsets = text_parts(part.column("text"))
@@ -187,8 +205,9 @@ def other_key(name: str) -> Column:
 
 def cut_passages(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, n_removed and kept_text (the other words, joined by a space) of every document."""
-    docs = docs.select("doc_id", "text", F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)).alias("id"), F.hash("text").alias("tail"))
-    found = docs.select("text", *ROW).mapInArrow(_regions, "anchor bigint, region bigint, id bigint, tail int, first int, n int")
+    own = F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(F.lit(1), "text"))
+    docs = docs.select("doc_id", "text", own.alias("id"), F.xxhash64("text").alias("tail"))
+    found = docs.select("text", *ROW).mapInArrow(_regions, "anchor bigint, region bigint, id bigint, tail bigint, first int, n int")
     again = found.groupBy("anchor").agg(F.count("*").alias("times")).filter("times > 1").select(other_key("anchor"))
     hits = stored(found.withColumn("k", other_key("anchor")).join(again, "k", "left_semi").drop("k"))
 
@@ -196,20 +215,28 @@ def cut_passages(docs: DataFrame) -> DataFrame:
     region = hits.groupBy("anchor", "region").agg(F.count("*").alias("times"), F.min(F.struct(*ROW, "first", "n")).alias("at"))
     region = stored(region.select("anchor", "region", "times", "at.*"))
     # anchors with a region that was seen once: windows of all their regions count
-    unsure = region.filter("times = 1").select("anchor").distinct().select(other_key("anchor"))
-    listed = region.withColumn("k", other_key("anchor")).join(unsure, "k", "left_semi").groupBy(*ROW).agg(
-        F.collect_list(F.struct("anchor", "region", "first", "n", "times")).alias("listed")
+    unsure = region.filter("times = 1").select("anchor").distinct().select(other_key("anchor"), F.lit(True).alias("unsure"))
+    listed = region.withColumn("k", other_key("anchor")).join(unsure, "k", "left").groupBy(*ROW).agg(
+        F.collect_list(F.struct("anchor", "region", "first", "n", "times", F.coalesce("unsure", F.lit(False)).alias("unsure"))).alias("listed")
     )
     texts = docs.join(listed, ROW).select("text", "listed")
-    windows = stored(texts.mapInArrow(_windows, "window bigint, anchor bigint, region bigint, place int, times bigint"))
+    read = stored(texts.mapInArrow(_read, "anchor bigint, region bigint, times bigint, codes binary, total bigint, windows array<bigint>"))
+    windows = read.select("anchor", "region", "times", F.posexplode("windows").alias("place", "window"))
     twice = windows.groupBy("window").agg(F.sum("times").alias("times")).filter("times > 1").select(other_key("window"))
     single = windows.filter("times = 1").withColumn("k", other_key("window")).join(twice, "k", "left_semi").groupBy("anchor", "region").agg(
         F.bit_or(F.expr("shiftleft(1L, place)")).alias("mask")
     )
-    masks = region.filter("times > 1").select("anchor", "region", F.expr("shiftleft(1L, n) - 1").alias("mask")).union(single)
-    spans = hits.join(masks, ["anchor", "region"]).groupBy(*ROW).agg(F.collect_list(F.struct("first", "mask")).alias("spans"))
-    none = F.expr("cast(array() as array<struct<first:int,mask:bigint>>)")
-    shards = docs.join(spans, ROW, "left").select("doc_id", "text", F.coalesce("spans", none).alias("spans"))
+    whole = F.expr(f"shiftleft(1L, cast(length(codes) / 3 as int) - {WINDOW - 1}) - 1").alias("mask")
+    none = F.expr("cast(array() as array<bigint>)").alias("windows")
+    parts = read.filter("times = 1").join(single, ["anchor", "region"]).select("anchor", "region", "codes", "total", "mask", "windows")
+    # equal rows have each read the same region
+    sure = read.filter("times > 1").dropDuplicates(["anchor", "region"])
+    passages = sure.select("anchor", "region", "codes", "total", whole, none).union(parts)
+    # a region is handed to a document once, however often and on however many equal rows it lies there
+    offers = hits.select(*ROW, "anchor", "region").distinct().join(passages, ["anchor", "region"])
+    offered = offers.groupBy(*ROW).agg(F.collect_list(F.struct("codes", "total", "mask", "windows")).alias("offered"))
+    nothing = F.expr("cast(array() as array<struct<codes:binary,total:bigint,mask:bigint,windows:array<bigint>>>)")
+    shards = docs.join(offered, ROW, "left").select("doc_id", "text", F.coalesce("offered", nothing).alias("offered"))
     return shards.mapInArrow(_cut, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_words bigint, n_removed bigint, kept_text string")
 
 

@@ -15,6 +15,7 @@ from tokenizers import Tokenizer
 
 from llm import bpe, language, licenses, lines, minhash, mixing, passages, pseudo_likelihood, repetition, vectors
 from llm.graph import components
+from llm.words import words_of
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -45,13 +46,31 @@ def test_passages_overlap_of_equal_windows(make):
     same(table(passages.digests(make(rows)), "doc_id", "n_words", "n_removed", "kept_sha256"), brute.passages(rows))
 
 
-def test_long_passages_are_compiled_in_pieces(make, monkeypatch):
-    monkeypatch.setattr(passages, "PIECE", 40)
+def test_long_passages_are_found_in_whole_and_in_part(make):
     text = " ".join(f"w{i}" for i in range(300))
     rows = [(1, text), (2, "before " + text + " after"), (3, " ".join(text.split()[100:180])), (4, "x " * 300)]
     same(table(passages.digests(make(rows)), "doc_id", "n_words", "n_removed", "kept_sha256"), brute.passages(rows))
 
 
+def test_passages_are_located_by_the_automaton_and_verified():
+    text = " ".join(f"w{i}" for i in range(100))
+    words = words_of(pa.array([text, "a b " + text + " c", "w1 " * 40]))
+    hashes = words.hashes()
+    stream, sums = passages.codes_of(hashes).tobytes().decode("utf-32-le"), passages.window_sums(hashes)
+    total = int(np.int64((sums[50 - 34] - sums[10]).view(np.int64)))
+    found = passages.located(words, hashes, {stream[10:50]: {total}})
+    assert np.flatnonzero(found).tolist() == [*range(10, 50), *range(112, 152)]
+    assert not passages.located(words, hashes, {stream[10:50]: {total + 1}}).any()
+
+
+def test_passages_of_texts_without_id_and_of_very_long_texts_among_other_columns(make):
+    long = " ".join(f"v{i * i % 4099}" for i in range(60_000))
+    short = " ".join(f"s{i}" for i in range(50))
+    rows = [(None, long), (None, "start " + long[40_000:90_000]), (7, short), (7, short + " more"), (None, "u " + short[20:]), (8, None), *[(9, short)] * 30]
+    df = make(rows).selectExpr("*", "1 AS id", "2 AS tail", "3 AS k", "4 AS listed", "5 AS offered", "6 AS times")
+    same(table(passages.digests(df), "doc_id", "n_words", "n_removed", "kept_sha256"), brute.passages(rows))
+
+
 # 2 embeddings
 
 
