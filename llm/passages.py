@@ -6,10 +6,10 @@
 2. *Confirmation.* Regions that occur twice as a whole recur with all their windows. For a region seen once whose anchor
    recurs, the windows themselves are counted, over one copy of each region of that anchor. Every region gets a bit mask of
    its recurring windows.
-3. *Passages.* One copy of each confirmed region is read: the codes of its words (20-bit hashes), at most ``WINDOW - ANCHOR + 1``
+3. *Passages.* One copy of each confirmed region is read: the codes of its words (8 bits of their hashes), at most ``WINDOW - ANCHOR + 1``
    windows long, and 64-bit hashes to verify by. A passage carries no place; a document is handed the passages of the regions it has.
 4. *Automata.* A shard takes the texts of one step of a task, compiles the distinct passages handed to them into an Aho-Corasick
-   automaton (a word is one code point) and streams every text of the shard through it. The automaton alone says where passages
+   automaton (a word is one of 256 symbols, as nodes look up their branches one by one) and streams every text of the shard through it. The automaton alone says where passages
    lie; each match is verified by its window hashes and its words are removed. Its size is bounded by the texts of the step.
 
 Null and empty texts have no words. Documents of fewer than ``WINDOW`` words keep all. Rows that repeat a doc_id, or have
@@ -33,8 +33,6 @@ from llm.tables import stored
 from llm.words import STEP_BYTES, mix, signed, steps, text_parts, window_hashes, window_owner, words_of
 
 WINDOW, ANCHOR = 35, 8
-#: Words are code points from here on, 2 ** 20 of them.
-FIRST_CODE, CODE_BITS = 0x10000, 20
 #: What names a row: its doc_id and a 64-bit hash of its text; a null doc_id is replaced by a second hash.
 ROW = ["id", "tail"]
 
@@ -83,8 +81,8 @@ def _regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def codes_of(hashes: np.ndarray) -> np.ndarray:
-    """One code point a word, from the upper bits of its hash."""
-    return ((hashes >> np.uint64(64 - CODE_BITS)).astype(np.uint32) + np.uint32(FIRST_CODE)).astype("<u4")
+    """One byte a word, from the upper bits of its hash."""
+    return (hashes >> np.uint64(56)).astype(np.uint8)
 
 
 def window_sums(hashes: np.ndarray) -> np.ndarray:
@@ -93,7 +91,7 @@ def window_sums(hashes: np.ndarray) -> np.ndarray:
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The regions listed beside each text: codes of their words (3 bytes each), sum of their windows, and the windows where unsure."""
+    """The regions listed beside each text: codes of their words, sum of their windows, and the windows where unsure."""
     for batch in batches:
         for part in steps(batch, "text"):
             words = words_of(part.column("text"))
@@ -104,8 +102,8 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             owner = np.repeat(np.arange(part.num_rows), np.diff(listed.offsets.to_numpy()))
             first, n = (rows.field(k).to_numpy().astype(np.int64) for k in ("first", "n"))
             at = words.first[owner] + first
-            raw = codes[_runs(at, n + WINDOW - 1)].view(np.uint8).reshape(-1, 4)[:, :3].tobytes()
-            ends = np.concatenate([[0], np.cumsum(3 * (n + WINDOW - 1))]).astype(np.int32)
+            raw = codes[_runs(at, n + WINDOW - 1)].tobytes()
+            ends = np.concatenate([[0], np.cumsum(n + WINDOW - 1)]).astype(np.int32)
             told = np.where(rows.field("unsure").to_numpy(zero_copy_only=False), n, 0)
             values = pa.array(signed(windows[_runs(at, told)]))
             yield pa.record_batch(
@@ -124,53 +122,47 @@ def _runs(at: np.ndarray, length: np.ndarray) -> np.ndarray:
     return np.arange(length.sum()) + np.repeat(at - before, length)
 
 
-def passages_of(offered: pa.ListArray) -> dict[str, set[int]]:
-    """Distinct passages handed to the texts of a step, as strings of code points, with the window sums that verify them."""
+def passages_of(offered: pa.ListArray) -> tuple[set[bytes], np.ndarray]:
+    """Codes of the distinct passages handed to the texts of a step, and the window sums of all of them."""
     rows = offered.flatten()
-    raw = rows.field("codes").to_pylist()
-    if not raw:
-        return {}
-    narrow = np.frombuffer(b"".join(raw), np.uint8).reshape(-1, 3)
-    stream = np.pad(narrow, ((0, 0), (0, 1))).tobytes().decode("utf-32-le")
-    out: dict[str, set[int]] = {}
-    at = 0
-    for codes, mask, total, windows in zip(raw, *(rows.field(k).to_pylist() for k in ("mask", "total", "windows")), strict=True):
-        size = len(codes) // 3
-        n = size - WINDOW + 1
+    found, totals = set(), set()
+    for codes, mask, total, windows in zip(*(rows.field(k).to_pylist() for k in ("codes", "mask", "total", "windows")), strict=True):
+        n = len(codes) - WINDOW + 1
         if mask == (1 << n) - 1:
-            out.setdefault(stream[at : at + size], set()).add(total)
+            found.add(codes)
+            totals.add(total)
         else:  # some windows only, so their hashes are at hand
             bits = np.concatenate([[False], (mask >> np.arange(n)) & 1 == 1, [False]])
             edges = np.flatnonzero(bits[1:] != bits[:-1]).tolist()
             parts = mix(np.array(windows, np.int64).view(np.uint64))
             for a, b in zip(edges[::2], edges[1::2], strict=True):
-                out.setdefault(stream[at + a : at + b + WINDOW - 1], set()).add(int(parts[a:b].sum().view(np.int64)))
-        at += size
-    return out
+                found.add(codes[a : b + WINDOW - 1])
+                totals.add(int(parts[a:b].sum().view(np.int64)))
+    return found, np.array(sorted(totals), np.int64)
 
 
-def located(words, hashes: np.ndarray, passages: dict[str, set[int]]) -> np.ndarray:
-    """Words within any occurrence, in any text, of ``passages``: compiles them into an automaton and streams each text through it."""
+def located(words, hashes: np.ndarray, passages: set[bytes], totals: np.ndarray) -> np.ndarray:
+    """Words within any occurrence, in any text, of ``passages``: compiles them into an automaton and streams each text through it.
+
+    An occurrence counts if the sum of its windows is one of ``totals``, so unequal words of one code are told apart.
+    """
     removed = np.zeros(len(hashes) + 1, np.int64)
     if not passages:
         return removed[:-1] > 0
-    automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY)
-    for passage, totals in passages.items():
-        automaton.add_word(passage, (len(passage), totals))
+    automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
+    for passage in passages:
+        automaton.add_word(passage.decode("latin-1"))
     automaton.make_automaton()
-    stream = codes_of(hashes).tobytes().decode("utf-32-le")
-    stops, lengths, wanted = [], [], []
+    stream = codes_of(hashes).tobytes().decode("latin-1")
+    lasts, lengths = [], []
     for a, b in zip(words.first[:-1].tolist(), words.first[1:].tolist(), strict=True):
-        if b - a < WINDOW:
-            continue
-        for end, (length, totals) in automaton.iter(stream[a:b]):
-            for total in totals:  # more than one only if codes of unequal words collide
-                stops.append(a + end + 1)
+        if b - a >= WINDOW:
+            for last, length in automaton.iter(stream[a:b]):
+                lasts.append(a + last)
                 lengths.append(length)
-                wanted.append(total)
-    stop, length, want = np.array(stops, np.int64), np.array(lengths, np.int64), np.array(wanted, np.int64)
-    start, sums = stop - length, window_sums(hashes)
-    true = signed(sums[stop - WINDOW + 1] - sums[start]) == want
+    stop, sums = np.array(lasts, np.int64) + 1, window_sums(hashes)
+    start = stop - np.array(lengths, np.int64)
+    true = np.isin(signed(sums[stop - WINDOW + 1] - sums[start]), totals)
     np.add.at(removed, start[true], 1)
     np.add.at(removed, stop[true], -1)
     return np.cumsum(removed[:-1]) > 0
@@ -180,7 +172,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in steps(batch, "text", 2 * STEP_BYTES):
             words = words_of(part.column("text"))
-            removed = located(words, words.hashes(), passages_of(part.column("offered")))
+            removed = located(words, words.hashes(), *passages_of(part.column("offered")))
             sums = np.concatenate([[0], np.cumsum(removed)])
             gone = sums[words.first[1:]] - sums[words.first[:-1]]
             raw, offsets = text_parts(part.column("text"))
@@ -226,7 +218,7 @@ def cut_passages(docs: DataFrame) -> DataFrame:
     single = windows.filter("times = 1").withColumn("k", other_key("window")).join(twice, "k", "left_semi").groupBy("anchor", "region").agg(
         F.bit_or(F.expr("shiftleft(1L, place)")).alias("mask")
     )
-    whole = F.expr(f"shiftleft(1L, cast(length(codes) / 3 as int) - {WINDOW - 1}) - 1").alias("mask")
+    whole = F.expr(f"shiftleft(1L, length(codes) - {WINDOW - 1}) - 1").alias("mask")
     none = F.expr("cast(array() as array<bigint>)").alias("windows")
     parts = read.filter("times = 1").join(single, ["anchor", "region"]).select("anchor", "region", "codes", "total", "mask", "windows")
     # equal rows have each read the same region

@@ -56,11 +56,11 @@ def test_passages_are_located_by_the_automaton_and_verified():
     text = " ".join(f"w{i}" for i in range(100))
     words = words_of(pa.array([text, "a b " + text + " c", "w1 " * 40]))
     hashes = words.hashes()
-    stream, sums = passages.codes_of(hashes).tobytes().decode("utf-32-le"), passages.window_sums(hashes)
-    total = int(np.int64((sums[50 - 34] - sums[10]).view(np.int64)))
-    found = passages.located(words, hashes, {stream[10:50]: {total}})
+    codes, sums = passages.codes_of(hashes).tobytes(), passages.window_sums(hashes)
+    total = (sums[16:17] - sums[10]).view(np.int64)  # of the windows of 35 words that begin at words 10 to 15
+    found = passages.located(words, hashes, {codes[10:50]}, total)
     assert np.flatnonzero(found).tolist() == [*range(10, 50), *range(112, 152)]
-    assert not passages.located(words, hashes, {stream[10:50]: {total + 1}}).any()
+    assert not passages.located(words, hashes, {codes[10:50]}, total + 1).any()
 
 
 def test_passages_of_texts_without_id_and_of_very_long_texts_among_other_columns(make):
