@@ -3,7 +3,9 @@
 For each distinct word a greedy longest-match walk proposes tokens; all adjacent pairs are then checked at once for
 *compatibility*: a pair is compatible if no merge across its border would have come before the merges that build the
 two tokens. A word whose tokens can all be built and whose pairs are all compatible is encoded; only the others go
-through exact merging. Texts are whole; a null text counts as empty and has no ids.
+through exact merging. Texts are whole; a null text counts as empty and has no ids. Rows that repeat others or have no
+doc_id count for themselves, an empty table gives no rows, and words may be of any length: those of over ``LONG`` bytes are
+proposed from all their places at once and merged with a heap, in time about proportional to their length.
 
 Rules of the vocabulary file (fixed by its ``normalizer`` and ``pre_tokenizer``): special tokens are cut out of the raw
 text first, then NFC, lower case, and the split into contractions, letter runs, single digits and other runs.
@@ -11,6 +13,7 @@ text first, then NFC, lower case, and the split into contractions, letter runs,
 
 from __future__ import annotations
 
+import heapq
 import json
 import unicodedata
 from collections.abc import Iterator
@@ -45,9 +48,13 @@ LATE = regex.compile(f"[{_late}]")
 LATE_PIECES = regex.compile(
     rf"'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}--[{_late}]]+|[\p{{N}}--[{_late}]]|(?:[^{WHITE_SPACE}\p{{L}}\p{{N}}]|[{_late}])+", regex.V1
 )
-#: Words a task remembers before it starts anew; bounds memory only.
-REMEMBERED = 60_000
+#: Words, and bytes of them, that a task remembers before it starts anew; bounds memory only.
+REMEMBERED, REMEMBERED_BYTES = 60_000, 32 << 20
 WORD_END = "</w>"
+#: Words of more bytes are not taken side by side with others. Results are the same.
+LONG = 200
+#: Places of a long word that are walked at once; bounds memory only.
+PLACES = 1 << 18
 NEVER = np.iinfo(np.int32).max
 
 
@@ -221,8 +228,74 @@ class Vocabulary:
         order = np.lexsort((turns_, owner))
         return token[order], owner[order]
 
+    def propose_long(self, word: bytes) -> np.ndarray:
+        """Greedy longest matches of one word: the match at each place, of which those on the way from the first are taken."""
+        symbols = self.symbols([word], np.array([len(word)]))
+        found, until = np.zeros(len(word), np.int32), np.zeros(len(word), np.int64)
+        for base in range(0, len(word), PLACES):
+            walk = np.arange(base, min(base + PLACES, len(word)))
+            at, node = walk.copy(), np.zeros(len(walk), np.int64)
+            while len(walk):
+                key = node * 512 + symbols[at]
+                place = np.minimum(np.searchsorted(self.edges, key), len(self.edges) - 1)
+                on = self.edges[place] == key
+                walk, at, node = walk[on], at[on] + 1, self.targets[place[on]].astype(np.int64)
+                token = self.ends[node]
+                hit = token >= 0
+                found[walk[hit]], until[walk[hit]] = token[hit], at[hit]
+                more = at < len(word)
+                walk, at, node = walk[more], at[more], node[more]
+        jumps, way, at = until.tolist(), [], 0
+        while at < len(word):
+            way.append(at)
+            at = jumps[at]
+        return found[way]
+
+    def merge_long(self, word: bytes) -> list[int]:
+        """Exact merging of one word: pairs wait in a heap by rank and place; one that has changed since is passed over."""
+        token = self.base[self.symbols([word], np.array([len(word)]))]
+        size = len(token)
+        rank = self.ranks_of(token[:-1], token[1:]).astype(np.int64)
+        waits = np.flatnonzero(rank != NEVER)
+        heap = np.sort(rank[waits] * size + waits).tolist()  # a sorted list is a heap
+        tokens, after, before = token.tolist(), list(range(1, size + 1)), list(range(-1, size - 1))
+        gone, merges = -1, self.merges
+        while heap:
+            order, at = divmod(heapq.heappop(heap), size)
+            right = after[at]
+            if tokens[at] == gone or right == size:
+                continue
+            pair = merges.get((tokens[at], tokens[right]))
+            if pair is None or pair[0] != order:
+                continue
+            tokens[at], tokens[right] = pair[1], gone
+            follow = after[at] = after[right]
+            if follow < size:
+                before[follow] = at
+                if (new := merges.get((pair[1], tokens[follow]))) is not None:
+                    heapq.heappush(heap, new[0] * size + at)
+            if (left := before[at]) >= 0 and (new := merges.get((tokens[left], pair[1]))) is not None:
+                heapq.heappush(heap, new[0] * size + left)
+        return [t for t in tokens if t != gone]
+
+    def proposals(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Tokens proposed for all words, and the word of each, in order."""
+        short = np.array([k for k, w in enumerate(words) if len(w) <= LONG], np.int64)
+        if len(short) == len(words):
+            return self.propose(words)
+        tokens, owners = [], []
+        if len(short):
+            token, owner = self.propose([words[k] for k in short])
+            tokens, owners = [token], [short[owner]]
+        for k in np.setdiff1d(np.arange(len(words)), short).tolist():
+            tokens.append(self.propose_long(words[k]))
+            owners.append(np.full(len(tokens[-1]), k))
+        owner = np.concatenate(owners)
+        order = np.argsort(owner, kind="stable")
+        return np.concatenate(tokens)[order], owner[order]
+
     def encode_words(self, words: list[bytes]) -> list[list[int]]:
-        token, owner = self.propose(words)
+        token, owner = self.proposals(words)
         bad = np.zeros(len(words), bool)
         bad[owner[~self.sound[token]]] = True
         side = np.flatnonzero(owner[1:] == owner[:-1])
@@ -232,7 +305,10 @@ class Vocabulary:
         cuts = np.searchsorted(owner, np.arange(len(words) + 1)).tolist()
         ids = token.tolist()
         out = [ids[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-        failed = np.flatnonzero(bad).tolist()
+        for k in np.flatnonzero(bad).tolist():
+            if len(words[k]) > LONG:
+                out[k] = self.merge_long(words[k])
+        failed = [k for k in np.flatnonzero(bad).tolist() if len(words[k]) <= LONG]
         if failed:
             for k, exact in zip(failed, self.merge([words[k] for k in failed]), strict=True):
                 out[k] = exact
@@ -270,10 +346,11 @@ def _encode(path: str, column: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(path)
         known: dict[str, bytes] = {}
+        held = 0
         for batch in batches:
             for part in steps(batch, column):
-                if len(known) > REMEMBERED:
-                    known = {}
+                if len(known) > REMEMBERED or held > REMEMBERED_BYTES:
+                    known, held = {}, 0
                 lists = [pieces(t or "", vocab) for t in part.column(column).to_pylist()]
                 new = list({w for words in lists for w in words}.difference(known))
                 for w in new:
@@ -283,6 +360,7 @@ def _encode(path: str, column: str):
                 if new:
                     for w, ids in zip(new, vocab.encode_words([w.encode() for w in new]), strict=True):
                         known[w] = np.array(ids, "<u4").tobytes()
+                        held += len(w) + len(known[w])
                 ids = [b"".join(map(known.__getitem__, words)) for words in lists]
                 yield pa.record_batch([*part.columns, pa.array(ids, pa.binary()), pa.array([len(x) // 4 for x in ids], pa.int64())], [*part.schema.names, "ids", "n_tokens"])
 

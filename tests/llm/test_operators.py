@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import time
 from collections import Counter
 
 import brute
@@ -255,6 +256,33 @@ def test_bpe_on_every_code_point_and_random_text():
     assert [np.frombuffer(x, "<u4").tolist() for x in got] == want
 
 
+def test_bpe_of_long_words(make, monkeypatch):
+    monkeypatch.setattr(bpe, "PLACES", 1000)
+    random = np.random.default_rng(8)
+    stock = ["".join(random.choice(list("etaoinshrdlu"), random.integers(2, 9))) for _ in range(300)]
+    texts = ["".join(random.choice(list("acgt"), 20_000)), "a" * 5001, "ab" * 3000 + "a", "".join(random.choice(stock, 4000)), "!?" * 700 + "-" * 999]
+    texts += ["é" * 301 + "语" * 500, "x" * bpe.LONG, "x" * (bpe.LONG + 1), "short " + "tion" * 100 + " words " + "tion" * 100, "the" * 3000 + "<|endoftext|>" + "q" * 400]
+    library = Tokenizer.from_file(PATH)
+    got = bpe.encode(make([*enumerate(texts), (None, texts[1]), (None, texts[1])]), PATH).collect()
+    assert len(got) == len(texts) + 2
+    for r in got:
+        assert np.frombuffer(r.ids, "<u4").tolist() == library.encode(r.text, add_special_tokens=False).ids
+    vocab = bpe.vocabulary(PATH)
+    for t in [*texts[:4], "the", "of"]:
+        assert vocab.merge_long(t.encode()) == vocab.merge([t.encode()])[0]
+        assert vocab.propose_long(t.encode()).tolist() == vocab.propose([t.encode()])[0].tolist()
+
+
+def test_bpe_of_a_word_of_a_million_letters():
+    word = "".join(np.random.default_rng(9).choice(list("acgt"), 1_000_000))
+    library, vocab = Tokenizer.from_file(PATH), bpe.vocabulary(PATH)
+    start = time.process_time()
+    want = library.encode(word, add_special_tokens=False).ids
+    middle = time.process_time()
+    assert vocab.encode_words([word.encode()])[0] == want
+    assert time.process_time() - middle < 10 * (middle - start) + 2
+
+
 def test_bpe_keeps_clashing_columns_apart(make, nothing):
     df = make([(1, "hello world")]).withColumn("ids", F.lit("old")).withColumn("n_tokens", F.lit(-1)).withColumn("decoded", F.lit("old"))
     row = bpe.decode(bpe.encode(df, PATH), PATH).first()
