@@ -350,6 +350,7 @@ counts AS (SELECT app, code, count(*) AS n_samples, count(*) FILTER (NOT EXISTS
 
 # --- batch by batch -----------------------------------------------------------------------------
 _add("w1_new_codes", WITH_CODINGS, NEW, select="SELECT app, batch_id, n_new FROM new_codes")
+_add("w1_kept_first_seen", WITH_CODINGS, NEW, select="SELECT app, batch_id, n_new FROM new_codes")
 _add("w2_cumulative_codes", WITH_CODINGS, NEW, TOTALS, select="SELECT app, batch_id, n_new, ordinal, n_codes_total FROM totals")
 _add("w3_saturation_report", REPORT, select=f"""SELECT r.app, r.batch_id, ordinal, n_codes_total, n_new, n_entries, {RATE}, rolling_mean, status, all_last3_le2
   FROM report r JOIN entries e ON e.app = r.app AND e.batch_id = r.batch_id""")

@@ -13,6 +13,7 @@ from themeloom.functions import fixed, text
 from themeloom.operators import codebook as cb
 from themeloom.operators import codings as cd
 from themeloom.operators import deductive as dd
+from themeloom.operators import first_seen as fs
 from themeloom.operators import prompts as pr
 from themeloom.operators import quality as ql
 from themeloom.operators import sampling as sm
@@ -500,6 +501,20 @@ def _(spark, d):
     return st.new_codes(b.undated(b.codings(spark, d)))
 
 
+@query("w1_kept_first_seen")
+def _(spark, d):
+    """Three arrivals: the later batches with their codes by quote, the earlier ones, and the later ones corrected."""
+    codings = b.undated(b.codings(spark, d))
+    middle = codings.groupBy("app").agg(F.avg("batch_id").alias("_middle"))
+    split = codings.join(middle, "app")
+    later, earlier = split.filter("batch_id >= _middle"), split.filter("batch_id < _middle")
+    log, path = fs.empty_log(spark), b.scratch(spark)
+    for n, part in enumerate((later.withColumn("code", F.col("quote")), earlier, later), 1):
+        fs.append_arrival(fs.arrival_rows(log, part, n), path)
+        log = fs.read_first_seen_log(spark, path)
+    return fs.new_codes(log)
+
+
 @query("w2_cumulative_codes")
 def _(spark, d):
     return st.with_totals(st.new_codes(b.codings(spark, d)))
