@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from themeloom.operators import codebook as cb
 from themeloom.operators import deductive as dd
-from themeloom.operators import numbering, quality
+from themeloom.operators import numbering, overlaps, quality
 from themeloom.sources import tables as io
 
 DECISIONS = "app string, batch_id long, seq int, type string, source_codes array<string>, target_codes array<string>"
@@ -139,3 +139,19 @@ def test_every_sink_writes_the_manifest(spark):
         write(f"{folder}/{name}")
         hashes[io.read_manifest(spark, f"{folder}/{name}").first()["source_hash"]].add(name)
     assert list(hashes.values()) == [set(sinks)]
+
+
+@pytest.mark.parametrize("size", [dict(), dict(chunk_codes=70), dict(chunk_entries=3_000)])
+def test_codes_on_common_quotes_are_counted_in_blocks(spark, size):
+    """Nearly all codes share quotes: pairs are counted exactly where they meet, and no join writes them out."""
+    r = random.Random(5)
+    sets = {(a, f"{'é' if i % 9 == 0 else 'k'}{i}"): {f"q{j}" for j in range(90) if r.random() < (0.8 if j < 10 else i % 4 / 10)} | {f"own{i}"} for a in "ab" for i in range(200 if a == "a" else 5)}
+    rows = [(a, c, q) for (a, c), qs in sets.items() for q in qs] * 2
+    codings = spark.createDataFrame(rows, "app string, code string, quote string").repartition(3)
+    found = overlaps.pairs_over(codings, 1, 5, **size)
+    keys = sorted(sets)
+    want = {(a, x, y, len(sets[a, x]), len(sets[a, y]), n) for a, x in keys for b, y in keys
+            if a == b and x < y and (n := len(sets[a, x] & sets[a, y])) and 5 * n >= len(sets[a, x] | sets[a, y])}
+    got = [tuple(p) for p in found.collect()]
+    assert set(got) == want and len(got) == len(want)
+    assert "Join" not in quality.similar_codes(codings, 1, 5)._jdf.queryExecution().executedPlan().toString()

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from themeloom.functions import bands, fixed, text
 from themeloom.operators.numbering import number_rows
+from themeloom.operators.overlaps import pairs_over
 from themeloom.operators.phrases import find_in_batches
 from themeloom.session import materialise
 
@@ -206,25 +207,21 @@ def overlapping_codes(codings: DataFrame, min_jaccard: float = 0.0) -> DataFrame
 def similar_codes(codings: DataFrame, part: int = 1, whole: int = 2) -> DataFrame:
     """Code pairs whose quote sets have a Jaccard index of ``part / whole`` or more, a positive share: merge candidates.
 
-    Quotes are put in one order, rare ones first. Two sets that are similar enough share one of the first
-    n - ceil(n * part / whole) + 1 quotes of each (Chaudhuri et al., A primitive operator for similarity joins, 2006), so only
-    these meet, and only sets of similar sizes; the candidates are then counted on their whole sets.
+    All pairs are counted exactly, block by block, and only similar ones leave a task (``operators/overlaps.py``).
     """
     if not 0 < part <= whole:
         raise ValueError("the share must be positive and at most 1")
-    sets = materialise(codings.select("app", "code", F.unhex(F.md5("quote")).alias("_q")).filter("code IS NOT NULL AND _q IS NOT NULL").distinct())
-    candidates = similar_candidates(sets, part, whole).select("app", "code_a", "code_b", "n_a", "n_b")
-    of_a = sets.select("app", F.col("code").alias("code_a"), "_q")
-    of_b = sets.select("app", F.col("code").alias("code_b"), "_q")
-    shared = candidates.join(of_a, ["app", "code_a"]).join(of_b, ["app", "code_b", "_q"]).groupBy("app", "code_a", "code_b", "n_a", "n_b").agg(
-        F.count(F.lit(1)).alias("n_shared")
-    )
-    union = F.col("n_a") + F.col("n_b") - F.col("n_shared")
-    return shared.filter(F.col("n_shared") * whole >= union * part).withColumn("jaccard", F.col("n_shared") / union)
+    pairs = pairs_over(codings, part, whole)
+    return pairs.withColumn("jaccard", F.col("n_shared") / (F.col("n_a") + F.col("n_b") - F.col("n_shared")))
 
 
 def similar_candidates(sets: DataFrame, part: int, whole: int) -> DataFrame:
-    """Pairs of ``sets`` (``app, code, _q``) that share a quote of their prefixes and fit in size: ``app, code_a, code_b, n_a, n_b``."""
+    """Pairs of ``sets`` (``app, code, _q``) that share a quote of their prefixes and fit in size: ``app, code_a, code_b, n_a, n_b``.
+
+    Quotes are put in one order, rare ones first. Two sets that are similar enough share one of the first
+    n - ceil(n * part / whole) + 1 quotes of each (Chaudhuri et al., A primitive operator for similarity joins, 2006). This pays
+    for high shares only: at low ones nearly all quotes are in the prefix, so ``similar_codes`` counts pairs in blocks instead.
+    """
     sizes = sets.groupBy("app", "code").agg(F.count(F.lit(1)).alias("n"))
     carried = sets.groupBy("app", "_q").agg(F.count(F.lit(1)).alias("_codes"))
     # ordered by the number of codes of a quote, then by its hash; the slot is the beginning of that order
