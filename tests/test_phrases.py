@@ -147,3 +147,16 @@ def test_search_in_batches_on_nulls_and_empty_sides(spark):
     phrases = spark.createDataFrame([("s", "a"), ("s", "a"), ("s", None), ("s", ""), (None, "a"), ("y", "a")], "app string, phrase string")
     assert sorted(map(tuple, ph.find_in_batches(texts, phrases, ["app"]).collect()), key=str) == [("s", "m", "a"), (None, "o", "a")]
     assert ph.find_in_batches(texts, phrases.limit(0), ["app"]).isEmpty()
+
+
+def test_a_bounded_dictionary_reads_each_text_once(spark):
+    """As automata where the texts lie: as brute force, with all codes of a phrase, and no n-grams of the texts."""
+    texts, phrases = _data()
+    coded = [(s, p, c) for i, (s, p) in enumerate(phrases) for c in (["x", f"y{i % 3}"] if i % 2 else ["x"])] + [(None, "the", "z"), ("s", "game", None)]
+    want = {(s, n, p, c) for s, n, t in texts for s2, p, c in coded if s == s2 and p and p in t and c is not None}
+    rows = spark.createDataFrame(texts + [("s", "none", None), (None, "lost", "the game")], "app string, name string, review_norm string")
+    found = ph.find_phrases(rows, spark.createDataFrame(coded, "app string, phrase string, code string"), ["app"], carry="code", automaton_chars=10**6)
+    got = [(r.app, r.name, r.phrase, r.code) for r in found.collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "regexp_extract_all" not in plan

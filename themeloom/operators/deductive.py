@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from themeloom.functions import bands, fixed
 from themeloom.operators.numbering import islands, rolling
-from themeloom.operators.phrases import find_phrases
+from themeloom.operators.phrases import AUTOMATON_CHARS, find_phrases
 
 
 def match_dictionary(reviews: DataFrame, dictionary: DataFrame) -> DataFrame:
@@ -16,7 +16,7 @@ def match_dictionary(reviews: DataFrame, dictionary: DataFrame) -> DataFrame:
     ``reviews`` holds ``app, name, review_norm``, ``dictionary`` ``app, code, term``.
     """
     terms = dictionary.select("app", "code", F.col("term").alias("phrase"))
-    found = find_phrases(reviews, terms, ["app"], carry="code")
+    found = find_phrases(reviews, terms, ["app"], carry="code", automaton_chars=AUTOMATON_CHARS)
     return found.select("app", "name", "code", F.col("phrase").alias("term"))
 
 

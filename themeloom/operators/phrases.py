@@ -16,6 +16,8 @@ searched in one of three ways, with the same result:
   hash in a run of ``RUN`` n-grams (Schleimer et al., Winnowing, 2003); a text then has to offer only
   about 2 / (RUN + 1) of its n-grams.
 
+A dictionary of bounded size may instead go to all tasks, which make an automaton of each scope's phrases and read each text once.
+
 Long and short phrases of a scope are counted apart, as the short ones are few in most data.
 
 Where rows are shuffled by anchor, a summary of the n-grams that the texts offer is made first, in one pass: frequent-item sketches
@@ -31,6 +33,7 @@ from collections.abc import Sequence
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from themeloom.functions.text import ngrams
 from themeloom.session import BROADCAST_ROWS, materialise
@@ -41,6 +44,8 @@ LONG = GRAM + RUN - 1
 # A scope with no more phrases and characters than this is searched phrase by phrase.
 LIST_PHRASES = 200
 LIST_CHARS = 200_000
+# Largest dictionary, in characters of phrases and what they carry, that is sent to all tasks as automata.
+AUTOMATON_CHARS = 1_000_000
 # A scope with no more phrases than this sends its anchors to the texts.
 SET_PHRASES = 20_000
 # Largest number of anchors, over all scopes, that may be broadcast as arrays of hashes.
@@ -277,16 +282,59 @@ def find_in_batches(
     return both.applyInArrow(_found_in_group(scope, text, name), ", ".join(kinds)).distinct()
 
 
+def _found_by_automata(terms, scope: list[str], text: str, name: str):
+    """Hits in a stream of texts: the terms of a scope, rows ``scope, phrase, _carry``, become an automaton when its first text comes."""
+
+    def run(batches):
+        import ahocorasick  # needed by tasks of this search only
+
+        own: dict[tuple, dict[str, list[int]]] = {}
+        for i, (*key, phrase) in enumerate(zip(*(terms.value.column(c).to_pylist() for c in (*scope, "phrase")), strict=True)):
+            own.setdefault(tuple(key), {}).setdefault(phrase, []).append(i)
+        automata: dict[tuple, object] = {}
+        for batch in batches:
+            rows: list[int] = []
+            found: list[int] = []
+            keys = zip(*(batch.column(c).to_pylist() for c in scope), strict=True)
+            for r, (key, t) in enumerate(zip(keys, batch.column(text), strict=True)):
+                if key not in own or not (t := t.as_py()):
+                    continue
+                if key not in automata:
+                    automata[key] = ahocorasick.Automaton()
+                    for phrase, places in own[key].items():
+                        automata[key].add_word(phrase, tuple(places))
+                    automata[key].make_automaton()
+                hits = {places for _, places in automata[key].iter(t)}
+                for places in hits:
+                    found += places
+                    rows += [r] * len(places)
+            at, of = pa.array(rows, pa.int64()), pa.array(found, pa.int64())
+            columns = {c: batch.column(c).take(at) for c in (*scope, name)} | {c: terms.value.column(c).take(of).combine_chunks() for c in ("phrase", _CARRY)}
+            yield pa.RecordBatch.from_pydict(columns)
+
+    return run
+
+
+def _by_automata(texts: DataFrame, terms: DataFrame, scope: list[str], text: str, name: str) -> DataFrame:
+    """A dictionary of bounded size goes to all tasks, and each text is read once where it lies; only hits leave a task."""
+    spark = texts.sparkSession
+    # rows without a scope match nothing, as in a join
+    table = terms.dropna(subset=scope).toArrow()
+    out = StructType([*[texts.schema[c] for c in (*scope, name)], terms.schema["phrase"], terms.schema[_CARRY]])
+    return texts.mapInArrow(_found_by_automata(spark.sparkContext.broadcast(table), scope, text, name), out)
+
+
 def find_phrases(
     texts: DataFrame, phrases: DataFrame, scope: Sequence[str], text: str = "review_norm", name: str = "name",
     carry: str | None = None, list_phrases: int = LIST_PHRASES, set_phrases: int = SET_PHRASES, max_rows: int = BROADCAST_ROWS,
-    max_chars: int = BROADCAST_CHARS,
+    max_chars: int = BROADCAST_CHARS, automaton_chars: int = 0,
 ) -> DataFrame:
     """Distinct (scope, name, phrase) such that the text called ``name`` contains ``phrase``; with ``carry``, a column of ``phrases``,
     a row for each of its values that stand with the phrase.
 
     ``texts`` has the scope columns, ``name`` and ``text``; ``phrases`` the scope columns and
-    ``phrase``. Sizes of the phrase lists are counted before the search is planned; phrases are not stored.
+    ``phrase``. Sizes of the phrase lists are counted before the search is planned; phrases are not stored. A list of at most
+    ``automaton_chars`` characters and ``max_rows`` rows goes to all tasks as automata.
     """
     scope = list(scope)
     texts = texts.select(*scope, name, text)
@@ -294,7 +342,8 @@ def find_phrases(
     phrases = phrases.filter(F.length("phrase") > 0).groupBy(*scope, "phrase").agg(carried.alias(_CARRY))
     phrases = phrases.withColumn("_long", F.length("phrase") >= LONG)
     per_scope = phrases.groupBy(*scope, "_long").agg(
-        F.count(F.lit(1)).alias("_n"), F.sum(F.length("phrase")).alias("_c"), F.collect_set(_class("phrase")).alias("_k")
+        F.count(F.lit(1)).alias("_n"), F.sum(F.length("phrase")).alias("_c"), F.collect_set(_class("phrase")).alias("_k"),
+        F.sum(F.greatest(F.size(_CARRY), F.lit(1))).alias("_carried"), F.sum(F.length(F.array_join(_CARRY, ""))).alias("_carry_chars"),
     )
     way = (
         F.when((F.col("_n") <= list_phrases) & (F.col("_c") <= LIST_CHARS), "list")
@@ -302,8 +351,12 @@ def find_phrases(
     )
     per_scope = per_scope.withColumn("_way", way)
     sizes = per_scope.groupBy("_way").agg(
-        F.sum("_n").alias("n"), F.sum("_c").alias("chars"), F.flatten(F.collect_set("_k")).alias("classes")
+        F.sum("_n").alias("n"), F.sum("_c").alias("chars"), F.sum("_carried").alias("rows"), F.sum("_carry_chars").alias("carry_chars"), F.flatten(F.collect_set("_k")).alias("classes")
     ).collect()  # three rows at most
+    if sizes and sum(s["rows"] for s in sizes) <= max_rows and sum(s["chars"] + s["carry_chars"] for s in sizes) <= automaton_chars:
+        terms = phrases.select(*scope, "phrase", F.explode_outer(_CARRY).alias(_CARRY))
+        hits = _by_automata(texts, terms, scope, text, name)
+        return (hits.withColumnRenamed(_CARRY, carry).filter(F.col(carry).isNotNull()) if carry else hits.drop(_CARRY)).distinct()
     none = phrases.select(*scope, "phrase", _CARRY).limit(0)
     found = texts.select(*scope, name).limit(0).join(none, scope) if not sizes else None
     for size in sizes:
