@@ -54,3 +54,19 @@ def test_a_code_that_leaves_all_batches_and_rows_without_batch(spark):
     assert _sorted(fs.first_seen(log)) == [("x", "b", 1)]
     same = fs.arrival_rows(log, _codings(spark, {("x", 1): "b"}), 3)
     assert same.count() == 0 and fs.arrival_rows(log, _codings(spark, {}), 3).count() == 0
+
+
+def test_an_arrival_reads_its_codings_twice(spark):
+    """Once for its batches and once for its codes, however many uses these have."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    log = fs.arrival_rows(fs.empty_log(spark), _codings(spark, {("x", 1): "ab", ("x", 2): "b"}), 1)
+    codings = _codings(spark, {("x", 1): "bcd", ("x", 3): "a"}).mapInArrow(counted, SCHEMA)
+    log = log.unionByName(fs.arrival_rows(log, codings, 2))
+    assert _sorted(fs.first_seen(log)) == [("x", "a", 3), ("x", "b", 1), ("x", "c", 1), ("x", "d", 1)]
+    assert seen.value == 2 * 4

@@ -37,13 +37,15 @@ def arrival_rows(log: DataFrame, codings: DataFrame, arrival: int, batches: Data
     arriving = codings.select("app", "batch_id")
     if batches is not None:
         arriving = arriving.unionByName(batches.filter("batch_id IS NOT NULL").select("app", "batch_id"))
-    arriving = arriving.distinct()
-    now = codings.select("app", "batch_id", text.strip_blank("code").alias("code")).filter("code <> ''").distinct()
+    arriving = materialise(arriving.distinct())
+    now = codings.select("app", "batch_id", text.strip_blank("code").alias("code")).filter("code <> ''")
     had = _present(before.filter("kind = 'code'").join(arriving, ["app", "batch_id"], "left_semi"))
     key = ["app", "batch_id", "code"]
-    came = now.join(had, key, "left_anti").withColumn("present", F.lit(True))
-    left = had.join(now, key, "left_anti").withColumn("present", F.lit(False))
-    changed = materialise(came.unionByName(left).withColumn("arrival", F.lit(arrival).cast("long")))
+    # both sides are read once and meet in one grouping, which combines before the shuffle
+    both = now.select(*key, F.lit(True).alias("_now")).unionByName(had.select(*key, F.lit(False).alias("_now")))
+    sides = both.groupBy(*key).agg(F.bool_or("_now").alias("present"), F.bool_and("_now").alias("_only_now"))
+    changed = sides.filter("present = _only_now").drop("_only_now")
+    changed = materialise(changed.withColumn("arrival", F.lit(arrival).cast("long")))
 
     touched = changed.select("app", "code").distinct()
     held = before.filter("kind = 'code'").select(*key, "present", "arrival").join(touched, ["app", "code"], "left_semi")

@@ -99,7 +99,8 @@ def codings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def undated(rows: DataFrame) -> DataFrame:
     """``rows`` and, for each app, one of a file that names no batch."""
-    return rows.unionByName(rows.select("app").distinct().select("app", F.lit(None).cast("long").alias("batch_id"), F.lit("t").alias("theme"), F.lit("preview").alias("code"), F.lit("q").alias("quote")), allowMissingColumns=True)
+    apps = materialise(rows.select("app").distinct())  # once, and not with every reading of the rows
+    return rows.unionByName(apps.select("app", F.lit(None).cast("long").alias("batch_id"), F.lit("t").alias("theme"), F.lit("preview").alias("code"), F.lit("q").alias("quote")), allowMissingColumns=True)
 
 
 def theme_codings(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,7 +19,7 @@ from themeloom.operators import quality as ql
 from themeloom.operators import sampling as sm
 from themeloom.operators import saturation as st
 from themeloom.plans import bindings as b
-from themeloom.session import materialise
+from themeloom.session import fits_broadcast, materialise
 from themeloom.sources import tables as io
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -504,9 +504,12 @@ def _(spark, d):
 @query("w1_kept_first_seen")
 def _(spark, d):
     """Three arrivals: the later batches with their codes by quote, the earlier ones, and the later ones corrected."""
-    codings = b.undated(b.codings(spark, d))
-    middle = codings.groupBy("app").agg(F.avg("batch_id").alias("_middle"))
-    split = codings.join(middle, "app")
+    stored = b.scratch(spark)  # the arrivals, written once as they would come in, and not cut from the texts at each reading
+    b.undated(b.codings(spark, d).select("app", "batch_id", "theme", "code", "quote")).write.parquet(stored)
+    codings = spark.read.parquet(stored)
+    middle = materialise(codings.groupBy("app").agg(F.avg("batch_id").alias("_middle")))
+    # rows meet the number of their app where they are read: a shuffle by app would bring an app into one task
+    split = codings.join(F.broadcast(middle) if fits_broadcast(middle) else middle, "app")
     later, earlier = split.filter("batch_id >= _middle"), split.filter("batch_id < _middle")
     log, path = fs.empty_log(spark), b.scratch(spark)
     for n, part in enumerate((later.withColumn("code", F.col("quote")), earlier, later), 1):
