@@ -160,3 +160,14 @@ def test_a_bounded_dictionary_reads_each_text_once(spark):
     assert len(got) == len(set(got)) and set(got) == want
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "MapInArrow" in plan and "regexp_extract_all" not in plan
+
+
+def test_first_characters_settle_hits_or_hand_over():
+    """In a batch phrases are looked up by their first characters; where these tell little apart, an automaton takes over."""
+    texts, phrases = _data()
+    read, wanted = [t for _, _, t in texts] + [None], list({p for _, p in phrases if p})
+    want = [{p for p in wanted if t and p in t} for t in read]
+    assert [set(x) for x in ph._automaton_hits(read, wanted)] == want
+    few = [p for p in wanted if len(p) > 3][:40]
+    assert [set(x) for x in ph._anchored_hits(read, few)] == [{p for p in few if t and p in t} for t in read]
+    assert ph._anchored_hits(["a" * 5_000], ["a" * 16 + "b" * i for i in range(60)]) is None

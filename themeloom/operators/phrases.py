@@ -30,6 +30,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -59,6 +60,10 @@ SHARES = 10_000
 TRACKED = 131_072
 _SKETCHES = 64
 _CARRY = "_carry"
+# Characters of the beginning by which phrases are looked up in the texts of a batch: powers of two, the longest that fits.
+ANCHOR_CHARS = (16, 8, 4, 2, 1)
+_MARK_BITS = 20
+_ODD = np.uint64(0x9E3779B97F4A7C15)
 _PAD = "\x00" * (GRAM - 1)
 _COUNT_BITS = 16
 _HASH_RANGE = 1 << (64 - _COUNT_BITS)
@@ -243,22 +248,72 @@ def _possible(phrases: DataFrame, scope: list[str]) -> DataFrame:
     return phrases.select(*scope, F.explode(possible).alias("_anchor"))
 
 
+def _anchored_hits(texts: list[str | None], phrases: list[str]) -> list[list[str]] | None:
+    """Per text the phrases it contains, by the hashes of the phrases' first characters at all places of the texts; None where
+    these leave more candidates than the texts have characters."""
+    joined = "".join(t or "" for t in texts)
+    codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    ends = np.cumsum([len(t or "") for t in texts])
+    starting: list[dict[str, list[str]]] = [{} for _ in ANCHOR_CHARS]
+    for p in phrases:
+        step = next(i for i, n in enumerate(ANCHOR_CHARS) if len(p) >= n)
+        starting[step].setdefault(p[: ANCHOR_CHARS[step]], []).append(p)
+    found: list[set[str]] = [set() for _ in texts]
+    left = len(joined) + 1_000
+    for n, of in zip(ANCHOR_CHARS, starting, strict=True):
+        if not of or len(joined) < n:
+            continue
+        anchors = list(of)
+        wanted = _window_hashes(np.frombuffer("".join(anchors).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64), n)[::n]
+        known = np.zeros(1 << _MARK_BITS, bool)
+        known[wanted >> np.uint64(64 - _MARK_BITS)] = True
+        at_all = _window_hashes(codes, n)
+        places = np.flatnonzero(known[at_all >> np.uint64(64 - _MARK_BITS)])  # a few too many; the characters settle it
+        for at, r in zip(places.tolist(), np.searchsorted(ends, places, side="right").tolist(), strict=True):
+            here = of.get(joined[at:at + n], ())
+            left -= len(here)
+            if left < 0:
+                return None
+            for p in here:
+                if at + len(p) <= ends[r] and joined.startswith(p, at):
+                    found[r].add(p)
+    return [list(x) for x in found]
+
+
+def _window_hashes(codes: np.ndarray, n: int) -> np.ndarray:
+    """64-bit hashes of all windows of ``n`` codes, a power of two; windows with other texts differ but for chance."""
+    hashes, width = codes * _ODD + _ODD, 1
+    while width < n:
+        hashes = (hashes[:-width] ^ (hashes[:-width] >> np.uint64(29))) * _ODD + hashes[width:]
+        width *= 2
+    return hashes
+
+
+def _automaton_hits(texts: list[str | None], phrases: list[str]) -> list[list[str]]:
+    """Per text the phrases it contains: the phrases become an automaton (Aho and Corasick, 1975), which reads each text once."""
+    import ahocorasick  # needed by tasks of this search only
+
+    automaton = ahocorasick.Automaton()
+    for p in phrases:
+        automaton.add_word(p, p)
+    automaton.make_automaton()
+    return [list(dict.fromkeys(p for _, p in automaton.iter(t))) if t else [] for t in texts]
+
+
 def _found_in_group(scope: list[str], text: str, name: str):
-    """Hits of one scope: its phrases become an automaton (Aho and Corasick, 1975), which reads each text once."""
+    """Hits of one scope. Phrases are mostly told apart by their first characters, so most are settled where these stand in a text;
+    phrases and texts that are not go to an automaton."""
 
     def run(texts: pa.Table, phrases: pa.Table) -> pa.Table:
-        import ahocorasick  # needed by tasks of this search only
-
         hits: list[tuple] = []
         if texts.num_rows and phrases.num_rows:
-            automaton = ahocorasick.Automaton()
-            for p in phrases.column("phrase").to_pylist():
-                automaton.add_word(p, p)
-            automaton.make_automaton()
+            wanted, read = list(dict.fromkeys(phrases.column("phrase").to_pylist())), texts.column(text).to_pylist()
+            found = _anchored_hits(read, wanted)
+            if found is None:
+                found = _automaton_hits(read, wanted)
             key = [texts.column(c)[0].as_py() for c in scope]
-            for n, t in zip(texts.column(name).to_pylist(), texts.column(text).to_pylist(), strict=True):
-                if t:
-                    hits += [(*key, n, p) for p in dict.fromkeys(p for _, p in automaton.iter(t))]
+            for n, own in zip(texts.column(name).to_pylist(), found, strict=True):
+                hits += [(*key, n, p) for p in own]
         kinds = [*[texts.schema.field(c) for c in (*scope, name)], pa.field("phrase", pa.string())]
         columns = zip(*hits, strict=True) if hits else [[] for _ in kinds]
         return pa.table([pa.array(list(c), f.type) for c, f in zip(columns, kinds, strict=True)], schema=pa.schema(kinds))
@@ -271,11 +326,11 @@ def find_in_batches(
 ) -> DataFrame:
     """As ``find_phrases``, for scopes that are small on both sides, such as the batches of a run.
 
-    Texts and phrases of a scope meet in one task by one exchange each; the phrases are indexed once for all texts of the scope, so
-    the work is their length, that of the texts and the hits. The scope must bound both sides, as they are gathered.
+    Texts and phrases of a scope meet in one task by one exchange each; duplicates of phrases are dropped there. The phrases are indexed
+    once for all texts of the scope, so the work is their length, that of the texts and the hits. The scope must bound both sides, as they are gathered.
     """
     scope = list(scope)
-    phrases = phrases.select(*scope, "phrase").filter(F.length("phrase") > 0).distinct()
+    phrases = phrases.select(*scope, "phrase").filter(F.length("phrase") > 0)
     texts = texts.select(*scope, name, text)
     kinds = [*[f"`{c}` {k}" for c, k in texts.dtypes if c != text], "phrase string"]
     both = texts.groupBy(*scope).cogroup(phrases.groupBy(*scope))

@@ -152,7 +152,8 @@ def raw_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def filed_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quotes filed under their own batch and, by mistake, under the next one."""
     right = codings(spark, sf_dir).select("app", "batch_id", "quote")
-    return right.unionByName(right.withColumn("batch_id", F.col("batch_id") + 1)).distinct()
+    both = F.explode(F.array("batch_id", F.col("batch_id") + 1))  # each text is read once
+    return right.select("app", both.alias("batch_id"), "quote").distinct()
 
 
 def out_of_scope(spark: SparkSession, sf_dir: str) -> DataFrame:
