@@ -214,6 +214,24 @@ def test_training_beats_single_frequencies(make, nothing):
     assert [r.log_prob for r in pseudo_likelihood.score_corpus(make([(1, None), (2, "")])).collect()] == [0, 0]
 
 
+def test_a_word_leaves_a_task_once_whatever_the_number_of_its_documents(make, monkeypatch):
+    monkeypatch.setattr(pseudo_likelihood, "FREQUENT", 2)  # no word makes up half of the tokens
+    texts = [(i, "one two three four three") for i in range(50)]
+    tokens = pseudo_likelihood.tokenised(make(texts).coalesce(1)).coalesce(1)
+    model = pseudo_likelihood.fit_tokens(tokens)
+    assert not len(model.frequent)
+    rows = pseudo_likelihood.parts(tokens, model).collect()
+    assert sorted(len(r.rows) for r in rows if r.is_word) == [50, 50, 50, 100]
+    assert sorted(r.doc_id for r in rows if not r.is_word) == list(range(50))
+
+
+def test_tokens_equal_single_matches():
+    signs = "".join(chr(i) for i in range(0x3100))
+    texts = [signs, signs[:128], "A_b-c.D\x1ce\x85f\xa0g\u3000h", "\u6771\u4eac Ab", "a,b" * 9, "\u0130 \u01c5 \u00df-\u00e9!", "", None]
+    for text in texts:
+        assert pseudo_likelihood.tokens_of(text) == pseudo_likelihood.TOKEN.findall((text or "").lower())
+
+
 def test_junk_and_shuffled_letters_score_below_prose(make):
     random = np.random.default_rng(5)
     stock = ["".join(random.choice(list("абвгдежзиклмнопрстуя"), random.integers(2, 8))) for _ in range(40)]
