@@ -66,6 +66,16 @@ def test_coding_files_by_name(spark, folder):
     assert bad.isEmpty()
 
 
+def test_coding_files_come_back_without_a_folder_for_each(spark, folder):
+    files = [(app, name, f"好的\n{name}\n\n") for app in ("a", "x/y=1: 2%") for name in ("batch_00_露营.csv", "batch_100_x y.csv", "batch_02_C++ 100%.csv", "batch_03_a=b.csv")]
+    files.append(("a", "batch_04.csv", ""))
+    for _ in range(2):  # a retry writes the same
+        io.write_coding_files(spark.createDataFrame([*files, ("a", None, "x")], "app string, src_file string, content string"), folder)
+    got = [tuple(r) for r in io.read_coding_files(spark, folder).collect()]
+    assert sorted(got) == sorted((app, name, content + "\n") for app, name, content in files)
+    assert len([p for p in Path(folder).rglob("*") if p.is_dir()]) == 2
+
+
 def test_codebook_and_dictionary(spark, folder):
     c = spark.createDataFrame([("a", "x ", 'he "q", x'), ("a", "y", "引文")], "app string, code string, quote string")
     io.write_codebook_csv(c, folder + "/c")

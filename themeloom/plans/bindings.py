@@ -84,16 +84,19 @@ def coded_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _src_file() -> Column:
+    return F.concat(F.lit("batch_"), F.format_string("%02d", "batch_id"), F.lit("_"), "theme", F.lit(".csv"))
+
+
 def codings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every sentence of a review is a quote; its code is its first two letters, its theme the language."""
     sentences = coded_reviews(spark, sf_dir).select(
         "app", "batch_id", "theme", "name", F.posexplode_outer(F.split("review_norm", r"\.")).alias("pos", "s")
     )
     quote = F.trim("s")
-    src = F.concat(F.lit("batch_"), F.format_string("%02d", "batch_id"), F.lit("_"), "theme", F.lit(".csv"))
     return sentences.filter(F.length(quote) >= 3).select(
         "app", "batch_id", "theme", F.lower(F.substring(quote, 1, 2)).alias("code"), quote.alias("quote"),
-        src.alias("src_file"), (F.col("name").cast("long") * 100_000 + F.col("pos")).alias("line_no"),
+        _src_file().alias("src_file"), (F.col("name").cast("long") * 100_000 + F.col("pos")).alias("line_no"),
     )
 
 
@@ -122,13 +125,20 @@ def _csv_field(c: str) -> Column:
 def coding_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Coding files: a line before the header, a quote over two lines, quoted quotes, codes as they are, a quote that never
     closes, a repeated header. A file without a batch in its name stands beside them."""
-    line = F.concat(F.col("code"), F.lit(","), _csv_field("quote"))
-    rows = F.array_sort(F.collect_list(F.struct("line_no", line.alias("line"))))
-    body = F.array_join(F.transform(rows, lambda r: r["line"]), "\n")
+    def line(s: Column, pos: Column) -> Column:
+        number = (F.col("name").cast("long") * 100_000 + pos).alias("line_no")
+        return F.struct(number, F.concat(F.lower(F.substring(s, 1, 2)), F.lit(","), _csv_field(s)).alias("line"))
+
+    # the lines of ``codings``; those of a review travel together
+    quotes = F.transform(F.split("review_norm", r"\."), lambda s, i: F.struct(F.trim(s).alias("s"), i.alias("pos")))
+    long = F.filter(quotes, lambda q: F.length(q["s"]) >= 3)
+    lines = F.transform(long, lambda q: line(q["s"], q["pos"])).alias("lines")
+    reviews = coded_reviews(spark, sf_dir).select("app", _src_file().alias("src_file"), lines)
+    body = F.array_join(F.transform(F.array_sort(F.flatten(F.collect_list("lines"))), lambda r: r["line"]), "\n")
     head = F.lit(f"好的\n{fixed.CODING_HEADER}\n\n{BROKEN_ROW}\n")
-    files = codings(spark, sf_dir).groupBy("app", "src_file").agg(
-        F.concat(head, body, F.lit(f"\n{OPEN_ROW}\n{fixed.CODING_HEADER}\n")).alias("content")
-    )
+    files = reviews.groupBy("app", "src_file").agg(
+        F.concat(head, body, F.lit(f"\n{OPEN_ROW}\n{fixed.CODING_HEADER}\n")).alias("content"), F.max(F.size("lines")).alias("most")
+    ).filter("most > 0").drop("most")  # a filter before would cut each review twice
     preview = F.lit(f"{fixed.CODING_HEADER}\nx,y\n")
     return files.unionByName(table(spark, sf_dir, "documents").select(_app().alias("app")).distinct().select("app", F.lit(UNDATED_FILE).alias("src_file"), preview.alias("content")))
 

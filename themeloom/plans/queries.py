@@ -79,8 +79,7 @@ def _(spark, d):
 
 def _stored_files(spark: SparkSession, d: str) -> DataFrame:
     path = b.scratch(spark)
-    files = b.coding_files(spark, d).select("app", F.col("src_file").alias("file"), F.col("content").alias("value"))
-    files.repartition("app", "file").write.partitionBy("app", "file").text(path)
+    io.write_coding_files(b.coding_files(spark, d), path)
     return io.read_coding_files(spark, path)
 
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +17,10 @@ from themeloom.operators.prompts import unused_lines
 from themeloom.sources.quoted_csv import read_quoted_csv
 
 
+#: What a folder of a partition escapes in its value, besides control characters.
+_PARTITION_MARKS = "\"#%'*/:=?\\{[]^"
+
+
 def require_columns(df: DataFrame, required: Iterable[str] = schemas.REVIEW_COLUMNS) -> DataFrame:
     """Fail before any job when columns are missing; extra columns are fine."""
     missing = [c for c in required if c not in df.columns]
@@ -127,6 +133,35 @@ def count_entries(batch_texts: DataFrame) -> DataFrame:
 
 # --- coding files -------------------------------------------------------------------------------
 
+def _escaped(value: str | None, marks: str) -> str:
+    return "__HIVE_DEFAULT_PARTITION__" if not value else "".join(f"%{ord(c):02X}" if c in marks or c < " " or c == "\x7f" else c for c in value)
+
+
+def _write_files(path: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, root = fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path.removeprefix("file:"))
+        folders = set()
+        for batch in batches:
+            for app, name, content in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                folder = f"{root.rstrip('/')}/app={_escaped(app, _PARTITION_MARKS)}"
+                if folder not in folders:
+                    system.create_dir(folder, recursive=True)
+                    folders.add(folder)
+                with system.open_output_stream(f"{folder}/{_escaped(name, '/:')}") as out:
+                    out.write((content or "").encode() + b"\n")
+            yield pa.record_batch([pa.array([batch.num_rows], pa.int64())], ["n"])
+
+    return run
+
+
+def write_coding_files(files: DataFrame, path: str) -> None:
+    """Coding files (``app, src_file, content``; a file without a name is left out), each written once and in place by the task that
+    holds its row, below a folder for each app. ``path`` is a mounted folder, hdfs:// or s3://. Spark's own text writer needs a folder
+    for each file, which it makes, moves and lists one by one. A retry writes the same files."""
+    rows = files.select("app", "src_file", "content").filter("src_file IS NOT NULL")
+    rows.mapInArrow(_write_files(path), "n bigint").agg(F.sum("n")).collect()
+
+
 def read_coding_files(spark: SparkSession, path: str | list[str], app: str | None = None) -> DataFrame:
     """Coding files (``app, src_file, content``), whole, so that lines keep their order. ``path`` may
     hold files named ``batch_...csv`` or folders named so; other files are left out."""
