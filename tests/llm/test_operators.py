@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import time
+import tracemalloc
 from collections import Counter
 
 import brute
@@ -232,6 +233,42 @@ def test_tokens_equal_single_matches():
         assert pseudo_likelihood.tokens_of(text) == pseudo_likelihood.TOKEN.findall((text or "").lower())
 
 
+def test_stored_words_are_hashes_of_tokens_each_looked_up_once(monkeypatch):
+    class Counted(pseudo_likelihood.Hashes):
+        looked_up = 0
+
+        def __getitem__(self, token):
+            Counted.looked_up += 1
+            return super().__getitem__(token)
+
+    monkeypatch.setattr(pseudo_likelihood, "Hashes", Counted)
+    signs = "".join(chr(i) for i in range(0x3100))
+    texts = ["one two, one two. " * 500, None, "", " \x1c\x85\xa0\n", " a\x1cb\x1fc\u2028d\x0be ", signs, "\u6771\u4eac, Ab", "\u0130 \U0001f600" + "x" * 9, "\ufeffa \u200b b\x00c"]
+    tokens = [pseudo_likelihood.TOKEN.findall((t or "").lower()) for t in texts]
+    rows = list(range(len(texts)))
+    for batch in (pa.record_batch([rows, rows, texts], ["doc_id", "row", "text"]), pa.record_batch([[1], [1], pa.array([None], pa.string())], ["doc_id", "row", "text"])):
+        out = pa.Table.from_batches(pseudo_likelihood._tokens(iter([batch]))).to_pydict()
+        want = tokens if batch.num_rows > 1 else [[]]
+        assert out["words"] == [np.array([pseudo_likelihood.hash_of(w) for w in x], "<u8").tobytes() for x in want]
+        assert out["doc_id"] == batch.column("doc_id").to_pylist()
+    assert Counted.looked_up == len({w for x in tokens for w in x})
+
+
+def test_gradient_takes_no_memory_of_the_size_of_the_weights():
+    random = np.random.default_rng(2)
+    net = pseudo_likelihood.shaped(pseudo_likelihood.fresh(np.arange(pseudo_likelihood.CODES)))
+    n = pseudo_likelihood.BATCH
+    context, target = random.integers(0, pseudo_likelihood.CODES + 1, (4, n), np.int16), np.sort(random.integers(0, pseudo_likelihood.CODES, n, np.int16))
+    layers = pseudo_likelihood.Layers(net, n)
+    first = layers.gradient(context, target).copy()
+    tracemalloc.start()
+    again = layers.gradient(context, target)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert np.array_equal(first, again)
+    assert peak < net["into"][0].nbytes * 1.5
+
+
 def test_junk_and_shuffled_letters_score_below_prose(make):
     random = np.random.default_rng(5)
     stock = ["".join(random.choice(list("абвгдежзиклмнопрстуя"), random.integers(2, 8))) for _ in range(40)]
