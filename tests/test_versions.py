@@ -4,6 +4,8 @@ import random
 import tempfile
 from collections import defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -155,3 +157,52 @@ def test_codes_on_common_quotes_are_counted_in_blocks(spark, size):
     got = [tuple(p) for p in found.collect()]
     assert set(got) == want and len(got) == len(want)
     assert "Join" not in quality.similar_codes(codings, 1, 5)._jdf.queryExecution().executedPlan().toString()
+
+
+def _brute_pairs(sets, part, whole):
+    return {(x, y, n) for x in sets for y in sets if x < y and (n := len(sets[x] & sets[y])) and whole * n >= part * len(sets[x] | sets[y])}
+
+
+def test_like_codes_share_chunks_and_sets_of_unlike_sizes_never_meet(spark):
+    """Two vocabularies and two sizes: chunks hold like codes, the blocks of small and large sets are left out, and all pairs are there."""
+    r = random.Random(8)
+    sets = {f"{v}{k}{i}": {f"{v}q{j}" for j in r.sample(range(1000), k)} for v in "ab" for k in (40, 700) for i in range(50)}
+    codings = spark.createDataFrame([("a", c, q) for c, qs in sets.items() for q in qs], "app string, code string, quote string")
+    placed = overlaps.place_codes(overlaps.compact_sets(codings), 10**6, 25)
+    chunks = overlaps._Chunks(placed.toArrow(), 1, 5)
+    assert {len({c[0] for c in chunks.codes[i:j].to_pylist() if "700" in c}) for i, j in chunks.ranges.values()} <= {0, 1}
+    assert len(chunks.blocks) < len(chunks.ranges) * (len(chunks.ranges) + 1) / 2
+    got = [(p.code_a, p.code_b, p.n_shared) for p in overlaps.pairs_over(codings, 1, 5, chunk_codes=25).collect()]
+    assert set(got) == _brute_pairs(sets, 1, 5) and len(got) == len(set(got))
+
+
+@pytest.mark.parametrize("same", [True, False])
+def test_shared_quotes_are_counted_densely_and_pair_by_pair(monkeypatch, same):
+    """Frequent quotes fill several pieces, rare ones several steps of pairs; a chunk with itself counts each pair once."""
+    monkeypatch.setattr(overlaps, "_PAIRS_AT_ONCE", 50)
+    monkeypatch.setattr(overlaps, "_PIECE", 64)
+    r = np.random.default_rng(2)
+    share = np.where(np.arange(500) < 200, 0.7, 0.03)
+    a = r.random((40, 500)) < share
+    b = a if same else r.random((30, 500)) < share
+    monkeypatch.setattr(overlaps, "DENSE_SHARE", 0.1)
+    block = overlaps._Block(len(a), len(b), same)
+    for start in (0, 100, 350):
+        stop = {0: 100, 100: 350, 350: 500}[start]
+        keys = [np.sort([int(w) << 16 | int(c) for c, w in zip(*np.nonzero(x[:, start:stop]), strict=True)]) for x in (a, b)]
+        block.add(*[overlaps._unpacked(overlaps._packed(k)) for k in keys])
+    block.flush()
+    want = a.astype(int) @ b.T.astype(int)
+    upper = np.triu(np.ones_like(want, dtype=bool), 1) if same else np.ones_like(want, dtype=bool)
+    assert (block.counts[upper] == want[upper]).all()
+
+
+def test_quotes_of_one_first_hash_stay_apart():
+    """Quotes are told apart by both hashes, also where rows of equal first ones lie mixed, and duplicates count once."""
+    kinds = overlaps._schema(overlaps._SLICED)
+    hashes = np.array([7, 7, 7, 7], np.uint64).tobytes(), np.array([1, 2, 1, 2], np.uint32).tobytes()
+    rows = pa.table([pa.array(v, f.type) for v, f in zip([["a"] * 2, [0] * 2, [["x", "y"]] * 2, [[3, 1]] * 2, [hashes[0]] * 2, [hashes[1]] * 2], kinds, strict=True)], schema=kinds)
+    row = overlaps._number(rows).to_pylist()[0]
+    assert (row["codes"], row["n"], row["n_words"]) == (["x", "y"], [2, 1], 2)
+    wide = np.array([1, 5, 1 << 40, (1 << 40) + 3])
+    assert overlaps._unpacked(overlaps._packed(wide)).tolist() == wide.tolist() and not len(overlaps._unpacked(overlaps._packed(wide[:0])))

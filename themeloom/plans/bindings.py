@@ -113,9 +113,11 @@ def theme_codings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def word_codings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Many codes on shared quotes: the words of each review, coded by its batch, its length and its language."""
-    words = coded_reviews(spark, sf_dir).select("app", "batch_id", "theme", "rating", F.explode_outer(F.split("review_norm", " ")).alias("quote"))
     code = F.concat_ws("-", F.format_string("%d", F.floor(F.col("batch_id") / 4)), "rating", "theme")
-    return words.filter(F.length("quote") >= 3).select("app", "batch_id", "theme", code.alias("code"), "quote")
+    # the code of a review is worked out once, and not for each of its words
+    coded = coded_reviews(spark, sf_dir).select("app", "batch_id", "theme", code.alias("code"), "review_norm")
+    words = coded.select("app", "batch_id", "theme", "code", F.explode_outer(F.split("review_norm", " ")).alias("quote"))
+    return words.filter(F.length("quote") >= 3)
 
 
 def _csv_field(c: str) -> Column:
