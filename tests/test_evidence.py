@@ -1,6 +1,7 @@
 """Quality evidence, codebook evolution, deductive matching and prompts on small fixtures."""
 
 import json
+import re
 
 import pytest
 
@@ -10,6 +11,8 @@ from themeloom.operators import codebook as cb
 from themeloom.operators import deductive as dd
 from themeloom.operators import prompts as pr
 from themeloom.operators import quality as ql
+from themeloom.plans import bindings as b
+from themeloom.plans.queries import QUERIES
 
 CODINGS = "app string, batch_id long, theme string, code string, quote string"
 
@@ -38,6 +41,31 @@ def test_verbatim_and_coverage(spark):
     assert ql.uncoded_reviews(reviews, src, scope).isEmpty()
 
 
+def test_quotes_by_sources_of_their_own_batch(spark):
+    """Rows stay as often as they come; a quote found in another batch counts as altered, and so does one without app, batch or text."""
+    rows = [("a", 0, "x"), ("a", 0, "x"), ("a", 1, "x"), ("a", 0, "y"), ("b", 0, "x"), (None, 0, "x"), ("a", None, "x"), ("a", 0, None), ("c", 5, "z")]
+    found = [("a", 0, "n", "x"), ("a", 0, "m", "x"), ("a", 2, "n", "y"), (None, 0, "n", "x"), ("a", None, "n", "x"), ("a", 0, "n", None)]
+    quotes = spark.createDataFrame(rows, "app string, batch_id long, quote string")
+    sources = spark.createDataFrame(found, "app string, batch_id long, name string, quote string")
+    assert [tuple(r) for r in ql.verbatim_quotes(quotes, sources).collect()] == [("a", 0, "x")] * 2
+    assert sorted(map(str, map(tuple, ql.altered_quotes(quotes, sources).collect()))) == sorted(map(str, rows[2:]))
+    assert ql.altered_quotes(quotes, sources.limit(0)).count() == len(rows) and ql.altered_quotes(quotes, sources).schema == quotes.schema
+
+
+def test_filed_quotes_are_moved_once(spark, tmp_path):
+    """The quotes are cut and dealt to their batches once, for the search and for what it leaves, and only hashes come back from it."""
+    texts = ["One here. Two here. ab", "Two here. Two here.Three  here", None, "...", "One here"]
+    docs = [(i if i != 3 else None, f"src{i}", "en", 10, texts[i % len(texts)]) for i in range(120)]
+    spark.createDataFrame(docs, "doc_id long, source string, lang string, n_chars long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    filed = b.filed_quotes(spark, str(tmp_path))
+    own = {(r.app, r.batch_id, r.quote) for r in b.codings(spark, str(tmp_path)).collect()}
+    assert sorted(map(tuple, filed.collect())) == sorted({(a, n + k, q) for a, n, q in own for k in (0, 1)})
+    altered = QUERIES["j4_altered_quotes"](spark, str(tmp_path))
+    assert _set(altered) == {(a, n + 1, q) for a, n, q in own if (a, n + 1, q) not in own}
+    plan = altered._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "ReusedExchange" in plan and not re.search(r"hashpartitioning\([^)]*quote", plan)
+
+
 @pytest.mark.parametrize("same,total,band", [(18, 20, "stable"), (17, 20, "mild_drift"), (14, 20, "mild_drift"), (13, 20, "severe_drift")])
 def test_gold_bands(spark, same, total, band):
     rows = [("a", f"n{i}", "first", "x") for i in range(total)] + [("a", f"n{i}", "repeat", "x" if i < same else "y") for i in range(total)]

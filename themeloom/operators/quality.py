@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,13 +27,34 @@ def quote_sources(quotes: DataFrame, reviews: DataFrame) -> DataFrame:
     return find_in_batches(reviews, phrases, _BATCH).withColumnRenamed("phrase", "quote")
 
 
+def _of_batch(found: bool):
+    def run(quotes: pa.Table, known: pa.Table) -> pa.Table:
+        hit = pc.is_in(quotes.column("_q"), value_set=pa.chunked_array([x.flatten() for x in known.column("_known").chunks], pa.binary()))
+        if any(quotes.column(c).null_count for c in _BATCH):  # rows without a batch have no source, as in a join
+            hit = pc.and_(hit, pa.scalar(False))
+        return quotes.drop_columns(["_q"]).filter(hit if found else pc.invert(hit))
+
+    return run
+
+
+def _by_sources(quotes: DataFrame, sources: DataFrame, found: bool) -> DataFrame:
+    """The rows of ``quotes`` that have sources, or those that have none.
+
+    They meet the 128-bit hashes of the quotes found batch by batch, as in the search: quotes that lie there for it are not moved again,
+    and no text of a quote comes back from it.
+    """
+    q = F.unhex(F.md5("quote"))
+    known = sources.groupBy(*_BATCH).agg(F.collect_set(q).alias("_known"))
+    return quotes.withColumn("_q", q).groupBy(*_BATCH).cogroup(known.groupBy(*_BATCH)).applyInArrow(_of_batch(found), quotes.schema)
+
+
 def verbatim_quotes(quotes: DataFrame, sources: DataFrame) -> DataFrame:
-    return quotes.join(sources.select(*_BATCH, "quote").distinct(), [*_BATCH, "quote"], "left_semi")
+    return _by_sources(quotes, sources, True)
 
 
 def altered_quotes(quotes: DataFrame, sources: DataFrame) -> DataFrame:
     """Quotes that no review of their batch contains."""
-    return quotes.join(sources.select(*_BATCH, "quote").distinct(), [*_BATCH, "quote"], "left_anti")
+    return _by_sources(quotes, sources, False)
 
 
 def uncoded_reviews(reviews: DataFrame, sources: DataFrame, out_of_scope: DataFrame | None = None) -> DataFrame:

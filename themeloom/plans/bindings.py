@@ -163,9 +163,13 @@ def raw_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def filed_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quotes filed under their own batch and, by mistake, under the next one."""
-    right = codings(spark, sf_dir).select("app", "batch_id", "quote")
+    # the quotes of ``codings``; those of a review travel together, in one text, to the task of their batch and are told apart there
+    quotes = F.filter(F.transform(F.split("review_norm", r"\."), lambda s: F.trim(s)), lambda q: F.length(q) >= 3)
+    right = coded_reviews(spark, sf_dir).select("app", "batch_id", F.array_join(quotes, ".").alias("quotes"))
     both = F.explode(F.array("batch_id", F.col("batch_id") + 1))  # each text is read once
-    return right.select("app", both.alias("batch_id"), "quote").distinct()
+    filed = right.select("app", both.alias("batch_id"), "quotes").repartition("app", "batch_id")
+    each = filed.select("app", "batch_id", F.explode_outer(F.split("quotes", r"\.")).alias("quote"))
+    return each.filter(F.length("quote") >= 3).distinct()
 
 
 def out_of_scope(spark: SparkSession, sf_dir: str) -> DataFrame:
